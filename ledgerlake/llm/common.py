@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -56,7 +57,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
     """Cut Arrow batches so that one column holds about max_bytes at most (a single longer value stands alone)."""
     for batch in batches:
         n, at = batch.num_rows, 0
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         while at < n:
             end, total = at, 0
             while end < n and (end == at or total + sizes[end] <= max_bytes):
