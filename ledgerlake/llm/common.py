@@ -65,3 +65,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
                 end += 1
             yield batch.slice(at, end - at)
             at = end
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, packing, url_filter, warc
+from . import langid, media, packing, simhash, url_filter, warc
 from .common import read_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = warc.plan_revisits(read_table(spark, sf_dir, "pages"))
     return warc.read_bundles(warc.write_bundles(planned)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -21,6 +25,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_media_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.store_text(read_table(spark, sf_dir, "documents"))).drop("clips")
 
@@ -29,7 +37,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_warc, op7_url_filter, op9_media_avi, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_warc, op7_url_filter, op8_simhash, op9_media_avi, op10_packing)}
 
 ORACLE_SQL = {
     "op4_warc": """
