@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, media, packing, simhash, url_filter, warc
+from . import decontam, langid, media, packing, pii, simhash, url_filter, warc
 from .common import read_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -15,11 +15,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = warc.plan_revisits(read_table(spark, sf_dir, "pages"))
     return warc.read_bundles(warc.write_bundles(planned)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(read_table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), rules)
@@ -37,7 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_warc, op7_url_filter, op8_simhash, op9_media_avi, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_decontaminate, op4_warc, op5_pii_surrogates, op7_url_filter, op8_simhash, op9_media_avi, op10_packing)}
 
 ORACLE_SQL = {
     "op4_warc": """
