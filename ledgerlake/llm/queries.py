@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, media, packing, pii, simhash, url_filter, warc
+from . import decontam, langid, media, order, packing, pii, simhash, suffix, url_filter, warc
 from .common import read_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.list_shards(order.write_shards(read_table(spark, sf_dir, "documents")))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(read_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), rules)
@@ -45,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_decontaminate, op4_warc, op5_pii_surrogates, op7_url_filter, op8_simhash, op9_media_avi, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_training_order, op2_language_id, op3_decontaminate, op4_warc, op5_pii_surrogates, op6_suffix_dedup, op7_url_filter, op8_simhash, op9_media_avi, op10_packing)}
 
 ORACLE_SQL = {
     "op4_warc": """
