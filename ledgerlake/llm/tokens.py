@@ -1,13 +1,15 @@
 """Token ids of whole texts by a public word-level BPE, with a bounded cache of pieces between white space.
 
-The tokenizer drops white space, so the ids of a text are the ids of its pieces. A piece of letters followed by ASCII punctuation splits once
-more. Texts for which that would not hold (control characters that Python, but not the tokenizer, takes for white space) are encoded whole.
+The tokenizer drops white space, so the ids of a text are the ids of its pieces. A piece of Latin-1 letters followed by ASCII punctuation splits once
+more, and such a word's merges are applied here: most distinct pieces are words, and a call of the library costs more than they do. Texts for which that would not hold (control characters that Python, but not the tokenizer, takes for white space) are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -15,7 +17,8 @@ TOKENIZER = "word_bpe_49k.json"
 CACHE_PIECES = 250_000  # of each of two generations in a worker
 
 _ODD = re.compile(r"[\x1c-\x1f]")
-_WORD = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]+)")
+_WORD = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]*)")
+_NONE = 1 << 60
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -35,15 +38,46 @@ class Encoder(dict):
         self.model, self.old = Tokenizer.from_file(path), {}
         if self.model.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer need more than 16 bits")
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, merges = model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = iter(range(256, 512))
+        chars = {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}  # how byte-level vocabularies write bytes
+        self.inner, self.final = ([vocab[chars[b] + end] for b in range(256)] for end in ("", model["end_of_word_suffix"]))
+        self.rank = {vocab[a] << 16 | vocab[b]: k for k, (a, b) in enumerate(merges)}
+        self.made = [vocab[a + b] for a, b in merges]
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of Latin-1 letters: the pair with the lowest rank merges until none is left."""
+        raw = word.lower().encode()
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.final[raw[-1]]
+        rank = self.rank.get
+        ranks = [rank(a << 16 | b, _NONE) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks and (low := min(ranks)) != _NONE:
+            i = ranks.index(low)
+            ids[i : i + 2] = [self.made[low]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(ids[i - 1] << 16 | ids[i], _NONE)
+            if i < len(ranks):
+                ranks[i] = rank(ids[i] << 16 | ids[i + 1], _NONE)
+        return array("H", ids).tobytes()
+
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             m = _WORD.fullmatch(piece)
-            ids = self[m[1]] + self[m[2]] if m else self._encode(piece)
+            if m is None:
+                ids = self._encode(piece)
+            elif m[2]:
+                ids = self[m[1]] + self[m[2]]
+            else:
+                ids = self._word(piece)
         if len(piece) <= 64:
             if len(self) >= CACHE_PIECES:
                 self.old = dict(self)
