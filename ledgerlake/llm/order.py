@@ -56,8 +56,7 @@ def _cut(path: str, length: int):
         part, code, rank = TaskContext.get().partitionId(), encoder(path), 0
         for batch in slices(batches, "text", 4 << 20):
             records = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = code.ids(text.as_py())
+            for doc, ids in zip(batch.column(0).to_pylist(), code.all_ids(batch.column(1).to_pylist()), strict=True):
                 rows = np.zeros((max(1, -(-len(ids) // length)), length), "<u2")
                 rows.reshape(-1)[: len(ids)] = ids
                 for k, row in enumerate(rows):

@@ -107,8 +107,8 @@ def _cut(path: str, capacity: int):
         part, code, seen = TaskContext.get().partitionId(), encoder(path), np.zeros(capacity + 1, np.int64)
         for batch in slices(batches, "text"):
             docs, pieces, starts, lengths, crcs, ranks = [], [], [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(code.ids(text.as_py()), END_ID).astype("<u4")
+            for doc, ids in zip(batch.column(0).to_pylist(), code.all_ids(batch.column(1).to_pylist()), strict=True):
+                ids = np.append(ids, END_ID).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     piece = ids[start : start + capacity]
                     docs.append(doc)

@@ -9,16 +9,15 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_PIECES = 250_000  # of each of two generations in a worker
+CACHE_PIECES = 1_000_000  # in a worker; a full cache starts anew
 
 _ODD = re.compile(r"[\x1c-\x1f]")
 _WORD = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]*)")
-_NONE = 1 << 60
+_NONE = 1 << 30
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -35,7 +34,7 @@ class Encoder(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model, self.old = Tokenizer.from_file(path), {}
+        self.model = Tokenizer.from_file(path)
         if self.model.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this tokenizer need more than 16 bits")
         with open(path, encoding="utf-8") as f:
@@ -44,51 +43,113 @@ class Encoder(dict):
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = iter(range(256, 512))
         chars = {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}  # how byte-level vocabularies write bytes
-        self.inner, self.final = ([vocab[chars[b] + end] for b in range(256)] for end in ("", model["end_of_word_suffix"]))
-        self.rank = {vocab[a] << 16 | vocab[b]: k for k, (a, b) in enumerate(merges)}
-        self.made = [vocab[a + b] for a, b in merges]
+        self.inner, self.final = (np.array([vocab[chars[b] + end] for b in range(256)], np.int32) for end in ("", model["end_of_word_suffix"]))
+        self.made = np.array([vocab[a + b] for a, b in merges], np.int32)
+        self._hash_pairs(np.array([vocab[a] << 16 | vocab[b] for a, b in merges], np.uint32))
+
+    def _hash_pairs(self, pairs: np.ndarray) -> None:
+        """An open-addressing table from pairs of ids to the ranks of their merges."""
+        self.keys, self.ranks, self.probes = np.full(1 << 19, 0xFFFFFFFF, np.uint32), np.full(1 << 19, _NONE, np.int32), 0
+        rank = np.arange(len(pairs), dtype=np.int32)
+        while len(rank):
+            slot = self._slot(pairs[rank], self.probes)
+            free = self.keys[slot] == 0xFFFFFFFF
+            self.keys[slot[free]] = pairs[rank[free]]
+            mine = self.keys[slot] == pairs[rank]
+            self.ranks[slot[mine]] = rank[mine]
+            rank = rank[~mine]
+            self.probes += 1
+
+    @staticmethod
+    def _slot(pairs: np.ndarray, probe: int) -> np.ndarray:
+        return ((pairs * np.uint32(2654435761) >> np.uint32(13)) + np.uint32(probe)) & np.uint32((1 << 19) - 1)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; _NONE where they don't merge or one is missing (-1)."""
+        pairs = (left.astype(np.uint32) << np.uint32(16)) | right.astype(np.uint32)
+        pairs[(left < 0) | (right < 0)] = 0xFFFFFFFE
+        slot = self._slot(pairs, 0)
+        out = np.where(self.keys[slot] == pairs, self.ranks[slot], _NONE)
+        for probe in range(1, self.probes):
+            slot = self._slot(pairs, probe)
+            out = np.minimum(out, np.where(self.keys[slot] == pairs, self.ranks[slot], _NONE))
+        return out
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one word of Latin-1 letters: the pair with the lowest rank merges until none is left."""
-        raw = word.lower().encode()
-        ids = [self.inner[b] for b in raw]
-        ids[-1] = self.final[raw[-1]]
-        rank = self.rank.get
-        ranks = [rank(a << 16 | b, _NONE) for a, b in zip(ids, ids[1:], strict=False)]
-        while ranks and (low := min(ranks)) != _NONE:
-            i = ranks.index(low)
-            ids[i : i + 2] = [self.made[low]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank(ids[i - 1] << 16 | ids[i], _NONE)
-            if i < len(ranks):
-                ranks[i] = rank(ids[i] << 16 | ids[i + 1], _NONE)
-        return array("H", ids).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            m = _WORD.fullmatch(piece)
-            if m is None:
-                ids = self._encode(piece)
-            elif m[2]:
-                ids = self[m[1]] + self[m[2]]
-            else:
-                ids = self._word(piece)
-        if len(piece) <= 64:
-            if len(self) >= CACHE_PIECES:
-                self.old = dict(self)
-                self.clear()
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin-1 letters, all at once: in each round the pair with the lowest rank of every word merges."""
+        raw = [w.lower().encode() for w in words]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        out: list[bytes] = [b""] * len(words)
+        low = 0
+        for width in (6, 10, 16, 32, 1 << 20):
+            at = np.flatnonzero((size > low) & (size <= width))
+            low = width
+            if not len(at):
+                continue
+            n = size[at]
+            ids = np.full((len(at), int(n.max())), -1, np.int32)
+            flat = np.frombuffer(b"".join([raw[i] for i in at]), np.uint8)
+            ids[np.arange(ids.shape[1]) < n[:, None]] = self.inner[flat]
+            ids[np.arange(len(at)), n - 1] = self.final[flat[np.cumsum(n) - 1]]
+            ranks = self._rank(ids[:, :-1], ids[:, 1:])
+            while len(at):
+                row = np.arange(len(at))
+                best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(at), np.int64)
+                rank = ranks[row, best] if ranks.shape[1] else np.full(len(at), _NONE)
+                done = rank == _NONE
+                if done.any():
+                    short = ids[done].astype("<u2")
+                    for i, line, k in zip(at[done].tolist(), short, (ids[done] >= 0).sum(axis=1).tolist(), strict=True):
+                        out[i] = line[:k].tobytes()
+                    at, ids, ranks, best, rank = at[~done], ids[~done], ranks[~done], best[~done], rank[~done]
+                    row = np.arange(len(at))
+                if not len(at):
+                    break
+                ids[row, best] = self.made[rank]
+                place = np.arange(ids.shape[1] - 1)
+                ids = np.take_along_axis(ids, place + (place > best[:, None]), axis=1)
+                place = place[:-1]
+                ranks = np.take_along_axis(ranks, place + (place >= best[:, None]), axis=1)
+                some = best > 0
+                ranks[row[some], best[some] - 1] = self._rank(ids[row[some], best[some] - 1], ids[row[some], best[some]])
+                some = best < ranks.shape[1]
+                ranks[row[some], best[some]] = self._rank(ids[row[some], best[some]], ids[row[some], best[some] + 1])
+        return out
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Put the ids of pieces into the cache."""
+        if len(self) + len(pieces) > CACHE_PIECES:
+            self.clear()
+        split = [(p, m[1], m[2]) if (m := _WORD.fullmatch(p)) else (p, None, None) for p in pieces]
+        words = list({w for _, w, _ in split if w is not None and w not in self})
+        known = dict(zip(words, self._words(words), strict=True))
+        marks: dict[str, bytes] = {}
+        for piece, word, mark in split:
+            if word is None:
+                self[piece] = self._encode(piece)
+                continue
+            ids = known[word] if word in known else self[word]
+            if mark:
+                if mark not in marks:
+                    marks[mark] = self._encode(mark)
+                ids += marks[mark]
             self[piece] = ids
-        return ids
+
+    def all_ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        cut = [None if t and _ODD.search(t) else (t or "").split() for t in texts]
+        new = set().union(*[c for c in cut if c]).difference(self)
+        if len(self) + len(new) > CACHE_PIECES:
+            self.clear()
+            new = set().union(*[c for c in cut if c])
+        self._learn(new)
+        return [np.frombuffer(self._encode(t) if c is None else b"".join([self[w] for w in c]), "<u2") for t, c in zip(texts, cut, strict=True)]
 
     def ids(self, text: str | None) -> np.ndarray:
-        text = text or ""
-        raw = self._encode(text) if _ODD.search(text) else b"".join([self[w] for w in text.split()])
-        return np.frombuffer(raw, "<u2")
+        return self.all_ids([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}
