@@ -6,6 +6,8 @@ and duplicates come from key arithmetic.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -117,8 +119,6 @@ TABLES = {
 
 def needs(sql: str) -> list[str]:
     """Fixture tables that a text mentions, with those that they are made of, in the order of TABLES."""
-    import re
-
     found: set[str] = set()
 
     def add(text: str) -> None:
@@ -132,12 +132,10 @@ def needs(sql: str) -> list[str]:
 
 def with_tables(sql: str, extra: dict[str, str] | None = None) -> str:
     """sql behind a WITH of the fixtures (and of extra named steps) that it needs; what DuckDB is asked."""
-    import re
-
     steps, order = dict(extra or {}), []
 
     def add(text: str) -> None:
-        for word in re.findall(r"\w+", text):
+        for word in re.findall(r"(?:from|join)\s+(\w+)", text):
             if word in steps and word not in order:
                 add(steps[word])
                 order.append(word)
@@ -150,8 +148,6 @@ def with_tables(sql: str, extra: dict[str, str] | None = None) -> str:
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table over the parquet tables of sf_dir."""
     sql = with_tables(f"select * from {name}") if name in TABLES else f"select * from {name}"
-    import re
-
     words = set(re.findall(r"\w+", sql))
     return spark.sql(re.sub(rf"(?<=from |join )({'|'.join(BASE)})\b", r"{\1}", sql), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE if t in words})
 

@@ -1,2 +1,125 @@
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+"""Ingest strategies, normalisation and merge over the fixtures."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from ..fixtures import Tables, with_tables
+from ..functions import normalize as n
+from ..operators import merge as m
+from ..operators import strategies as s
+from .common import money, settled
+
+MARK, FLOOR = date(2000, 3, 1), date(2000, 1, 1)
+SLIM = ("no", "customer_no", "posting_date", "amount")
+
+
+def _step(build):
+    return lambda spark, sf_dir: settled(build(Tables(spark, sf_dir)))
+
+
+def _stored(t):
+    """The table as an earlier run left it: three of four invoices, some amounts since changed, without the column `eway_no`."""
+    old = t.invoice_header.where("k % 4 <> 1").select(*SLIM, "k")
+    return old.select("no", "customer_no", "posting_date", F.when(F.col("k") % 10 == 0, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,4)").alias("amount"), F.when(F.col("k") % 6 == 0, "kept").alias("own_note"), F.lit("1999-01-01 00:00:00").cast("timestamp").alias("_synced_at"))
+
+
+def _batch(t):
+    return t.invoice_header.where("k % 2 = 0 or k % 4 = 1").select(*SLIM, "eway_no")
+
+
+def _merged(t):
+    return m.merge(_stored(t), _batch(t), ["no"], F.lit("2000-01-01 00:00:00").cast("timestamp"))
+
+
+def _records(t):
+    """Nested records as they land."""
+    return t.invoice_header.select(
+        F.lit("etag").alias("@odata.etag"), F.col("no").alias("No."), F.struct(F.col("location_code").alias("City"), F.struct("state_dim", F.lit(1).alias("@odata.id")).alias("Dim")).alias("Address"), F.array("bill_state", "ship_state").alias("States"), F.col("amount").cast("string").alias("2nd amount")
+    )
+
+
+def _typed(t):
+    cast = {"no": "no", "posting_date": "cast(posting_date as string)", "k": "cast(k as string)", "amount": "cast(amount as string)", "cancelled": "cast(cancelled as string)", "mixed": "if(k % 2 = 0, cast(posting_date as string), cast(k as string))", "stamp": "concat(cast(posting_date as string), 'T00:00:00Z')", "none": "cast(null as string)"}
+    return n.infer_types(t.invoice_header.selectExpr(*[f"{v} as {k}" for k, v in cast.items()]))
+
+
+_LINES = "select cast(l_orderkey as varchar) as a, cast(l_linenumber as varchar) as b, count(*) as n_rows from lineitem group by 1, 2"
+
+
+def _lineitem(t):
+    from ..fixtures import fixture
+
+    return fixture(*t._at, "lineitem")
+
+
+QUERIES = {
+    "ing_windows": _step(lambda t: s.window_frame(t.invoice_header.groupBy("location_code").agg(F.min("posting_date").alias("lo"), F.max("posting_date").alias("hi"))).join(t.invoice_header.select("location_code").distinct().limit(0), F.lit(False), "left").drop("location_code")),
+    "ing_range": _step(lambda t: t.invoice_header.where(s.in_range("posting_date", FLOOR, MARK)).select(*SLIM)),
+    "ing_incremental": _step(lambda t: t.invoice_header.where(s.since("export_date", MARK, 30, include_undated=True)).select("no", F.nullif("export_date", F.lit(s.NEVER)).alias("export_date"))),
+    "ing_extra_pass": _step(lambda t: t.memo_header.where(s.since("document_date", MARK, 10, extra=("posting_date",))).select("no", "document_date", "posting_date")),
+    "ing_series_high": _step(lambda t: s.series_high(t.invoice_header, "no")),
+    "ing_series_new": _step(lambda t: s.series_scope(s.series_high(t.invoice_header.where("k % 4 <> 1"), "no"), s.series_seen(t.invoice_header, "no", "posting_date", FLOOR), True)),
+    "ing_series_pull": _step(lambda t: s.series_pull(t.invoice_line.select("document_no", "line_no", "quantity"), s.series_scope(s.series_high(t.invoice_line.where("k < 9000"), "document_no"), s.series_seen(t.invoice_header, "no"), False), "document_no")),
+    "ing_gap_sweep": _step(lambda t: s.missing_children(t.invoice_header, "no", t.invoice_line, "document_no", "posting_date", date(1996, 1, 1))),
+    "ing_open_refresh": _step(lambda t: s.open_refresh(t.order_base.selectExpr("k", "st = 'O' as open"), t.order_base.where("k % 50 <> 7").selectExpr("k", "if(k % 33 = 0, st <> 'O', st = 'O') as open"), "k")[0]),
+    "ing_open_missing": _step(lambda t: s.open_refresh(t.order_base.selectExpr("k", "st = 'O' as open"), t.order_base.where("k % 50 <> 7").selectExpr("k", "if(k % 33 = 0, st <> 'O', st = 'O') as open"), "k")[1]),
+    "ing_future": _step(lambda t: s.flag_future(t.invoice_header.select(*SLIM), "posting_date", date(2001, 1, 1))),
+    "ing_corrupt_text": _step(lambda t: s.corrupt_text(t.invoice_header, ["external_no", "ship_to_name"]).select("no", "external_no")),
+    "ing_fit_type": _step(lambda t: s.fit_integers(t.invoice_line.select("document_no", "line_no", "line_amount"), ["line_amount"])[0]),
+    "ing_fit_count": _step(lambda t: s.fit_integers(t.invoice_line.select("line_amount", "unit_price"), ["line_amount", "unit_price"])[1]),
+    "ing_infer": _step(_typed),
+    "ing_flatten": _step(lambda t: n.flatten(_records(t))),
+    "mrg_upsert": _step(lambda t: _merged(t).drop("_action")),
+    "mrg_skip_unchanged": _step(lambda t: _merged(t).groupBy("_action").agg(F.count("*").alias("n_rows")).withColumnRenamed("_action", "action")),
+    "mrg_invalid_keys": _step(lambda t: m.split_invalid(t.invoice_header.selectExpr("no", "ship_to_code", "external_no"), ["external_no", "ship_to_code"], ("external_no",))[1]),
+    "mrg_dup_keys": _step(lambda t: m.duplicate_keys(_lineitem(t), ["l_orderkey", "l_linenumber"])),
+    "mrg_last_wins": _step(lambda t: m.last_wins(t.invoice_header.select("customer_no", "no", "posting_date"), ["customer_no"], ["posting_date", "no"])),
+    "mrg_rekey_check": _step(lambda t: m.duplicate_keys(m.text_keys(_lineitem(t).select(F.col("l_orderkey").alias("a"), F.col("l_linenumber").alias("b")), ["a", "b"]), ["a", "b"])),
+}
+QUERIES["ing_windows"] = _step(lambda t: s.window_frame(t.invoice_header.groupBy("location_code").agg(F.min("posting_date").alias("lo"), F.max("posting_date").alias("hi")).select("lo", "hi").distinct()))
+
+_MERGE = """
+    with_old as (select no, customer_no, posting_date, cast(if(k % 10 = 0, amount + 1, amount) as decimal(18,4)) as amount, if(k % 6 = 0, 'kept', null) as own_note from invoice_header where k % 4 <> 1),
+    with_new as (select no, customer_no, posting_date, amount, eway_no from invoice_header where k % 2 = 0 or k % 4 = 1)"""
+_STEPS = {"old_rows": _MERGE.split("with_old as (", 1)[1].split("),\n", 1)[0], "new_rows": _MERGE.split("with_new as (", 1)[1][:-1]}
+_BOTH = "old_rows o full join new_rows n on o.no = n.no"
+_ACTION = "case when o.no is null then 'insert' when n.no is not null and (o.customer_no, o.posting_date, o.amount, null) is distinct from (n.customer_no, n.posting_date, n.amount, n.eway_no) then 'update' else 'keep' end"
+_HELD = "select k, st = 'O' as held, k % 50 <> 7 as there, if(k % 33 = 0, st <> 'O', st = 'O') as open from order_base"
+
+_ASK = {
+    "ing_windows": """with r as (select distinct lo, hi from (select min(posting_date) as lo, max(posting_date) as hi from invoice_header group by location_code))
+        select lo, hi, greatest(cast(m as date), lo) as window_start, least(cast(m + interval 1 month as date), hi) as window_end from (select lo, hi, unnest(range(cast(date_trunc('month', lo) as timestamp), cast(hi as timestamp), interval 1 month)) as m from r)""",
+    "ing_range": f"select no, customer_no, posting_date, {money('amount')} from invoice_header where posting_date between date '2000-01-01' and date '2000-02-29'",
+    "ing_incremental": "select no, nullif(export_date, date '0001-01-01') as export_date from invoice_header where export_date >= date '2000-01-31' or export_date = date '0001-01-01'",
+    "ing_extra_pass": "select no, document_date, posting_date from memo_header where document_date >= date '2000-02-20' or posting_date >= date '2000-02-20'",
+    "ing_series_high": "select split_part(no, '-', 1) as series, max(no) as high from invoice_header group by 1",
+    "ing_series_new": "select a.series, b.high from (select distinct split_part(no, '-', 1) as series from invoice_header where posting_date >= date '2000-01-01') a left join (select split_part(no, '-', 1) as series, max(no) as high from invoice_header where k % 4 <> 1 group by 1) b using (series)",
+    "ing_series_pull": f"""select l.document_no, l.line_no, {money("l.quantity")} from invoice_line l left join (select split_part(document_no, '-', 1) as series, max(document_no) as high from invoice_line where k < 9000 group by 1) h on h.series = split_part(l.document_no, '-', 1)
+        where h.high is null or l.document_no > h.high""",
+    "ing_gap_sweep": "select no from invoice_header where posting_date >= date '1996-01-01' and no not in (select document_no from invoice_line) order by no desc limit 200",
+    "ing_open_refresh": f"select k, open, if(open, 'open', 'reread') as why from ({_HELD}) where there and (open or held)",
+    "ing_open_missing": f"select k from ({_HELD}) where held and not there",
+    "ing_future": f"select no, customer_no, posting_date, {money('amount')}, 'date in the future' as reason from invoice_header where posting_date > date '2001-01-01'",
+    "ing_corrupt_text": "select no, external_no from invoice_header where contains(external_no || coalesce(ship_to_name, ''), '�')",
+    "ing_fit_type": "select document_no, line_no, cast(round_even(line_amount, 0) as bigint) as line_amount from invoice_line",
+    "ing_fit_count": "select count(*) filter (line_amount % 1 <> 0) as line_amount, count(*) filter (unit_price % 1 <> 0) as unit_price from invoice_line",
+    "ing_infer": """select * from (values ('no', 'string'), ('posting_date', 'date'), ('k', 'bigint'), ('amount', 'decimal(18,4)'), ('cancelled', 'boolean'), ('mixed', 'string'), ('stamp', 'timestamp'), ('none', 'string')) v(column_name, type_name) where (select count(*) from invoice_header) > 0""",
+    "ing_flatten": """select no as "No", location_code as "Address_City", state_dim as "Address_Dim_state_dim", '["' || bill_state || '",' || coalesce('"' || ship_state || '"', 'null') || ']' as "States", cast(amount as varchar) as "f_2nd_amount" from invoice_header""",
+    "mrg_upsert": f"""select coalesce(o.no, n.no) as no, if(n.no is null, o.customer_no, n.customer_no) as customer_no, if(n.no is null, o.posting_date, n.posting_date) as posting_date, round(cast(if(n.no is null, o.amount, n.amount) as double), 4) as amount, o.own_note, n.eway_no,
+        if({_ACTION} = 'keep', timestamp '1999-01-01', timestamp '2000-01-01') as _synced_at from {_BOTH}""",
+    "mrg_skip_unchanged": f"select {_ACTION} as action, count(*) as n_rows from {_BOTH} group by 1",
+    "mrg_invalid_keys": "select no, ship_to_code, external_no, 'missing or blank key' as reason from invoice_header where external_no is null or coalesce(trim(ship_to_code), '') = ''",
+    "mrg_dup_keys": "select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by 1, 2 having count(*) > 1",
+    "mrg_last_wins": "select customer_no, arg_max(no, (posting_date, no)) as no, max(posting_date) as posting_date from invoice_header group by 1",
+    "mrg_rekey_check": f"{_LINES} having count(*) > 1",
+}
+ORACLE_SQL = {}
+for _name, _sql in _ASK.items():
+    if _name == "ing_windows":
+        _full = with_tables("select 1 from invoice_header").rsplit("\n", 1)[0]
+        ORACLE_SQL[_name] = f"{_full},\n{_sql.removeprefix('with ')}"
+    else:
+        ORACLE_SQL[_name] = with_tables(_sql, _STEPS)

@@ -1,2 +1,50 @@
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+"""Streaming queries over the events table; files of days land out of order and overlap."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..streaming.ingest import drop_repeats, read_landing, upsert_available
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder among those that all executors share."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{(named or tempfile.mkdtemp(prefix='spark-streams-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+def _land(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Events by day; day 3 lands twice."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("day", F.dayofmonth("ts"))
+    again = events.where("day = 3")
+    events.unionByName(again).drop("day").repartition(6, "event_id").write.parquet(f"{folder}/landing")
+    return events
+
+
+def available_now_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest event of each user, upserted batch by batch."""
+    folder = _folder(spark)
+    events = _land(spark, sf_dir, folder)
+    stream = read_landing(spark, f"{folder}/landing", events.drop("day").schema, max_files=3)
+    version = upsert_available(stream, f"{folder}/table", f"{folder}/checkpoint", ["user_id"], ["ts", "event_id"])
+    return spark.read.parquet(f"{folder}/table/v{version}").select("user_id", "event_id", "event_type", "value")
+
+
+def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events once each, though some land twice."""
+    folder = _folder(spark)
+    events = _land(spark, sf_dir, folder)
+    stream = drop_repeats(read_landing(spark, f"{folder}/landing", events.drop("day").schema), ["event_id"], "ts", "60 days")
+    stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("event_id", "user_id", "event_type")
+
+
+QUERIES = {"str_available_now_upsert": available_now_upsert, "str_dedup": dedup}
+ORACLE_SQL = {
+    "str_available_now_upsert": "select cast(user_id as varchar) as user_id, arg_max(event_id, (ts, event_id)) as event_id, arg_max(event_type, (ts, event_id)) as event_type, arg_max(value, (ts, event_id)) as value from events group by 1",
+    "str_dedup": "select event_id, user_id, event_type from events",
+}
