@@ -432,3 +432,28 @@ def effective_receipts(matched: DataFrame, base: DataFrame, replaced: DataFrame)
     """Matched receipts with the invoice that they count for after the move."""
     moved = moved_receipts(base, replaced).select(c("old_no").alias("invoice_no"), "item_no", c("new_no").alias("_new"))
     return matched.join(moved, ["invoice_no", "item_no"], "left").select(*matched.columns, F.coalesce("_new", "invoice_no").alias("effective_invoice_no"))
+
+
+def refresh(t, receipts_raw: DataFrame, path: str, optional: dict | None = None) -> dict[str, str]:
+    """Write the six steps in order below path, each from the files of those before; optional steps may fail without stopping the rest.
+
+    t has the ledger tables as attributes. Returns the outcome of each step."""
+    spark, done = receipts_raw.sparkSession, {}
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        done[name] = "written"
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    headers = write("headers", invoice_headers(t.invoice_header, t.memo_header, t.customer_ref))
+    lines = write("lines", invoice_lines(t.invoice_line, headers, t.item_rename))
+    receipts = write("receipts", receipt_lines(receipts_raw, t.item_map, t.item_rename))
+    matched = write("matched", match_receipts(receipts, headers, lines))
+    memos = write("memos", credit_memos(t.memo_header, headers))
+    write("bridge", bridge(headers, lines, matched, memos, t.memo_line, t.item_rename, t.item_card, t.site))
+    for name, step in (optional or {}).items():
+        try:
+            write(name, step(spark, path))
+        except Exception as e:  # an optional step's failure is reported, not raised
+            done[name] = f"failed: {type(e).__name__}"
+    return done

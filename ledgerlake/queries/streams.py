@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.stages import shared_folder
 from ..streaming.ingest import drop_repeats, read_landing, upsert_available
 
 
 def _folder(spark: SparkSession) -> str:
     """A new folder among those that all executors share."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(named or tempfile.mkdtemp(prefix='spark-streams-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _land(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
