@@ -25,12 +25,12 @@ from pyspark.sql import types as T
 from .common import materialise, prepare, slices
 
 MATCH, GRAM = 400, 64
-SEGMENT = 4 << 20  # bytes of one text looked at together; segments overlap by match - 1
-CHUNK = 8 << 20
+SEGMENT = 1 << 20  # bytes of one text looked at together; segments overlap by match - 1
+CHUNK = 3 << 20
 GROUP_ROWS = 50_000  # different contexts of one anchor merged in a task; the windows of larger groups meet by their hashes instead
 MAX_BITS = 28
 OWNER = np.dtype([("digest", "S16"), ("at", "<i8")])
-_POSITION = 23
+_POSITION = 21
 
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD
 
@@ -130,7 +130,7 @@ def _anchor_rows(texts: list[bytes], match: int, gram: int) -> Iterator[tuple]:
 
 def _count(match: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "raw", 2 * SEGMENT):
+        for batch in slices(batches, "raw", 4 * SEGMENT):
             texts = [x or b"" for x in batch.column(0).to_pylist()]
             found = [r[1] for r in _anchor_rows(texts, match, gram)]
             key, n = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
@@ -147,7 +147,7 @@ def _context(match: int, gram: int, bits):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, log2 = bits.value
-        for batch in slices(batches, "raw", 2 * SEGMENT):
+        for batch in slices(batches, "raw", 4 * SEGMENT):
             texts = [x or b"" for x in batch.column(0).to_pylist()]
             digests: dict[int, bytes] = {}
             rows: dict[tuple[int, bytes], list] = {}
