@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NEVER = date(1, 1, 1)
+NEVER = "0001-01-01"  # how an unset date arrives
 STEPS = {"monthly": "month", "weekly": "week", "daily": "day"}
 
 
@@ -50,7 +50,7 @@ def since(field: str, watermark: date, lookback_days: int, include_undated: bool
     """Rows new or changed since the watermark less the lookback, by field or an extra field; undated rows on request."""
     floor = F.lit(watermark - timedelta(days=lookback_days))
     out = reduce(lambda a, b: a | b, [F.coalesce(F.col(f) >= floor, F.lit(False)) for f in (field, *extra)])
-    return out | F.coalesce(F.col(field) == F.lit(NEVER), F.lit(False)) if include_undated else out
+    return out | F.coalesce(F.col(field) == F.lit(NEVER).cast("date"), F.lit(False)) if include_undated else out
 
 
 def series_of(field: str, sep: str = "-") -> Column:

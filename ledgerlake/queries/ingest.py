@@ -58,7 +58,7 @@ def _lineitem(t):
 QUERIES = {
     "ing_windows": _step(lambda t: s.window_frame(t.invoice_header.groupBy("location_code").agg(F.min("posting_date").alias("lo"), F.max("posting_date").alias("hi"))).join(t.invoice_header.select("location_code").distinct().limit(0), F.lit(False), "left").drop("location_code")),
     "ing_range": _step(lambda t: t.invoice_header.where(s.in_range("posting_date", FLOOR, MARK)).select(*SLIM)),
-    "ing_incremental": _step(lambda t: t.invoice_header.where(s.since("export_date", MARK, 30, include_undated=True)).select("no", F.nullif(F.col("export_date"), F.lit(s.NEVER)).alias("export_date"))),
+    "ing_incremental": _step(lambda t: t.invoice_header.where(s.since("export_date", MARK, 30, include_undated=True)).select("no", F.nullif(F.col("export_date"), F.lit(s.NEVER).cast("date")).alias("export_date"))),
     "ing_extra_pass": _step(lambda t: t.memo_header.where(s.since("document_date", MARK, 10, extra=("posting_date",))).select("no", "document_date", "posting_date")),
     "ing_series_high": _step(lambda t: s.series_high(t.invoice_header, "no")),
     "ing_series_new": _step(lambda t: s.series_scope(s.series_high(t.invoice_header.where("k % 4 <> 1"), "no"), s.series_seen(t.invoice_header, "no", "posting_date", FLOOR), True)),
