@@ -26,6 +26,7 @@ from .common import materialise, prepare, slices
 
 MATCH, GRAM = 400, 64
 SEGMENT = 1 << 20  # bytes of one text looked at together; segments overlap by match - 1
+HELD = 24 << 20
 CHUNK = 3 << 20
 GROUP_ROWS = 50_000  # different contexts of one anchor merged in a task; the windows of larger groups meet by their hashes instead
 MAX_BITS = 28
@@ -143,14 +144,26 @@ CONTEXTS = "key bigint, anchor int, windows int, context binary, n bigint, owner
 
 
 def _context(match: int, gram: int, bits):
-    """Contexts of the anchors that may occur twice, equal ones of a batch in one row, in suffix order."""
+    """Contexts of the anchors that may occur twice, equal ones of a shard in one row, in suffix order. A shard is HELD bytes of contexts of a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, log2 = bits.value
+        rows: dict[tuple[int, bytes], list] = {}
+        held = 0
+
+        def shard() -> Iterator[pa.RecordBatch]:
+            made = sorted(((k, c[a:], c, a, w, o) for (k, c), (a, w, o) in rows.items()), key=lambda m: m[:3])
+            for at in range(0, len(made), 5000):
+                part = made[at : at + 5000]
+                cols = [
+                    pa.array(np.array([m[0] for m in part], np.uint64).view(np.int64)), pa.array([m[3] for m in part], pa.int32()), pa.array([m[4] for m in part], pa.int32()),
+                    pa.array([m[2] for m in part], pa.binary()), pa.array([len(m[5]) for m in part], pa.int64()), pa.array([np.unique(np.array(m[5], OWNER)).tobytes() for m in part], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "anchor", "windows", "context", "n", "owners"])
+
         for batch in slices(batches, "raw", 4 * SEGMENT):
             texts = [x or b"" for x in batch.column(0).to_pylist()]
             digests: dict[int, bytes] = {}
-            rows: dict[tuple[int, bytes], list] = {}
             for raw, key, place, lo, hi, text, off, start in _anchor_rows(texts, match, gram):
                 slot = key >> np.uint64(64 - log2)
                 keep = np.flatnonzero(words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
@@ -159,13 +172,15 @@ def _context(match: int, gram: int, bits):
                     if t not in digests:
                         digests[t] = hashlib.sha256(texts[t]).digest()[:16]
                     context = data[a : b + match]
-                    rows.setdefault((k, context), [p - a, b - a + 1, []])[2].append((digests[t], at))
-            made = sorted((k, c[a:], c, a, w, o) for (k, c), (a, w, o) in rows.items())
-            cols = [
-                pa.array(np.array([m[0] for m in made], np.uint64).view(np.int64)), pa.array([m[3] for m in made], pa.int32()), pa.array([m[4] for m in made], pa.int32()),
-                pa.array([m[2] for m in made], pa.binary()), pa.array([len(m[5]) for m in made], pa.int64()), pa.array([np.unique(np.array(m[5], OWNER)).tobytes() for m in made], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(cols, names=["key", "anchor", "windows", "context", "n", "owners"])
+                    mine = rows.get((k, context))
+                    if mine is None:
+                        mine = rows[k, context] = [p - a, b - a + 1, []]
+                        held += len(context)
+                    mine[2].append((digests[t], at))
+            if held >= HELD:
+                yield from shard()
+                rows, held = {}, 0
+        yield from shard()
 
     return run
 
