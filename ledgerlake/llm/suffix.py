@@ -25,10 +25,10 @@ from pyspark.sql import types as T
 from .common import materialise, prepare, slices
 
 MATCH, GRAM = 400, 64
-SEGMENT = 1 << 20  # bytes of one text looked at together; segments overlap by match - 1
-HELD = 24 << 20
+SEGMENT = 256 << 10  # bytes of one text looked at together; segments overlap by match - 1
+HELD = 12 << 20
 CHUNK = 3 << 20
-GROUP_ROWS = 50_000  # different contexts of one anchor merged in a task; the windows of larger groups meet by their hashes instead
+GROUP_ROWS = 20_000  # different contexts of one anchor merged in a task; the windows of larger groups meet by their hashes instead
 MAX_BITS = 28
 OWNER = np.dtype([("digest", "S16"), ("at", "<i8")])
 _POSITION = 21
@@ -152,7 +152,7 @@ def _context(match: int, gram: int, bits):
         held = 0
 
         def shard() -> Iterator[pa.RecordBatch]:
-            made = sorted(((k, c[a:], c, a, w, o) for (k, c), (a, w, o) in rows.items()), key=lambda m: m[:3])
+            made = [(k, None, c, a, w, o) for (k, c), (a, w, o) in sorted(rows.items(), key=lambda r: (r[0][0], r[0][1][r[1][0] :]))]
             for at in range(0, len(made), 5000):
                 part = made[at : at + 5000]
                 cols = [
