@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -26,10 +27,12 @@ def prepare(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    return (named or _own_dir()).rstrip("/")
+
+
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="spark-shared-")
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
