@@ -165,7 +165,7 @@ def _context(match: int, gram: int, bits):
             texts = [x or b"" for x in batch.column(0).to_pylist()]
             digests: dict[int, bytes] = {}
             for raw, key, place, lo, hi, text, off, start in _anchor_rows(texts, match, gram):
-                slot = key >> np.uint64(64 - log2)
+                slot = key & np.uint64((1 << log2) - 1)  # low bits: anchors are minima, their high bits are alike
                 keep = np.flatnonzero(words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
                 data = raw.tobytes()
                 for k, p, a, b, t, at in zip(key[keep].tolist(), place[keep].tolist(), lo[keep].tolist(), hi[keep].tolist(), text[keep].tolist(), (lo - start + off)[keep].tolist(), strict=True):
@@ -319,8 +319,8 @@ def covered(texts: DataFrame, *, match: int = MATCH, gram: int = GRAM, group_row
     counts = raw.mapInArrow(_count(match, gram), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
     counts = materialise(counts, "repeated-anchors")
     log2 = min(MAX_BITS, max(12, (8 * counts.count()).bit_length()))
-    slot = F.shiftrightunsigned("key", 64 - log2)
-    packed = counts.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(key, {64 - log2}) & 63 as int)))").alias("bits")).toArrow()  # 2^MAX_BITS bits at most
+    slot = F.col("key").bitwiseAND(F.lit((1 << log2) - 1))
+    packed = counts.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()  # 2^MAX_BITS bits at most
     words = np.zeros(1 << (log2 - 6), np.uint64)
     words[packed.column("word").to_numpy()] = packed.column("bits").to_numpy().view(np.uint64)
     bits = spark.sparkContext.broadcast((words, log2))
