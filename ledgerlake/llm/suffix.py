@@ -13,6 +13,7 @@ is sorted again and no pairs are made.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,8 @@ MATCH, GRAM = 400, 64
 SEGMENT = 256 << 10  # bytes of one text looked at together; segments overlap by match - 1
 HELD = 12 << 20
 CHUNK = 3 << 20
-GROUP_ROWS = 20_000  # different contexts of one anchor merged in a task; the windows of larger groups meet by their hashes instead
+GROUP_ROWS = 4_000  # occurrences of one anchor merged in a task; a more frequent anchor is split, and what its parts have left meets by 128-bit hashes
+SPLIT = 16
 MAX_BITS = 28
 OWNER = np.dtype([("digest", "S16"), ("at", "<i8")])
 _POSITION = 21
@@ -140,33 +142,44 @@ def _count(match: int, gram: int):
     return run
 
 
-CONTEXTS = "key bigint, anchor int, windows int, context binary, n bigint, owners binary"
+CONTEXTS = "key bigint, part int, anchor int, windows int, context binary, n bigint, owners binary"
+
+
+def _in(slots: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
+    """Which keys have their bit set (low bits: anchors are minima, their high bits are alike)."""
+    words, log2 = slots
+    slot = key & np.uint64((1 << log2) - 1)
+    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _context(match: int, gram: int, bits):
-    """Contexts of the anchors that may occur twice, equal ones of a shard in one row, in suffix order. A shard is HELD bytes of contexts of a partition."""
+    """Contexts of the anchors that may occur twice, equal ones of a shard in one row, in suffix order. A shard is HELD bytes of contexts of a partition.
+    part is -1, or for frequent anchors the part that the row's owners hash to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, log2 = bits.value
+        repeated, frequent = bits.value
         rows: dict[tuple[int, bytes], list] = {}
         held = 0
 
         def shard() -> Iterator[pa.RecordBatch]:
-            made = [(k, None, c, a, w, o) for (k, c), (a, w, o) in sorted(rows.items(), key=lambda r: (r[0][0], r[0][1][r[1][0] :]))]
+            made = [(k, np.unique(np.array(o, OWNER)).tobytes(), c, a, w, len(o)) for (k, c), (a, w, o) in sorted(rows.items(), key=lambda r: (r[0][0], r[0][1][r[1][0] :]))]
             for at in range(0, len(made), 5000):
                 part = made[at : at + 5000]
+                key = np.array([m[0] for m in part], np.uint64)
+                where, salt = np.full(len(part), -1, np.int32), np.array([zlib.crc32(m[1]) for m in part])
+                for level, slots in enumerate(frequent, 1):
+                    where = np.where(_in(slots, key), salt % SPLIT**level, where)
                 cols = [
-                    pa.array(np.array([m[0] for m in part], np.uint64).view(np.int64)), pa.array([m[3] for m in part], pa.int32()), pa.array([m[4] for m in part], pa.int32()),
-                    pa.array([m[2] for m in part], pa.binary()), pa.array([len(m[5]) for m in part], pa.int64()), pa.array([np.unique(np.array(m[5], OWNER)).tobytes() for m in part], pa.binary()),
+                    pa.array(key.view(np.int64)), pa.array(where, pa.int32()), pa.array([m[3] for m in part], pa.int32()), pa.array([m[4] for m in part], pa.int32()),
+                    pa.array([m[2] for m in part], pa.binary()), pa.array([m[5] for m in part], pa.int64()), pa.array([m[1] for m in part], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=["key", "anchor", "windows", "context", "n", "owners"])
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "part", "anchor", "windows", "context", "n", "owners"])
 
         for batch in slices(batches, "raw", 4 * SEGMENT):
             texts = [x or b"" for x in batch.column(0).to_pylist()]
             digests: dict[int, bytes] = {}
             for raw, key, place, lo, hi, text, off, start in _anchor_rows(texts, match, gram):
-                slot = key & np.uint64((1 << log2) - 1)  # low bits: anchors are minima, their high bits are alike
-                keep = np.flatnonzero(words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
+                keep = np.flatnonzero(_in(repeated, key))
                 data = raw.tobytes()
                 for k, p, a, b, t, at in zip(key[keep].tolist(), place[keep].tolist(), lo[keep].tolist(), hi[keep].tolist(), text[keep].tolist(), (lo - start + off)[keep].tolist(), strict=True):
                     if t not in digests:
@@ -244,93 +257,97 @@ def repeated_windows(key: np.ndarray, anchor: np.ndarray, windows: np.ndarray, c
 FOUND = "digest binary, start bigint, stop bigint, w1 bigint, w2 bigint"
 
 
-def _merge(match: int, group_rows: int):
-    """Rows arrive sorted by key. Yields covered [start, stop) of texts; windows of a group with too many contexts come with their hashes."""
+def _merge(match: int):
+    """Rows arrive sorted by key and part. Yields covered [start, stop) of texts. From a part of a frequent anchor come besides the hashes of the
+    windows that stand once in it, with their place, and one row without a place for each string that stands twice in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(digest, start, stop, w1=None, w2=None) -> pa.RecordBatch:
             hashes = [pa.nulls(len(start), pa.int64()) if w is None else pa.array(w.view(np.int64)) for w in (w1, w2)]
             return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(start, pa.int64()), pa.array(stop, pa.int64()), *hashes], names=["digest", "start", "stop", "w1", "w2"])
 
-        def unpack(owners: list[bytes]) -> np.ndarray:
-            return np.frombuffer(b"".join(owners), OWNER)
+        def places(owners: list[bytes]) -> list[tuple[bytes, int]]:
+            return [(d.ljust(16, b"\0"), at) for d, at in np.frombuffer(b"".join(owners), OWNER).tolist()]
 
-        def solve(rows: dict) -> pa.RecordBatch:
-            keys = np.array([k for k, _ in rows], np.int64)
-            texts = [c for _, c in rows]
+        def solve(rows: dict) -> Iterator[pa.RecordBatch]:
+            _, group = np.unique(np.array([(k, p) for k, p, _ in rows], np.int64), axis=0, return_inverse=True)
+            texts = [c for _, _, c in rows]
             anchor, windows, n = (np.array([r[k] for r in rows.values()], np.int64) for k in range(3))
-            digest, start, stop = [], [], []
-            for (_, _, _, owners), seen in zip(rows.values(), repeated_windows(keys, anchor, windows, texts, n, match), strict=True):
+            digest, start, stop, known = [], [], [], []
+            for (_, part, context), (_, _, _, owners), seen in zip(rows, rows.values(), repeated_windows(group.reshape(-1), anchor, windows, texts, n, match), strict=True):
                 edge = np.diff(seen.astype(np.int8), prepend=0, append=0)
                 runs = list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True))
-                for d, at in unpack(owners).tolist() if runs else ():
+                for d, at in places(owners) if runs else ():
                     for x, y in runs:
-                        digest.append(d.ljust(16, b"\0"))
+                        digest.append(d)
                         start.append(at + x)
                         stop.append(at + y - 1 + match)
-            return table(digest, start, stop)
-
-        def defer(rows: dict) -> Iterator[pa.RecordBatch]:
-            for (_, context), (_, windows, n, owners) in rows.items():
-                raw = np.frombuffer(context, np.uint8)
-                w1, w2 = window_hashes(raw, match)[:windows], window_hashes(raw, match, 0xC4CEB9FE1A85EC53)[:windows]
-                for d, at in unpack(owners).tolist():
-                    start = at + np.arange(windows)
-                    for _ in range(2 if n > 1 else 1):
-                        yield table([d.ljust(16, b"\0")] * windows, start, start + match, w1, w2)
-
-        rows: dict[tuple[int, bytes], list] = {}
-        size, key, deferred, mine = 0, None, False, {}
+                if part >= 0:
+                    raw = np.frombuffer(context, np.uint8)
+                    w1, w2 = window_hashes(raw, match), window_hashes(raw, match, 0xC4CEB9FE1A85EC53)
+                    known.append((w1[seen], w2[seen]))
+                    once = np.flatnonzero(~seen)
+                    for d, at in places(owners) if len(once) else ():
+                        yield table([d] * len(once), at + once, at + once + match, w1[once], w2[once])
+            if known:
+                w1, w2 = (np.concatenate(w) for w in zip(*known, strict=True))
+                turn = np.lexsort((w2, w1))
+                w1, w2 = w1[turn], w2[turn]
+                new = np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))[: len(w1)]
+                none = [None] * int(new.sum())
+                yield table(none, none, none, w1[new], w2[new])
+            yield table(digest, start, stop)
+
+        rows: dict[tuple[int, int, bytes], list] = {}
+        size, last = 0, None
         for batch in batches:
-            for k, a, w, c, n, o in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                if k != key:
-                    if deferred:
-                        yield from defer(mine)
-                    else:
-                        rows |= mine
+            for k, p, a, w, c, n, o in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if (k, p) != last:
                     if size >= CHUNK:
-                        yield solve(rows)
+                        yield from solve(rows)
                         rows, size = {}, 0
-                    key, deferred, mine = k, False, {}
-                at = mine.setdefault((k, c), [a, w, 0, []])
+                    last = k, p
+                at = rows.setdefault((k, p, c), [a, w, 0, []])
                 if not at[3]:
                     size += len(c)
                 at[2] += n
                 at[3].append(o)
-                if len(mine) > group_rows:
-                    deferred = True
-                    yield from defer(mine)
-                    mine = {}
-        if deferred:
-            yield from defer(mine)
-        else:
-            rows |= mine
         if rows:
-            yield solve(rows)
+            yield from solve(rows)
 
     return run
 
 
+def _slots(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit for the low bits of each key: 8 bits a key, 2^MAX_BITS at most."""
+    log2 = min(MAX_BITS, max(12, (8 * keys.count()).bit_length()))
+    slot = F.col("key").bitwiseAND(F.lit((1 << log2) - 1))
+    packed = keys.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()
+    words = np.zeros(1 << (log2 - 6), np.uint64)
+    words[packed.column("word").to_numpy()] = packed.column("bits").to_numpy().view(np.uint64)
+    return words, log2
+
+
 def covered(texts: DataFrame, *, match: int = MATCH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
     """digest, spans (start, stop): the bytes of each text (column raw) that a repeated string of match bytes covers; texts without are left out."""
     spark = texts.sparkSession
     prepare(spark)
     raw = texts.select("raw")
-    counts = raw.mapInArrow(_count(match, gram), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    counts = raw.mapInArrow(_count(match, gram), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
     counts = materialise(counts, "repeated-anchors")
-    log2 = min(MAX_BITS, max(12, (8 * counts.count()).bit_length()))
-    slot = F.col("key").bitwiseAND(F.lit((1 << log2) - 1))
-    packed = counts.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()  # 2^MAX_BITS bits at most
-    words = np.zeros(1 << (log2 - 6), np.uint64)
-    words[packed.column("word").to_numpy()] = packed.column("bits").to_numpy().view(np.uint64)
-    bits = spark.sparkContext.broadcast((words, log2))
+    most = counts.agg(F.max("n")).first()[0] or 0
+    frequent, least = [], group_rows
+    while most > least:  # each level has a sixteenth of the keys of the one before at most
+        frequent.append(_slots(counts.where(F.col("n") > least)))
+        least *= SPLIT
+    bits = spark.sparkContext.broadcast((_slots(counts), frequent))
     contexts = raw.mapInArrow(_context(match, gram, bits), CONTEXTS)
-    found = materialise(contexts.repartition("key").sortWithinPartitions("key").mapInArrow(_merge(match, group_rows), FOUND), "repeated")
+    found = materialise(contexts.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_merge(match), FOUND), "repeated")
     spans = found.where("w1 is null").select("digest", "start", "stop")
     if found.where("w1 is not null").limit(1).count():
         late = found.where("w1 is not null")
         twice = late.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
-        spans = spans.union(late.join(twice, ["w1", "w2"]).select("digest", "start", "stop").distinct())
+        spans = spans.union(late.where("digest is not null").join(twice, ["w1", "w2"]).select("digest", "start", "stop").distinct())
     return spans.groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
