@@ -348,7 +348,7 @@ def covered(texts: DataFrame, *, match: int = MATCH, gram: int = GRAM, group_row
         late = found.where("w1 is not null")
         twice = late.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
         spans = spans.union(late.where("digest is not null").join(twice, ["w1", "w2"]).select("digest", "start", "stop").distinct())
-    return spans.groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return spans.groupBy("digest").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def cut_spans(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int, int]:
