@@ -14,6 +14,7 @@ import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 CACHE_PIECES = 1_000_000  # in a worker; a full cache starts anew
+WORD_BYTES = 64  # longer words are the library's
 
 _ODD = re.compile(r"[\x1c-\x1f]")
 _WORD = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]*)")
@@ -82,9 +83,9 @@ class Encoder(dict):
         """Ids of words of Latin-1 letters, all at once: in each round the pair with the lowest rank of every word merges."""
         raw = [w.lower().encode() for w in words]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
-        out: list[bytes] = [b""] * len(words)
+        out = [self._encode(w) if n > WORD_BYTES else b"" for w, n in zip(words, size.tolist(), strict=True)]
         low = 0
-        for width in (6, 10, 16, 32, 1 << 20):
+        for width in (6, 10, 16, 32, WORD_BYTES):
             at = np.flatnonzero((size > low) & (size <= width))
             low = width
             if not len(at):

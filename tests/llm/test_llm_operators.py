@@ -256,3 +256,11 @@ def test_encoder_equals_the_tokenizer():
     for _ in range(1500):
         t = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) + rng.choice(["", "<|endoftext|> x", " Hello, wörld..."])
         assert code.ids(t).tolist() == code.model.encode(t, add_special_tokens=False).ids
+
+
+def test_encoder_knows_words_of_any_length():
+    code, rng = tokens.Encoder(tokens.tokenizer_path()), random.Random(6)
+    for n in (63, 64, 65, 66, (1 << 20) + 7):
+        for letters in ("abcdefgh", "aé"):
+            t = "".join(rng.choice(letters) for _ in range(n)) + "."
+            assert len(code.ids(t)) and code.ids(t).tolist() == code.model.encode(t, add_special_tokens=False).ids
