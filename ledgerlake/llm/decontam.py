@@ -9,6 +9,7 @@ Items are the bounded side: they are broadcast in blocks of `BLOCK_BYTES` of tex
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -109,10 +110,17 @@ def tile(item: np.ndarray, text: np.ndarray, least: int = SEED_WORDS) -> list[tu
         if longest > 2 * size:
             size = longest
             continue
-        for k, p, t in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if free_i[p : p + k].all() and free_t[t : t + k].all():
-                tiles.append((p, t, k))
-                free_i[p : p + k] = free_t[t : t + k] = False
+        heap = [(-k, p, t) for k, p, t in found]
+        heapq.heapify(heap)
+        while heap:  # a match cut by a tile comes again with what is left of it; its later parts are matches of their own
+            k, p, t = heapq.heappop(heap)
+            both = free_i[p : p - k] & free_t[t : t - k]
+            left = -k if both.all() else int(both.argmin())
+            if left == -k:
+                tiles.append((p, t, left))
+                free_i[p : p + left] = free_t[t : t + left] = False
+            elif left >= size:
+                heapq.heappush(heap, (-left, p, t))
         if size == least:
             return tiles
         size = max(least, size // 2)

@@ -264,3 +264,34 @@ def test_encoder_knows_words_of_any_length():
         for letters in ("abcdefgh", "aé"):
             t = "".join(rng.choice(letters) for _ in range(n)) + "."
             assert len(code.ids(t)) and code.ids(t).tolist() == code.model.encode(t, add_special_tokens=False).ids
+
+
+def brute_tiles(item, text, least):
+    """Greedy string tiling word by word: the longest free common run is marked, again and again."""
+    free_i, free_t, tiles = [True] * len(item), [True] * len(text), []
+    while True:
+        best = (0, 0, 0)
+        for p in range(len(item)):
+            for t in range(len(text)):
+                k = 0
+                while p + k < len(item) and t + k < len(text) and free_i[p + k] and free_t[t + k] and item[p + k] == text[t + k]:
+                    k += 1
+                best = max(best, (k, -p, -t))
+        k, p, t = best[0], -best[1], -best[2]
+        if k < least:
+            return tiles
+        tiles.append((p, t, k))
+        free_i[p : p + k] = free_t[t : t + k] = [False] * k
+
+
+def test_tiles_cut_by_others_still_count():
+    h = lambda t: decontam.hash_words([decontam.normal(t)])[0]
+    a, b, c = "a1 a2 a3 a4 a5 a6", "the b1 b2 b3 b4 b5 b6 b7 b8", "the c1 c2 c3 c4 c5 c6 c7"
+    item, text = f"{a} {b} {c}", f"{c} x {a} the y {b}"
+    assert sum(k for *_, k in decontam.tile(h(item), h(text))) == 23
+    assert decontam.Items([(1, item)]).match([text], 0.8) == [[(1, 1.0)]]
+    rng = random.Random(8)
+    for _ in range(60):
+        item, text = ([rng.choice("abc") for _ in range(rng.randint(5, 30))] for _ in range(2))
+        got = decontam.tile(h(" ".join(item)), h(" ".join(text)))
+        assert sum(k for *_, k in got) == sum(k for *_, k in brute_tiles(item, text, 5))
