@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ledgerlake.llm import decontam, langid, media, order, packing, pii, simhash, suffix, tokens, url_filter, warc
+from ledgerlake.llm import decontam, langid, media, minhash, order, packing, pii, simhash, suffix, tokens, url_filter, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, _text string"
 ODD = [(1, None), (2, ""), (3, "   \n\t "), (3, "   \n\t "), (None, "ein Wort"), (5, "the the the the the the the"), (6, "x" * 5000), (7, "Straße été ¿qué? 日本 \x00\x1c end")]
@@ -295,3 +295,44 @@ def test_tiles_cut_by_others_still_count():
         item, text = ([rng.choice("abc") for _ in range(rng.randint(5, 30))] for _ in range(2))
         got = decontam.tile(h(" ".join(item)), h(" ".join(text)))
         assert sum(k for *_, k in got) == sum(k for *_, k in brute_tiles(item, text, 5))
+
+
+def test_pipeline_keeps_one_of_similar_texts(spark):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    rows = [*ODD]
+    for k in range(40):
+        w = words(rng, rng.choice([8, 40, 150, 600])).split()
+        for j in range(rng.randint(1, 4)):
+            v = list(w)
+            for _ in range(j * len(w) // 60):
+                v[rng.randrange(len(w))] = "new"
+            rows.append((100 + 10 * k + j, " ".join(v)))
+
+    def brute(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [brute(t) for _, t in rows]
+    label = list(range(len(rows)))
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))]
+    prints = [simhash.fingerprint(t) for _, t in rows]
+    assert any((prints[i] ^ prints[j]).bit_count() > 3 for i, j in links)  # what three bits miss
+    for _ in rows:
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    first = {}
+    for (i, _), g in zip(rows, label, strict=True):
+        first[g] = min((i is None, i or 0), first.get(g, (True, 0)))
+    kept = corpus_pipeline.near_duplicates(spark, docs(spark, rows), "")
+    assert Counter((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == Counter(first.values()) and kept.columns == docs(spark, []).columns
+    assert minhash.keep_one(docs(spark, [])).count() == 0
+
+
+def test_refused_links_do_not_part_a_group():
+    """A tree edge that verification may refuse: the pairs of groups still apart are all tried."""
+    rows, sketch = np.arange(4), np.zeros((4, 100), np.uint8)
+    sketch[1, :10], sketch[2, :30], sketch[3, :60] = 1, 2, 3
+    assert len(minhash.forest(rows, sketch, 0.55)) == 2
+    assert minhash.apart(rows, sketch, np.array([0, 0, 2, 3]), 0.55) == [(0, 2), (1, 2)]
