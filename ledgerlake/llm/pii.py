@@ -37,8 +37,8 @@ PATTERNS = {
     "card": r"(?<![\d-])(?:\d{16}|\d{4}(?:[ -])\d{4}(?:[ -])\d{4}(?:[ -])\d{4}|3[47]\d{13})(?![\d-])",
     "name": r"(?<!\w)(?:Mr|Mrs|Ms|Mister|Herr|Frau|Monsieur|Madame|Señora|Señor)\.? (?P<name_value>[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?: [A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?)",
 }
-# A detected entity needs one of these characters: texts without them are not searched.
-HINT = re.compile(r"[@\d]|(?:Mr|Ms|Mister|Herr|Frau|Monsieur|Madame|Señor)")
+# A detected entity needs one of these: texts without them are not searched.
+HINT = re.compile(r"[@\d]|AKIA|ASIA|(?:Mr|Ms|Mister|Herr|Frau|Monsieur|Madame|Señor)")
 FINDER = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
 
 # Parts of invented names, so that a surrogate is no one's, by gender; family names serve both.
