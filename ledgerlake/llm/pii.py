@@ -1,4 +1,5 @@
-"""PII surrogates: each detected entity gets a keyed replacement of its own type, format, script and gender.
+"""PII surrogates: each detected entity gets a keyed replacement of its own type, format and gender. Names are found and made
+in Latin letters only: after a title, and wherever else a text repeats such a name or a part of it.
 
 A surrogate is drawn by a keyed permutation of the entity's own format (cycle-walking Feistel network over its variable part), so within a format
 distinct entities have distinct surrogates and an entity has the same one in every document. A check over the whole corpus then finds surrogates that
@@ -30,11 +31,11 @@ PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9_+-]+(?:\.[A-Za-z0-9_+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "aws_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:(?:password|passwd|pwd|secret|token|api_?key)(?:\s?[=:]\s?)[\"']?)(?P<secret_value>(?=[A-Za-z_+/-]*\d)[A-Za-z0-9_+/-]{8,})",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: (?=[A-Z]*\d)[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+])\+\d{1,3} ?\(\d{1,4}\) ?\d{2,4}[- ]\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ -]\d{2,4}){2,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
-    "card": r"(?<![\d-])(?:\d{16}|\d{4}(?:[ -])\d{4}(?:[ -])\d{4}(?:[ -])\d{4}|3[47]\d{13})(?![\d-])",
+    "phone": r"(?<![\w+])\+\d{1,3} ?\(\d{1,4}\) ?\d{2,4}[- ]\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ -]\d{2,4}){2,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w+])\+\d{1,3}[ -]\d{6,12}(?!\d)|(?<![\w+])\+\d{8,15}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])",
+    "card": r"(?<![\d-])(?:\d{16}|\d{4}(?:[ -])\d{4}(?:[ -])\d{4}(?:[ -])\d{4}|3[47]\d{13}|3[47]\d{2}[ -]\d{6}[ -]\d{5})(?![\d-])",
     "name": r"(?<!\w)(?:Mr|Mrs|Ms|Mister|Herr|Frau|Monsieur|Madame|Señora|Señor)\.? (?P<name_value>[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?: [A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?)",
 }
 # A detected entity needs one of these: texts without them are not searched.
@@ -110,7 +111,7 @@ def canonical(kind: str, text: str) -> str:
         return text.lower()
     if kind in ("phone", "card", "ssn"):
         return re.sub(r"\D", "", text)
-    return text
+    return text.replace(" ", "") if kind == "iban" else text
 
 
 def surrogate(kind: str, text: str, steps: int = 0, key: bytes = KEY) -> str:
@@ -171,23 +172,76 @@ def _name(key: bytes, text: str, steps: int, female: bool) -> str:
     return f"{first} {family}" if " " in text else family
 
 
-def find(text: str | None) -> Iterator[tuple[str, int, int]]:
-    """(kind, start, end) of each entity of a text, from left to right; names are name_f or name_m by their title."""
-    if not text or not HINT.search(text):
-        return
-    for m in FINDER.finditer(text):
-        kind = m.lastgroup
+def _iban_end(text: str, start: int, end: int) -> int:
+    """Where an IBAN in groups ends: groups of capitals may follow it, so the checksum decides; start where it is none."""
+    for at in [end, *[start + m.start() for m in reversed([*re.finditer(" ", text[start:end])])]]:
+        code = text[start:at].replace(" ", "")
+        if len(code) >= 15 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
+            return at
+    code = text[start:end].replace(" ", "")
+    return end if len(code) >= 15 and sum(c in DIGITS for c in code[4:]) >= 8 else start
+
+
+def _titled(text: str) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of what the patterns find, from left to right; names are name_f or name_m by their title."""
+    at = 0
+    while m := FINDER.search(text, at):
+        kind, at = m.lastgroup, m.end()
         inner = f"{kind}_value"
         start, end = m.span(inner if inner in FINDER.groupindex else kind)
         if kind == "card" and not is_luhn(re.sub(r"\D", "", m[kind])):
             continue
+        if kind == "iban" and " " in m[kind]:
+            end = at = _iban_end(text, start, end)
+            if end == start:
+                at = start + 4
+                continue
         if kind == "name":
             kind = "name_f" if re.split(r"[. ]", m["name"])[0] in FEMALE_TITLES else "name_m"
         yield kind, start, end
 
 
+def find(text: str | None) -> Iterator[tuple[str, int, int, str, int | None]]:
+    """(kind, start, end, entity, part) of each mention of a text, from left to right.
+
+    A name found after a title counts in the whole text: its bare mentions, and its first (part 0) or family name (part 1) alone, are mentions of
+    that person. A part that several persons share is the first one's; after a title it is that of a person of this gender."""
+    if not text or not HINT.search(text):
+        return
+    spans = [(k, a, b, canonical(k, text[a:b]), None) for k, a, b in _titled(text)]
+    named = list(dict.fromkeys((k, e) for k, _, _, e, _ in spans if k in ("name_f", "name_m")))
+    if not named:
+        yield from spans
+        return
+    whole = [(k, e) for k, e in named if " " in e]
+    parts: dict[tuple[str, str], tuple[str, str, int | None]] = {}  # by gender
+    for part in (1, 0):
+        for k, e in whole:
+            parts.setdefault((k, e.split(" ")[part]), (k, e, part))
+    who: dict[str, tuple[str, str, int | None]] = {}
+    for k, e in whole:
+        who.setdefault(e, (k, e, None))
+    for (_, e), person in parts.items():
+        who.setdefault(e, person)
+    for k, e in named:
+        who.setdefault(e, (k, e, None))
+    bare = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(who, key=len, reverse=True)))})(?!\w)")
+    at = 0
+    for k, a, b, e, _ in [*spans, ("", len(text), len(text), "", None)]:
+        for m in bare.finditer(text, at, a):
+            kind, entity, part = who[m[0]]
+            yield kind, *m.span(), entity, part
+        if k:
+            kind, entity, part = parts.get((k, e), (k, e, None))
+            yield kind, a, b, entity, part
+        at = b
+
+
 def refit(kind: str, mention: str, new: str) -> str:
     """Put a canonical surrogate into the format of a mention: its separators and its case."""
+    if kind == "iban":
+        signs = iter(new)
+        return "".join(c if c == " " else next(signs) for c in mention)
     if kind in ("phone", "card", "ssn"):
         digits = iter(new)
         return "".join(next(digits) if c in DIGITS else c for c in mention)
@@ -199,8 +253,9 @@ def refit(kind: str, mention: str, new: str) -> str:
 def replace(text: str | None, choose: Callable[[str, str], str]) -> tuple[str | None, int]:
     """(text with its entities replaced, how many)."""
     out, at, n = [], 0, 0
-    for kind, a, b in find(text):
-        out += [text[at:a], refit(kind, text[a:b], choose(kind, canonical(kind, text[a:b])))]
+    for kind, a, b, entity, part in find(text):
+        new = choose(kind, entity)
+        out += [text[at:a], refit(kind, text[a:b], new if part is None else new.split(" ")[part])]
         at, n = b, n + 1
     return (text, 0) if not n else ("".join([*out, text[at:]]), n)
 
@@ -208,7 +263,7 @@ def replace(text: str | None, choose: Callable[[str, str], str]) -> tuple[str |
 def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, kind, entity), once for each batch and row number."""
     for batch in slices(batches, "text"):
-        rows = sorted({(i, k, canonical(k, t[a:b])) for i, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) for k, a, b in find(t)})
+        rows = sorted({(i, k, e) for i, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) for k, _, _, e, _ in find(t)})
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.string()) for k in (1, 2)]], names=["row", "kind", "entity"])
 
 

@@ -343,3 +343,28 @@ def test_aws_keys_without_digits(spark):
     got = {r["doc_id"]: r for r in pii.replace_pii(docs(spark, rows)).collect()}
     assert all(got[i]["n_entities"] == 1 and "ABCDEFGHIJKLMNOP" not in got[i]["text"] for i in got)
     assert got[3]["text"] == got[1]["text"] + " of 7"
+
+
+def test_names_and_number_forms(spark):
+    rows = [
+        (1, "Smith met Mr John Smith. Smith said that John, or Mr Smith, and Mrs Smith (not Smithson) saw John Smith's dog."),
+        (2, "call +14155550132 or +1 (415) 555-0132 or 212-555-0199 or (212) 555-0199 or +49 15112345678"),
+        (3, "IBAN DE89 3704 0044 0532 0130 00 is DE89370400440532013000, BE68 5390 0754 7034 THIS IS kept, NO93 8601 1117 947"),
+        (4, "amex 3782 822463 10005 or 378282246310005"),
+        (5, "IT24 WITH MORE and 2024-555-01999 stay, Mister Kim too"),
+    ]
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in pii.replace_pii(docs(spark, rows)).collect()}
+    text, n = got[1]
+    m = re.fullmatch(r"(\w+) met Mr (\w+) (\w+)\. (\w+) said that (\w+), or Mr (\w+), and Mrs (\w+) \(not Smithson\) saw (\w+) (\w+)'s dog\.", text)
+    assert n == 7 and not re.search(r"\b(?:John|Smith)\b", text)
+    assert m[1] == m[3] == m[4] == m[6] == m[9] != m[7] and m[2] == m[5] == m[8] and m[2] in pii.MALE
+    for i, count, shapes in ((2, 5, r"call \+\d{11} or \+\d \(\d{3}\) \d{3}-\d{4} or \d{3}-\d{3}-\d{4} or \(\d{3}\) \d{3}-\d{4} or \+\d\d \d{11}"), (3, 4, r"IBAN DE\d\d(?: \d{4}){4} \d\d is DE\d{20}, BE\d\d(?: \d{4}){3} THIS IS kept, NO\d\d(?: \d{4}){2} \d{3}"), (4, 2, r"amex \d{4} \d{6} \d{5} or \d{15}")):
+        assert got[i][1] == count and re.fullmatch(shapes, got[i][0])
+        old, new = (re.findall(r"\+?[A-Z\d(][A-Z\d() -]*\d", t[i] if isinstance(t, dict) else t) for t in (dict(rows), got[i][0]))
+        assert not set(old) & set(new)
+    plain = lambda t: re.sub(r"\D", "", t)
+    calls = got[2][0].split(" or ")
+    assert plain(calls[0]) == plain(calls[1]) and plain(calls[2]) == plain(calls[3])
+    ibans, cards = re.findall(r"DE[\d ]*\d", got[3][0]), got[4][0].removeprefix("amex ").split(" or ")
+    assert ibans[0].replace(" ", "") == ibans[1] and cards[0].replace(" ", "") == cards[1] and pii.is_luhn(cards[1])
+    assert got[5][0].startswith("IT24 WITH MORE and 2024-555-01999 stay, Mister ") and got[5][1] == 1
