@@ -5,20 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.stages import stage
 
-def dependents(edges: DataFrame, root: str, max_depth: int = 50) -> DataFrame:
+
+def dependents(edges: DataFrame, root: str, max_depth: int | None = None) -> DataFrame:
     """node, depth: everything that depends on root (edges parent -> child), with its greatest depth.
 
-    A frontier is joined to the edges and deduplicated in each round, which keeps parallel paths from multiplying; a cycle ends at max_depth."""
+    A frontier is joined to the edges and deduplicated in each round, which keeps parallel paths from multiplying, until it is empty. A cycle raises,
+    as do dependents below max_depth, where given."""
     spark = edges.sparkSession
+    steps = edges.select(F.col("parent").alias("node"), "child")
     frontier = spark.createDataFrame([(root,)], "node string")
     found = spark.createDataFrame([], "node string, depth int")
-    for depth in range(1, max_depth + 1):
-        frontier = frontier.join(edges.select(F.col("parent").alias("node"), "child"), "node").select(F.col("child").alias("node")).distinct()
+    depth = 1
+    while True:
+        frontier = stage(frontier.join(steps, "node").select(F.col("child").alias("node")).distinct(), "frontier")
         if not frontier.limit(1).count():
-            break
+            return found.groupBy("node").agg(F.max("depth").alias("depth"))
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"{root} has dependents below depth {max_depth}")
         found = found.unionByName(frontier.withColumn("depth", F.lit(depth)))
-    return found.groupBy("node").agg(F.max("depth").alias("depth"))
+        if depth & (depth - 1) == 0:  # now and then: a path longer than the number of nodes it can pass comes to one twice
+            found = stage(found.groupBy("node").agg(F.max("depth").alias("depth")), "found")
+            if depth > found.count():
+                raise ValueError(f"the dependents of {root} form a cycle")
+        depth += 1
 
 
 def refuse_if_blocked(found: DataFrame, kinds: DataFrame) -> None:

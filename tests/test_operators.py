@@ -104,3 +104,13 @@ def test_receipt_feeds_take_one_shape(spark):
     assert len(got) == 4 and ("reliance_grn", 7) not in got  # its invoice is in the other feed
     assert got["zepto_grn", 1]["received_qty"] is None and got["zepto_grn", 1]["reject_reason"] == "grn pending (PENDING_GRN)" and got["zepto_grn", 1]["customer_nos"] == ["C1", "C2"]
     assert got["reliance_grn", 8]["platform"] == "Metro" and got["reliance_grn", 8]["rejected_qty"] == 2
+
+
+def test_dependents_are_whole_or_refused(spark):
+    chain = spark.createDataFrame([(f"n{k}", f"n{k + 1}") for k in range(53)], "parent string, child string")
+    got = lin.dependents(chain, "n0")
+    assert got.count() == 53 and got.agg(F.max("depth")).first()[0] == 53
+    with pytest.raises(ValueError, match="below depth 2"):
+        lin.dependents(chain, "n0", 2)
+    with pytest.raises(ValueError, match="cycle"):
+        lin.dependents(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b")], "parent string, child string"), "a")
