@@ -22,6 +22,7 @@ from .common import prepare, slices
 UNKNOWN = "und"
 DIMS = 1 << 13
 PER_LANG = 1000
+TEXT_LETTERS = 20_000
 SEED = 17
 
 # Families of ISO 639-1 codes; a code that is not listed is a family of its own.
@@ -111,12 +112,13 @@ def _vote(names: list[str], machines: list[tuple[str, str, int]], chance: np.nda
     return best, total[best] / (len(names) - 1) if len(names) > 1 else 1.0
 
 
-def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> Model | None:
-    """Fit on at most per_lang texts of each language, those with the smallest hashes; None when there is no labelled text with a letter."""
+def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG, text_letters: int = TEXT_LETTERS) -> Model | None:
+    """Fit on at most per_lang texts of each language, those with the smallest hashes, of each at most text_letters characters; None when there
+    is no labelled text with a letter."""
     usable = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null and text rlike '\\\\p{L}'")
-    # A text counts by 20,000 letters from a place that its hash names: a bound on the sample, not on what is predicted.
-    start = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - 20_000, F.lit(1))).cast("int") + 1
-    part = usable.select("lang", F.xxhash64("text").alias("h"), F.substring("text", start, F.lit(20_000)).alias("text"))
+    # A text counts by text_letters from a place that its hash names: a bound on the sample, not on what is predicted.
+    start = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - text_letters, F.lit(1))).cast("int") + 1
+    part = usable.select("lang", F.xxhash64("text").alias("h"), F.substring("text", start, F.lit(text_letters)).alias("text"))
     sizes = {r["lang"]: r["n"] for r in part.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
@@ -188,8 +190,12 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", langs: list[str] | None = None) -> DataFrame:
-    """The rows of docs, all columns as they are, whose text has a language (one of `langs`, where given)."""
+    """The rows of docs, all columns as they are, whose text has a language (one of `langs`, where given).
+
+    Any text with a letter has one. With nothing to learn from it is not known which: all texts with a letter stay, or none of `langs`."""
     model = train(docs.where(~held_out(id_col)), text_col=text_col, lang_col=lang_col)
+    if model is None and not langs:
+        return docs.where(F.col(text_col).rlike("\\p{L}"))
     found = predict(docs, model, docs.columns, text_col=text_col)
     wanted = F.col("_lang_pred").isin(langs) if langs else F.col("_lang_pred") != UNKNOWN
     return found.where(wanted).select(*docs.columns)

@@ -368,3 +368,9 @@ def test_names_and_number_forms(spark):
     ibans, cards = re.findall(r"DE[\d ]*\d", got[3][0]), got[4][0].removeprefix("amex ").split(" or ")
     assert ibans[0].replace(" ", "") == ibans[1] and cards[0].replace(" ", "") == cards[1] and pii.is_luhn(cards[1])
     assert got[5][0].startswith("IT24 WITH MORE and 2024-555-01999 stay, Mister ") and got[5][1] == 1
+
+
+def test_texts_with_a_letter_stay_without_a_model(spark):
+    kept = langid.keep_identified(docs(spark, [*ODD, (9, "12 34!"), (10, "日本")]))
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter([None, 5, 6, 7, 10]) and kept.columns == docs(spark, []).columns
+    assert langid.keep_identified(docs(spark, ODD).drop("_text"), langs=["de"]).count() == 0
