@@ -1,6 +1,6 @@
 """Training-order materialisation: token sequences in a keyed global order, in shards of fixed stride.
 
-Every sequence gets a dense number, a keyed Feistel permutation with cycle-walking turns it into a global slot, and range partitions of slots are
+Every sequence gets a dense number (by a hash of its document, so that it doesn't depend on how the input lies in files), a keyed Feistel permutation with cycle-walking turns it into a global slot, and range partitions of slots are
 written as shards. All records have the same size, so slot k is at a computed place: a reader resumes anywhere without an index.
 """
 
@@ -24,6 +24,7 @@ SEQUENCE = 512
 SHARD_SLOTS = 2048
 KEY = 0x5DEECE66D
 ROUNDS = 6
+BUCKETS = 1 << 14  # groups of documents by a hash, each numbered in itself
 MAGIC = b"TOKSHRD1"
 HEADER = "<8sIIqI"  # magic, ids of a record, stride, first slot, slots
 RECORD = "<qii"  # doc_id, piece, ids that are not padding
@@ -50,32 +51,37 @@ def permute(index: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
 
 
 def _cut(path: str, length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    """Rows arrive by bucket: sequences get numbers from 0 on in their bucket."""
 
-        part, code, rank = TaskContext.get().partitionId(), encoder(path), 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, bucket, rank = encoder(path), None, 0
         for batch in slices(batches, "text", 4 << 20):
-            records = []
-            for doc, ids in zip(batch.column(0).to_pylist(), code.all_ids(batch.column(1).to_pylist()), strict=True):
-                rows = np.zeros((max(1, -(-len(ids) // length)), length), "<u2")
-                rows.reshape(-1)[: len(ids)] = ids
-                for k, row in enumerate(rows):
-                    records.append(struct.pack(RECORD, NO_ID if doc is None else doc, k, min(length, len(ids) - k * length)) + row.tobytes())
-            n = len(records)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(np.arange(rank, rank + n)), pa.array(records, pa.binary())], names=["part", "rank", "record"])
-            rank += n
+            buckets, ranks, records = [], [], []
+            for own, doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), code.all_ids(batch.column(2).to_pylist()), strict=True):
+                if own != bucket:
+                    bucket, rank = own, 0
+                raw, n = ids.astype("<u2", copy=False).tobytes(), max(1, -(-len(ids) // length))
+                for k in range(n):
+                    part = raw[2 * length * k : 2 * length * (k + 1)]
+                    records.append(struct.pack(RECORD, NO_ID if doc is None else doc, k, len(part) // 2) + part)
+                buckets += [own] * n
+                ranks += range(rank, rank + n)
+                rank += n
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(ranks, pa.int64()), pa.array(records, pa.binary())], names=["bucket", "rank", "record"])
 
     return run
 
 
 def _shards(length: int, slots: int):
+    stride = struct.calcsize(RECORD) + 2 * length
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows arrive sorted by slot and a shard is whole in its partition."""
+        """Rows arrive sorted by slot and a shard is whole in its partition; records are filled up to the stride here."""
         shard, first, held = None, 0, []
 
         def close() -> pa.RecordBatch:
-            head = struct.pack(HEADER, MAGIC, length, struct.calcsize(RECORD) + 2 * length, first, len(held))
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([head + b"".join(held)], pa.binary())], names=["shard", "data"])
+            head = struct.pack(HEADER, MAGIC, length, stride, first, len(held))
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([head + b"".join([r.ljust(stride, b"\0") for r in held])], pa.binary())], names=["shard", "data"])
 
         for batch in batches:
             for slot, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -119,24 +125,25 @@ def write_shards(docs: DataFrame, *, key: int = KEY, length: int = SEQUENCE, slo
     """shard, data: the shards of all sequences, in a table of the shared folder.
 
     A document is cut into sequences of `length` ids, the last one padded with zeros; null and empty texts are one sequence without ids. Repeated
-    rows and null ids are sequences like any other; no rows give no shards. The order depends on the key and on how the input is cut into
-    partitions."""
+    rows and null ids are sequences like any other; no rows give no shards. The order depends on the key and on the documents (id and text) alone:
+    a run over the same rows in other files or partitions writes the same shards, so a place to resume from stays valid."""
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sequences = materialise(texts.mapInArrow(_cut(tokenizer or tokenizer_path(), length), "part int, rank bigint, record binary"), "sequences")
-    sizes = {r["part"]: r["n"] for r in sequences.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a number for each partition
-    base, total = {}, 0
-    for part in sorted(sizes):
-        base[part], total = total, total + sizes[part]
-    shared = spark.sparkContext.broadcast((base, total))
+    digest = F.xxhash64("doc_id", "text")
+    dealt = texts.select(F.pmod(digest, F.lit(BUCKETS)).cast("int").alias("bucket"), "doc_id", "text", digest.alias("digest"))
+    sorted_ = dealt.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "digest").select("bucket", "doc_id", "text")
+    sequences = materialise(sorted_.mapInArrow(_cut(tokenizer or tokenizer_path(), length), "bucket int, rank bigint, record binary"), "sequences")
+    counted = sequences.groupBy("bucket").agg(F.count("*").alias("n")).toArrow()  # BUCKETS rows at most
+    sizes = np.zeros(BUCKETS + 1, np.int64)
+    sizes[counted.column("bucket").to_numpy() + 1] = counted.column("n").to_numpy()
+    base, total = spark.sparkContext.broadcast(np.cumsum(sizes)), int(sizes.sum())
 
     @F.pandas_udf(T.LongType())
-    def to_slot(part: pd.Series, rank: pd.Series) -> pd.Series:
-        base, total = shared.value
-        return pd.Series(permute(part.map(base).to_numpy(np.int64) + rank.to_numpy(), total, key))
+    def to_slot(bucket: pd.Series, rank: pd.Series) -> pd.Series:
+        return pd.Series(permute(base.value[bucket.to_numpy()] + rank.to_numpy(), total, key))
 
-    placed = sequences.withColumn("slot", to_slot("part", "rank")).select("slot", "record", F.floor(F.col("slot") / slots).alias("shard"))
+    placed = sequences.withColumn("slot", to_slot("bucket", "rank")).select("slot", "record", F.floor(F.col("slot") / slots).alias("shard"))
     ordered = placed.repartitionByRange("shard").sortWithinPartitions("slot").select("slot", "record")
     shards = materialise(ordered.mapInArrow(_shards(length, slots), "shard bigint, data binary"), "shards")
     discard(sequences)
