@@ -12,6 +12,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -25,8 +26,10 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset and all runs in this process (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return (named or _own_dir()).rstrip("/")
 
 
@@ -76,3 +79,22 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+PIECES, LEAST_PIECE = 2000, 64
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, pieces: int = PIECES) -> DataFrame:
+    """left.join(right, key, "left") in which no key brings more than about one in `pieces` of left's rows to a task.
+
+    A key with more rows (there are `pieces` of them at most, so their table is small) is dealt over several salts by a hash of the column `by`, and
+    its rows of right stand once under each salt. Null keys join nothing and are dealt by the same hash."""
+    spark, limit = left.sparkSession, max(LEAST_PIECE, left.count() // pieces)
+    frequent = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    hot = [(r[key], -(-r["n"] // limit)) for r in frequent.collect()]
+    salts, salt = fresh(left, "salts"), fresh(left, "salt")
+    table = F.broadcast(spark.createDataFrame(hot, f"`{key}` {left.schema[key].dataType.simpleString()}, `{salts}` bigint"))
+    drawn = F.pmod(F.xxhash64(by), F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col(salts), F.lit(1))))
+    dealt = left.join(table, key, "left").withColumn(salt, drawn).drop(salts)
+    copies = right.where(F.col(key).isNotNull()).join(table, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(salts), F.lit(1)) - 1))).drop(salts)
+    return dealt.join(copies, [key, salt], "left").drop(salt)

@@ -4,10 +4,10 @@ Sampling: each window of `match` bytes names the smallest hashed `gram` inside i
 distances. Only suffixes that start at an anchor are sorted, and only those whose anchor occurs twice.
 
 Shards: a batch of texts sorts its anchor suffixes and keeps with them the bytes that stand before (what a Burrows-Wheeler transform stores).
-Merge: suffixes with one anchor meet; their interleaving is refined by eight more bytes in each round, only where it is still open, which gives the
-longest common prefixes as it goes. Repeated intervals then follow by stepping backwards over the bytes before the anchors: after o
-steps the windows with o bytes before and match - o bytes after are equal if they agree in the stepped bytes and lie in one prefix interval. No suffix
-is sorted again and no pairs are made.
+Merge: the shards' runs of suffixes with one anchor meet in their order; their interleaving is refined by eight more bytes in each round, only where
+it is still open, which gives the longest common prefixes as it goes. The bytes before the anchors are interleaved in the same way, read backwards.
+Repeated intervals then follow by stepping backwards: after o steps the windows with o bytes before and match - o bytes after are equal exactly if they
+lie in one prefix interval on either side. No pairs are made.
 """
 
 from __future__ import annotations
@@ -23,16 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, prepare, slices
+from .common import discard, materialise, prepare, slices, spread_join
 
 MATCH, GRAM = 400, 64
 SEGMENT = 256 << 10  # bytes of one text looked at together; segments overlap by match - 1
-HELD = 12 << 20
+HELD = 12 << 20  # bytes of contexts and owners that a task holds
 CHUNK = 3 << 20
 GROUP_ROWS = 4_000  # occurrences of one anchor merged in a task; a more frequent anchor is split, and what its parts have left meets by 128-bit hashes
 SPLIT = 16
 MAX_BITS = 28
-OWNER = np.dtype([("digest", "S16"), ("at", "<i8")])
+OWNER = np.dtype([("digest", "S16"), ("at", "<i8"), ("times", "<i8")])  # a context that follows itself (periodic text) is one owner
 _POSITION = 21
 
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD
@@ -142,7 +142,7 @@ def _count(match: int, gram: int):
     return run
 
 
-CONTEXTS = "key bigint, part int, anchor int, windows int, context binary, n bigint, owners binary"
+CONTEXTS = "key bigint, part int, shard bigint, rank int, anchor int, windows int, context binary, n bigint, owners binary"
 
 
 def _in(slots: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
@@ -157,12 +157,14 @@ def _context(match: int, gram: int, bits):
     part is -1, or for frequent anchors the part that the row's owners hash to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         repeated, frequent = bits.value
         rows: dict[tuple[int, bytes], list] = {}
-        held = 0
+        held, serial = 0, TaskContext.get().partitionId() << 32
 
         def shard() -> Iterator[pa.RecordBatch]:
-            made = [(k, np.unique(np.array(o, OWNER)).tobytes(), c, a, w, len(o)) for (k, c), (a, w, o) in sorted(rows.items(), key=lambda r: (r[0][0], r[0][1][r[1][0] :]))]
+            made = [(k, np.unique(np.array([tuple(x) for x in o], OWNER)).tobytes(), c, a, w, n) for (k, c), (a, w, n, o) in sorted(rows.items(), key=lambda r: (r[0][0], r[0][1][r[1][0] :]))]
             for at in range(0, len(made), 5000):
                 part = made[at : at + 5000]
                 key = np.array([m[0] for m in part], np.uint64)
@@ -170,10 +172,11 @@ def _context(match: int, gram: int, bits):
                 for level, slots in enumerate(frequent, 1):
                     where = np.where(_in(slots, key), salt % SPLIT**level, where)
                 cols = [
-                    pa.array(key.view(np.int64)), pa.array(where, pa.int32()), pa.array([m[3] for m in part], pa.int32()), pa.array([m[4] for m in part], pa.int32()),
-                    pa.array([m[2] for m in part], pa.binary()), pa.array([m[5] for m in part], pa.int64()), pa.array([m[1] for m in part], pa.binary()),
+                    pa.array(key.view(np.int64)), pa.array(where, pa.int32()), pa.array(np.full(len(part), serial)), pa.array(np.arange(at, at + len(part), dtype=np.int32)),
+                    pa.array([m[3] for m in part], pa.int32()), pa.array([m[4] for m in part], pa.int32()), pa.array([m[2] for m in part], pa.binary()),
+                    pa.array([m[5] for m in part], pa.int64()), pa.array([m[1] for m in part], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=["key", "part", "anchor", "windows", "context", "n", "owners"])
+                yield pa.RecordBatch.from_arrays(cols, names=[x.split(" ")[0] for x in CONTEXTS.split(", ")])
 
         for batch in slices(batches, "raw", 4 * SEGMENT):
             texts = [x or b"" for x in batch.column(0).to_pylist()]
@@ -187,19 +190,25 @@ def _context(match: int, gram: int, bits):
                     context = data[a : b + match]
                     mine = rows.get((k, context))
                     if mine is None:
-                        mine = rows[k, context] = [p - a, b - a + 1, []]
+                        mine = rows[k, context] = [p - a, b - a + 1, 0, []]
                         held += len(context)
-                    mine[2].append((digests[t], at))
-            if held >= HELD:
-                yield from shard()
-                rows, held = {}, 0
+                    mine[2] += 1
+                    owners = mine[3]
+                    if owners and owners[-1][0] == digests[t] and owners[-1][1] + owners[-1][2] * mine[1] == at:
+                        owners[-1][2] += 1
+                    else:
+                        owners.append([digests[t], at, 1])
+                        held += OWNER.itemsize
+                if held >= HELD:
+                    yield from shard()
+                    rows, held, serial = {}, 0, serial + 1
         yield from shard()
 
     return run
 
 
 def interleave(group: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, prefix): rows by group and then by their words; prefix[r] is the number of equal leading bytes of rows order[r-1] and order[r]
+    """(order, prefix): rows by group and then by their words (they come as sorted runs, which the stable sorts merge); prefix[r] is the number of equal leading bytes of rows order[r-1] and order[r]
     (-1 between groups, 8 a word where all are equal). Each round looks at one more word, and only at rows that are not yet apart."""
     n, rounds = words.shape
     order = np.argsort(group, kind="stable")
@@ -233,19 +242,17 @@ def repeated_windows(key: np.ndarray, anchor: np.ndarray, windows: np.ndarray, c
         width = -(-match // 8) * 8
         right = np.frombuffer(b"".join(contexts[r][anchor[r] : anchor[r] + match].ljust(width, b"\0") for r in rows), ">u8").reshape(len(rows), -1).astype(np.uint64)
         reach = int(a.max())
-        left = np.frombuffer(b"".join(contexts[r][: anchor[r]][::-1].ljust(reach, b"\0") for r in rows), np.uint8).reshape(len(rows), reach)
-        order, prefix = interleave(group, right)
-        stepped = np.zeros(len(rows), np.uint64)
-        interval = np.zeros(len(rows), np.int64)
+        deep = -(-reach // 8) * 8
+        left = np.frombuffer(b"".join(contexts[r][: anchor[r]][::-1].ljust(deep, b"\0") for r in rows), ">u8").reshape(len(rows), deep // 8).astype(np.uint64)
+        (order, prefix), (back, behind) = interleave(group, right), interleave(group, left)
+        after, before = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
         for o in range(reach + 1):
-            if o:
-                stepped = (stepped + left[:, o - 1] + np.uint64(1)) * np.uint64(_BASE)
-                stepped ^= stepped >> np.uint64(31)
             mine = np.flatnonzero((a >= o) & (a - o < w))
             if len(mine) < 2:
                 continue
-            interval[order] = np.cumsum(prefix < match - o)
-            both = (stepped[mine] ^ (interval[mine].astype(np.uint64) * np.uint64(_MIX))) * np.uint64(_BASE)
+            after[order] = np.cumsum(prefix < match - o)
+            before[back] = np.cumsum(behind < o)
+            both = after[mine] * (len(rows) + 1) + before[mine]
             turn = np.argsort(both)
             equal = both[turn][1:] == both[turn][:-1]
             hit = np.append(equal, False) | np.append(False, equal)
@@ -254,6 +261,21 @@ def repeated_windows(key: np.ndarray, anchor: np.ndarray, windows: np.ndarray, c
     return [seen[flat_at[i] : flat_at[i + 1]] for i in range(len(key))]
 
 
+def union_spans(digest: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans of each digest with those that touch or overlap made one."""
+    if not len(start):
+        return digest, start, stop
+    order = np.lexsort((start, digest))
+    digest, start, stop = digest[order], start[order], stop[order]
+    group = np.cumsum(np.append(False, digest[1:] != digest[:-1]))
+    step = int(stop.max()) + 1
+    reach = np.maximum.accumulate(stop + group * step)
+    new = np.append(True, (group[1:] != group[:-1]) | (start[1:] + group[1:] * step > reach[:-1]))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start)) - 1
+    return digest[first], start[first], reach[last] - group[last] * step
+
+
 FOUND = "digest binary, start bigint, stop bigint, w1 bigint, w2 bigint"
 
 
@@ -266,29 +288,26 @@ def _merge(match: int):
             hashes = [pa.nulls(len(start), pa.int64()) if w is None else pa.array(w.view(np.int64)) for w in (w1, w2)]
             return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(start, pa.int64()), pa.array(stop, pa.int64()), *hashes], names=["digest", "start", "stop", "w1", "w2"])
 
-        def places(owners: list[bytes]) -> list[tuple[bytes, int]]:
-            return [(d.ljust(16, b"\0"), at) for d, at in np.frombuffer(b"".join(owners), OWNER).tolist()]
-
         def solve(rows: dict) -> Iterator[pa.RecordBatch]:
             _, group = np.unique(np.array([(k, p) for k, p, _ in rows], np.int64), axis=0, return_inverse=True)
             texts = [c for _, _, c in rows]
             anchor, windows, n = (np.array([r[k] for r in rows.values()], np.int64) for k in range(3))
-            digest, start, stop, known = [], [], [], []
-            for (_, part, context), (_, _, _, owners), seen in zip(rows, rows.values(), repeated_windows(group.reshape(-1), anchor, windows, texts, n, match), strict=True):
+            digest, start, stop, known = [np.zeros(0, "S16")], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+            for (_, part, context), (_, w, _, owners), seen in zip(rows, rows.values(), repeated_windows(group.reshape(-1), anchor, windows, texts, n, match), strict=True):
                 edge = np.diff(seen.astype(np.int8), prepend=0, append=0)
-                runs = list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True))
-                for d, at in places(owners) if runs else ():
-                    for x, y in runs:
-                        digest.append(d)
-                        start.append(at + x)
-                        stop.append(at + y - 1 + match)
+                first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+                own = np.frombuffer(b"".join(owners), OWNER)
+                if len(first):  # of an owner that follows itself all windows are seen
+                    digest.append(np.repeat(own["digest"], len(first)))
+                    start.append((own["at"][:, None] + first).reshape(-1))
+                    stop.append(((own["at"] + (own["times"] - 1) * w)[:, None] + last).reshape(-1) - 1 + match)
                 if part >= 0:
                     raw = np.frombuffer(context, np.uint8)
                     w1, w2 = window_hashes(raw, match), window_hashes(raw, match, 0xC4CEB9FE1A85EC53)
                     known.append((w1[seen], w2[seen]))
                     once = np.flatnonzero(~seen)
-                    for d, at in places(owners) if len(once) else ():
-                        yield table([d] * len(once), at + once, at + once + match, w1[once], w2[once])
+                    for d, at, _ in own.tolist() if len(once) else ():
+                        yield table([d.ljust(16, b"\0")] * len(once), at + once, at + once + match, w1[once], w2[once])
             if known:
                 w1, w2 = (np.concatenate(w) for w in zip(*known, strict=True))
                 turn = np.lexsort((w2, w1))
@@ -296,7 +315,8 @@ def _merge(match: int):
                 new = np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))[: len(w1)]
                 none = [None] * int(new.sum())
                 yield table(none, none, none, w1[new], w2[new])
-            yield table(digest, start, stop)
+            digests, starts, stops = union_spans(np.concatenate(digest), np.concatenate(start), np.concatenate(stop))
+            yield table([d.ljust(16, b"\0") for d in digests.tolist()], starts, stops)
 
         rows: dict[tuple[int, int, bytes], list] = {}
         size, last = 0, None
@@ -308,8 +328,7 @@ def _merge(match: int):
                         rows, size = {}, 0
                     last = k, p
                 at = rows.setdefault((k, p, c), [a, w, 0, []])
-                if not at[3]:
-                    size += len(c)
+                size += len(o) if at[3] else len(c) + len(o)
                 at[2] += n
                 at[3].append(o)
         if rows:
@@ -342,7 +361,9 @@ def covered(texts: DataFrame, *, match: int = MATCH, gram: int = GRAM, group_row
         least *= SPLIT
     bits = spark.sparkContext.broadcast((_slots(counts), frequent))
     contexts = raw.mapInArrow(_context(match, gram, bits), CONTEXTS)
-    found = materialise(contexts.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_merge(match), FOUND), "repeated")
+    runs = contexts.repartition("key", "part").sortWithinPartitions("key", "part", "shard", "rank").drop("shard", "rank")
+    found = materialise(runs.mapInArrow(_merge(match), FOUND), "repeated")
+    discard(counts)
     spans = found.where("w1 is null").select("digest", "start", "stop")
     if found.where("w1 is not null").limit(1).count():
         late = found.where("w1 is not null")
@@ -361,7 +382,7 @@ def cut_spans(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes,
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (bytes that stay, null where all do), kept_sha256 of every row.
+    """doc_id, n_bytes, n_removed, n_spans, kept (bytes that stay, null where all do), kept_sha256, shortened (whether any byte went) of every row.
 
     Null text is empty; texts shorter than match lose nothing; repeated rows are copies of one another and lose everything from match bytes on;
     null ids keep their rows."""
@@ -373,10 +394,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("raw"))
     spans = covered(texts, match=match, gram=gram, group_rows=group_rows)
-    joined = texts.withColumn("digest", F.substring(F.unhex(F.sha2("raw", 256)), 1, 16)).join(spans, "digest", "left")
+    long = F.length("raw") >= match  # the others have no span to join
+    digested = texts.where(long).withColumn("digest", F.substring(F.unhex(F.sha2("raw", 256)), 1, 16))
+    joined = spread_join(digested, spans, "digest", "doc_id").select("doc_id", "raw", "spans")
     parts = joined.select("doc_id", "raw", cut(F.when(F.col("spans").isNotNull(), F.col("raw")), "spans").alias("c"))
-    whole = F.col("c")["kept"].isNull()
+    parts = parts.unionByName(texts.where(~long).select("doc_id", "raw", F.lit(None).cast(parts.schema["c"].dataType).alias("c")))
+    kept, n_removed = F.col("c")["kept"], F.coalesce(F.col("c")["n_removed"], F.lit(0).cast("long"))
     return parts.select(
-        "doc_id", F.length("raw").cast("long").alias("n_bytes"), F.col("c")["n_removed"].alias("n_removed"), F.col("c")["n_spans"].alias("n_spans"),
-        F.col("c")["kept"].alias("kept"), F.sha2(F.when(whole, F.col("raw")).otherwise(F.col("c")["kept"]), 256).alias("kept_sha256"),
+        "doc_id", F.length("raw").cast("long").alias("n_bytes"), n_removed.alias("n_removed"), F.coalesce(F.col("c")["n_spans"], F.lit(0).cast("long")).alias("n_spans"),
+        kept.alias("kept"), F.sha2(F.when(kept.isNull(), F.col("raw")).otherwise(kept), 256).alias("kept_sha256"), (n_removed > 0).alias("shortened"),
     )
