@@ -2,7 +2,8 @@
 
 A 64-bit fingerprint is cut into two segments of 32 bits. Fingerprints that differ in three bits at most agree in one segment but for one bit.
 Each segment is indexed as it is and with each of its bits left out; fingerprints that share a signature meet, and whether they link is verified on
-all 64 bits. Inside a bucket only a spanning forest of the links is emitted, so the rows follow the fingerprints, not their pairs.
+all 64 bits. Inside a bucket only a spanning forest of the links is emitted, so the rows follow the fingerprints, not their pairs. A bucket of
+over BLOCK fingerprints is dealt out again: what its members may differ in is cut into four parts, one of which linked fingerprints share.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, fresh, materialise, prepare
+from .common import discard, materialise, prepare, spread_join
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
 SEGMENT = 32
 BLOCK = 4096  # fingerprints of a bucket compared at once
+LEVELS = 3  # times that a large bucket is dealt out; then the rest of its bits allows few different members
+TASK_ROWS = 50_000  # fingerprints expanded in a task
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -92,31 +95,68 @@ def forest(fp: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.nda
     return fp[member], fp[root[member]]
 
 
-def _link(max_bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows arrive sorted by key: a bucket is a run."""
-        key, held = None, []
+def _parts(key: int, fp: np.ndarray, level: int) -> np.ndarray:
+    """Keys of a large bucket's members for the next level, four of each: three differing bits leave one of four parts alike.
+
+    The parts are the bytes of the segment that the bucket leaves free, then every fourth bit of the fingerprint, then every fourth group of four."""
+    if level == 1:
+        other = fp >> np.uint64(SEGMENT if key >> SEGMENT <= SEGMENT else 0)
+        masks = [0xFF << 8 * k for k in range(4)]
+    else:
+        other = fp
+        masks = [(0x1111111111111111 << k) if level == 2 else (0x000F000F000F000F << 4 * k) for k in range(4)]
+    out = np.stack([(other & np.uint64(m)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((k + 1) * 0x94D049BB133111EB & (1 << 64) - 1) for k, m in enumerate(masks)])
+    out = (out ^ out >> np.uint64(29) ^ np.uint64(key & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ out >> np.uint64(32)
 
-        def edges(groups: list[np.ndarray]) -> pa.RecordBatch | None:
-            found = [forest(g, max_bits) for g in groups if len(g) > 1]
-            a, b = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.uint64)]).view(np.int64) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+def _link(max_bits: int, level: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows arrive sorted by key: a bucket is a run. Yields edges (a, b), or (key, a) of the members of buckets that are dealt out again."""
+        key, held, dealt = None, np.zeros(0, np.uint64), False
+
+        def again(fp: np.ndarray) -> pa.RecordBatch:
+            keys = _parts(key, fp, level).reshape(-1)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.tile(fp, 4).view(np.int64)), pa.nulls(len(keys), pa.int64())], names=["key", "a", "b"])
+
+        def edges(key: int, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+            slot = (key >> SEGMENT) % (SEGMENT + 1)
+            if level == 1 and slot < SEGMENT:  # what differs elsewhere only is linked in the bucket of the whole segment
+                bit = fp >> np.uint64(SEGMENT * ((key >> SEGMENT) // (SEGMENT + 1)) + slot) & np.uint64(1)
+                if (bit == bit[0]).all():
+                    return
+            a, b = forest(fp, max_bits)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["key", "a", "b"])
 
         for batch in batches:
             keys, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
             if not len(keys):
                 continue
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            runs, firsts = np.split(fps, cuts), keys[np.concatenate([[0], cuts])]
-            done = []
-            for k, run_ in zip(firsts, runs, strict=True):
-                if k != key:
-                    done.append(np.concatenate(held) if held else np.zeros(0, np.uint64))
-                    key, held = k, []
-                held.append(run_)
-            yield edges(done)
-        if held:
-            yield edges([np.concatenate(held)])
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+            ends = np.append(starts[1:], len(keys))
+            if keys[0] == key:
+                held, starts, ends = np.concatenate([held, fps[: ends[0]]]), starts[1:], ends[1:]
+            if len(starts):
+                if dealt:
+                    yield again(held)
+                elif len(held) > 1:
+                    yield from edges(key, held)
+                inner = np.flatnonzero(ends[:-1] - starts[:-1] > 1)
+                for a, b in zip(starts[inner].tolist(), ends[inner].tolist(), strict=True):
+                    if b - a > BLOCK and level < LEVELS:
+                        key = int(keys[a])
+                        yield again(fps[a:b])
+                    else:
+                        yield from edges(int(keys[a]), fps[a:b])
+                key, held, dealt = int(keys[-1]), fps[starts[-1] :], False
+            if (dealt or len(held) > BLOCK) and level < LEVELS:  # a large bucket's rows pass on as they come
+                yield again(held)
+                held, dealt = held[:0], True
+        if dealt and len(held):
+            yield again(held)
+        elif len(held) > 1:
+            yield from edges(key, held)
 
     return run
 
@@ -125,14 +165,18 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Edges a, b whose components are those of all pairs of the distinct fingerprints (column fp) at max_bits or fewer differing bits."""
     if max_bits > 3:
         raise ValueError("two segments with one free bit find up to three differing bits")
-    signed = prints.select("fp").mapInArrow(_signatures, "key bigint, fp bigint")
-    # A bucket matters if it holds two fingerprints; one with a bit left out only if they differ in that bit.
-    slot = F.shiftrightunsigned(F.col("key"), SEGMENT)
-    bit = F.when(slot % (SEGMENT + 1) < SEGMENT, F.expr(f"shiftright(fp, cast({SEGMENT} * floor(shiftrightunsigned(key, {SEGMENT}) / {SEGMENT + 1}) + shiftrightunsigned(key, {SEGMENT}) % {SEGMENT + 1} as int)) & 1"))
-    signed = signed.withColumn("bit", F.coalesce(bit, F.col("fp")))
-    live = signed.groupBy("key").agg(F.min("bit").alias("lo"), F.max("bit").alias("hi")).where("lo <> hi").select("key")
-    met = signed.select("key", "fp").join(live, "key")
-    return met.repartition("key").sortWithinPartitions("key").mapInArrow(_link(max_bits), "a bigint, b bigint").where("a <> b").distinct()
+    spark = prints.sparkSession
+    tasks = min(100_000, max(spark.sparkContext.defaultParallelism, prints.count() // TASK_ROWS))
+    keyed = prints.select("fp").repartition(tasks, "fp").mapInArrow(_signatures, "key bigint, fp bigint")
+    edges = None
+    for level in range(1, LEVELS + 1):
+        found = materialise(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_link(max_bits, level), "key bigint, a bigint, b bigint"), "linked")
+        mine = found.where("key is null and a <> b").select("a", "b")
+        edges = mine if edges is None else edges.union(mine)
+        if not found.where("key is not null").limit(1).count():
+            break
+        keyed = found.where("key is not null").select("key", F.col("a").alias("fp"))
+    return edges.distinct()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -170,17 +214,4 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int =
     labelled = smallest.join(label.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     groups = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     by_print = labelled.join(groups, "label").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they are, that are first of their component: the smallest id, ids before null, one row where an id repeats."""
-    spark = docs.sparkSession
-    prepare(spark)
-    row, fp = fresh(docs, "row"), fresh(docs, "fp")
-    tagged = materialise(docs.select("*", F.monotonically_increasing_id().alias(row), fingerprint_udf()(text_col).alias(fp)), "tagged")
-    prints = tagged.select(F.col(id_col).cast("long").alias("doc_id"), F.col(row).alias("row"), F.col(fp).alias("fp"))
-    label = components(links(prints.select("fp").distinct()))
-    grouped = prints.join(label.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("label", "fp").alias("label"))
-    first = grouped.agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("first")).select(F.col("first.row").alias(row))
-    return tagged.join(first, row, "left_semi").select(*docs.columns)
+    return spread_join(prints, by_print, "fp", "doc_id").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
