@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, prepare
+from .common import materialise, prepare, spread_join
 
 SKIPPABLE_MAGIC, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1  # fixed values of the seekable format
 FRAME_BYTES, BUNDLE_BYTES = 128 << 10, 4 << 20
@@ -165,9 +165,9 @@ def plan_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     Null body: empty payload. Rows that repeat the largest id are all responses. Ids sort before null; a group without any id is all responses."""
     body = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.encode(F.coalesce(F.col(body_col), F.lit("")), "UTF-8").alias("payload"))
-    body = body.withColumn("digest", F.sha1("payload"))
-    keeper = body.where(F.length("payload") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
-    joined = body.join(keeper, "digest", "left")
+    body, large = body.withColumn("digest", F.sha1("payload")), F.length("payload") >= min_bytes
+    keeper = body.where(large).groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
+    joined = spread_join(body.where(large), keeper, "digest", "page_id").unionByName(body.where(~large).withColumn("keeper", F.lit(None).cast("long")))
     revisit = F.col("keeper").isNotNull() & ~F.col("keeper").eqNullSafe(F.col("page_id"))
     return joined.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("keeper")).alias("refers_to"), revisit.alias("revisit"))
 
@@ -188,3 +188,26 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
 def record_index(bundles: DataFrame) -> DataFrame:
     """record_id, page_id -> bundle_id, frame, offset, length."""
     return bundles.select("bundle_id", F.explode("index").alias("i")).select("i.*", "bundle_id")
+
+
+def read_records(bundles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """record_id, record (its bytes) of the wanted record ids (column record_id), through the index: only the frames that hold them are decompressed.
+
+    Ids that no bundle has are left out, repeated ones are read once; null ids are none."""
+    prepare(bundles.sparkSession)
+    entries = record_index(bundles).join(wanted.select("record_id").distinct(), "record_id", "left_semi")
+    places = entries.groupBy("bundle_id").agg(F.collect_list(F.struct("record_id", "frame", "offset", "length")).alias("places"))  # as many as a bundle holds at most
+    return bundles.select("bundle_id", "data").join(places, "bundle_id").select("data", "places").mapInArrow(_seek, "record_id string, record binary")
+
+
+def _seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for data, places in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            bundle, frames, held = data.as_py(), {}, []
+            table = seek_table(bundle)
+            for place in places:
+                frame = place["frame"]
+                if frame not in frames:
+                    frames[frame] = read_frame(bundle, table[frame])
+                held.append((place["record_id"], frames[frame][place["offset"] : place["offset"] + place["length"]]))
+            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in held], pa.string()), pa.array([r for _, r in held], pa.binary())], names=["record_id", "record"])
