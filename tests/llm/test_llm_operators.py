@@ -7,9 +7,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgerlake.llm import decontam, langid, media, minhash, order, packing, pii, simhash, suffix, tokens, url_filter, warc
+from ledgerlake.llm import common, decontam, langid, media, minhash, order, packing, pii, simhash, suffix, tokens, url_filter, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, _text string"
 ODD = [(1, None), (2, ""), (3, "   \n\t "), (3, "   \n\t "), (None, "ein Wort"), (5, "the the the the the the the"), (6, "x" * 5000), (7, "Straße été ¿qué? 日本 \x00\x1c end")]
@@ -34,6 +35,8 @@ def test_order_is_a_permutation_and_resumable(spark):
     one = order.read_from(shards, 40, 3, 32).first()["data"]
     assert [s for s, *_ in order.read_shard(one, 40, 3)] == [40, 41, 42]
     assert order.list_shards(order.write_shards(docs(spark, []))).count() == 0
+    other = order.list_shards(order.write_shards(docs(spark, ODD * 40).repartition(7, "text"), length=16, slots=32), 32).collect()
+    assert sorted((r["slot"], r["ids_crc32"]) for r in other) == sorted((r["slot"], r["ids_crc32"]) for r in rows)  # the order is that of the documents
 
 
 def test_language_id_on_held_out_rows(spark):
@@ -122,9 +125,31 @@ def test_repeated_strings(spark, group_rows):
     texts = [t for _, t in ODD] + ["a" * 90, "xy" * 60] + [rng.choice(base) if rng.random() < 0.4 else "".join(x[rng.randint(0, 40) : rng.randint(20, 200)] for x in rng.sample(base, 3)) for _ in range(60)]
     got = suffix.remove_repeats(docs(spark, list(enumerate(texts))), match=40, gram=12, group_rows=group_rows).orderBy("doc_id").collect()
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute_repeats([(t or "").encode() for t in texts], 40)
+    assert all(r["shortened"] == (r["n_removed"] > 0) for r in got)
     assert suffix.remove_repeats(docs(spark, [])).count() == 0
 
 
+def test_repeated_strings_of_periodic_and_long_texts(spark, monkeypatch):
+    rng = random.Random(9)
+    noise = "".join(rng.choice("abcdefgh ") for _ in range(700_000))  # several segments
+    texts = ["a" * 3_000_000, ("".join(rng.choice("xyz") for _ in range(150))) * 3000, noise, "q" + noise[250_000:300_000] + "q" + noise[600_000:600_399], noise[-400:]]
+    got = suffix.remove_repeats(docs(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [(r["n_removed"], r["n_spans"]) for r in got] == [(3_000_000, 1), (450_000, 1), (50_400, 2), (50_000, 1), (400, 1)]
+
+
+def test_spans_are_merged():
+    d = np.array([b"b", b"a", b"a", b"a", b"b"], "S16")
+    got = suffix.union_spans(d, np.array([5, 0, 3, 20, 0]), np.array([9, 4, 8, 30, 3]))
+    assert [x.tolist() for x in got] == [[b"a", b"a", b"b", b"b"], [0, 20, 0, 5], [8, 30, 3, 9]]
+
+
+def test_frequent_keys_are_dealt_out(spark):
+    left = spark.createDataFrame([(k, "hot" if k % 3 else None if k % 2 else f"k{k}") for k in range(1000)], "id long, key string")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k6", 3), (None, 4)], "key string, n int")
+    want = Counter(tuple(r) for r in left.join(right, "key", "left").select("id", "key", "n").collect())
+    assert Counter(tuple(r) for r in common.spread_join(left, right, "key", "id", pieces=50).select("id", "key", "n").collect()) == want
+
+
 def test_interleave_gives_prefixes():
     rng = np.random.default_rng(1)
     group, raw = rng.integers(0, 3, 60), rng.integers(0, 2, (60, 16)).astype(np.uint8)
@@ -145,6 +170,8 @@ def test_urls(spark):
     assert [(got[i]["rule"], got[i]["verdict"]) for i in range(len(urls))] == [
         (None, "allow"), (None, "allow"), (None, "allow"), ("example.com/en/7", "allow"), ("com/en/", "block"), ("com/en/", "block"), ("net/de/", "block"), ("example.net/de/8", "block"), (None, "allow"), ("net/de/", "block"), (None, "allow"),
     ]
+    assert {r["page_id"]: r for r in url_filter.judge_urls(pages, rules, limit=0).collect()} == got  # nothing broadcast
+    assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
     assert (got[3]["host"], got[3]["path"]) == ("a.example.com", "/en/7") and url_filter.judge_urls(pages, rules.limit(0)).where("verdict = 'allow'").count() == len(urls)
 
 
@@ -176,11 +203,43 @@ def test_simhash_components(spark):
     for (i, _), f in zip(rows, prints, strict=True):
         first[label[f]] = min((x for x in (first.get(label[f]), i) if x is not None), default=None)
     assert Counter((r["doc_id"], r["fingerprint"], r["component_id"]) for r in got) == Counter((i, f"{f:016x}", first[label[f]]) for (i, _), f in zip(rows, prints, strict=True))
-    kept = simhash.keep_one(docs(spark, rows))
-    assert kept.count() == len(set(label.values())) and kept.columns == docs(spark, []).columns
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_simhash_large_buckets_are_dealt_out_again(spark, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    near = {0}
+    while len(near) < 120:  # one group, far more than a bucket holds at once
+        near.add(rng.choice(sorted(near)) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 3))))
+    prints = sorted(near | {rng.getrandbits(64) for _ in range(300)})
+    rows = [((f ^ 1 << 63) - (1 << 63),) for f in prints]
+    label = {f: f for f in prints}
+    while (new := {f: min(label[g] for g in prints if (f ^ g).bit_count() <= 3) for f in prints}) != label:
+        label = new
+    # the buckets of one task, level by level, as the workers run them
+    keys, edges = next(simhash._signatures(iter([pa.RecordBatch.from_pydict({"fp": [r[0] for r in rows]})]))), []
+    for level in range(1, simhash.LEVELS + 1):
+        order = keys.sort_by("key")
+        out = list(simhash._link(3, level)(order.slice(k, 50) for k in range(0, order.num_rows, 50)))
+        edges += [(a, b) for x in out for k, a, b in zip(*(c.to_pylist() for c in x.columns), strict=True) if k is None]
+        again = [(k, a) for x in out for k, a, _ in zip(*(c.to_pylist() for c in x.columns), strict=True) if k is not None]
+        if not again:
+            break
+        keys = pa.RecordBatch.from_pydict({"key": [k for k, _ in again], "fp": [f for _, f in again]})
+    assert level == simhash.LEVELS
+    root = {r[0]: r[0] for r in rows}
+    while (new := root | {}) and any(root[a] != root[b] for a, b in edges):
+        for a, b in edges:
+            low = min(root[a], root[b])
+            root[a] = root[b] = low
+    groups, want = {}, {}
+    for f, r in zip(prints, rows, strict=True):
+        groups.setdefault(root[r[0]], set()).add(f)
+        want.setdefault(label[f], set()).add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
 def test_long_chain_settles(spark):
     chain = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 1001)], "a long, b long")
     assert Counter(r["label"] for r in simhash.components(chain).collect()) == {0: 301, 1000: 2}
@@ -258,6 +317,16 @@ def test_encoder_equals_the_tokenizer():
         assert code.ids(t).tolist() == code.model.encode(t, add_special_tokens=False).ids
 
 
+def test_encoder_equals_the_tokenizer_on_odd_characters(monkeypatch):
+    code, rng = tokens.Encoder(tokens.tokenizer_path()), random.Random(5)
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 5000)  # it forgets on the way
+    signs = "abcXYZ\u00e9\u00c9\u00df\u00ff\u00d7\u00f7\u00c0\u00de 's't.,!-_1230\x00\n\t\xa0\u2003\u3000 \u65e5\u672c\u0130\u03a3\u03c3\u0308\u0149\u0152\u0153\x1c\U0001d4f3\U0001f642\ufb01\u200b'"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(4000)] + ["a\x00 a a\x00\x00", "x" * 70 + " y" + "\u00e9" * 40 + " " + "Z" * 30 + ",", None]
+    for at in range(0, len(texts), 500):
+        part = texts[at : at + 500]
+        assert [x.tolist() for x in code.all_ids(part)] == [code.model.encode(t or "", add_special_tokens=False).ids for t in part]
+
+
 def test_encoder_knows_words_of_any_length():
     code, rng = tokens.Encoder(tokens.tokenizer_path()), random.Random(6)
     for n in (63, 64, 65, 66, (1 << 20) + 7):
