@@ -8,12 +8,14 @@ Merge: the shards' runs of suffixes with one anchor meet in their order; their i
 it is still open, which gives the longest common prefixes as it goes. The bytes before the anchors are interleaved in the same way, read backwards.
 Repeated intervals then follow by stepping backwards: after o steps the windows with o bytes before and match - o bytes after are equal exactly if they
 lie in one prefix interval on either side. No pairs are made.
+
+Frequent anchors: windows with between lo and hi bytes before the anchor agree, where they are equal, in the lo bytes before it and the match - hi bytes
+after it. Those bytes deal them out, so a frequent anchor is many small groups; what is equal within a shard is one row and needs no other.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +31,11 @@ MATCH, GRAM = 400, 64
 SEGMENT = 256 << 10  # bytes of one text looked at together; segments overlap by match - 1
 HELD = 12 << 20  # bytes of contexts and owners that a task holds
 CHUNK = 3 << 20
-GROUP_ROWS = 4_000  # occurrences of one anchor merged in a task; a more frequent anchor is split, and what its parts have left meets by 128-bit hashes
-SPLIT = 16
+GROUP_ROWS = 500  # occurrences of an anchor; the windows of a more frequent one are dealt out by what they hold, in BANDS bands of their offsets
+BANDS = 8
 MAX_BITS = 28
-OWNER = np.dtype([("digest", "S16"), ("at", "<i8"), ("times", "<i8")])  # a context that follows itself (periodic text) is one owner
+OWNER = np.dtype([("digest", "S16"), ("at", "<i8")])
+SPAN = np.dtype([("digest", "S16"), ("start", "<i8"), ("stop", "<i8")])
 _POSITION = 21
 
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD
@@ -142,7 +145,7 @@ def _count(match: int, gram: int):
     return run
 
 
-CONTEXTS = "key bigint, part int, shard bigint, rank int, anchor int, windows int, context binary, n bigint, owners binary"
+CONTEXTS = "key bigint, part bigint, shard bigint, rank int, anchor int, windows int, context binary, n int, owners binary"
 
 
 def _in(slots: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
@@ -152,53 +155,99 @@ def _in(slots: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
     return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def union_spans(spans: np.ndarray) -> np.ndarray:
+    """The spans of each digest, sorted, with those that touch or overlap made one."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans["start"], spans["digest"]))]
+    digest, start, stop = (spans[k] for k in SPAN.names)
+    group = np.cumsum(np.append(False, digest[1:] != digest[:-1]))
+    step = int(stop.max()) + 1
+    reach = np.maximum.accumulate(stop + group * step)
+    first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (start[1:] + group[1:] * step > reach[:-1])))
+    out = spans[first]
+    last = np.append(first[1:], len(spans)) - 1
+    out["stop"] = reach[last] - group[last] * step
+    return out
+
+
+def _spans(owners: np.ndarray, first: np.ndarray, last: np.ndarray, match: int) -> np.ndarray:
+    """What windows first..last - 1 (of each run of windows) cover in each owner."""
+    out = np.empty(len(owners) * len(first), SPAN)
+    out["digest"] = np.repeat(owners["digest"], len(first))
+    out["start"] = (owners["at"][:, None] + first).reshape(-1)
+    out["stop"] = (owners["at"][:, None] + last).reshape(-1) - 1 + match
+    return out
+
+
+def bands(anchor: int, windows: int, match: int, gram: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(first window, windows, start and end of the bytes that they share, band) of the bands of a context's windows."""
+    width = -(-(match - gram + 1) // BANDS)
+    for band in range(BANDS):
+        most, least = min(width * (band + 1) - 1, anchor), max(width * band, anchor - windows + 1)  # bytes before the anchor
+        if least <= most:
+            yield anchor - most, most - least + 1, anchor - width * band, anchor + match - width * (band + 1) + 1, band
+
+
 def _context(match: int, gram: int, bits):
     """Contexts of the anchors that may occur twice, equal ones of a shard in one row, in suffix order. A shard is HELD bytes of contexts of a partition.
-    part is -1, or for frequent anchors the part that the row's owners hash to."""
+    part is -1, or for a band of a frequent anchor's windows a hash of the bytes that they share. What stands twice in the shard is known to be repeated:
+    its owners' spans are rows without context, and its own row needs no owners."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         repeated, frequent = bits.value
-        rows: dict[tuple[int, bytes], list] = {}
+        rows: dict[tuple[int, int, bytes], list] = {}
         held, serial = 0, TaskContext.get().partitionId() << 32
 
+        def emit(made: list[tuple]) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)], names=[x.split(" ")[0] for x in CONTEXTS.split(", ")])
+
         def shard() -> Iterator[pa.RecordBatch]:
-            made = [(k, np.unique(np.array([tuple(x) for x in o], OWNER)).tobytes(), c, a, w, n) for (k, c), (a, w, n, o) in sorted(rows.items(), key=lambda r: (r[0][0], r[0][1][r[1][0] :]))]
-            for at in range(0, len(made), 5000):
-                part = made[at : at + 5000]
-                key = np.array([m[0] for m in part], np.uint64)
-                where, salt = np.full(len(part), -1, np.int32), np.array([zlib.crc32(m[1]) for m in part])
-                for level, slots in enumerate(frequent, 1):
-                    where = np.where(_in(slots, key), salt % SPLIT**level, where)
-                cols = [
-                    pa.array(key.view(np.int64)), pa.array(where, pa.int32()), pa.array(np.full(len(part), serial)), pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                    pa.array([m[3] for m in part], pa.int32()), pa.array([m[4] for m in part], pa.int32()), pa.array([m[2] for m in part], pa.binary()),
-                    pa.array([m[5] for m in part], pa.int64()), pa.array([m[1] for m in part], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=[x.split(" ")[0] for x in CONTEXTS.split(", ")])
+            spans, made = [np.zeros(0, SPAN)], []
+            for rank, ((k, p, c), (a, w, n, o)) in enumerate(sorted(rows.items(), key=lambda r: (r[0][0], r[0][1], r[0][2][r[1][0] :]))):
+                owners = np.array(o, OWNER)
+                if n > 1:
+                    spans.append(_spans(owners, np.zeros(1, np.int64), np.full(1, w), match))
+                made.append((k, p, serial, rank, a, w, c, min(n, 2), b"" if n > 1 else owners.tobytes()))
+                if len(made) == 5000:
+                    yield emit(made)
+                    made = []
+            merged = union_spans(np.concatenate(spans))
+            cuts = np.flatnonzero(np.append(True, merged["digest"][1:] != merged["digest"][:-1])) if len(merged) else np.zeros(0, np.int64)
+            for x, y in zip(cuts.tolist(), [*cuts[1:].tolist(), len(merged)], strict=False):
+                made.append((int.from_bytes(merged["digest"][x].ljust(8, b"\0")[:8], "little", signed=True), -1, serial, -1, 0, 0, None, 0, merged[x:y].tobytes()))
+            if made:
+                yield emit(made)
+
+        def add(k: int, p: int, context: bytes, anchor: int, windows: int, owner: tuple[bytes, int]) -> int:
+            mine = rows.get((k, p, context))
+            if mine is None:
+                rows[k, p, context] = [anchor, windows, 1, [owner]]
+                return len(context) + OWNER.itemsize
+            mine[2] += 1
+            mine[3].append(owner)
+            return OWNER.itemsize
 
         for batch in slices(batches, "raw", 4 * SEGMENT):
             texts = [x or b"" for x in batch.column(0).to_pylist()]
             digests: dict[int, bytes] = {}
             for raw, key, place, lo, hi, text, off, start in _anchor_rows(texts, match, gram):
                 keep = np.flatnonzero(_in(repeated, key))
+                often = _in(frequent, key[keep]).tolist()
                 data = raw.tobytes()
-                for k, p, a, b, t, at in zip(key[keep].tolist(), place[keep].tolist(), lo[keep].tolist(), hi[keep].tolist(), text[keep].tolist(), (lo - start + off)[keep].tolist(), strict=True):
+                for k, p, a, b, t, at, many in zip(key[keep].view(np.int64).tolist(), place[keep].tolist(), lo[keep].tolist(), hi[keep].tolist(), text[keep].tolist(), (lo - start + off)[keep].tolist(), often, strict=True):
                     if t not in digests:
                         digests[t] = hashlib.sha256(texts[t]).digest()[:16]
                     context = data[a : b + match]
-                    mine = rows.get((k, context))
-                    if mine is None:
-                        mine = rows[k, context] = [p - a, b - a + 1, 0, []]
-                        held += len(context)
-                    mine[2] += 1
-                    owners = mine[3]
-                    if owners and owners[-1][0] == digests[t] and owners[-1][1] + owners[-1][2] * mine[1] == at:
-                        owners[-1][2] += 1
-                    else:
-                        owners.append([digests[t], at, 1])
-                        held += OWNER.itemsize
+                    if not many:
+                        held += add(k, -1, context, p - a, b - a + 1, (digests[t], at))
+                        continue
+                    for first, n, left, right, band in bands(p - a, b - a + 1, match, gram):
+                        part = int.from_bytes(hashlib.blake2b(context[left:right], digest_size=8, salt=bytes([band])).digest(), "little") >> 1
+                        held += add(k, part, context[first : first + n - 1 + match], p - a - first, n, (digests[t], at + first))
                 if held >= HELD:
                     yield from shard()
                     rows, held, serial = {}, 0, serial + 1
@@ -261,78 +310,54 @@ def repeated_windows(key: np.ndarray, anchor: np.ndarray, windows: np.ndarray, c
     return [seen[flat_at[i] : flat_at[i + 1]] for i in range(len(key))]
 
 
-def union_spans(digest: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The spans of each digest with those that touch or overlap made one."""
-    if not len(start):
-        return digest, start, stop
-    order = np.lexsort((start, digest))
-    digest, start, stop = digest[order], start[order], stop[order]
-    group = np.cumsum(np.append(False, digest[1:] != digest[:-1]))
-    step = int(stop.max()) + 1
-    reach = np.maximum.accumulate(stop + group * step)
-    new = np.append(True, (group[1:] != group[:-1]) | (start[1:] + group[1:] * step > reach[:-1]))
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start)) - 1
-    return digest[first], start[first], reach[last] - group[last] * step
-
-
-FOUND = "digest binary, start bigint, stop bigint, w1 bigint, w2 bigint"
+FOUND = "digest binary, start bigint, stop bigint"
 
 
 def _merge(match: int):
-    """Rows arrive sorted by key and part. Yields covered [start, stop) of texts. From a part of a frequent anchor come besides the hashes of the
-    windows that stand once in it, with their place, and one row without a place for each string that stands twice in it."""
+    """Rows arrive sorted by key, part, shard and rank, so a group is a row of sorted runs. Yields covered [start, stop) of texts.
+
+    A context that comes again is repeated as a whole: its owners' spans are passed on at once, so a task holds different contexts only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def table(digest, start, stop, w1=None, w2=None) -> pa.RecordBatch:
-            hashes = [pa.nulls(len(start), pa.int64()) if w is None else pa.array(w.view(np.int64)) for w in (w1, w2)]
-            return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(start, pa.int64()), pa.array(stop, pa.int64()), *hashes], names=["digest", "start", "stop", "w1", "w2"])
+        def table(spans: list[np.ndarray]) -> pa.RecordBatch:
+            merged = union_spans(np.concatenate([np.zeros(0, SPAN), *spans]))
+            return pa.RecordBatch.from_arrays([pa.array([d.ljust(16, b"\0") for d in merged["digest"].tolist()], pa.binary()), pa.array(merged["start"]), pa.array(merged["stop"])], names=["digest", "start", "stop"])
 
-        def solve(rows: dict) -> Iterator[pa.RecordBatch]:
+        def solve(rows: dict) -> list[np.ndarray]:
             _, group = np.unique(np.array([(k, p) for k, p, _ in rows], np.int64), axis=0, return_inverse=True)
-            texts = [c for _, _, c in rows]
             anchor, windows, n = (np.array([r[k] for r in rows.values()], np.int64) for k in range(3))
-            digest, start, stop, known = [np.zeros(0, "S16")], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-            for (_, part, context), (_, w, _, owners), seen in zip(rows, rows.values(), repeated_windows(group.reshape(-1), anchor, windows, texts, n, match), strict=True):
-                edge = np.diff(seen.astype(np.int8), prepend=0, append=0)
-                first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                own = np.frombuffer(b"".join(owners), OWNER)
-                if len(first):  # of an owner that follows itself all windows are seen
-                    digest.append(np.repeat(own["digest"], len(first)))
-                    start.append((own["at"][:, None] + first).reshape(-1))
-                    stop.append(((own["at"] + (own["times"] - 1) * w)[:, None] + last).reshape(-1) - 1 + match)
-                if part >= 0:
-                    raw = np.frombuffer(context, np.uint8)
-                    w1, w2 = window_hashes(raw, match), window_hashes(raw, match, 0xC4CEB9FE1A85EC53)
-                    known.append((w1[seen], w2[seen]))
-                    once = np.flatnonzero(~seen)
-                    for d, at, _ in own.tolist() if len(once) else ():
-                        yield table([d.ljust(16, b"\0")] * len(once), at + once, at + once + match, w1[once], w2[once])
-            if known:
-                w1, w2 = (np.concatenate(w) for w in zip(*known, strict=True))
-                turn = np.lexsort((w2, w1))
-                w1, w2 = w1[turn], w2[turn]
-                new = np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))[: len(w1)]
-                none = [None] * int(new.sum())
-                yield table(none, none, none, w1[new], w2[new])
-            digests, starts, stops = union_spans(np.concatenate(digest), np.concatenate(start), np.concatenate(stop))
-            yield table([d.ljust(16, b"\0") for d in digests.tolist()], starts, stops)
+            found = []
+            for (_, _, _, owners), seen in zip(rows.values(), repeated_windows(group.reshape(-1), anchor, windows, [c for _, _, c in rows], n, match), strict=True):
+                if owners and seen.any():
+                    edge = np.diff(seen.astype(np.int8), prepend=0, append=0)
+                    found.append(_spans(np.frombuffer(owners, OWNER), np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), match))
+            return found
 
         rows: dict[tuple[int, int, bytes], list] = {}
-        size, last = 0, None
+        spans, size, last = [], 0, None
         for batch in batches:
             for k, p, a, w, c, n, o in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if c is None:
+                    spans.append(np.frombuffer(o, SPAN))
+                    size += len(o)
+                    continue
                 if (k, p) != last:
                     if size >= CHUNK:
-                        yield from solve(rows)
-                        rows, size = {}, 0
+                        yield table([*spans, *solve(rows)] if rows else spans)
+                        rows, spans, size = {}, [], 0
                     last = k, p
-                at = rows.setdefault((k, p, c), [a, w, 0, []])
-                size += len(o) if at[3] else len(c) + len(o)
-                at[2] += n
-                at[3].append(o)
-        if rows:
-            yield from solve(rows)
+                mine = rows.get((k, p, c))
+                if mine is None:
+                    rows[k, p, c] = [a, w, n, o]
+                    size += len(c) + len(o)
+                    continue
+                for owners in (mine[3], o):
+                    if owners:
+                        spans.append(_spans(np.frombuffer(owners, OWNER), np.zeros(1, np.int64), np.full(1, w), match))
+                        size += spans[-1].nbytes
+                mine[2], mine[3] = 2, b""
+        if rows or spans:
+            yield table([*spans, *solve(rows)] if rows else spans)
 
     return run
 
@@ -354,22 +379,12 @@ def covered(texts: DataFrame, *, match: int = MATCH, gram: int = GRAM, group_row
     raw = texts.select("raw")
     counts = raw.mapInArrow(_count(match, gram), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
     counts = materialise(counts, "repeated-anchors")
-    most = counts.agg(F.max("n")).first()[0] or 0
-    frequent, least = [], group_rows
-    while most > least:  # each level has a sixteenth of the keys of the one before at most
-        frequent.append(_slots(counts.where(F.col("n") > least)))
-        least *= SPLIT
-    bits = spark.sparkContext.broadcast((_slots(counts), frequent))
+    bits = spark.sparkContext.broadcast((_slots(counts), _slots(counts.where(F.col("n") > group_rows))))
     contexts = raw.mapInArrow(_context(match, gram, bits), CONTEXTS)
     runs = contexts.repartition("key", "part").sortWithinPartitions("key", "part", "shard", "rank").drop("shard", "rank")
     found = materialise(runs.mapInArrow(_merge(match), FOUND), "repeated")
     discard(counts)
-    spans = found.where("w1 is null").select("digest", "start", "stop")
-    if found.where("w1 is not null").limit(1).count():
-        late = found.where("w1 is not null")
-        twice = late.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
-        spans = spans.union(late.where("digest is not null").join(twice, ["w1", "w2"]).select("digest", "start", "stop").distinct())
-    return spans.groupBy("digest").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    return found.groupBy("digest").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def cut_spans(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int, int]:

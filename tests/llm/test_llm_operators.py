@@ -138,9 +138,21 @@ def test_repeated_strings_of_periodic_and_long_texts(spark, monkeypatch):
 
 
 def test_spans_are_merged():
-    d = np.array([b"b", b"a", b"a", b"a", b"b"], "S16")
-    got = suffix.union_spans(d, np.array([5, 0, 3, 20, 0]), np.array([9, 4, 8, 30, 3]))
-    assert [x.tolist() for x in got] == [[b"a", b"a", b"b", b"b"], [0, 20, 0, 5], [8, 30, 3, 9]]
+    spans = np.array([(b"b", 5, 9), (b"a", 0, 4), (b"a", 3, 8), (b"a", 20, 30), (b"b", 0, 3)], suffix.SPAN)
+    assert suffix.union_spans(spans).tolist() == [(b"a", 0, 8), (b"a", 20, 30), (b"b", 0, 3), (b"b", 5, 9)]
+
+
+def test_bands_have_each_window_once():
+    rng = random.Random(3)
+    for _ in range(300):
+        match, gram = rng.choice([(40, 12), (400, 64)])
+        anchor, windows = rng.randint(0, match - gram), rng.randint(1, match - gram + 1)
+        windows = min(windows, anchor + 1)
+        seen = []
+        for first, n, left, right, _ in suffix.bands(anchor, windows, match, gram):
+            seen += range(first, first + n)
+            assert first + n - 1 <= left <= anchor < right <= first + match  # every window of the band holds what deals it out
+        assert sorted(seen) == list(range(windows))
 
 
 def test_frequent_keys_are_dealt_out(spark):
