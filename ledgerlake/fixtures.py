@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans.stages import stage_once
+
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 BRANCH = "case k % 4 when 0 then 'AHD' when 1 then 'BLR' when 2 then 'HYD' else 'MUM' end"
@@ -145,11 +147,21 @@ def with_tables(sql: str, extra: dict[str, str] | None = None) -> str:
     return "with " + ",\n".join([f"{t} as ({TABLES[t]})" for t in tables] + [f"{s} as ({steps[s]})" for s in order]) + f"\n{sql}" if tables or order else sql
 
 
+# Derived with joins or windows, or from wide rows, and read by many queries: written once in an application.
+WRITTEN = ("line_base", "invoice_header", "invoice_line", "memo_header", "memo_line", "tax_entry", "value_entry", "item_ledger", "receipt")
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table over the parquet tables of sf_dir."""
-    sql = with_tables(f"select * from {name}") if name in TABLES else f"select * from {name}"
-    words = set(re.findall(r"\w+", sql))
-    return spark.sql(re.sub(rf"(?<=from |join )({'|'.join(BASE)})\b", r"{\1}", sql), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE if t in words})
+    if name in BASE:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    names = [x for x in (*BASE, *TABLES) if x != name and re.search(rf"(?:from|join) {x}\b", TABLES[name])]
+    sql = re.sub(rf"(?<=from |join )({'|'.join(names)})\b", r"{\1}", TABLES[name]) if names else TABLES[name]
+
+    def build() -> DataFrame:
+        return spark.sql(sql, **{x: fixture(spark, sf_dir, x) for x in names})
+
+    return stage_once(spark, name, build, sf_dir) if name in WRITTEN else build()
 
 
 class Tables:

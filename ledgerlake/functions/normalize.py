@@ -8,15 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RESERVED = {"user", "order", "group", "table", "select", "where", "from", "column", "index", "key", "primary", "references"}
+# Words that are not column names by themselves.
+RESERVED = (
+    "key", "order", "group", "table", "index", "select", "where", "from",
+    "join", "primary", "foreign", "default", "check", "values", "delete",
+    "update", "insert", "create", "drop", "alter", "rank", "row",
+)
 MAX_NAME = 63
 DATE, INSTANT = r"^\d{4}-\d{2}-\d{2}$", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 DECIMAL, WIDE = T.DecimalType(18, 4), T.DecimalType(38, 10)
 
 
 def column_name(name: str, lower: bool = False) -> str:
-    """Runs of other characters become one underscore; empty, digit-leading and reserved names are made safe; at most 63 characters."""
-    out = re.sub(r"[^0-9A-Za-z]+", "_", name).strip("_") or "field"
+    """Other characters than letters, digits and underscores become one underscore a run; empty, digit-leading and reserved names are made safe; at most
+    63 characters."""
+    out = re.sub(r"[^0-9A-Za-z_]+", "_", name).strip("_") or "field"
     if out[0].isdigit():
         out = f"f_{out}"
     if out.lower() in RESERVED:
@@ -24,6 +30,13 @@ def column_name(name: str, lower: bool = False) -> str:
     return (out.lower() if lower else out)[:MAX_NAME]
 
 
+def safe_name(value: Column) -> Column:
+    """column_name for names that are data (keys of maps, entries of a dictionary table); null is taken for an empty name."""
+    bare = F.btrim(F.regexp_replace(F.coalesce(value, F.lit("")), "[^0-9A-Za-z_]+", "_"), F.lit("_"))
+    named = F.when(bare == "", "field").when(bare.rlike("^[0-9]"), F.concat(F.lit("f_"), bare)).otherwise(bare)
+    return F.substring(F.when(F.lower(named).isin(*RESERVED), F.concat(named, F.lit("_field"))).otherwise(named), 1, MAX_NAME)
+
+
 def table_name(feed: str, prefix: str = "t_") -> str:
     """Lower case, single underscores, without a trailing spreadsheet mark."""
     return prefix + re.sub(r"_excel$", "", re.sub(r"_+", "_", re.sub(r"[^0-9a-z]+", "_", feed.lower())).strip("_"))
@@ -51,37 +64,56 @@ def flatten(df: DataFrame, lower: bool = False) -> DataFrame:
 
 
 def temporal(value: Column) -> Column:
-    """ISO dates and instants as instants; null where the text is neither or no such day exists."""
-    return F.when(value.rlike(DATE), F.try_to_timestamp(value, F.lit("yyyy-MM-dd"))).when(value.rlike(INSTANT), F.try_to_timestamp(value))
-
-
-def infer_types(df: DataFrame, json_columns: tuple[str, ...] = ()) -> DataFrame:
-    """One row per text column with the type that its values need: one pass of flags over all rows.
-
-    Widest first: json (named columns), string, timestamp, date, decimal, bigint, boolean; without values string. Temporal beside numeric values is string."""
-    seen = {}
-    for c in df.columns:
-        v = F.col(c).cast("string")
-        is_date, is_time, is_int, is_num, is_bool = v.rlike(DATE), v.rlike(INSTANT), v.rlike(r"^-?\d+$"), v.rlike(r"^-?\d+\.\d+$"), v.isin("true", "false")
-        flags = {"date": is_date, "time": is_time, "int": is_int, "num": is_num, "bool": is_bool, "text": ~(is_date | is_time | is_int | is_num | is_bool)}
-        seen[c] = F.struct(*[F.coalesce(F.bool_or(f), F.lit(False)).alias(k) for k, f in flags.items()])
-    rows = df.agg(*[s.alias(c) for c, s in seen.items()]).select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("f")) for c in df.columns])).alias("r")).select("r.*")
-    f = F.col
-    temporal_, numeric = f("f.date") | f("f.time"), f("f.int") | f("f.num")
-    kind = (
-        F.when(f("column_name").isin(*json_columns), "json").when(f("f.text") | (temporal_ & (numeric | f("f.bool"))), "string").when(f("f.time"), "timestamp").when(f("f.date"), "date")
-        .when(f("f.num"), "decimal(18,4)").when(f("f.int"), "bigint").when(f("f.bool"), "boolean").otherwise("string")
-    )
+    """struct<day, instant, text> of a text: an ISO date or instant as what it says, anything else, days and times that don't exist among it, as the
+    text it was. At most one of the three is set, and nothing is lost."""
+    said = F.trim(value)
+    day = F.when(said.rlike(DATE), said.try_cast("date"))
+    instant = F.when(said.rlike(INSTANT), said.try_cast("timestamp"))
+    return F.struct(day.alias("day"), instant.alias("instant"), F.when(day.isNull() & instant.isNull(), value).alias("text"))
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """One row per column with the type that its values need: one pass of flags over all rows.
+
+    A column's own type counts: only text is looked into, and only for dates and instants, so that codes of digits stay text with their zeros. Widest
+    first: json (arrays, maps, structs), string, timestamp, date, decimal, bigint, boolean; string without any value."""
+    seen = []
+    for f in df.schema.fields:
+        v = F.col(f"`{f.name}`")
+        some = v.isNotNull()
+        flags = dict.fromkeys(("json", "text", "time", "date", "num", "int", "bool"), F.lit(False))
+        if isinstance(f.dataType, T.StringType):
+            said = F.trim(v)
+            is_time, is_date = said.rlike(INSTANT), said.rlike(DATE)
+            flags |= {"time": is_time, "date": is_date, "text": ~(is_time | is_date)}
+        else:
+            kind = f.dataType
+            nested, whole = isinstance(kind, (T.ArrayType, T.MapType, T.StructType)), isinstance(kind, T.IntegralType)
+            name = "json" if nested else "bool" if isinstance(kind, T.BooleanType) else "int" if whole else "num" if isinstance(kind, T.NumericType) else "time" if isinstance(kind, T.TimestampType) else "date" if isinstance(kind, T.DateType) else "text"
+            flags[name] = some
+        seen.append(F.struct(F.lit(f.name).alias("column_name"), *[F.coalesce(F.bool_or(x), F.lit(False)).alias(k) for k, x in flags.items()]))
+    rows = df.agg(F.array(*seen).alias("all")).select(F.explode("all").alias("f")).select("f.*")
+    widest = {"json": "json", "text": "string", "time": "timestamp", "date": "date", "num": "decimal(18,4)", "int": "bigint", "bool": "boolean"}
+    kind = F.coalesce(*[F.when(F.col(k), t) for k, t in widest.items()], F.lit("string"))
     return rows.select("column_name", kind.alias("type_name"))
 
 
+def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """df with its text columns cast to inferred temporal types; a text that doesn't fit stays behind as null there and whole in `rejects`."""
+    cast = {c: t for c, t in types.items() if t in ("date", "timestamp") and isinstance(df.schema[c].dataType, T.StringType)}
+    return df.withColumns({c: F.trim(F.col(f"`{c}`")).try_cast(t) for c, t in cast.items()}) if cast else df
+
+
+BOOKKEEPING = ("_synced_at", "_raw_json")
+
+
 def widen(stored: T.StructType, incoming: T.StructType, keys: tuple[str, ...] = ()) -> T.StructType:
-    """The schema that holds both: new columns at the end, integers widen to decimals, anything else that differs to text; keys stay."""
+    """The schema that holds both: new columns at the end, integers widen to decimals, anything else that differs to text; keys and bookkeeping stay."""
     have, out = {f.name: f.dataType for f in stored.fields}, []
     come = {f.name: f.dataType for f in incoming.fields}
     for name in dict.fromkeys([*have, *come]):
         a, b = have.get(name), come.get(name)
-        if a is None or b is None or a == b or name in keys:
+        if a is None or b is None or a == b or name in keys or name in BOOKKEEPING:
             kind = a or b
         elif {type(a), type(b)} <= {T.LongType, T.IntegerType}:
             kind = T.LongType()

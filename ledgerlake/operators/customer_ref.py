@@ -54,3 +54,9 @@ def apply_tags(ref: DataFrame, rules: list[tuple[Column, dict[str, str]]]) -> Da
     new = {c: reduce(lambda v, ir, c=c: F.when(F.col("_rule") == ir[0], ir[1][1][c]).otherwise(v) if c in ir[1][1] else v, enumerate(rules), F.col(c)) for c in columns}
     changed = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(v) for c, v in new.items()])
     return j.withColumn("_changed", changed).select(*[new.get(c, F.col(c)).alias(c) for c in ref.columns], "_changed")
+
+
+def change_counts(steps: dict[str, DataFrame]) -> DataFrame:
+    """One row per step: rows and changed rows of its frame (column _changed)."""
+    one = [df.agg(F.count("*").alias("n_rows"), F.count_if("_changed").alias("n_changed")).select(F.lit(name).alias("step"), "n_rows", "n_changed") for name, df in steps.items()]
+    return reduce(DataFrame.unionByName, one)

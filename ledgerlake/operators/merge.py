@@ -24,6 +24,11 @@ def keyless(key: list[str], allow_empty: tuple[str, ...] = ()) -> Column:
     return reduce(lambda a, b: a | b, parts)
 
 
+def changes(merged: DataFrame) -> DataFrame:
+    """One row: how many rows of a merge were inserted, updated and kept."""
+    return merged.agg(*[F.count_if(F.col("_action") == a).alias(name) for a, name in (("insert", "inserted"), ("update", "updated"), ("keep", "kept"))])
+
+
 def split_invalid(df: DataFrame, key: list[str], allow_empty: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(rows with a whole key, rows for quarantine with their reason)."""
     bad = keyless(key, allow_empty)

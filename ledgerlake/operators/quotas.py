@@ -70,3 +70,9 @@ def alerts(levels: DataFrame, state: DataFrame, now: Column, cooldown_hours: int
 def alert_message(sent: DataFrame) -> DataFrame:
     """One message of the alerts to send, in owner order: a line for each owner."""
     return sent.where("send").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "level", "owner", "reason"))), "\n").alias("message"))
+
+
+def pressure(used: DataFrame, column: str, limit_gb: float, threshold_pct: float) -> DataFrame:
+    """pct, over: used bytes as a share of a limit, and whether it reaches the threshold; both limits come from the caller's settings."""
+    pct = F.round(F.col(column).cast("double") / GB * 100 / limit_gb, 1)
+    return used.select(pct.alias("pct"), (pct >= threshold_pct).alias("over"))

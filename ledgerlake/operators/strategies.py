@@ -110,6 +110,15 @@ def corrupt_text(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [F.coalesce(F.contains(F.col(c), F.lit("�")), F.lit(False)) for c in columns]))
 
 
+def repair_text(stored: DataFrame, source: DataFrame, key: list[str], columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(source rows of the keys whose stored text is corrupt, for a merge; one row: how many keys were corrupt, and would still be after it)."""
+    bad = corrupt_text(stored, columns).select(*key).distinct()
+    again = source.join(bad, key, "left_semi")
+    left = bad.join(again.select(*key), key, "left_anti").unionByName(corrupt_text(again, columns).select(*key)).distinct()
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    return again, count(bad, "corrupt_before").crossJoin(count(left, "corrupt_after"))  # two single rows
+
+
 def fit_integers(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """(df with the columns rounded half to even into long, one row with how many values had a fraction)."""
     fitted = df.withColumns({c: F.bround(F.col(c), 0).cast("long") for c in columns})

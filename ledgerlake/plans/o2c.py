@@ -117,6 +117,7 @@ FEEDS = {
     "amazon_grn": dict(platform="Amazon", customers="map", po="po_number", inv="nullif(invoice_number, '')", grn_date="invoice_date", feed_item_code="asin", received_qty="if(invoice_status = 'Closed' or received_quantity > 0, received_quantity, null)", ordered_qty="invoice_quantity", rejected_qty="shortage_quantity"),
     "flipkart_quick_grn": dict(platform="Flipkart Quick", customers="map", po="po_id", feed_item_code="product_id", received_qty="coalesce(received_quantity, 0)", ordered_qty="ordered_quantity", rejected_qty="nullif(rejected_quantity, 0)"),
 }
+# States of an order line that is not received yet.
 PENDING = ("PENDING_ACKNOWLEDGEMENT", "ASN_CREATED", "PENDING_GRN")
 
 
@@ -176,9 +177,11 @@ def match_receipts(receipts: DataFrame, headers: DataFrame, lines: DataFrame) ->
     found = lambda df, k: df.select(*rid, "invoice_no", "invoice_date", F.lit(k + 1).alias("pri"), F.lit(METHODS[k]).alias("match_method"))
 
     exact = g.where("cand_norm <> ''").join(h, c("inv_norm") == c("cand_norm")).where(ours | (has_po & (c("po_number_u") == c("po_number"))))
-    core = g.where("cand_num5 is not null").join(h, c("num5") == c("cand_num5")).where(ours)
+    # A five-digit number or an order number alone is shared by many customers' invoices: the customer is part of the join key.
+    own = g.select("*", F.explode(F.array_distinct("customer_nos")).alias("own_customer"))
+    core = own.where("cand_num5 is not null").join(h, (c("num5") == c("cand_num5")) & (c("customer_no") == c("own_customer")))
     core_po = core.where((c("cand_branch").isNull() | (c("branch") == c("cand_branch"))) & has_po & (c("po_number_u") == c("po_number")) & in_time)
-    on_po = g.where(has_po).join(h.where(~c("cancelled")), c("po_number_u") == c("po_number")).where(ours)
+    on_po = own.where(has_po).join(h.where(~c("cancelled")), (c("po_number_u") == c("po_number")) & (c("customer_no") == c("own_customer")))
     live = on_po.groupBy(*rid).agg(F.count("*").alias("n_live"))
     only = core.where(c("branch") == c("cand_branch")).withColumn("n_core", F.count("*").over(Window.partitionBy(*rid))).where((c("n_core") == 1) & in_time)
     core_one = only.join(live, rid, "left").where(~has_po | (c("po_number_u") == c("po_number")) | c("n_live").isNull())
@@ -199,6 +202,7 @@ def credit_memos(memos: DataFrame, headers: DataFrame, start: str = START) -> Da
         (F.coalesce("corrective", F.lit(False)) | F.coalesce("correction", F.lit(False))).alias("is_cancellation"), F.nullif(c("applies_to_no"), F.lit("")).alias("applies_to_doc_no"), "applies_to_type",
         F.nullif(c("external_no"), F.lit("")).alias("external_document_no"), F.nullif(c("prn_no"), F.lit("")).alias("prn_document_no"), c("location_code").alias("warehouse_code"), c("posting_date").alias("ledger_posting_date"),
     )
+    # Reason codes and their categories.
     names = {"SHGRN": "SHORT_GRN", "EXP": "EXPIRY_RETURN", "DMG": "DAMAGE", "RECO-CN": "RECONCILIATION", "CAPPING RT": "CAPPING_RETURN"}
     category = reduce(lambda w, kv: w.when(c("reason_code") == kv[0], kv[1]), names.items(), F.when(c("is_cancellation"), "INVOICE_CANCELLATION")).otherwise(F.coalesce("reason_code", F.lit("UNSPECIFIED")))
     m = m.withColumns({"category": category, "own_po": clean_po(c("external_document_no"))})
@@ -328,6 +332,7 @@ def replacement_candidates(headers: DataFrame, memos: DataFrame, sites: DataFram
         .unionByName(live.where(F.expr("right(po_key, 1) rlike '[A-Z0-9]'")).withColumn("k", less(1)))
         .unionByName(live.where(F.expr("right(po_key, 2) rlike '^[A-Z][0-9]$'")).withColumn("k", less(2)))
     )
+    # Fixed value: what may follow an order number that was raised again.
     suffix = F.concat(F.lit("^"), F.regexp_replace("c_po_number", "([^A-Za-z0-9])", r"\\$1"), F.lit("([^A-Za-z0-9]*[A-Za-z][0-9]?|[^A-Za-z0-9]+[0-9])[^A-Za-z0-9]*$"))
     met = gone.join(keyed, (c("customer_no") == c("c_customer_no")) & (c("k") == c("c_po_key"))).where(
         (F.struct("invoice_date", "invoice_no") > F.struct("c_invoice_date", "c_invoice_no")) & (c("invoice_date") <= F.date_add("c_invoice_date", REINVOICE_DAYS)) & ((c("po_key") == c("c_po_key")) | F.rlike(c("po_number_raw"), suffix))

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset and all runs in this process (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return (named or tempfile.mkdtemp(prefix="spark-stages-")).rstrip("/")
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (named or _own_folder()).rstrip("/")
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-stages-")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -19,3 +28,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        files, path = _file_system(df.sparkSession, folder)
+        files.delete(path, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it isn't there."""
+    files, where = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in files.listStatus(where)) if files.exists(where) else []
+
+
+_kept: dict[tuple, DataFrame] = {}
+
+
+def stage_once(spark: SparkSession, name: str, build: Callable[[], DataFrame], *key: str) -> DataFrame:
+    """The staged table of this name and key; built at its first use in a Spark application, as a refresh writes its views once."""
+    at = (spark.sparkContext.applicationId, name, *key)
+    if at not in _kept:
+        _kept[at] = stage(build(), name)
+    return _kept[at]
+
+
+def discard_kept(spark: SparkSession) -> None:
+    """Remove what stage_once has written in this application; the next use builds it anew."""
+    for at in [k for k in _kept if k[0] == spark.sparkContext.applicationId]:
+        discard(_kept.pop(at))

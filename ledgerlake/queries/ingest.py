@@ -6,13 +6,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ..fixtures import Tables, with_tables
+from ..fixtures import Tables, fixture, with_tables
 from ..functions import normalize as n
 from ..operators import merge as m
 from ..operators import strategies as s
 from .common import money, settled
 
-MARK, FLOOR = date(2000, 3, 1), date(2000, 1, 1)
+MARK, FLOOR, STORED_TO = date(2000, 3, 1), date(2000, 1, 1), date(1995, 1, 1)
 SLIM = ("no", "customer_no", "posting_date", "amount")
 
 
@@ -41,28 +41,48 @@ def _records(t):
     )
 
 
+# Columns with all kinds of content, in SQL that both engines read; DuckDB lacks Spark's type names, so its SQL looks at the values.
+_CONTENT = {
+    "no": "no", "posting_date": "cast(posting_date as string)", "k": "k", "code": "lpad(cast(k as string), 9, '0')", "amount": "amount", "cancelled": "cancelled", "said": "case when cancelled then 'true' else 'false' end",
+    "mixed": "case when k % 2 = 0 then cast(posting_date as string) else cast(k as string) end", "stamp": "concat(cast(posting_date as string), 'T00:00:00Z')", "either": "case when k % 2 = 0 then concat(cast(posting_date as string), 'T00:00:00Z') else concat(' ', cast(posting_date as string)) end",
+    "day": "posting_date", "none": "cast(null as string)", "odd_day": "case when k % 5 = 0 then '2024-02-30' else cast(posting_date as string) end",
+}
+
+
 def _typed(t):
-    cast = {"no": "no", "posting_date": "cast(posting_date as string)", "k": "cast(k as string)", "amount": "cast(amount as string)", "cancelled": "cast(cancelled as string)", "mixed": "if(k % 2 = 0, cast(posting_date as string), cast(k as string))", "stamp": "concat(cast(posting_date as string), 'T00:00:00Z')", "none": "cast(null as string)"}
-    return n.infer_types(t.invoice_header.selectExpr(*[f"{v} as {k}" for k, v in cast.items()]))
+    return n.infer_types(t.invoice_header.selectExpr(*[f"{v} as {k}" for k, v in _CONTENT.items()]))
+
+
+def _infer_sql() -> str:
+    """A count of the values of each kind, and the widest kind among them."""
+    arms = []
+    for name, value in _CONTENT.items():
+        v = f"trim(cast({name} as varchar))"
+        arms.append(f"""select '{name}' as column_name, typeof(any_value({name})) as kind, count({name}) as n, count(*) filter (regexp_matches({v}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}')) as n_time,
+            count(*) filter (regexp_matches({v}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')) as n_date from (select {value} as {name} from invoice_header)""")
+    return f"""select column_name, case when n = 0 then 'string' when kind = 'BOOLEAN' then 'boolean' when kind like 'DECIMAL%' then 'decimal(18,4)' when kind in ('BIGINT', 'INTEGER') then 'bigint' when kind = 'DATE' then 'date'
+        when n > n_time + n_date then 'string' when n_time > 0 then 'timestamp' else 'date' end as type_name from ({" union all ".join(arms)})"""
+
+
+_SAID = "case k % 6 when 0 then cast(posting_date as string) when 1 then ' ' || cast(posting_date as string) || 'T10:20:30Z' when 2 then '2023-02-30' when 3 then '2023-13-01T00:00:00Z' when 4 then no end"
+_RAW_NAME = "case p_partkey % 8 when 0 then p_name when 1 then p_brand || '__' || p_type || '.' when 2 then cast(p_size as string) || ' ' || p_brand when 3 then 'Rank' when 4 then '_Row-' when 5 then '%' when 6 then p_type || ' ' || p_name || ' ' || p_brand || ' ' || p_type || ' ' || p_type else 'User' end"
 
 
 _LINES = "select cast(l_orderkey as varchar) as a, cast(l_linenumber as varchar) as b, count(*) as n_rows from lineitem group by 1, 2"
 
 
 def _lineitem(t):
-    from ..fixtures import fixture
-
     return fixture(*t._at, "lineitem")
 
 
 QUERIES = {
-    "ing_windows": _step(lambda t: s.window_frame(t.invoice_header.groupBy("location_code").agg(F.min("posting_date").alias("lo"), F.max("posting_date").alias("hi"))).join(t.invoice_header.select("location_code").distinct().limit(0), F.lit(False), "left").drop("location_code")),
+    "ing_windows": _step(lambda t: s.window_frame(t.invoice_header.groupBy("location_code").agg(F.min("posting_date").alias("lo"), F.max("posting_date").alias("hi")).select("lo", "hi").distinct())),
     "ing_range": _step(lambda t: t.invoice_header.where(s.in_range("posting_date", FLOOR, MARK)).select(*SLIM)),
     "ing_incremental": _step(lambda t: t.invoice_header.where(s.since("export_date", MARK, 30, include_undated=True)).select("no", F.nullif(F.col("export_date"), F.lit(s.NEVER).cast("date")).alias("export_date"))),
     "ing_extra_pass": _step(lambda t: t.memo_header.where(s.since("document_date", MARK, 10, extra=("posting_date",))).select("no", "document_date", "posting_date")),
     "ing_series_high": _step(lambda t: s.series_high(t.invoice_header, "no")),
     "ing_series_new": _step(lambda t: s.series_scope(s.series_high(t.invoice_header.where("k % 4 <> 1"), "no"), s.series_seen(t.invoice_header, "no", "posting_date", FLOOR), True)),
-    "ing_series_pull": _step(lambda t: s.series_pull(t.invoice_line.select("document_no", "line_no", "quantity"), s.series_scope(s.series_high(t.invoice_line.where("k < 9000"), "document_no"), s.series_seen(t.invoice_header, "no"), False), "document_no")),
+    "ing_series_pull": _step(lambda t: s.series_pull(t.invoice_line.select("document_no", "line_no", "quantity"), s.series_scope(s.series_high(t.invoice_line.join(t.invoice_header.where(F.col("posting_date") < F.lit(STORED_TO)).select(F.col("no").alias("document_no")), "document_no", "left_semi"), "document_no"), s.series_seen(t.invoice_header, "no"), False), "document_no")),
     "ing_gap_sweep": _step(lambda t: s.missing_children(t.invoice_header, "no", t.invoice_line, "document_no", "posting_date", date(1996, 1, 1))),
     "ing_open_refresh": _step(lambda t: s.open_refresh(t.order_base.selectExpr("k", "st = 'O' as open"), t.order_base.where("k % 50 <> 7").selectExpr("k", "if(k % 33 = 0, st <> 'O', st = 'O') as open"), "k")[0]),
     "ing_open_missing": _step(lambda t: s.open_refresh(t.order_base.selectExpr("k", "st = 'O' as open"), t.order_base.where("k % 50 <> 7").selectExpr("k", "if(k % 33 = 0, st <> 'O', st = 'O') as open"), "k")[1]),
@@ -71,6 +91,10 @@ QUERIES = {
     "ing_fit_type": _step(lambda t: s.fit_integers(t.invoice_line.select("document_no", "line_no", "line_amount"), ["line_amount"])[0]),
     "ing_fit_count": _step(lambda t: s.fit_integers(t.invoice_line.select("line_amount", "unit_price"), ["line_amount", "unit_price"])[1]),
     "ing_infer": _step(_typed),
+    "ing_temporal": _step(lambda t: t.invoice_header.select("no", n.temporal(F.expr(_SAID)).alias("t")).select("no", "t.day", F.date_format("t.instant", "yyyy-MM-dd HH:mm:ss").alias("instant"), "t.text")),
+    "ing_names": _step(lambda t: fixture(*t._at, "part").select("p_partkey", n.safe_name(F.expr(_RAW_NAME)).alias("column_name"))),
+    "ing_repair": _step(lambda t: s.repair_text(t.invoice_header.select("no", "external_no"), t.invoice_header.where("k % 3 <> 0").select("no", F.when(F.col("k") % 2 == 0, F.replace("external_no", F.lit("\ufffd"), F.lit("é"))).otherwise(F.col("external_no")).alias("external_no")), ["no"], ["external_no"])[1]),
+    "mrg_changes": _step(lambda t: m.changes(_merged(t))),
     "ing_flatten": _step(lambda t: n.flatten(_records(t))),
     "mrg_upsert": _step(lambda t: _merged(t).drop("_action")),
     "mrg_skip_unchanged": _step(lambda t: _merged(t).groupBy("_action").agg(F.count("*").alias("n_rows")).withColumnRenamed("_action", "action")),
@@ -79,7 +103,6 @@ QUERIES = {
     "mrg_last_wins": _step(lambda t: m.last_wins(t.invoice_header.select("customer_no", "no", "posting_date"), ["customer_no"], ["posting_date", "no"])),
     "mrg_rekey_check": _step(lambda t: m.duplicate_keys(m.text_keys(_lineitem(t).select(F.col("l_orderkey").alias("a"), F.col("l_linenumber").alias("b")), ["a", "b"]), ["a", "b"])),
 }
-QUERIES["ing_windows"] = _step(lambda t: s.window_frame(t.invoice_header.groupBy("location_code").agg(F.min("posting_date").alias("lo"), F.max("posting_date").alias("hi")).select("lo", "hi").distinct()))
 
 _MERGE = """
     with_old as (select no, customer_no, posting_date, cast(if(k % 10 = 0, amount + 1, amount) as decimal(18,4)) as amount, if(k % 6 = 0, 'kept', null) as own_note from invoice_header where k % 4 <> 1),
@@ -97,7 +120,7 @@ _ASK = {
     "ing_extra_pass": "select no, document_date, posting_date from memo_header where document_date >= date '2000-02-20' or posting_date >= date '2000-02-20'",
     "ing_series_high": "select split_part(no, '-', 1) as series, max(no) as high from invoice_header group by 1",
     "ing_series_new": "select a.series, b.high from (select distinct split_part(no, '-', 1) as series from invoice_header where posting_date >= date '2000-01-01') a left join (select split_part(no, '-', 1) as series, max(no) as high from invoice_header where k % 4 <> 1 group by 1) b using (series)",
-    "ing_series_pull": f"""select l.document_no, l.line_no, {money("l.quantity")} from invoice_line l left join (select split_part(document_no, '-', 1) as series, max(document_no) as high from invoice_line where k < 9000 group by 1) h on h.series = split_part(l.document_no, '-', 1)
+    "ing_series_pull": f"""select l.document_no, l.line_no, {money("l.quantity")} from invoice_line l left join (select split_part(document_no, '-', 1) as series, max(document_no) as high from invoice_line where document_no in (select no from invoice_header where posting_date < date '1995-01-01') group by 1) h on h.series = split_part(l.document_no, '-', 1)
         where h.high is null or l.document_no > h.high""",
     "ing_gap_sweep": "select no from invoice_header where posting_date >= date '1996-01-01' and no not in (select document_no from invoice_line) order by no desc limit 200",
     "ing_open_refresh": f"select k, open, if(open, 'open', 'reread') as why from ({_HELD}) where there and (open or held)",
@@ -106,7 +129,14 @@ _ASK = {
     "ing_corrupt_text": "select no, external_no from invoice_header where contains(external_no || coalesce(ship_to_name, ''), '�')",
     "ing_fit_type": "select document_no, line_no, cast(round_even(line_amount, 0) as bigint) as line_amount from invoice_line",
     "ing_fit_count": "select count(*) filter (line_amount % 1 <> 0) as line_amount, count(*) filter (unit_price % 1 <> 0) as unit_price from invoice_line",
-    "ing_infer": """select * from (values ('no', 'string'), ('posting_date', 'date'), ('k', 'bigint'), ('amount', 'decimal(18,4)'), ('cancelled', 'boolean'), ('mixed', 'string'), ('stamp', 'timestamp'), ('none', 'string')) v(column_name, type_name) where (select count(*) from invoice_header) > 0""",
+    "ing_infer": _infer_sql(),
+    "ing_temporal": f"""select no, try_cast(if(regexp_matches(w, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$'), w, null) as date) as day, strftime(try_cast(if(regexp_matches(w, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T'), replace(w, 'Z', ''), null) as timestamp), '%Y-%m-%d %H:%M:%S') as instant,
+        if(try_cast(replace(w, 'Z', '') as timestamp) is null, v, null) as text from (select no, v, trim(v) as w from (select no, {_SAID} as v from invoice_header))""",
+    "ing_names": f"""with raw as (select p_partkey, {_RAW_NAME} as v from part), bare as (select p_partkey, trim(regexp_replace(v, '[^0-9A-Za-z_]+', '_', 'g'), '_') as b from raw),
+        named as (select p_partkey, case when b = '' then 'field' when regexp_matches(b, '^[0-9]') then 'f_' || b else b end as x from bare)
+        select p_partkey, left(if(lower(x) in ({', '.join(repr(w) for w in n.RESERVED)}), x || '_field', x), 63) as column_name from named""",
+    "ing_repair": """select count(*) filter (bad) as corrupt_before, count(*) filter (bad and (k % 3 = 0 or k % 2 = 1)) as corrupt_after from (select k, coalesce(contains(external_no, '\ufffd'), false) as bad from invoice_header)""",
+    "mrg_changes": f"select count(*) filter (a = 'insert') as inserted, count(*) filter (a = 'update') as updated, count(*) filter (a = 'keep') as kept from (select {_ACTION} as a from {_BOTH})",
     "ing_flatten": """select no as "No", location_code as "Address_City", state_dim as "Address_Dim_state_dim", '["' || bill_state || '",' || coalesce('"' || ship_state || '"', 'null') || ']' as "States", cast(amount as varchar) as "f_2nd_amount" from invoice_header""",
     "mrg_upsert": f"""select coalesce(o.no, n.no) as no, if(n.no is null, o.customer_no, n.customer_no) as customer_no, if(n.no is null, o.posting_date, n.posting_date) as posting_date, round(cast(if(n.no is null, o.amount, n.amount) as double), 4) as amount, o.own_note, n.eway_no,
         if({_ACTION} = 'keep', timestamp '1999-01-01', timestamp '2000-01-01') as _synced_at from {_BOTH}""",
@@ -118,7 +148,9 @@ _ASK = {
 }
 ORACLE_SQL = {}
 for _name, _sql in _ASK.items():
-    if _name == "ing_windows":
+    if _name == "ing_names":
+        ORACLE_SQL[_name] = _sql
+    elif _name == "ing_windows":
         _full = with_tables("select 1 from invoice_header").rsplit("\n", 1)[0]
         ORACLE_SQL[_name] = f"{_full},\n{_sql.removeprefix('with ')}"
     else:

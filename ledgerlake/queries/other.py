@@ -41,8 +41,8 @@ def _alert_state(t):
 
 
 def _edges(t):
-    """Seven levels of objects over the customers, with parallel edges, and one tree that nothing reaches."""
-    c = fixture(*t._at, "customer").where("c_custkey < 700")
+    """A tree of objects over the customers, a third of them a level, with parallel edges, and one tree that nothing reaches."""
+    c = fixture(*t._at, "customer")
     name = lambda x: F.concat(F.lit("v"), x.cast("string"))
     key = F.col("c_custkey")
     one = c.where("c_custkey > 0").select(name(F.floor((key - 1) / 3)).alias("parent"), name(key).alias("child"))
@@ -57,11 +57,13 @@ def _tags(t):
 QUERIES = {
     "ref_channel_sync": _step(lambda t: r.sync_channel(t.customer_ref, t.customer_card).select("customer_no", "channel", F.col("_changed").alias("changed"))),
     "ref_platform_follow": _step(lambda t: r.follow_platform(t.customer_ref, t.channel_map, F.lit(TODAY).cast("date")).select("customer_no", "platform", "grn_feed", "match_rule", "note", "updated_at", F.col("_changed").alias("changed"))),
+    "ref_changes": _step(lambda t: r.change_counts({"channel": r.sync_channel(t.customer_ref, t.customer_card), "platform": r.follow_platform(t.customer_ref, t.channel_map, F.lit(TODAY).cast("date")), "tags": _tags(t)})),
     "ref_po_stats": _step(lambda t: r.po_statistics(t.invoice_header)),
     "ref_missing_customers": _step(lambda t: r.missing_customers(t.customer_ref, t.customer_card, r.po_statistics(t.invoice_header))),
     "ref_tags": _step(lambda t: _tags(t).withColumnRenamed("_changed", "changed")),
     "quota_usage": _step(lambda t: q.usage(_inventory(t), _policy(t))),
     "quota_check": _step(_levels),
+    "quota_pressure": _step(lambda t: q.pressure(_inventory(t).agg(F.sum("bytes").alias("used")), "used", VOLUME[0], 95.0)),
     "quota_unclaimed": _step(lambda t: q.unclaimed(_inventory(t), _policy(t), 5_000_000)),
     "quota_autobudget": _step(lambda t: q.auto_budget(q.usage(_inventory(t), _policy(t)), _policy(t), 3.7)),
     "quota_alert": _step(lambda t: q.alerts(_levels(t), _alert_state(t), F.lit("2024-05-01 00:00:00").cast("timestamp"), 24).select("owner", "level", "send", "last_sent_at")),
@@ -82,8 +84,8 @@ STEPS = {
         case when whole >= {VOLUME[1]} then 'volume at ' || whole::varchar || '%' when pct >= warn_pct then 'owner at ' || pct::varchar || '%' when whole >= {VOLUME[2]} then 'volume at ' || whole::varchar || '%' else 'within budget' end as reason from lvl0""",
     "was": "select * from (values ('orders', 'stop', timestamp '2024-04-30 20:00:00'), ('lines_a', 'warn', timestamp '2024-04-01 00:00:00')) w(owner, level, sent_at)",
     "alert": """select l.owner, l.level, l.reason, l.level <> 'ok' and (list_position(['ok', 'warn', 'stop'], l.level) > list_position(['ok', 'warn', 'stop'], coalesce(w.level, 'ok')) or w.sent_at is null or w.sent_at + interval 24 hours <= timestamp '2024-05-01') as send, w.sent_at from lvl l left join was w using (owner)""",
-    "edge": """select 'v' || cast(cast(floor((c_custkey - 1) / 3) as bigint) as varchar) as parent, 'v' || c_custkey as child from customer where c_custkey between 1 and 699
-        union all select 'v' || cast(cast(floor((c_custkey - 1) / 3) - 1 as bigint) as varchar), 'v' || c_custkey from customer where c_custkey between 4 and 699 and c_custkey % 2 = 0""",
+    "edge": """select 'v' || cast(cast(floor((c_custkey - 1) / 3) as bigint) as varchar) as parent, 'v' || c_custkey as child from customer where c_custkey >= 1
+        union all select 'v' || cast(cast(floor((c_custkey - 1) / 3) - 1 as bigint) as varchar), 'v' || c_custkey from customer where c_custkey >= 4 and c_custkey % 2 = 0""",
     "latest": "select platform, customer_no, grn_feed, match_rule, row_number() over (partition by platform order by updated_at desc, customer_no) as place from customer_ref where platform is not null",
 }
 
@@ -94,11 +96,13 @@ _ASK = {
         from (select r.*, coalesce(not r.reviewed and m.platform is not null and m.platform is distinct from r.platform, false) as ch from customer_ref r left join channel_map m using (customer_no)) r left join channel_map m using (customer_no)
         left join latest t on t.platform = m.platform and t.place = (select min(z.place) from latest z where z.platform = m.platform and z.customer_no <> r.customer_no)""",
     "ref_po_stats": "select * from po_stat",
+    "ref_changes": "",
     "ref_missing_customers": "select c.no as customer_no, coalesce(c.name, c.search_name) as customer_name, c.posting_group as channel, if(s.pct_multi >= 5, 'ONE_PO_MANY_INVOICES', 'ONE_PO_ONE_INVOICE') as po_pattern, s.pos, s.invoices, s.pct_multi, false as reviewed from customer_card c join po_stat s on s.customer_no = c.no where c.no not in (select customer_no from customer_ref)",
     "ref_tags": """select customer_no, if(not reviewed and channel = 'OLD', 'Legacy', platform) as platform, channel, case when reviewed then match_rule when channel = 'OLD' then 'by_hand' when platform = 'Zepto' then 'by_item' else match_rule end as match_rule, reviewed,
         case when reviewed then false when channel = 'OLD' then match_rule <> 'by_hand' or platform is distinct from 'Legacy' when platform = 'Zepto' then match_rule <> 'by_item' else false end as changed from customer_ref""",
     "quota_usage": "select * from used",
     "quota_check": "select * from lvl",
+    "quota_pressure": f"select pct, pct >= 95.0 as over from (select round(sum(bytes)::double / 1073741824 * 100 / {VOLUME[0]}, 1) as pct from inv_obj)",
     "quota_unclaimed": "select object_name, cast(sum(bytes) as bigint) as bytes from inv_obj i where not exists (select 1 from pol p where list_bool_or([regexp_matches(i.object_name, x) for x in p.patterns])) group by 1 having sum(bytes) >= 5000000",
     "quota_autobudget": """select owner, budget_gb, grant_gb from (select owner, budget_gb, if(3.7 - least(spent, 3.7) > 0.5, least(want, 3.7 - least(spent, 3.7)), 0) as grant_gb from (
         select owner, budget_gb, want, coalesce(sum(want) over (order by owner rows between unbounded preceding and 1 preceding), 0) as spent from (
@@ -109,5 +113,6 @@ _ASK = {
     "aud_missing_objects": "select no as object_name from invoice_header where no not in (select document_no from invoice_line)",
     "aud_missing_columns": "select document_no as object_name, line_no as column_name from invoice_line where document_no in (select document_no from tax_entry) except select document_no, cast(line_no as varchar) from tax_entry",
 }
+_ASK["ref_changes"] = " union all ".join(f"select '{k}' as step, count(*) as n_rows, count(*) filter (changed) as n_changed from ({_ASK[v]})" for k, v in (("channel", "ref_channel_sync"), ("platform", "ref_platform_follow"), ("tags", "ref_tags")))
 ORACLE_SQL = {name: with_tables(sql, STEPS) for name, sql in _ASK.items() if name != "lin_dependents"}
 ORACLE_SQL["lin_dependents"] = f"with recursive edge as ({STEPS['edge']}), walk as (select child as node, 1 as depth from edge where parent = 'v0' union select e.child, w.depth + 1 from walk w join edge e on e.parent = w.node) {_ASK['lin_dependents']}"

@@ -15,6 +15,32 @@ def read_pages(spark: SparkSession, path: str, static_filter: str | None = None,
     return rows.where(f"({static_filter})") if static_filter else rows
 
 
+def dangling_links(spark: SparkSession, path: str) -> DataFrame:
+    """next_link of landed pages that name a page which has not landed: a pull that stopped half-way. Pages carry their own name as `page`."""
+    pages = spark.read.schema("page string, `@odata.nextLink` string").option("multiLine", True).json(path)
+    links = pages.select(F.col("`@odata.nextLink`").alias("next_link")).where("next_link is not null").distinct()
+    return links.join(pages.select(F.col("page").alias("next_link")), "next_link", "left_anti")
+
+
+# The two families of endpoints, by the case of their fields and the key of their records.
+FAMILIES = {"odata": ("PascalCase", None), "v2.0": ("camelCase", "id")}
+
+
+def service_key(family: str, business_key: list[str]) -> list[str]:
+    """The key of a service's records: its business key, or the family's own id."""
+    if family not in FAMILIES:
+        raise ValueError(f"unknown endpoint family {family!r}")
+    own = FAMILIES[family][1]
+    return [own] if own else business_key
+
+
+def land_pages(rows: DataFrame, page_of, path: str, next_of=None) -> None:
+    """Write rows as pages of records, one JSON document a page. page_of: a column with the page's number, which bounds what a page holds."""
+    numbered = rows.select(page_of.cast("string").alias("page"), F.struct("*").alias("r"), *([next_of.alias("@odata.nextLink")] if next_of is not None else []))
+    link = [F.max("`@odata.nextLink`").alias("@odata.nextLink")] if next_of is not None else []
+    numbered.groupBy("page").agg(F.collect_list("r").alias("value"), *link).write.json(path)
+
+
 def read_xml(spark: SparkSession, path: str, row_tag: str, wanted: dict[str, str], key: list[str]) -> DataFrame:
     """Rows of an element with the wanted tags; of a repeated tag the first value; rows without a whole key go."""
     schema = T.StructType([T.StructField(t, T.ArrayType(T.StringType())) for t in wanted])
@@ -61,7 +87,8 @@ def append_side(df: DataFrame, path: str, table: str) -> None:
     df.select(reason.alias("reason"), F.to_json(F.struct(*keep)).alias("row"), F.current_timestamp().alias("at"), F.lit(table).alias("table_name")).write.mode("append").partitionBy("table_name").parquet(path)
 
 
-def state_reference(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
-    """Reference table of states with its generated label; a few dozen rows."""
-    df = spark.createDataFrame(rows, "state_code string, state_no string, state_name string")
-    return df.withColumn("label", F.concat_ws("-", "state_no", "state_name"))
+def state_reference(stored: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """Reference table of states (state_code, state_no, state_name) after an upsert of rows, with its generated label; a few dozen rows."""
+    rows = rows.select("state_code", "state_no", "state_name")
+    kept = rows if stored is None else rows.unionByName(stored.select(*rows.columns).join(rows, "state_code", "left_anti"))
+    return kept.withColumn("label", F.concat_ws("-", "state_no", "state_name"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import last_wins, merge
+from ..operators.merge import SYNCED, last_wins, merge
+from ..plans.stages import children
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -14,28 +15,44 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, max_files
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
+def newest_version(spark: SparkSession, table: str) -> int:
+    """The largest number of the versions v0, v1, ... that are whole; -1 without one."""
+    whole = [v for v in children(spark, table) if v.startswith("v") and "_SUCCESS" in children(spark, f"{table}/{v}")]
+    return max((int(v[1:]) for v in whole), default=-1)
+
+
+def _first_version(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """The version that batch 0 of a checkpoint writes: the one after those that stood when the checkpoint began, kept beside it."""
+    note = f"{checkpoint}-first-version"
+    if not children(spark, note):
+        spark.createDataFrame([(newest_version(spark, table) + 1,)], "version int").coalesce(1).write.mode("overwrite").parquet(note)
+    return spark.read.parquet(note).first()["version"]
+
+
 def upsert_available(stream: DataFrame, table: str, checkpoint: str, key: list[str], order: list[str]) -> int:
-    """Merge everything that has landed into table (a folder of versions v0, v1, ...) and stop; returns the newest version's number, -1 without data.
+    """Merge everything that has landed into table (a folder of versions v0, v1, ...) and stop; returns the newest version's number, -1 without any.
 
-    Batches are idempotent: batch n writes version n from version n - 1, so a repeated batch writes the same version again. Late rows merge like any
-    other; of rows with one key the last by `order` stands, also against the stored row."""
-    spark, newest = stream.sparkSession, {"v": -1}
+    Batches are idempotent: a batch writes its own version from the one before, so a repeated batch writes the same version again, and a new checkpoint
+    goes on after the versions that it finds. Late rows merge like any other; of rows with one key the last by `order` stands, also against the stored
+    row. Columns that come new are added."""
+    spark = stream.sparkSession
+    first = _first_version(spark, table, checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
+        at = first + number
         rows = last_wins(batch, key, order).withColumns({k: F.col(k).cast("string") for k in key})
-        if number == 0:
-            version = rows
+        if at == 0:
+            version = rows.withColumn(SYNCED, F.current_timestamp())
         else:
-            stored = spark.read.parquet(f"{table}/v{number - 1}")
+            stored = spark.read.parquet(f"{table}/v{at - 1}")
             mine = stored.select(*key, F.struct(*order).alias("_held"))
             fresh = rows.join(mine, key, "left").where(F.col("_held").isNull() | (F.struct(*order) >= F.col("_held"))).drop("_held")
-            version = merge(stored, fresh, key, F.current_timestamp()).select(*stored.columns)
-        version.write.mode("overwrite").parquet(f"{table}/v{number}")
-        newest["v"] = number
+            version = merge(stored, fresh, key, F.current_timestamp()).drop("_action")
+        version.write.mode("overwrite").parquet(f"{table}/v{at}")
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return newest["v"]
+    return newest_version(spark, table)
 
 
 def drop_repeats(stream: DataFrame, key: list[str], time_field: str, delay: str = "2 days") -> DataFrame:

@@ -9,7 +9,11 @@ from ledgerlake.functions import normalize as n
 from ledgerlake.operators import lineage as lin
 from ledgerlake.operators import merge as m
 from ledgerlake.operators import strategies as s
+from ledgerlake.plans import ingest_run as run
 from ledgerlake.plans import o2c
+from ledgerlake.plans.stages import discard_kept, shared_folder, stage_once
+from ledgerlake.sources import pages
+from ledgerlake.streaming.ingest import read_landing, upsert_available
 
 NOW = datetime(2024, 1, 2)
 
@@ -61,17 +65,21 @@ def test_state_moves_only_on_success():
 
 
 def test_names_and_flatten(spark):
-    assert [n.column_name(x) for x in ("No.", "", "1st", "order", "a--b")] == ["No", "field", "f_1st", "order_field", "a_b"]
+    names = {"No.": "No", "": "field", "1st": "f_1st", "order": "order_field", "a--b": "a_b", "a__b": "a__b", "Rank": "Rank_field", "User": "User", "_x_": "x"}
+    assert {x: n.column_name(x) for x in names} == names
+    df = spark.createDataFrame([(x,) for x in names] + [("x" * 99,)], "raw string")
+    assert dict(rows(df.select("raw", n.safe_name(F.col("raw")).alias("safe")), "raw", "safe")) == names | {"x" * 99: "x" * 63}
     assert len(n.column_name("x" * 99)) == 63 and n.table_name("Sales__Invoice Excel") == "t_sales_invoice"
     df = spark.createDataFrame([(("x", 1), [])], "a struct<b:string,`@odata.id`:int>, c array<int>")
     assert n.flatten(df).columns == ["a_b", "c"] and n.flatten(df).first()["c"] == "[]"
 
 
 def test_infer_and_widen(spark):
-    df = spark.createDataFrame([("1", "2024-01-01", "true", None), ("2.5", "2024-02-30", "1", None)], "a string, b string, c string, d string")
-    assert dict(rows(n.infer_types(df), "column_name", "type_name")) == {"a": "decimal(18,4)", "b": "date", "c": "bigint", "d": "string"}
-    got = df.select(n.temporal(F.col("b")).alias("b"))
-    assert [r["b"] for r in got.collect()] == [datetime(2024, 1, 1), None]
+    df = spark.createDataFrame([("00123", "2024-01-01", "true", None, 1, 2.5, [1]), ("2", "2024-02-30", "1", None, None, None, None)], "a string, b string, c string, d string, e int, f double, g array<int>")
+    assert dict(rows(n.infer_types(df), "column_name", "type_name")) == {"a": "string", "b": "date", "c": "string", "d": "string", "e": "bigint", "f": "decimal(18,4)", "g": "json"}
+    got = df.select(n.temporal(F.col("b")).alias("t")).select("t.*")
+    assert [tuple(r) for r in got.collect()] == [(date(2024, 1, 1), None, None), (None, None, "2024-02-30")]
+    assert n.infer_types(df.limit(0)).where("type_name = 'string'").count() == 7
     wide = n.widen(spark.createDataFrame([], "k string, x bigint").schema, spark.createDataFrame([], "k int, x decimal(18,4), y date").schema, ("k",))
     assert [f.dataType.simpleString() for f in wide] == ["string", "decimal(38,10)", "date"]
 
@@ -114,3 +122,79 @@ def test_dependents_are_whole_or_refused(spark):
         lin.dependents(chain, "n0", 2)
     with pytest.raises(ValueError, match="cycle"):
         lin.dependents(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b")], "parent string, child string"), "a")
+
+
+SERVICE = run.Service("Feed", "t_feed", ("k",), ("day",), history_field="day", start=date(2024, 1, 1))
+
+
+def _lake(spark, name):
+    import uuid
+
+    return run.Lake(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+
+
+def test_runs_resume_and_keep_their_watermark(spark):
+    lake, now = _lake(spark, "runs"), datetime(2024, 3, 31, 12)
+    rows_ = spark.createDataFrame([("a", date(2024, 1, 5), "1"), ("b", date(2024, 2, 5), "2"), ("c", date(2024, 3, 5), "3"), ("old", date(2023, 1, 1), "4")], "k string, day date, v string")
+    assert run.run(lake, SERVICE, rows_, now, max_windows=1) == "success"
+    assert lake.state("Feed")["last_sync_at"] is None and lake.state("Feed")["history_through"] == date(2024, 2, 1) and rows(lake.read("t_feed"), "k") == [("a",)]
+    broken = rows_.withColumn("v", F.raise_error(F.lit("no answer")).cast("string"))
+    assert run.run(lake, SERVICE, broken, now) == "failed"
+    assert "no answer" in lake.state("Feed")["last_error"] and lake.state("Feed")["history_through"] == date(2024, 2, 1) and rows(lake.read("t_feed"), "k") == [("a",)]
+    assert run.run(lake, SERVICE, rows_, now) == "success"
+    assert lake.state("Feed")["last_sync_at"] == now and rows(lake.read("t_feed"), "k") == [("a",), ("b",), ("c",)]
+    later = spark.createDataFrame([("c", date(2024, 3, 30), "9", 1), (None, date(2024, 4, 1), "9", 1)], "k string, day date, v string, extra int")
+    assert run.run(lake, SERVICE, later, datetime(2024, 4, 2)) == "partial_failure" and lake.state("Feed")["last_sync_at"] == now
+    assert rows(lake.read("t_feed").where("k = 'c'"), "k", "v", "extra") == [("c", "9", 1)]
+    assert lake.side("summary", run.SUMMARY).count() == 4 and lake.side("quarantine", run.SIDE).count() == 1
+
+
+def test_tables_before_the_first_run_and_their_keys(spark):
+    lake = _lake(spark, "first")
+    run.create_table(lake, SERVICE, spark.createDataFrame([("007", "2024-01-01", 5)], "k string, day string, n int"))
+    assert lake.read("t_feed").count() == 0 and dict(lake.read("t_feed").dtypes) == {"k": "string", "day": "date", "n": "int", "_synced_at": "timestamp"}
+    assert run.guard_key(lake, SERVICE)
+    with pytest.warns(UserWarning, match="the key of t_feed is k"):
+        assert not run.guard_key(lake, run.Service("Feed", "t_feed", ("k", "n"), ("day",)))
+
+
+def test_stream_goes_on_after_a_restart(spark):
+    import uuid
+
+    folder = f"{shared_folder(spark)}/restart-{uuid.uuid4().hex}"
+    land = lambda data, kind: spark.createDataFrame(data, kind).coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+    pull = lambda checkpoint, schema: upsert_available(read_landing(spark, f"{folder}/landing", spark.createDataFrame([], schema).schema), f"{folder}/table", f"{folder}/{checkpoint}", ["k"], ["at"])
+    land([("a", 1), ("b", 1)], "k string, at int")
+    assert pull("one", "k string, at int") == 0 and "_synced_at" in spark.read.parquet(f"{folder}/table/v0").columns
+    assert pull("one", "k string, at int") == 0  # nothing new: the newest version stays the newest
+    land([("a", 2)], "k string, at int")
+    assert pull("one", "k string, at int") == 1
+    land([("c", 3, "x")], "k string, at int, extra string")
+    assert pull("two", "k string, at int, extra string") == 2  # a new checkpoint reads all again and goes on after the versions that stand
+    assert rows(spark.read.parquet(f"{folder}/table/v2"), "k", "at") == [("a", 2), ("b", 1), ("c", 3)] and "extra" in spark.read.parquet(f"{folder}/table/v2").columns
+
+
+def test_registry_choice_and_families(spark):
+    services = spark.createDataFrame([("a", True), ("b", None), ("c", False)], "name string, enabled boolean")
+    assert rows(pages.choose(services, ["a", "b"]), "name") == [("a",), ("b",)]
+    with pytest.raises(ValueError, match="c, d"):
+        pages.choose(services, ["a", "c", "d"])
+    with pytest.raises(ValueError, match="no service"):
+        pages.registry(services.where("name = 'c'"))
+    assert pages.service_key("odata", ["No"]) == ["No"] and pages.service_key("v2.0", ["No"]) == ["id"]
+
+
+def test_kept_stages_are_built_once_and_discarded(spark):
+    built = []
+    build = lambda: built.append(1) or spark.range(3)
+    assert stage_once(spark, "numbers", build, "here").count() == 3 and stage_once(spark, "numbers", build, "here").count() == 3 and len(built) == 1
+    discard_kept(spark)
+    assert stage_once(spark, "numbers", build, "here").count() == 3 and len(built) == 2
+
+
+def test_receipts_of_several_customers_meet_each_one(spark):
+    kind = "feed string, row_id int, part int, customer_nos array<string>, po_number string, cand_norm string, cand_branch string, cand_num5 string, grn_date date, item_no string, received_qty int"
+    receipts = spark.createDataFrame([("f", 1, 0, ["C1", "C2", "C2"], "P", "", "AHD", "00001", None, None, 1), ("f", 2, 0, ["C3"], "P", "", "AHD", "00001", None, None, 1)], kind)
+    headers = spark.createDataFrame([("I1", "C2", "P", "I1", "AHD", "00001", date(2024, 1, 1), False), ("I9", "C9", "P", "I9", "AHD", "00001", date(2024, 1, 2), False)], "invoice_no string, customer_no string, po_number_u string, inv_norm string, branch string, num5 string, invoice_date date, cancelled boolean")
+    lines = spark.createDataFrame([], "invoice_no string, item_no string, invoiced_qty int")
+    assert rows(o2c.match_receipts(receipts, headers, lines), "row_id", "invoice_no", "match_method") == [(1, "I1", "invoice_core+po"), (2, None, None)]
