@@ -9,9 +9,10 @@ from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -88,13 +89,39 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, pieces: in
     """left.join(right, key, "left") in which no key brings more than about one in `pieces` of left's rows to a task.
 
     A key with more rows (there are `pieces` of them at most, so their table is small) is dealt over several salts by a hash of the column `by`, and
-    its rows of right stand once under each salt. Null keys join nothing and are dealt by the same hash."""
-    spark, limit = left.sparkSession, max(LEAST_PIECE, left.count() // pieces)
-    frequent = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > limit)
-    hot = [(r[key], -(-r["n"] // limit)) for r in frequent.collect()]
+    its rows of right stand once under each salt. Rows with a null key join nothing and stay out of the shuffle."""
+    spark, known = left.sparkSession, left.where(F.col(key).isNotNull())
+    counts = known.groupBy(key).agg(F.count("*").alias("n"))
+    limit = max(LEAST_PIECE, (counts.agg(F.sum("n")).first()[0] or 0) // pieces)
+    hot = [(r[key], -(-r["n"] // limit)) for r in counts.where(F.col("n") > limit).collect()]
     salts, salt = fresh(left, "salts"), fresh(left, "salt")
     table = F.broadcast(spark.createDataFrame(hot, f"`{key}` {left.schema[key].dataType.simpleString()}, `{salts}` bigint"))
-    drawn = F.pmod(F.xxhash64(by), F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col(salts), F.lit(1))))
-    dealt = left.join(table, key, "left").withColumn(salt, drawn).drop(salts)
+    dealt = known.join(table, key, "left").withColumn(salt, F.pmod(F.xxhash64(by), F.coalesce(F.col(salts), F.lit(1)))).drop(salts)
     copies = right.where(F.col(key).isNotNull()).join(table, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(salts), F.lit(1)) - 1))).drop(salts)
-    return dealt.join(copies, [key, salt], "left").drop(salt)
+    return dealt.join(copies, [key, salt], "left").drop(salt).unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
+MAX_BITS = 28
+
+
+def bit_table(keys: DataFrame, max_bits: int = MAX_BITS) -> tuple[np.ndarray, int]:
+    """A table of bits, one set for the low bits of each `key` (a long): 8 bits a key, 2^max_bits (32 MB) at most. What it passes is looked up exactly
+    afterwards, so more keys than it holds cost more rows there, not results."""
+    log2 = min(max_bits, max(12, (8 * keys.count()).bit_length()))
+    slot = F.col("key").bitwiseAND(F.lit((1 << log2) - 1))
+    packed = keys.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()
+    words = np.zeros(1 << (log2 - 6), np.uint64)
+    words[packed.column("word").to_numpy()] = packed.column("bits").to_numpy().view(np.uint64)
+    return words, log2
+
+
+def in_table(table: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
+    """Which keys have their bit set."""
+    words, log2 = table
+    slot = key & np.uint64((1 << log2) - 1)
+    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def text_digest(text: str) -> Column:
+    """The first 16 bytes of a text's SHA-256: equal texts share it."""
+    return F.substring(F.unhex(F.sha2(F.col(text).cast("binary"), 256)), 1, 16)

@@ -1,14 +1,16 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words of a text and of the benchmark items are hashed; five-word seeds of the items join those of the text, which bounds how much of an item a
-text can cover. Pairs that may reach the threshold are tiled: the longest unmarked common runs are marked, found by running Karp-Rabin hashing,
-longest first. Tiles may stand in any order, so passages whose sentences were moved are caught.
+Words of a text and of the benchmark items are hashed. Runs of five words are seeds: texts pass a table of bits of the items' seeds and what passes is
+joined with them, which bounds how much of an item a text can cover. Pairs that may reach the threshold are tiled: the longest unmarked common runs are
+marked, found by running Karp-Rabin hashing, longest first. Tiles may stand in any order, so passages whose sentences were moved are caught. An item of
+fewer words than a seed is its own seed and counts where it stands whole.
 
-Items are the bounded side: they are broadcast in blocks of `BLOCK_BYTES` of text, each block one pass over the documents.
+Equal texts are looked at once: texts and items meet by their digests.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections.abc import Iterator
@@ -18,12 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, prepare, slices
+from .common import bit_table, fresh, in_table, materialise, prepare, slices, spread_join, text_digest
 
 SEED_WORDS = 5
 COVERAGE = 0.8
-BLOCK_BYTES = 16 << 20
-_TABLE_BITS = 22
+BROADCAST_ROWS = 200_000  # contaminated texts (a digest each) that are told to every task when documents are dropped; more are joined
 
 _SPACES = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _MARKS = re.compile("[ -¿ -⁯　-〿]")
@@ -126,109 +127,97 @@ def tile(item: np.ndarray, text: np.ndarray, least: int = SEED_WORDS) -> list[tu
         size = max(least, size // 2)
 
 
-class Items:
-    """A block of benchmark items with the index of their seeds."""
-
-    def __init__(self, rows: list[tuple[int, str]]):
-        self.ids = [i for i, _ in rows]
-        self.words = [hash_words([normal(t)])[0] for _, t in rows]
-        seeds = [grams(w, SEED_WORDS) for w in self.words]
-        key = np.concatenate([*seeds, np.zeros(0, np.uint64)])
-        item = np.repeat(np.arange(len(rows)), [len(s) for s in seeds])
-        place = np.concatenate([*[np.arange(len(s)) for s in seeds], np.zeros(0, np.int64)])
-        order = np.argsort(key, kind="stable")
-        self.key, self.item, self.place = key[order], item[order], place[order]
-        self.seen = np.zeros(1 << _TABLE_BITS, bool)  # passes possible seeds to the search
-        self.seen[self.key >> np.uint64(64 - _TABLE_BITS)] = True
-
-    def candidates(self, seeds: np.ndarray, owner: np.ndarray, coverage: float) -> list[tuple[int, int]]:
-        """(text, item) pairs whose shared seeds cover enough of the item."""
-        near = np.flatnonzero(self.seen[seeds >> np.uint64(64 - _TABLE_BITS)])
-        if not len(near):
-            return []
-        pairs = np.unique(np.stack([owner[near].astype(np.uint64), seeds[near]]), axis=1)
-        who, key = pairs[0].astype(np.int64), pairs[1]
-        lo, hi = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
-        out = []
-        bounds = np.flatnonzero(np.diff(who, prepend=-1))
-        for a, b in zip(bounds, [*bounds[1:], len(who)], strict=True):  # one text at a time: few rows however common a seed is
-            at = np.concatenate([np.arange(x, y) for x, y in zip(lo[a:b], hi[a:b], strict=True)])
-            for i in np.unique(self.item[at]) if len(at) else []:
-                covered = np.zeros(len(self.words[i]) + SEED_WORDS, bool)
-                for k in range(SEED_WORDS):
-                    covered[self.place[at[self.item[at] == i]] + k] = True
-                if covered.sum() >= coverage * len(self.words[i]):
-                    out.append((int(who[a]), int(i)))
-        return out
-
-    def match(self, texts: list[str | None], coverage: float) -> list[list[tuple[int, float]]]:
-        """Of each text the (item id, covered share) that reach coverage."""
-        words, owner = hash_words([normal(t) for t in texts])
-        out: list[list[tuple[int, float]]] = [[] for _ in texts]
-        seeds = grams(words, SEED_WORDS)
-        inside = owner[: len(seeds)] == owner[SEED_WORDS - 1 :] if len(seeds) else np.zeros(0, bool)
-        for t, i in self.candidates(seeds[inside], owner[: len(seeds)][inside], coverage):
-            share = sum(k for _, _, k in tile(self.words[i], words[owner == t])) / len(self.words[i])
-            if share >= coverage:
-                out[t].append((self.ids[i], share))
-        return out
-
-
-def _matcher(block, coverage: float):
+def seeds_of(words: np.ndarray) -> np.ndarray:
+    """The seeds of an item: its runs of five words, or all its words where it has fewer."""
+    return grams(words, SEED_WORDS) if len(words) >= SEED_WORDS else short_seed(grams(words, len(words)), len(words))
+
+
+def short_seed(hashes: np.ndarray, n: int) -> np.ndarray:
+    return hashes ^ np.uint64(n * _MIX & (1 << 64) - 1)
+
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item, words, seeds) of each item that has a word."""
+    for batch in batches:
+        made = [(d, hash_words([normal(t)])[0]) for d, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        made = [(d, w) for d, w in made if len(w)]
+        seeds = pa.array([seeds_of(w).view(np.int64) for _, w in made], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in made], pa.binary()), pa.array([w.tobytes() for _, w in made], pa.binary()), seeds], names=["item", "words", "seeds"])
+
+
+def _hits(table, lengths: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Items(block.value)
-        for batch in slices(batches, "_text", 2 << 20):
-            found = index.match(batch.column(batch.num_columns - 2).to_pylist(), coverage)
-            before = batch.column(batch.num_columns - 1).to_pylist()
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64())]))
-            both = pa.array([(b or []) + [{"item_id": i, "coverage": c} for i, c in f] for b, f in zip(before, found, strict=True)], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], both], names=batch.schema.names)
+        """(digest, words, seeds) of the texts with a seed that an item may have."""
+        for batch in slices(batches, "text", 2 << 20):
+            texts = batch.column(0).to_pylist()
+            words, owner = hash_words([normal(t) for t in texts])
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            for n in [SEED_WORDS, *lengths]:
+                hashes = grams(words, n)
+                hashes = hashes if n == SEED_WORDS else short_seed(hashes, n)
+                near = np.flatnonzero(in_table(table.value, hashes))
+                near = near[owner[near] == owner[near + n - 1]] if len(near) else near
+                found.append((owner[near], hashes[near]))
+            who, seeds = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+            rows = [(hashlib.sha256(texts[i].encode()).digest()[:16], words[bounds[i] : bounds[i + 1]].tobytes(), np.unique(seeds[who == i]).view(np.int64)) for i in np.unique(who).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["digest", "words", "seeds"])
 
     return run
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about block_bytes, one block at a time on the driver. Items under five words and null texts have no seed and are
-    left out, repeated ones count once."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null").distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes)
-    for k in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        rows = [(r["id"], r["text"]) for r in mine.collect() if len(normal(r["text"]).split()) >= SEED_WORDS]
-        if rows:
-            yield sorted(rows, key=lambda x: (x[0] is None, x[0], x[1]))
+def _tiles(coverage: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(digest, item, coverage) of the pairs whose tiles cover enough of the item."""
+        for batch in batches:
+            rows = []
+            for digest, item, text_words, item_words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text, own = (np.frombuffer(x, np.uint64) for x in (text_words, item_words))
+                share = 1.0 if len(own) < SEED_WORDS else sum(k for _, _, k in tile(own, text)) / len(own)
+                if share >= coverage:
+                    rows.append((digest, item, share))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.float64()))], names=["digest", "item", "coverage"])
+
+    return run
 
 
-def match_items(docs: DataFrame, benchmark: DataFrame, keep: list[str], *, text_col: str = "text", coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The columns `keep` of docs with _text and _found, an array of (item_id, coverage)."""
+def match_texts(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
+    """digest, item_ids, coverage of each text that covers an item: the items' ids, and the largest share. Null texts and items without a word match
+    nothing; items of one text are one item with several ids."""
     spark = docs.sparkSession
     prepare(spark)
-    frame = docs.select(*keep, F.col(text_col).alias("_text"), F.lit(None).cast("array<struct<item_id:bigint,coverage:double>>").alias("_found"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
-    for k, block in enumerate(item_blocks(benchmark, block_bytes=block_bytes)):
-        if k:  # a table between passes: one block in a worker at a time
-            frame = materialise(frame, "matched")
-        frame = frame.mapInArrow(_matcher(spark.sparkContext.broadcast(block), coverage), schema)
-    return frame
+    named = benchmark.select(text_digest(item_text).alias("item"), F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
+    items = materialise(named.groupBy("item").agg(F.first("text").alias("text")).mapInArrow(_items, "item binary, words binary, seeds array<bigint>"), "items")
+    seeds = items.select("item", (F.octet_length("words") / 8).cast("int").alias("n"), F.posexplode("seeds").alias("place", "seed"))
+    lengths = [r["n"] for r in seeds.where(F.col("n") < SEED_WORDS).select("n").distinct().collect()]  # below five
+    table = spark.sparkContext.broadcast(bit_table(seeds.select(F.col("seed").alias("key")).distinct()))
+    texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
+    hits = materialise(texts.mapInArrow(_hits(table, lengths), "digest binary, words binary, seeds array<bigint>").dropDuplicates(["digest"]), "hits")
+    met = spread_join(hits.select("digest", F.explode("seeds").alias("seed")), seeds, "seed", "digest").where("item is not null")
+    places = F.array_distinct(F.flatten(F.transform(F.collect_set("place"), lambda p: F.sequence(p, p + SEED_WORDS - 1))))
+    pairs = met.groupBy("digest", "item").agg(F.first("n").alias("n"), F.size(places).alias("reach")).where((F.col("n") < SEED_WORDS) | (F.col("reach") >= coverage * F.col("n")))
+    whole = pairs.select("digest", "item").join(hits.select("digest", F.col("words").alias("text_words")), "digest").join(items.select("item", F.col("words").alias("item_words")), "item")
+    tiled = whole.select("digest", "item", "text_words", "item_words").mapInArrow(_tiles(coverage), "digest binary, item binary, coverage double")
+    ids = tiled.join(named.select("item", "item_id").distinct(), "item")
+    return materialise(ids.groupBy("digest").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("coverage").alias("coverage")), "contaminated")
 
 
 def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """doc_id, contaminated, item_ids (sorted), coverage (the largest, 0 without a match) of every row.
 
-    Null and empty texts are clean; repeated rows and null ids keep their rows; without benchmark items every row is clean."""
-    rows = match_items(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), benchmark, ["doc_id"], coverage=coverage)
-    found = F.coalesce("_found", F.array().cast("array<struct<item_id:bigint,coverage:double>>"))
-    ids = F.array_sort(F.array_distinct(F.transform(found, lambda x: x["item_id"])))
-    return rows.select("doc_id", (F.size(found) > 0).alias("contaminated"), ids.alias("item_ids"), F.coalesce(F.array_max(F.transform(found, lambda x: x["coverage"])), F.lit(0.0)).alias("coverage"))
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:
-    """The rows of docs, all columns as they are, that cover no benchmark item."""
-    if fresh(docs, "_text") != "_text" or fresh(docs, "_found") != "_found":
-        names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-        renamed = drop_contaminated(docs.select(*[F.col(c).alias(n) for c, n in names.items()]), benchmark, text_col=names[text_col], coverage=coverage)
-        return renamed.select(*[F.col(n).alias(c) for c, n in names.items()])
-    others = [c for c in docs.columns if c != text_col]
-    clean = match_items(docs, benchmark, others, text_col=text_col, coverage=coverage).where("_found is null or size(_found) = 0")
-    return clean.select(*[F.col("_text").alias(c) if c == text_col else c for c in docs.columns])
+    Null and empty texts are clean; repeated rows and null ids keep their rows; without benchmark items every row is clean; an item whose id is null
+    contaminates without being named."""
+    found = match_texts(docs, benchmark, text_col=text_col, coverage=coverage)
+    rows = spread_join(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(text_col).alias("digest")), found, "digest", "doc_id")
+    return rows.select("doc_id", F.col("coverage").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"), F.coalesce("coverage", F.lit(0.0)).alias("coverage"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", coverage: float = COVERAGE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of docs, all columns as they are, that cover no benchmark item. Rows with a null text stay."""
+    found = match_texts(docs, benchmark, text_col=text_col, coverage=coverage)
+    digest = fresh(docs, "digest")
+    keyed, gone = docs.withColumn(digest, text_digest(text_col)), found.select(F.col("digest").alias(digest))
+    if gone.count() <= broadcast_rows:
+        return keyed.join(F.broadcast(gone), digest, "left_anti").select(*docs.columns)
+    mark = fresh(docs, "gone")
+    return spread_join(keyed, gone.withColumn(mark, F.lit(True)), digest, digest).where(F.col(mark).isNull()).select(*docs.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, materialise, prepare, slices, spread_join
+from .common import bit_table, discard, in_table, materialise, prepare, slices, spread_join
 
 MATCH, GRAM = 400, 64
 SEGMENT = 256 << 10  # bytes of one text looked at together; segments overlap by match - 1
@@ -33,7 +33,6 @@ HELD = 12 << 20  # bytes of contexts and owners that a task holds
 CHUNK = 3 << 20
 GROUP_ROWS = 500  # occurrences of an anchor; the windows of a more frequent one are dealt out by what they hold, in BANDS bands of their offsets
 BANDS = 8
-MAX_BITS = 28
 OWNER = np.dtype([("digest", "S16"), ("at", "<i8")])
 SPAN = np.dtype([("digest", "S16"), ("start", "<i8"), ("stop", "<i8")])
 _POSITION = 21
@@ -148,13 +147,6 @@ def _count(match: int, gram: int):
 CONTEXTS = "key bigint, part bigint, shard bigint, rank int, anchor int, windows int, context binary, n int, owners binary"
 
 
-def _in(slots: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
-    """Which keys have their bit set (low bits: anchors are minima, their high bits are alike)."""
-    words, log2 = slots
-    slot = key & np.uint64((1 << log2) - 1)
-    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def union_spans(spans: np.ndarray) -> np.ndarray:
     """The spans of each digest, sorted, with those that touch or overlap made one."""
     if not len(spans):
@@ -235,8 +227,8 @@ def _context(match: int, gram: int, bits):
             texts = [x or b"" for x in batch.column(0).to_pylist()]
             digests: dict[int, bytes] = {}
             for raw, key, place, lo, hi, text, off, start in _anchor_rows(texts, match, gram):
-                keep = np.flatnonzero(_in(repeated, key))
-                often = _in(frequent, key[keep]).tolist()
+                keep = np.flatnonzero(in_table(repeated, key))
+                often = in_table(frequent, key[keep]).tolist()
                 data = raw.tobytes()
                 for k, p, a, b, t, at, many in zip(key[keep].view(np.int64).tolist(), place[keep].tolist(), lo[keep].tolist(), hi[keep].tolist(), text[keep].tolist(), (lo - start + off)[keep].tolist(), often, strict=True):
                     if t not in digests:
@@ -362,16 +354,6 @@ def _merge(match: int):
     return run
 
 
-def _slots(keys: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit for the low bits of each key: 8 bits a key, 2^MAX_BITS at most."""
-    log2 = min(MAX_BITS, max(12, (8 * keys.count()).bit_length()))
-    slot = F.col("key").bitwiseAND(F.lit((1 << log2) - 1))
-    packed = keys.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()
-    words = np.zeros(1 << (log2 - 6), np.uint64)
-    words[packed.column("word").to_numpy()] = packed.column("bits").to_numpy().view(np.uint64)
-    return words, log2
-
-
 def covered(texts: DataFrame, *, match: int = MATCH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
     """digest, spans (start, stop): the bytes of each text (column raw) that a repeated string of match bytes covers; texts without are left out."""
     spark = texts.sparkSession
@@ -379,7 +361,7 @@ def covered(texts: DataFrame, *, match: int = MATCH, gram: int = GRAM, group_row
     raw = texts.select("raw")
     counts = raw.mapInArrow(_count(match, gram), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
     counts = materialise(counts, "repeated-anchors")
-    bits = spark.sparkContext.broadcast((_slots(counts), _slots(counts.where(F.col("n") > group_rows))))
+    bits = spark.sparkContext.broadcast((bit_table(counts), bit_table(counts.where(F.col("n") > group_rows))))
     contexts = raw.mapInArrow(_context(match, gram, bits), CONTEXTS)
     runs = contexts.repartition("key", "part").sortWithinPartitions("key", "part", "shard", "rank").drop("shard", "rank")
     found = materialise(runs.mapInArrow(_merge(match), FOUND), "repeated")

@@ -365,12 +365,47 @@ def brute_tiles(item, text, least):
         free_i[p : p + k] = free_t[t : t + k] = [False] * k
 
 
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_contamination_equals_brute_force(spark, broadcast_rows):
+    """Every text against every item by a plain tiler, with items of one word up, passages moved about, and texts that share much with no item."""
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(30)]
+    items = [[rng.choice(vocabulary) for _ in range(n)] for n in (3, 4, 5, 6, 9, 14, 20, 26, 26)] + [["solo"]]
+    texts = []
+    for _ in range(70):
+        text = [rng.choice(vocabulary) for _ in range(rng.randint(0, 25))]
+        for item in rng.sample(items, rng.randint(0, 2)):
+            cut = sorted(rng.sample(range(len(item) + 1), min(2, len(item))))
+            parts = [item[: cut[0]], item[cut[0] : cut[-1]], item[cut[-1] :]] if rng.random() < 0.7 else [item]
+            rng.shuffle(parts)
+            for p in parts:
+                text += p + ([rng.choice(vocabulary)] if rng.random() < 0.3 else [])
+        texts.append(" ".join(text))
+    rows = [*enumerate(texts), (200, texts[0]), (201, None), (202, "")]
+    bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)] + [(77, " ".join(items[8])), (78, None), (79, "...")], "item_id long, text string")
+
+    def share(item, text):
+        if len(item) < 5:
+            return float(any(text[k : k + len(item)] == item for k in range(len(text) - len(item) + 1)))
+        return sum(k for *_, k in brute_tiles(item, text, 5)) / len(item)
+
+    want = {}
+    for i, t in rows:
+        shares = {k: share(item, (t or "").split()) for k, item in enumerate(items)}
+        ids = [k for k, x in shares.items() if x >= 0.8] + ([77] if shares[8] >= 0.8 else [])
+        want[i] = (bool(ids), ids, round(max([shares[k] for k in ids if k != 77], default=0.0), 9))
+    got = {r["doc_id"]: (r["contaminated"], r["item_ids"], round(r["coverage"], 9)) for r in decontam.find_contaminated(docs(spark, rows), bench).collect()}
+    assert got == want and sum(w[0] for w in want.values()) > 20
+    kept = decontam.drop_contaminated(docs(spark, rows), bench, broadcast_rows=broadcast_rows)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, w in want.items() if not w[0])
+    assert decontam.find_contaminated(docs(spark, []), bench).count() == 0 and decontam.drop_contaminated(docs(spark, []), bench).count() == 0
+
+
 def test_tiles_cut_by_others_still_count():
     h = lambda t: decontam.hash_words([decontam.normal(t)])[0]
     a, b, c = "a1 a2 a3 a4 a5 a6", "the b1 b2 b3 b4 b5 b6 b7 b8", "the c1 c2 c3 c4 c5 c6 c7"
     item, text = f"{a} {b} {c}", f"{c} x {a} the y {b}"
     assert sum(k for *_, k in decontam.tile(h(item), h(text))) == 23
-    assert decontam.Items([(1, item)]).match([text], 0.8) == [[(1, 1.0)]]
     rng = random.Random(8)
     for _ in range(60):
         item, text = ([rng.choice("abc") for _ in range(rng.randint(5, 30))] for _ in range(2))
