@@ -1,8 +1,8 @@
 """Language identification: first the language family, then one-versus-one linear support vector machines inside it.
 
-A whole text becomes counts of hashed byte 2-, 3- and 4-grams of its lower-cased letters, scaled to unit length. The models are fitted on
-the driver from at most `per_lang` labelled texts of each language (the bound is the parameter; which texts is decided by a hash of the text),
-every text is scored by all of them in Arrow batches.
+A whole text becomes counts of hashed byte 2-, 3- and 4-grams of its lower-cased letters, scaled to unit length. The machines are fitted on the
+executors, one a task, from at most `per_lang` whole labelled texts of each language (the bound is the parameter; which texts is decided by a hash of the
+text); a machine between families takes at most `per_lang` texts of each family. Every text is scored by all of them in Arrow batches.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, slices
+from .common import discard, materialise, prepare, slices
 
 UNKNOWN = "und"
 DIMS = 1 << 13
 PER_LANG = 1000
-TEXT_LETTERS = 20_000
+MIN_SCORE = 0.3  # below it the machines contradict one another
 SEED = 17
 
 # Families of ISO 639-1 codes; a code that is not listed is a family of its own.
@@ -112,45 +112,75 @@ def _vote(names: list[str], machines: list[tuple[str, str, int]], chance: np.nda
     return best, total[best] / (len(names) - 1) if len(names) > 1 else 1.0
 
 
-def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG, text_letters: int = TEXT_LETTERS) -> Model | None:
-    """Fit on at most per_lang texts of each language, those with the smallest hashes, of each at most text_letters characters; None when there
-    is no labelled text with a letter."""
-    usable = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null and text rlike '\\\\p{L}'")
-    # A text counts by text_letters from a place that its hash names: a bound on the sample, not on what is predicted.
-    start = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - text_letters, F.lit(1))).cast("int") + 1
-    part = usable.select("lang", F.xxhash64("text").alias("h"), F.substring("text", start, F.lit(text_letters)).alias("text"))
+def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, h, places, values) of each text: what of its features is not zero."""
+    for batch in slices(batches, "text", 2 << 20):
+        x = features(batch.column(2).to_pylist())
+        at = [np.flatnonzero(row).astype("<u2") for row in x]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([k.tobytes() for k in at], pa.binary()), pa.array([row[k].astype("<f4").tobytes() for k, row in zip(at, x, strict=True)], pa.binary())],
+            names=["lang", "h", "places", "values"],
+        )
+
+
+def _fit_machine(per_side: int):
+    def fit(rows: pa.Table) -> pa.Table:
+        """One machine: (machine, weights, bias) from the texts of its two sides, the per_side with the smallest hashes of each."""
+        machine = rows.column("machine")[0].as_py()
+        order = np.argsort(rows.column("h").to_numpy(), kind="stable")
+        side = rows.column("side").to_numpy()[order]
+        order = np.concatenate([order[side == s][:per_side] for s in (-1, 1)])
+        places, values, y = (rows.column(c).take(pa.array(order)) for c in ("places", "values", "side"))
+        x = np.zeros((len(order), DIMS), np.float32)
+        for row, at, value in zip(x, places.to_pylist(), values.to_pylist(), strict=True):
+            row[np.frombuffer(at, "<u2")] = np.frombuffer(value, "<f4")
+        weights, bias = fit_svm(x, np.arange(len(order)), y.to_numpy())
+        return pa.table({"machine": pa.array([machine], pa.int32()), "weights": pa.array([weights.astype("<f4").tobytes()], pa.binary()), "bias": pa.array([bias], pa.float64())})
+
+    return fit
+
+
+def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> Model | None:
+    """Fit on at most per_lang texts of each language, those with the smallest hashes, whole; None when there is no labelled text with a letter.
+
+    To the driver come the names of the languages and DIMS weights for each pair of families and of languages in a family."""
+    spark = docs.sparkSession
+    prepare(spark)
+    part = docs.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
     sizes = {r["lang"]: r["n"] for r in part.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
-    # Hashes are uniform: a threshold keeps a little over per_lang texts, and no group has to be sorted.
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, (per_lang + 4 * math.sqrt(per_lang)) / n))])
-    chosen = part.where(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).dropDuplicates(["lang", "h"])
-    rows = sorted((r["lang"], r["h"], r["text"]) for r in chosen.collect())
-    seen: dict[str, list[str]] = {}
-    for lang, _, text in rows:
-        if len(seen.setdefault(lang, [])) < per_lang:
-            seen[lang].append(text)
-    names = sorted(seen)
-    x, y = features([t for n in names for t in seen[n]]), np.array([n for n in names for _ in seen[n]])
     families: dict[str, list[str]] = {}
-    for n in names:
+    for n in sorted(sizes):
         families.setdefault(FAMILY_OF.get(n, n), []).append(n)
-    weights, bias = [], []
+    sides: list[tuple[int, str, int, float]] = []  # machine, language, side, share of the language's sample
 
     def machines(groups: dict[str, list[str]]) -> list[tuple[str, str, int]]:
         out, keys = [], sorted(groups)
         for i, a in enumerate(keys):
             for b in keys[i + 1 :]:
-                at = np.flatnonzero(np.isin(y, groups[a] + groups[b]))
-                w, c = fit_svm(x, at, np.where(np.isin(y[at], groups[a]), 1, -1))
-                out.append((a, b, len(bias)))
-                weights.append(w)
-                bias.append(c)
+                number = sides[-1][0] + 1 if sides else 0
+                sides.extend((number, n, sign, 1 / len(groups[g])) for g, sign in ((a, 1), (b, -1)) for n in groups[g])
+                out.append((a, b, number))
         return out
 
     top = machines(families)
     inside = {f: machines({n: [n] for n in ns}) for f, ns in families.items()}
-    return Model(families, np.stack(weights, axis=1) if weights else np.zeros((DIMS, 1), np.float32), np.array(bias or [0.0], np.float32), top, inside)
+    if not sides:
+        return Model(families, np.zeros((DIMS, 1), np.float32), np.zeros(1, np.float32), top, inside)
+    # Hashes are uniform: a threshold keeps a little over per_lang texts, and no language has to be sorted.
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, (per_lang + 4 * math.sqrt(per_lang)) / n))])
+    place = F.pmod("h", F.lit(1 << 30)) / (1 << 30)
+    chosen = part.where(place < share[F.col("lang")]).dropDuplicates(["lang", "h"])
+    sample = materialise(chosen.mapInArrow(_sample_features, "lang string, h bigint, places binary, values binary"), "sample")
+    table = F.broadcast(spark.createDataFrame(sides, "machine int, lang string, side int, part double"))  # a row for each language of each machine
+    dealt = sample.join(table, "lang").where(place < share[F.col("lang")] * F.col("part")).withColumn("h", F.pmod("h", F.lit(1 << 30))).select("machine", "side", "h", "places", "values")
+    fitted = dealt.groupBy("machine").applyInArrow(_fit_machine(per_lang), "machine int, weights binary, bias double").collect()
+    discard(sample)
+    weights, bias = np.zeros((DIMS, sides[-1][0] + 1), np.float32), np.zeros(sides[-1][0] + 1, np.float32)
+    for r in fitted:
+        weights[:, r["machine"]], bias[r["machine"]] = np.frombuffer(r["weights"], "<f4"), r["bias"]
+    return Model(families, weights, bias, top, inside)
 
 
 def _scorer(model):
@@ -189,13 +219,14 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return predict(rows, model, ["doc_id", "held_out"]).select("doc_id", "held_out", F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
 
 
-def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", langs: list[str] | None = None) -> DataFrame:
-    """The rows of docs, all columns as they are, whose text has a language (one of `langs`, where given).
+def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", langs: list[str] | None = None, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text has a language: one of `langs`, where given, and of min_score or more. Rows without a
+    label get the predicted one.
 
-    Any text with a letter has one. With nothing to learn from it is not known which: all texts with a letter stay, or none of `langs`."""
+    With nothing to learn from it is not known which: all texts with a letter stay, or none of `langs`."""
     model = train(docs.where(~held_out(id_col)), text_col=text_col, lang_col=lang_col)
     if model is None and not langs:
         return docs.where(F.col(text_col).rlike("\\p{L}"))
     found = predict(docs, model, docs.columns, text_col=text_col)
-    wanted = F.col("_lang_pred").isin(langs) if langs else F.col("_lang_pred") != UNKNOWN
-    return found.where(wanted).select(*docs.columns)
+    wanted = (F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= min_score) & (F.col("_lang_pred").isin(langs) if langs else F.lit(True))
+    return found.where(wanted).select(*[F.coalesce(F.col(c), F.col("_lang_pred")).alias(c) if c == lang_col else F.col(c) for c in docs.columns])
