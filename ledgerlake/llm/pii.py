@@ -1,5 +1,6 @@
-"""PII surrogates: each detected entity gets a keyed replacement of its own type, format and gender. Names are found and made
-in Latin letters only: after a title, and wherever else a text repeats such a name or a part of it.
+"""PII surrogates: each detected entity gets a keyed replacement of its own type, format, script and gender. Names are found by a title (before them, in
+Chinese after them) and wherever else a text repeats such a name or a part of it; they are made in the script they are written in: Latin, Cyrillic,
+Greek or Chinese.
 
 A surrogate is drawn by a keyed permutation of the entity's own format (cycle-walking Feistel network over its variable part), so within a format
 distinct entities have distinct surrogates and an entity has the same one in every document. A check over the whole corpus then finds surrogates that
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, materialise, prepare, slices
+from .common import discard, fresh, materialise, prepare, slices
 
 KEY = b"change-me"
 ROUNDS = 4
@@ -37,9 +38,12 @@ PATTERNS = {
     "phone": r"(?<![\w+])\+\d{1,3} ?\(\d{1,4}\) ?\d{2,4}[- ]\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ -]\d{2,4}){2,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w+])\+\d{1,3}[ -]\d{6,12}(?!\d)|(?<![\w+])\+\d{8,15}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])",
     "card": r"(?<![\d-])(?:\d{16}|\d{4}(?:[ -])\d{4}(?:[ -])\d{4}(?:[ -])\d{4}|3[47]\d{13}|3[47]\d{2}[ -]\d{6}[ -]\d{5})(?![\d-])",
     "name": r"(?<!\w)(?:Mr|Mrs|Ms|Mister|Herr|Frau|Monsieur|Madame|Señora|Señor)\.? (?P<name_value>[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?: [A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?)",
+    "name_cyrl": r"(?<!\w)(?:[Гг]осподин|[Гг]оспожа|[Гг]-н|[Гг]-жа) (?P<name_cyrl_value>[А-ЯЁ][а-яё]+(?: [А-ЯЁ][а-яё]+)?)",
+    "name_grek": r"(?<!\w)(?:[Κκ]ύριος|[Κκ]ύριο|[Κκ]υρία|[Κκ]ος|[Κκ]α)\.? (?P<name_grek_value>[Ά-Ω][ΐά-ώ]+(?: [Ά-Ω][ΐά-ώ]+)?)",
+    "name_hani": r"(?P<name_hani_value>[王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗梁宋郑谢韩唐冯于董萧程曹袁邓许傅沈曾彭吕][\u4e00-\u9fff]{1,2})(?=先生|女士|小姐)",
 }
 # A detected entity needs one of these: texts without them are not searched.
-HINT = re.compile(r"[@\d]|AKIA|ASIA|(?:Mr|Ms|Mister|Herr|Frau|Monsieur|Madame|Señor)")
+HINT = re.compile(r"[@\d]|AKIA|ASIA|(?:Mr|Ms|Mister|Herr|Frau|Monsieur|Madame|Señor)|[Гг](?:осп|-н|-жа)|[Κκ](?:ύρι|υρία|ος|α)|先生|女士|小姐")
 FINDER = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
 
 # Parts of invented names, so that a surrogate is no one's, by gender; family names serve both.
@@ -47,7 +51,17 @@ FEMALE = "Adela Berta Celia Dora Elena Flora Greta Hilda Irina Julia Klara Laura
 MALE = "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Marco Nils Oskar Pablo Rolf Simon Theo Viktor".split()
 FAMILY_HEADS = "Al Bar Cor Dan El Fal Gar Hol Ing Jar Kel Lin Mor Nor Or Par Ros Sel Tor Ver".split()
 FAMILY_TAILS = "berg dal den feld gard hurst lin mann more ner rick sen ström ton vall wald wick win wood zon".split()
-FEMALE_TITLES = {"Mrs", "Ms", "Frau", "Madame", "Señora"}
+FEMALE_TITLES = {"Mrs", "Ms", "Frau", "Madame", "Señora", "госпожа", "г-жа", "κυρία", "κα", "女士", "小姐"}
+# By script: female and male first names, heads of family names, and their tails for women and men. Chinese: given names' characters, then family names.
+CYRILLIC = (
+    "Агата Белла Вера Галина Дина Ева Жанна Зоя Инна Клара Лада Майя Нина Ольга Полина Римма Софья Тамара Ульяна Яна".split(), "Антон Борис Вадим Глеб Денис Егор Захар Игорь Кирилл Лев Марк Назар Олег Павел Роман Семён Тарас Фёдор Юрий Яков".split(),
+    "Бар Вал Гор Дар Ел Жар Зим Кал Лос Мор Нев Ор Пол Рад Сол Тур Ур Фад Хар Шер".split(), "ова ева ина ская инская енкова акова ыкова ушина янова".split(), "ов ев ин ский инский енков аков ыков ушин янов".split(),
+)
+GREEK = (
+    "Άννα Βασιλική Γεωργία Δήμητρα Ελένη Ζωή Ηρώ Θεοδώρα Ιωάννα Κλειώ Λυδία Μαρία Νεφέλη Ξένια Ουρανία Ράνια Σοφία Τατιάνα Φωτεινή Χρύσα".split(), "Άρης Βασίλης Γιάννης Δήμος Ερμής Ζήσης Ηλίας Θάνος Ιάσονας Κώστας Λευτέρης Μάνος Νίκος Ορέστης Πέτρος Ρήγας Σταύρος Τάσος Φώτης Χάρης".split(),
+    "Αλ Βαρ Γαλ Δημ Ελ Ζαχ Θεοδ Καλ Λαμ Μαυρ Νικ Ορ Παπ Ρεν Σταμ Τριαντ Φιλ Χατζ Ψαρ Ωρ".split(), "ίδου άκη οπούλου άτου έα ούλη ίτση άρη ιάδου έλλη".split(), "ίδης άκης όπουλος άτος έας ούλης ίτσης άρης ιάδης έλλης".split(),
+)
+HAN_GIVEN, HAN_FAMILY = ("芳娟敏静丽艳娜玲婷雪梅兰莉慧颖琳", "伟强磊军洋勇杰涛明超刚平辉鹏华飞"), "王李张刘陈杨赵黄周吴徐孙胡朱高林"
 
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 
@@ -162,8 +176,19 @@ def _mixed(key: bytes, kind: str, text: str, steps: int) -> str:
 
 
 def _name(key: bytes, text: str, steps: int, female: bool) -> str:
-    """First and family name (or family name alone) by a keyed hash; the check over the corpus keeps them apart."""
+    """First and family name (or family name alone) by a keyed hash, in the script of text; the check over the corpus keeps them apart."""
     said = int.from_bytes(hmac.new(key, f"name/{female}/{steps}/{text}".encode(), hashlib.sha256).digest(), "big")
+    if "\u4e00" <= text[0] <= "\u9fff":
+        given, said = HAN_GIVEN[not female], said // 16
+        return HAN_FAMILY[said % 16] + "".join(given[said // 16**k % 16] for k in range(1, max(1 + min(steps, 3), len(text) - 1) + 1))
+    if text[0] >= "\u0370":
+        first, second, heads, *tails = CYRILLIC if text[0] >= "\u0400" else GREEK
+        name, said = (first if female else second)[said % 20], said // 20
+        family, said = heads[said % 20], said // 20
+        for _ in range(2 * min(2, steps)):
+            family, said = family + heads[said % 20].lower(), said // 20
+        family += tails[not female][said % 10]
+        return f"{name} {family}" if " " in text else family
     first, said = (FEMALE if female else MALE)[said % 20], said // 20
     family = FAMILY_HEADS[said % 20] + FAMILY_TAILS[said // 20 % 20]
     for _ in range(2 * min(2, steps)):  # longer names once the short ones collide
@@ -196,8 +221,9 @@ def _titled(text: str) -> Iterator[tuple[str, int, int]]:
             if end == start:
                 at = start + 4
                 continue
-        if kind == "name":
-            kind = "name_f" if re.split(r"[. ]", m["name"])[0] in FEMALE_TITLES else "name_m"
+        if kind.startswith("name"):
+            title = text[end : end + 2] if kind == "name_hani" else re.split(r"[. ]", m[kind])[0]
+            kind = "name_f" if title in FEMALE_TITLES or title.lower() in FEMALE_TITLES else "name_m"
         yield kind, start, end
 
 
@@ -225,7 +251,9 @@ def find(text: str | None) -> Iterator[tuple[str, int, int, str, int | None]]:
         who.setdefault(e, person)
     for k, e in named:
         who.setdefault(e, (k, e, None))
-    bare = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(who, key=len, reverse=True)))})(?!\w)")
+    longest = sorted(who, key=len, reverse=True)
+    spaced, dense = ("|".join(re.escape(e) for e in longest if ("\u4e00" <= e[0] <= "\u9fff") is han) for han in (False, True))  # Chinese has no word ends
+    bare = re.compile("|".join(x for x in (spaced and rf"(?<!\w)(?:{spaced})(?!\w)", dense) if x))
     at = 0
     for k, a, b, e, _ in [*spans, ("", len(text), len(text), "", None)]:
         for m in bare.finditer(text, at, a):
@@ -284,13 +312,17 @@ def collisions(found: DataFrame, key: bytes = KEY, rounds: int = 30) -> DataFram
         return pd.Series([surrogate(k, e, s, key) for k, e, s in zip(kinds, entities, steps, strict=True)], dtype=object)
 
     real = materialise(found.groupBy("kind", "entity").agg(F.lit(0).alias("steps")), "entities")
-    state = real
+    state, before = real, None
     for _ in range(rounds):
         drawn = materialise(state.withColumn("new", draw("kind", "entity", "steps")), "surrogates")
+        if before is not None:
+            discard(before)
+        before = drawn
         taken = drawn.groupBy("new").agg(F.min(F.struct("steps", "entity", "kind")).alias("first"), F.count("*").alias("n"))
         clash = taken.join(real.select(F.col("entity").alias("new"), F.lit(True).alias("real")).distinct(), "new", "left").where("n > 1 or real")
         bad = drawn.join(clash, "new").where("real or first.entity <> entity or first.kind <> kind").select("kind", "entity", F.lit(1).alias("bad"))
         if not bad.limit(1).count():
+            discard(real)
             return drawn.where("steps > 0").select("kind", "entity", "steps")
         state = drawn.join(bad, ["kind", "entity"], "left").select("kind", "entity", (F.col("steps") + F.coalesce("bad", F.lit(0))).alias("steps"))
     raise RuntimeError("surrogates still collide")
@@ -310,15 +342,15 @@ def _rewriter(key: bytes, moved):
     return rewrite
 
 
-def with_surrogates(docs: DataFrame, *, key: bytes = KEY, text_col: str = "text") -> tuple[DataFrame, str]:
+def with_surrogates(docs: DataFrame, *, key: bytes = KEY, text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, str]:
     """docs with a further struct column (its name is the second value): text, the rewritten text, and n, the number of replaced mentions.
 
-    Null and empty texts stay as they are with n = 0; repeated rows, ids and other columns are untouched. A few moved entities are broadcast;
-    from BROADCAST_ROWS on each row is joined with its own."""
+    Null and empty texts stay as they are with n = 0; repeated rows, ids and other columns are untouched. Up to broadcast_rows moved entities
+    are told to every task; beyond that each row is joined with its own."""
     spark, out, own = docs.sparkSession, fresh(docs, "rewritten"), fresh(docs, "moves")
     moved = collisions(mentions(docs, F.lit(0), text_col), key)
     kind = "array<struct<kind:string,entity:string,steps:int>>"
-    if moved.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if moved.limit(broadcast_rows + 1).count() <= broadcast_rows:
         common = spark.sparkContext.broadcast({(r["kind"], r["entity"]): r["steps"] for r in moved.collect()})
         return docs.withColumn(out, _rewriter(key, common)(F.col(text_col), F.lit(None).cast(kind))), out
     row = fresh(docs, "row")
@@ -328,9 +360,9 @@ def with_surrogates(docs: DataFrame, *, key: bytes = KEY, text_col: str = "text"
     return joined.withColumn(out, _rewriter(key, spark.sparkContext.broadcast({}))(F.col(text_col), F.col(own))).drop(row, own), out
 
 
-def replace_pii(docs: DataFrame, *, key: bytes = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def replace_pii(docs: DataFrame, *, key: bytes = KEY, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, text with surrogates, n_entities of every row."""
-    frame, out = with_surrogates(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), key=key)
+    frame, out = with_surrogates(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), key=key, broadcast_rows=broadcast_rows)
     return frame.select("doc_id", F.col(out)["text"].alias("text"), F.col(out)["n"].alias("n_entities"))
 
 

@@ -100,6 +100,38 @@ def test_pii_surrogates(spark):
     assert len(drawn) == 3000  # a permutation: no two alike
 
 
+def test_names_keep_their_script_and_gender(spark):
+    texts = [
+        "Вчера господин Иван Петров пришёл, и Петров сел. Госпожа Анна Смирнова молчала.",
+        "Ο κύριος Νίκος Παππάς μίλησε. Η κυρία Μαρία Παππά όχι. Νίκος Παππάς!",
+        "昨天王小明先生来了，李红女士没来。王小明很高兴。",
+    ]
+    got = [r["text"] for r in pii.replace_pii(docs(spark, list(enumerate(texts)))).orderBy("doc_id").collect()]
+    m = re.match(r"Вчера господин (\w+) (\w+) пришёл, и (\w+) сел\. Госпожа (\w+) (\w+) молчала\.", got[0])
+    assert m and m[1] in pii.CYRILLIC[1] and m[2] == m[3] != "Петров" and m[4] in pii.CYRILLIC[0] and m[5].endswith("а") and re.fullmatch("[А-Яа-яёЁ]+", m[2])
+    m = re.match(r"Ο κύριος (\w+) (\w+) μίλησε\. Η κυρία (\w+) (\w+) όχι\. (\w+) (\w+)!", got[1])
+    assert m and m[1] in pii.GREEK[1] and m[3] in pii.GREEK[0] and (m[1], m[2]) == (m[5], m[6])
+    m = re.match(r"昨天(\w\w\w)先生来了，(\w\w)女士没来。(\w\w\w)很高兴。", got[2])
+    assert m and m[1] == m[3] != "王小明" and m[2][1] in pii.HAN_GIVEN[0] and m[1][1] in pii.HAN_GIVEN[1]
+
+
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_moved_surrogates_reach_their_texts_either_way(spark, broadcast_rows):
+    """Distinct entities stay distinct, equal ones equal, and no surrogate is an entity of the corpus, by a check over all of them."""
+    rng = random.Random(14)
+    people = [f"Frau {a}{b}" for a in ("Ada", "Bea", "Cle", "Dor", "Eva", "Flo") for b in ("berg", "dal", "den", "feld", "gard", "lin", "man", "ner", "sen", "ton", "wald", "wick")]
+    people += [f"Frau {h}{t}" for h in pii.FAMILY_HEADS[:4] for t in pii.FAMILY_TAILS[:6]]  # names that surrogates may have
+    texts = [" und ".join(rng.sample(people, 6)) for _ in range(60)]
+    out = {r["doc_id"]: r["text"] for r in pii.replace_pii(docs(spark, list(enumerate(texts))), broadcast_rows=broadcast_rows).collect()}
+    new: dict[str, set[str]] = {}
+    for i, t in enumerate(texts):
+        for old, made in zip(t.split(" und "), out[i].split(" und "), strict=True):
+            new.setdefault(old, set()).add(made)
+    assert all(len(x) == 1 for x in new.values()) and len({y for x in new.values() for y in x}) == len(new)
+    assert not {y for x in new.values() for y in x} & set(people)
+    assert pii.replace_pii(docs(spark, [])).count() == 0
+
+
 def test_name_surrogates_stay_distinct(spark):
     names = [f"Mr {a}{b} {c}{d}" for a in "ABCD" for b in ("ab", "eb", "ib", "ob", "ub") for c in "KLMN" for d in ("arl", "erl", "irl", "orl", "url")]
     out = pii.replace_pii(docs(spark, list(enumerate(names)))).collect()
