@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import jpeg
 from .common import materialise, prepare, slices
 
 SIDE = 32  # samples along each edge of a frame
@@ -22,6 +23,7 @@ FRAME = SIDE * SIDE
 FPS = 25
 BINS = 16
 PAD = 64
+MOST_BYTES = 900 << 20
 SIZES = range(8, -1, -1)  # sizes of a DC difference, in the order of their code lengths 7..15
 
 
@@ -69,12 +71,17 @@ def encode_frames(payload: bytes) -> list[bytes]:
     return [HEAD + w.tobytes() + TAIL for w in words]
 
 
-def decode_frame(jpeg: bytes) -> np.ndarray:
-    """The samples (one for each 8x8 block) of one image that encode_frames wrote."""
-    if not (jpeg.startswith(HEAD) and jpeg.endswith(TAIL)):
-        raise ValueError("not a frame of flat blocks with the tables of this module")
-    diffs = DIFFS[np.frombuffer(jpeg, ">u2", FRAME, len(HEAD))]
-    return np.cumsum(diffs, dtype=np.int16) + 128
+def decode_frame(image: bytes) -> np.ndarray:
+    """The samples of one image, one for each 8x8 block: of an image that encode_frames wrote by table, of any other by decoding it (the block's mean
+    luminance; blocks at the edges are what is there of them)."""
+    if image.startswith(HEAD) and image.endswith(TAIL):
+        diffs = DIFFS[np.frombuffer(image, ">u2", FRAME, len(HEAD))]
+        return np.cumsum(diffs, dtype=np.int16) + 128
+    plane = jpeg.decode(image)[0].astype(np.float64)
+    rows, columns = (np.arange(0, n, 8) for n in plane.shape)
+    sums = np.add.reduceat(np.add.reduceat(plane, rows, axis=0), columns, axis=1)
+    sizes = np.diff(np.append(rows, plane.shape[0]))[:, None] * np.diff(np.append(columns, plane.shape[1]))
+    return np.rint(sums / sizes).astype(np.int16).reshape(-1)
 
 
 def _chunk(name: bytes, body: bytes) -> bytes:
@@ -86,7 +93,9 @@ def _list(kind: bytes, *parts: bytes) -> bytes:
 
 
 def write_avi(payload: bytes) -> bytes:
-    """A RIFF AVI: header lists, the payload's length in an INFO comment, one 00dc chunk a frame, an idx1 index."""
+    """Of up to MOST_BYTES (twice as much media fits one cell of a table and RIFF's 32-bit sizes; more raises), a RIFF AVI: header lists, the payload's length in an INFO comment, one 00dc chunk a frame, an idx1 index."""
+    if len(payload) > MOST_BYTES:
+        raise ValueError(f"a payload of {len(payload)} bytes is over {MOST_BYTES}")
     frames, edge = encode_frames(payload), SIDE * 8
     largest = max(map(len, frames), default=0)
     avih = struct.pack("<14I", 1_000_000 // FPS, largest * FPS, 0, 0x10, len(frames), 0, 1, largest, edge, edge, 0, 0, 0, 0)
@@ -127,7 +136,7 @@ def read_riff(avi: bytes) -> dict:
 
 
 def read_avi(avi: bytes) -> tuple[bytes, np.ndarray, int]:
-    """(payload, frames x samples, microseconds a frame)."""
+    """(payload, frames x samples, microseconds a frame). The payload of a file that names no length is all its samples."""
     riff = read_riff(avi)
     frames = np.stack([decode_frame(avi[a : a + n]) for a, n in riff["frames"]]) if riff["frames"] else np.zeros((0, FRAME), np.int16)
     samples = frames.astype(np.uint8)
@@ -141,7 +150,7 @@ def find_shots(frames: np.ndarray, window: int = 8, ratio: float = 2.0, least: f
     if n == 0:
         return []
     hist = np.bincount((np.arange(n)[:, None] * BINS + (frames >> 4)).reshape(-1), minlength=n * BINS).reshape(n, BINS)
-    diff = np.abs(np.diff(hist, axis=0)).sum(axis=1) / (2 * FRAME)
+    diff = np.abs(np.diff(hist, axis=0)).sum(axis=1) / (2 * frames.shape[1])
     cuts = []
     for i, d in enumerate(diff):
         near = np.concatenate([diff[max(0, i - window // 2) : i], diff[i + 1 : i + 1 + window // 2]])

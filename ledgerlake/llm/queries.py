@@ -46,7 +46,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_media_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_features(media.store_text(read_table(spark, sf_dir, "documents"))).drop("clips")
+    return media.media_features(media.store_text(read_table(spark, sf_dir, "documents")))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerlake.llm import common, decontam, langid, media, minhash, order, packing, pii, simhash, suffix, tokens, url_filter, warc
+from ledgerlake.llm import common, decontam, jpeg, langid, media, minhash, order, packing, pii, simhash, suffix, tokens, url_filter, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, _text string"
 ODD = [(1, None), (2, ""), (3, "   \n\t "), (3, "   \n\t "), (None, "ein Wort"), (5, "the the the the the the the"), (6, "x" * 5000), (7, "Straße été ¿qué? 日本 \x00\x1c end")]
@@ -100,6 +100,45 @@ def test_pii_surrogates(spark):
     assert len(drawn) == 3000  # a permutation: no two alike
 
 
+@pytest.mark.parametrize("size,grey", [((40, 24), True), ((37, 21), False), ((64, 48), False), ((9, 7), True)])
+def test_foreign_images_decode_as_the_platform_decodes_them(spark, size, grey):
+    """Images written and read by Java's own codec, with colour subsampling, many tables and edges that are no multiple of a block."""
+    jvm, (width, height) = spark._jvm, size
+    image = jvm.java.awt.image.BufferedImage(width, height, 10 if grey else 1)
+    rng = random.Random(width)
+    for y in range(height):
+        for x in range(width):
+            v = [(5 * x + 3 * y + 40 * (x // 16) + rng.randint(0, 30)) % 256 for _ in range(3)]
+            image.setRGB(x, y, v[0] << 16 | (v[0] if grey else v[1]) << 8 | (v[0] if grey else v[2]))
+    out = jvm.java.io.ByteArrayOutputStream()
+    assert jvm.javax.imageio.ImageIO.write(image, "jpg", out)
+    data = bytes(out.toByteArray())
+    planes = jpeg.decode(data)
+    assert planes[0].shape == (height, width)
+    raster = jvm.javax.imageio.ImageIO.read(jvm.java.io.ByteArrayInputStream(out.toByteArray())).getRaster()
+    if grey:
+        theirs = np.array([[raster.getSample(x, y, 0) for x in range(width)] for y in range(height)])
+        assert np.abs(theirs - planes[0].astype(int)).max() <= 1
+    else:  # luminance of what the platform shows; colours are rounded and cut off on the way
+        theirs = np.array([[0.299 * raster.getSample(x, y, 0) + 0.587 * raster.getSample(x, y, 1) + 0.114 * raster.getSample(x, y, 2) for x in range(width)] for y in range(height)])
+        assert np.median(np.abs(theirs - planes[0])) <= 1.5
+    assert len(media.decode_frame(data)) == -(-width // 8) * -(-height // 8)
+    # the same codes without their tables: the platform writes the standard's
+    bare, at = data[:2], 2
+    while data[at + 1] != 0xDA:
+        end = at + 2 + int.from_bytes(data[at + 2 : at + 4], "big")
+        bare += b"" if data[at + 1] == 0xC4 else data[at:end]
+        at = end
+    assert all((a == b).all() for a, b in zip(jpeg.decode(bare + data[at:]), planes, strict=True))
+
+
+def test_images_of_the_store_decode_both_ways():
+    frame = media.encode_frames(bytes(range(256)) * 4)[0]
+    assert (jpeg.decode(frame)[0][::8, ::8].reshape(-1) == np.arange(1024) % 256).all() and (media.decode_frame(frame) == np.arange(1024) % 256).all()
+    with pytest.raises(ValueError):
+        jpeg.decode(frame[:700])
+
+
 def test_names_keep_their_script_and_gender(spark):
     texts = [
         "Вчера господин Иван Петров пришёл, и Петров сел. Госпожа Анна Смирнова молчала.",
