@@ -40,7 +40,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     digest = xxhash.xxh64_intdigest
     n = len(words) - k + 1
     values = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[k - 1 :].tolist(), strict=True)), np.uint64, n)
-    counts = np.zeros(64, np.int64)
+    return majority(values)
+
+
+def majority(values: np.ndarray) -> int:
+    """The bits that over half of the hashes have set."""
+    counts, n = np.zeros(64, np.int64), len(values)
     for at in range(0, n, 1 << 16):
         counts += np.unpackbits(values[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
