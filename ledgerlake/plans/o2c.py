@@ -7,11 +7,15 @@ the shuffles.
 
 from __future__ import annotations
 
+import time
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .stages import children
+
 c = F.col
 START = "1998-01-01"
 REPLACEMENT = "�"  # what a broken encoding leaves
@@ -439,16 +443,34 @@ def effective_receipts(matched: DataFrame, base: DataFrame, replaced: DataFrame)
     return matched.join(moved, ["invoice_no", "item_no"], "left").select(*matched.columns, F.coalesce("_new", "invoice_no").alias("effective_invoice_no"))
 
 
-def refresh(t, receipts_raw: DataFrame, path: str, optional: dict | None = None) -> dict[str, str]:
-    """Write the six steps in order below path, each from the files of those before; optional steps may fail without stopping the rest.
+@dataclass(frozen=True)
+class Step:
+    """What became of a step of a refresh: written, or failed with its error; and how long it took."""
+
+    step: str
+    outcome: str
+    seconds: float
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """The newest whole refresh below path, which is what readers open; None before the first."""
+    whole = [v for v in children(spark, path) if v.startswith("v") and "_whole" in children(spark, f"{path}/{v}")]
+    return f"{path}/v{max(int(v[1:]) for v in whole)}" if whole else None
+
+
+def refresh(t, receipts_raw: DataFrame, path: str, optional: dict | None = None) -> list[Step]:
+    """Write the six steps in order into the next version below path, each from the files of those before; optional steps may fail without stopping
+    the rest. A version is marked whole at the end, which switches readers over at once; a refresh that fails leaves the last one in place.
 
-    t has the ledger tables as attributes. Returns the outcome of each step."""
-    spark, done = receipts_raw.sparkSession, {}
+    t has the ledger tables as attributes."""
+    spark, done = receipts_raw.sparkSession, []
+    at = f"{path}/v{max([int(v[1:]) for v in children(spark, path) if v.startswith('v')], default=-1) + 1}"
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-        done[name] = "written"
-        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+        began = time.monotonic()
+        df.write.parquet(f"{at}/{name}")
+        done.append(Step(name, "written", time.monotonic() - began))
+        return spark.read.schema(df.schema).parquet(f"{at}/{name}")
 
     headers = write("headers", invoice_headers(t.invoice_header, t.memo_header, t.customer_ref))
     lines = write("lines", invoice_lines(t.invoice_line, headers, t.item_rename))
@@ -457,8 +479,10 @@ def refresh(t, receipts_raw: DataFrame, path: str, optional: dict | None = None)
     memos = write("memos", credit_memos(t.memo_header, headers))
     write("bridge", bridge(headers, lines, matched, memos, t.memo_line, t.item_rename, t.item_card, t.site))
     for name, step in (optional or {}).items():
+        began = time.monotonic()
         try:
-            write(name, step(spark, path))
+            write(name, step(spark, at))
         except Exception as e:  # an optional step's failure is reported, not raised
-            done[name] = f"failed: {type(e).__name__}"
+            done.append(Step(name, f"failed: {type(e).__name__}", time.monotonic() - began))
+    spark.createDataFrame([(s.step, s.outcome, s.seconds) for s in done], "step string, outcome string, seconds double").coalesce(1).write.parquet(f"{at}/_whole")
     return done
