@@ -13,6 +13,8 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 import zstandard
@@ -141,22 +143,27 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every record at the place that the index names, frame by frame."""
     names = [x.split(" ")[0] for x in RECORDS.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
     for batch in batches:
-        for bundle in batch.column(0):
-            data = bundle.as_py()
-            for frame in seek_table(data):
-                rows = []
-                for head, block in parse_records(read_frame(data, frame)):
+        for bundle, index in zip(batch.column(0), batch.column(1), strict=True):
+            data, places = bundle.as_py(), index.as_py()
+            table = seek_table(data)
+            for number, group in groupby(places, key=itemgetter("frame")):
+                frame, rows = read_frame(data, table[number]), []
+                for place in group:
+                    [(head, block)] = parse_records(frame[place["offset"] : place["offset"] + place["length"]])
                     http, _, payload = block.partition(b"\r\n\r\n")
                     size = int(http.rpartition(b"Content-Length: ")[2])
                     revisit = head["WARC-Type"] == "revisit"
                     stated = base64.b32decode(head["WARC-Payload-Digest"][5:]).hex()
+                    if head["WARC-Record-ID"][1:-1] != place["record_id"]:
+                        raise ValueError(f"{place['record_id']}: another record stands at its place")
                     if not revisit and (len(payload) != size or hashlib.sha1(payload).hexdigest() != stated):
                         raise ValueError(f"{head['WARC-Record-ID']}: the payload is not the one that was written")
-                    number = lambda k: int(head[k]) if k in head else None
-                    rows.append((number("Page-Id"), size, stated, head["WARC-Type"], number("Refers-To-Page-Id"), head.get("WARC-Target-URI"), head["WARC-Record-ID"][1:-1], None if revisit else payload))
+                    number_of = lambda k: int(head[k]) if k in head else None
+                    rows.append((number_of("Page-Id"), size, stated, head["WARC-Type"], number_of("Refers-To-Page-Id"), head.get("WARC-Target-URI"), head["WARC-Record-ID"][1:-1], None if revisit else payload))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
@@ -182,7 +189,7 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
     """Every record of the bundles: ids, payload length and digest, type, reference, url, payload (null for revisits). Response payloads are
     checked against their digest."""
     prepare(bundles.sparkSession)
-    return bundles.select("data").mapInArrow(_unpack, RECORDS)
+    return bundles.select("data", F.expr("transform(index, x -> named_struct('record_id', x.record_id, 'frame', x.frame, 'offset', x.offset, 'length', x.length))").alias("places")).mapInArrow(_unpack, RECORDS)
 
 
 def record_index(bundles: DataFrame) -> DataFrame:
