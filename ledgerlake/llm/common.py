@@ -94,7 +94,7 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, pieces: in
     counts = known.groupBy(key).agg(F.count("*").alias("n"))
     limit = max(LEAST_PIECE, (counts.agg(F.sum("n")).first()[0] or 0) // pieces)
     hot = [(r[key], -(-r["n"] // limit)) for r in counts.where(F.col("n") > limit).collect()]
-    salts, salt = fresh(left, "salts"), fresh(left, "salt")
+    salts, salt = (next(c for c in (f"{name}_{k}" for k in range(len(left.columns) + len(right.columns) + 1)) if c not in {x.lower() for x in (*left.columns, *right.columns)}) for name in ("salts", "salt"))
     table = F.broadcast(spark.createDataFrame(hot, f"`{key}` {left.schema[key].dataType.simpleString()}, `{salts}` bigint"))
     dealt = known.join(table, key, "left").withColumn(salt, F.pmod(F.xxhash64(by), F.coalesce(F.col(salts), F.lit(1)))).drop(salts)
     copies = right.where(F.col(key).isNotNull()).join(table, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(salts), F.lit(1)) - 1))).drop(salts)

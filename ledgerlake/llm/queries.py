@@ -12,44 +12,54 @@ URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net"
 
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences in a keyed order, written as shards and read back."""
     return order.list_shards(order.write_shards(read_table(spark, sf_dir, "documents")))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the labelled ones that are not held out."""
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which benchmark items each document covers."""
     return decontam.find_contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written to bundles and read back through their index."""
     planned = warc.plan_revisits(read_table(spark, sf_dir, "pages"))
     return warc.read_bundles(warc.write_bundles(planned)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of its personal data and secrets."""
     return pii.replace_pii(read_table(spark, sf_dir, "documents"))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the strings of 400 bytes that start anywhere else."""
     return suffix.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page by the rules above."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and group of every document."""
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def op9_media_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as motion-JPEG, with what its stored bytes give back and its timed clips."""
     return media.media_features(media.store_text(read_table(spark, sf_dir, "documents")))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2048 tokens."""
     return packing.pack_sequences(read_table(spark, sf_dir, "documents"))
 
 

@@ -561,3 +561,65 @@ def test_texts_with_a_letter_stay_without_a_model(spark):
     kept = langid.keep_identified(docs(spark, [*ODD, (9, "12 34!"), (10, "日本")]))
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([None, 5, 6, 7, 10]) and kept.columns == docs(spark, []).columns
     assert langid.keep_identified(docs(spark, ODD).drop("_text"), langs=["de"]).count() == 0
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    assert media.media_features(media.store_text(docs(spark, []))).count() == 0 and media.clip_rows(media.media_features(media.store_text(docs(spark, [])))).count() == 0
+    kind = "page_id long, url string, html string, payload int, digest int, keeper int, revisit int, salt int"
+    clash = spark.createDataFrame([(1, "u", "x" * 2000, 1, 1, 1, 1, 1), (2, "u", "x" * 2000, 1, 1, 1, 1, 1), (3, None, None, 1, 1, 1, 1, 1)], kind)
+    got = warc.read_bundles(warc.write_bundles(warc.plan_revisits(clash))).collect()
+    assert {(r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in got} == {(1, "revisit", 2, 2000), (2, "response", None, 2000), (3, "response", None, 0)}
+    bundles = warc.write_bundles(warc.plan_revisits(clash))
+    ids = warc.record_index(bundles).where("page_id = 2").select("record_id")
+    [(head, block)] = warc.parse_records(warc.read_records(bundles, ids.union(ids)).first()["record"])
+    assert head["Page-Id"] == "2" and block.endswith(b"x" * 2000)
+    assert warc.read_bundles(warc.write_bundles(warc.plan_revisits(clash.limit(0)))).count() == 0
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Each stage's decision by a plain reading of its rule, over documents with every case, and the texts that the last stage packs."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    say = lambda n: " ".join(rng.choice(["the", "of", "and", "house", "water", "thing"]) + rng.choice("abcdefgh") * rng.randint(0, 3) for _ in range(n))
+    sage = lambda n: " ".join(rng.choice(["der", "und", "nicht", "haus", "wasser", "ding"]) + rng.choice("äöüß") * rng.randint(0, 3) for _ in range(n))
+    item = say(40)
+    rows = [(k, say(60), "en") for k in range(40)] + [(100 + k, sage(60), "de") for k in range(40)]
+    rows += [(200, None, "en"), (201, "12 34!", None), (202, "", "en"), (210, say(90), None)]
+    base = rows[3][1].split()
+    rows += [(300, rows[3][1], "en"), (301, " ".join([*base[:59], "changed"]), "en"), (302, " ".join(base[:30] + say(30).split()), "en")]
+    moved = item.split()
+    rows += [(400, f"{say(10)} {' '.join(moved[20:])} {say(3)} {' '.join(moved[:20])}", "en"), (401, f"{say(30)} {' '.join(moved[:20])}", "en")]
+    rows += [(500, f"{say(20)} mail anna.bell@example.org {say(20)}", "en")]
+    spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out, frames = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, out, str(tmp_path))
+        frames[name] = out.collect()
+        if name != "pack":
+            assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+            out = spark.createDataFrame(frames[name], out.schema)
+    ids = {name: {r["doc_id"] for r in got} for name, got in frames.items()}
+    assert ids["language_id"] == {i for i, t, _ in rows if t and re.search("[a-z]", t)}
+    assert {r["doc_id"]: r["lang"] for r in frames["language_id"]}[210] == "en"
+    texts = {i: t for i, t, _ in rows}
+
+    def alike(a, b):
+        x, y = (set(zip(*[t.split()[k:] for k in range(5)], strict=False)) for t in (texts[a], texts[b]))
+        return len(x & y) >= 0.8 * len(x | y)
+
+    left = sorted(ids["language_id"])
+    assert ids["near_duplicates"] == {i for i in left if not any(alike(j, i) for j in left if j < i)} and not {300, 301} & ids["near_duplicates"] and 302 in ids["near_duplicates"]
+
+    def covers(text):
+        return sum(k for *_, k in brute_tiles(item.split(), text.split(), 5)) >= 0.8 * len(item.split())
+
+    assert ids["decontaminate"] == {i for i in ids["near_duplicates"] if not covers(texts[i])} and 401 in ids["decontaminate"] and 400 not in ids["decontaminate"]
+    masked = {r["doc_id"]: r["text"] for r in frames["replace_pii"]}
+    assert masked.keys() == ids["decontaminate"] and "anna.bell" not in masked[500] and all(masked[i] == texts[i] for i in masked if i != 500)
+    code = tokens.encoder(tokens.tokenizer_path())
+    packed = frames["pack"]
+    want = Counter((i, zlib.crc32(np.append(code.ids(t), 0).astype("<u4").tobytes())) for i, t in masked.items())
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in packed) == want and max(r["offset"] + r["length"] for r in packed) <= 2048
+    assert sorted(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "length", "ids_crc32").collect()) == sorted((r["doc_id"], r["length"], r["ids_crc32"]) for r in packed)
