@@ -16,7 +16,7 @@ def read_pages(spark: SparkSession, path: str, static_filter: str | None = None,
 
 
 def dangling_links(spark: SparkSession, path: str) -> DataFrame:
-    """next_link of landed pages that name a page which has not landed: a pull that stopped half-way. Pages carry their own name as `page`."""
+    """next_link of landed pages that name a page which has not landed: a pull that stopped half-way. A page's folder has its name (`page=...`)."""
     pages = spark.read.schema("page string, `@odata.nextLink` string").option("multiLine", True).json(path)
     links = pages.select(F.col("`@odata.nextLink`").alias("next_link")).where("next_link is not null").distinct()
     return links.join(pages.select(F.col("page").alias("next_link")), "next_link", "left_anti")
@@ -35,10 +35,11 @@ def service_key(family: str, business_key: list[str]) -> list[str]:
 
 
 def land_pages(rows: DataFrame, page_of, path: str, next_of=None) -> None:
-    """Write rows as pages of records, one JSON document a page. page_of: a column with the page's number, which bounds what a page holds."""
+    """Write rows as pages of records, one JSON document a file, in a folder for each page. page_of: a column with the page's number, which bounds what a
+    page holds."""
     numbered = rows.select(page_of.cast("string").alias("page"), F.struct("*").alias("r"), *([next_of.alias("@odata.nextLink")] if next_of is not None else []))
     link = [F.max("`@odata.nextLink`").alias("@odata.nextLink")] if next_of is not None else []
-    numbered.groupBy("page").agg(F.collect_list("r").alias("value"), *link).write.json(path)
+    numbered.groupBy("page").agg(F.collect_list("r").alias("value"), *link).write.partitionBy("page").json(path)
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, wanted: dict[str, str], key: list[str]) -> DataFrame:

@@ -198,3 +198,13 @@ def test_receipts_of_several_customers_meet_each_one(spark):
     headers = spark.createDataFrame([("I1", "C2", "P", "I1", "AHD", "00001", date(2024, 1, 1), False), ("I9", "C9", "P", "I9", "AHD", "00001", date(2024, 1, 2), False)], "invoice_no string, customer_no string, po_number_u string, inv_norm string, branch string, num5 string, invoice_date date, cancelled boolean")
     lines = spark.createDataFrame([], "invoice_no string, item_no string, invoiced_qty int")
     assert rows(o2c.match_receipts(receipts, headers, lines), "row_id", "invoice_no", "match_method") == [(1, "I1", "invoice_core+po"), (2, None, None)]
+
+
+def test_landed_pages_are_read_whole(spark):
+    import uuid
+
+    folder = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    rows_ = spark.range(50).withColumn("v", F.col("id") * 2)
+    pages.land_pages(rows_.coalesce(1), F.floor(F.col("id") / 7), folder, (F.floor(F.col("id") / 7) + 1).cast("string"))
+    got = pages.read_pages(spark, folder, "v < 80 or false", "struct<id:bigint,v:bigint>")
+    assert rows(got, "id") == [(k,) for k in range(40)] and rows(pages.dangling_links(spark, folder), "next_link") == [("8",)]
