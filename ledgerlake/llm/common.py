@@ -104,10 +104,10 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, pieces: in
 MAX_BITS = 28
 
 
-def bit_table(keys: DataFrame, max_bits: int = MAX_BITS) -> tuple[np.ndarray, int]:
-    """A table of bits, one set for the low bits of each `key` (a long): 8 bits a key, 2^max_bits (32 MB) at most. What it passes is looked up exactly
-    afterwards, so more keys than it holds cost more rows there, not results."""
-    log2 = min(max_bits, max(12, (8 * keys.count()).bit_length()))
+def bit_table(keys: DataFrame, per_key: int = 8, max_bits: int = MAX_BITS) -> tuple[np.ndarray, int]:
+    """A table of bits, one set for the low bits of each `key` (a long): per_key bits a key, 2^max_bits (32 MB) at most. What it passes is looked up
+    exactly afterwards, so more keys than it holds cost more rows there, not results."""
+    log2 = min(max_bits, max(12, (per_key * keys.count()).bit_length()))
     slot = F.col("key").bitwiseAND(F.lit((1 << log2) - 1))
     packed = keys.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()
     words = np.zeros(1 << (log2 - 6), np.uint64)

@@ -156,6 +156,7 @@ def _hits(table, lengths: list[int]):
                 hashes = grams(words, n)
                 hashes = hashes if n == SEED_WORDS else short_seed(hashes, n)
                 near = np.flatnonzero(in_table(table.value, hashes))
+                near = near[in_table(table.value, hashes[near] >> np.uint64(32))]
                 near = near[owner[near] == owner[near + n - 1]] if len(near) else near
                 found.append((owner[near], hashes[near]))
             who, seeds = (np.concatenate([f[k] for f in found]) for k in (0, 1))
@@ -190,7 +191,8 @@ def match_texts(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text"
     items = materialise(named.groupBy("item").agg(F.first("text").alias("text")).mapInArrow(_items, "item binary, words binary, seeds array<bigint>"), "items")
     seeds = items.select("item", (F.octet_length("words") / 8).cast("int").alias("n"), F.posexplode("seeds").alias("place", "seed"))
     lengths = [r["n"] for r in seeds.where(F.col("n") < SEED_WORDS).select("n").distinct().collect()]  # below five
-    table = spark.sparkContext.broadcast(bit_table(seeds.select(F.col("seed").alias("key")).distinct()))
+    keys = seeds.select(F.col("seed").alias("key")).distinct()
+    table = spark.sparkContext.broadcast(bit_table(keys.union(keys.select(F.shiftrightunsigned("key", 32))), per_key=512))  # a seed passes by both its halves
     texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
     hits = materialise(texts.mapInArrow(_hits(table, lengths), "digest binary, words binary, seeds array<bigint>").dropDuplicates(["digest"]), "hits")
     met = spread_join(hits.select("digest", F.explode("seeds").alias("seed")), seeds, "seed", "digest").where("item is not null")
