@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import SYNCED, last_wins, merge
+from ..plans.ingest_run import Lake
 from ..plans.stages import children
 
 
@@ -55,6 +58,20 @@ def upsert_available(stream: DataFrame, table: str, checkpoint: str, key: list[s
     return newest_version(spark, table)
 
 
+def upsert_with_state(lake: Lake, feed: str, stream: DataFrame, table: str, checkpoint: str, key: list[str], order: list[str], now: datetime) -> str:
+    """upsert_available with the feed's progress in the lake's state: rows of the newest version after success, the error after a failure (what the
+    batches before it have merged stays, and the next call goes on from the checkpoint). Returns the status."""
+    state = lake.save_state(lake.state(feed), now, status="in_progress", records_processed=None, records_failed=None, last_error=None)
+    try:
+        version = upsert_available(stream, table, checkpoint, key, order)
+        rows = stream.sparkSession.read.parquet(f"{table}/v{version}").count() if version >= 0 else 0
+        lake.save_state(state, now, status="success", last_sync_at=now, records_processed=rows, records_failed=0)
+        return "success"
+    except Exception as e:  # the boundary of a run: the state keeps what went wrong
+        lake.save_state(state, now, status="failed", last_error=f"{type(e).__name__}: {e}"[:2000])
+        return "failed"
+
+
 def drop_repeats(stream: DataFrame, key: list[str], time_field: str, delay: str = "2 days") -> DataFrame:
     """Rows whose key has not been seen within the delay: overlapping pulls send a row twice."""
     return stream.withWatermark(time_field, delay).dropDuplicatesWithinWatermark(key)

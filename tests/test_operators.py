@@ -13,7 +13,7 @@ from ledgerlake.plans import ingest_run as run
 from ledgerlake.plans import o2c
 from ledgerlake.plans.stages import discard_kept, shared_folder, stage_once
 from ledgerlake.sources import pages
-from ledgerlake.streaming.ingest import read_landing, upsert_available
+from ledgerlake.streaming.ingest import read_landing, upsert_available, upsert_with_state
 
 NOW = datetime(2024, 1, 2)
 
@@ -208,3 +208,12 @@ def test_landed_pages_are_read_whole(spark):
     pages.land_pages(rows_.coalesce(1), F.floor(F.col("id") / 7), folder, (F.floor(F.col("id") / 7) + 1).cast("string"))
     got = pages.read_pages(spark, folder, "v < 80 or false", "struct<id:bigint,v:bigint>")
     assert rows(got, "id") == [(k,) for k in range(40)] and rows(pages.dangling_links(spark, folder), "next_link") == [("8",)]
+
+
+def test_streams_keep_their_state(spark):
+    lake = _lake(spark, "stream")
+    spark.createDataFrame([("a", 1), ("b", 1)], "k string, at int").write.parquet(f"{lake.root}/landing")
+    kind = spark.createDataFrame([], "k string, at int").schema
+    pull = lambda key: upsert_with_state(lake, "feed", read_landing(spark, f"{lake.root}/landing", kind), f"{lake.root}/table", f"{lake.root}/checkpoint-{key}", [key], ["at"], NOW)
+    assert pull("k") == "success" and lake.state("feed")["records_processed"] == 2 and lake.state("feed")["last_sync_at"] == NOW
+    assert pull("nothing") == "failed" and lake.state("feed")["last_error"] and lake.state("feed")["last_sync_at"] == NOW
