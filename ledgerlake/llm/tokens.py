@@ -15,16 +15,16 @@ import re
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_PIECES = 1_000_000  # in a worker; a full cache starts anew
+CACHE_PIECES = 400_000  # in a worker; a full cache starts anew
 WORD_BYTES = 64  # longer words are the library's
 
 _ODD = re.compile(r"[\x1c-\x1f]")
 _SPACES = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")  # beside the ASCII ones
 _NONE = 1 << 30
 _SPACE, _LETTER, _MARK, _OTHER = range(4)
-_SLOT_BITS = 21
+_SLOT_BITS = 20
 _KEY_BYTES = 23  # of a piece in the table, whose 24th byte is its length; longer pieces are kept in a dictionary
-_CHUNK = 1 << 19  # pieces looked up at once
+_CHUNK = 1 << 18  # pieces looked up at once
 
 
 def _byte_kinds() -> np.ndarray:
