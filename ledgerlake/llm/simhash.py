@@ -21,7 +21,8 @@ from .common import discard, materialise, prepare, spread_join
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
 SEGMENT = 32
-BLOCK = 4096  # fingerprints of a bucket compared at once
+BLOCK = 4096  # fingerprints of a bucket linked in one task
+COMPARED = 1024  # of them compared at once
 LEVELS = 3  # times that a large bucket is dealt out; then the rest of its bits allows few different members
 TASK_ROWS = 50_000  # fingerprints expanded in a task
 
@@ -83,9 +84,9 @@ def forest(fp: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.nda
     """Edges (member, root) of the links among distinct fingerprints: each member with the smallest of its component here."""
     fp = np.sort(fp)
     root = np.arange(len(fp))
-    for a in range(0, len(fp), BLOCK):
-        for b in range(a, len(fp), BLOCK):
-            i, j = np.nonzero(np.bitwise_count(fp[a : a + BLOCK, None] ^ fp[None, b : b + BLOCK]) <= max_bits)
+    for a in range(0, len(fp), COMPARED):
+        for b in range(a, len(fp), COMPARED):
+            i, j = np.nonzero(np.bitwise_count(fp[a : a + COMPARED, None] ^ fp[None, b : b + COMPARED]) <= max_bits)
             i, j = i + a, j + b
             while True:  # hook roots to smaller roots, then shorten
                 x, y = root[i], root[j]
