@@ -518,11 +518,12 @@ def test_pipeline_keeps_one_of_similar_texts(spark):
 
 
 def test_refused_links_do_not_part_a_group():
-    """A tree edge that verification may refuse: the pairs of groups still apart are all tried."""
+    """A tree edge that verification may refuse: each group that is apart is tried with those nearest to it, by other pairs in each round."""
     rows, sketch = np.arange(4), np.zeros((4, 100), np.uint8)
     sketch[1, :10], sketch[2, :30], sketch[3, :60] = 1, 2, 3
     assert len(minhash.forest(rows, sketch, 0.55)) == 2
-    assert minhash.apart(rows, sketch, np.array([0, 0, 2, 3]), 0.55) == [(0, 2), (1, 2)]
+    group = np.array([0, 0, 2, 3])
+    assert [minhash.apart(rows, sketch, group, 0.55, rank) for rank in range(3)] == [[(0, 2)], [(1, 2)], []]
 
 
 def test_aws_keys_without_digits(spark):
