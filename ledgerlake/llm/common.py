@@ -12,7 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -125,3 +125,16 @@ def in_table(table: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
 def text_digest(text: str) -> Column:
     """The first 16 bytes of a text's SHA-256: equal texts share it."""
     return F.substring(F.unhex(F.sha2(F.col(text).cast("binary"), 256)), 1, 16)
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """df, materialised, with `at` (place in its group by order, nulls first, from 0) and `size` (rows of the group).
+
+    No group meets in a task: the rows are range-partitioned by group, order and a hash that spreads full ties (whose places are interchangeable), then
+    counts of each range and group, which are few, give the place at which a range begins."""
+    rows = df.withColumn("_spread", F.xxhash64(F.monotonically_increasing_id())).repartitionByRange(*group, *order, "_spread").sortWithinPartitions(*group, *order, "_spread").drop("_spread")
+    rows = materialise(rows.withColumn("_place", F.monotonically_increasing_id()), name).withColumn("_range", F.shiftrightunsigned("_place", 33))
+    counts = rows.groupBy("_range", *group).agg(F.min("_place").alias("_low"), F.count("*").alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", *group, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_low")).alias("_shift"), F.sum("_n").over(Window.partitionBy(*group)).alias("size"))
+    return rows.join(materialise(starts, f"{name}-starts"), ["_range", *group]).withColumn("at", F.col("_place") + F.col("_shift")).drop("_range", "_place", "_shift")
