@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, langid, media, merkle, oracles, order, packing, pii, simhash, suffix, url_filter, warc
+from . import decontam, exact, langid, media, merkle, oracles, order, packing, pii, simhash, suffix, trie, url_filter, warc
 from .common import read_table
 
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -63,6 +63,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return trie.prefix_nodes(trie.rebuilt(trie.turns(read_table(spark, sf_dir, "conversations"))))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document of each group of equal texts stays."""
     return exact.find_copies(read_table(spark, sf_dir, "documents"))
@@ -75,9 +80,10 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf_dir, "documents"), {"text": tampered})
 
 
-QUERIES = {f.__name__: f for f in (op1_training_order, op2_language_id, op3_decontaminate, op4_warc, op5_pii_surrogates, op6_suffix_dedup, op7_url_filter, op8_simhash, op9_media_avi, op10_packing, op12_exact_dedup, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_training_order, op2_language_id, op3_decontaminate, op4_warc, op5_pii_surrogates, op6_suffix_dedup, op7_url_filter, op8_simhash, op9_media_avi, op10_packing, op11_prefix_trie, op12_exact_dedup, op13_merkle_manifest)}
 
 ORACLE_SQL = {
+    "op11_prefix_trie": oracles.OP11,
     "op12_exact_dedup": oracles.OP12,
     "op13_merkle_manifest": oracles.OP13,
     "op4_warc": """
