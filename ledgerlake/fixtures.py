@@ -151,6 +151,12 @@ def with_tables(sql: str, extra: dict[str, str] | None = None) -> str:
 WRITTEN = ("line_base", "invoice_header", "invoice_line", "memo_header", "memo_line", "tax_entry", "value_entry", "item_ledger", "receipt")
 
 
+def bases(name: str) -> list[str]:
+    """The test tables that a fixture is made of."""
+    texts = [TABLES[t] for t in needs(name)]
+    return [b for b in BASE if any(re.search(rf"(?:from|join) {b}\b", x) for x in texts)]
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture table over the parquet tables of sf_dir."""
     if name in BASE:
@@ -161,7 +167,9 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     def build() -> DataFrame:
         return spark.sql(sql, **{x: fixture(spark, sf_dir, x) for x in names})
 
-    return stage_once(spark, name, build, sf_dir) if name in WRITTEN else build()
+    if name not in WRITTEN:
+        return build()
+    return stage_once(spark, name, build, sf_dir, inputs=tuple(f"{sf_dir}/{x}.parquet" for x in bases(name)))
 
 
 class Tables:

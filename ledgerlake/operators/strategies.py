@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from datetime import date, timedelta
 from functools import reduce
 
@@ -88,9 +89,14 @@ def missing_children(parent: DataFrame, key: str, child: DataFrame, child_key: s
 
 
 def open_refresh(stored: DataFrame, source: DataFrame, key: str, open_field: str = "open") -> tuple[DataFrame, DataFrame]:
-    """(source rows to merge with why: open there, or held open here and re-read; keys held open here that the source lacks)."""
+    """(source rows to merge with why: open there, or held open here and re-read; keys held open here that the source lacks).
+
+    A source that answers with no open row while some are held open here has a broken filter rather than nothing open: a warning, and nothing is re-read."""
     is_open = F.coalesce(F.col(open_field), F.lit(False))
     held, there = stored.where(is_open).select(key), source.where(is_open)
+    if not there.limit(1).count() and (n_held := held.count()):
+        warnings.warn(f"the source has no open row, {n_held} are held open here; they are not read again", stacklevel=2)
+        held = held.limit(0)
     again = held.join(there.select(key), key, "left_anti")
     reread = source.join(again, key, "left_semi")
     return there.withColumn("why", F.lit("open")).unionByName(reread.withColumn("why", F.lit("reread"))), again.join(source.select(key), key, "left_anti")

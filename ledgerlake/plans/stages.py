@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -48,18 +49,72 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in files.listStatus(where)) if files.exists(where) else []
 
 
-_kept: dict[tuple, DataFrame] = {}
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole; raises where one of that name is there already, which makes it a commit."""
+    files, where = _file_system(spark, path)
+    jvm = spark.sparkContext._jvm
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    out = files.create(draft, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if files.exists(where) or not files.rename(draft, where):
+        files.delete(draft, False)
+        raise FileExistsError(f"{path} is there already: another writer was first")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    files, where = _file_system(spark, path)
+    stream = files.open(where)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def state_of(spark: SparkSession, *paths: str) -> str:
+    """A digest of the files below paths: their names, lengths and times. It changes when they do."""
+    found = []
+    for path in paths:
+        files, where = _file_system(spark, path)
+        if not files.exists(where):
+            found.append((path, -1, -1))
+            continue
+        each = files.listFiles(where, True)
+        while each.hasNext():
+            f = each.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
+
+
+_kept: dict[tuple, tuple[str, DataFrame]] = {}
+_stale: list[tuple[str, DataFrame]] = []
+
 
+def stage_once(spark: SparkSession, name: str, build: Callable[[], DataFrame], *key: str, inputs: tuple[str, ...] = ()) -> DataFrame:
+    """The staged table of this name and key, built at its first use in a Spark application, as a refresh writes its views once.
 
-def stage_once(spark: SparkSession, name: str, build: Callable[[], DataFrame], *key: str) -> DataFrame:
-    """The staged table of this name and key; built at its first use in a Spark application, as a refresh writes its views once."""
-    at = (spark.sparkContext.applicationId, name, *key)
+    inputs: the paths that it is made of; when a file there was added, removed or written again, the table is built anew."""
+    at, state = (spark.sparkContext.applicationId, name, *key), state_of(spark, *inputs) if inputs else ""
+    if at in _kept and _kept[at][0] != state:
+        _stale.append((at[0], _kept.pop(at)[1]))  # a frame that was handed out may still read it
     if at not in _kept:
-        _kept[at] = stage(build(), name)
-    return _kept[at]
+        _kept[at] = state, stage(build(), name)
+    return _kept[at][1]
 
 
 def discard_kept(spark: SparkSession) -> None:
     """Remove what stage_once has written in this application; the next use builds it anew."""
-    for at in [k for k in _kept if k[0] == spark.sparkContext.applicationId]:
-        discard(_kept.pop(at))
+    mine = spark.sparkContext.applicationId
+    for at in [k for k in _kept if k[0] == mine]:
+        discard(_kept.pop(at)[1])
+    for at in [x for x in _stale if x[0] == mine]:
+        discard(at[1])
+        _stale.remove(at)

@@ -75,6 +75,16 @@ def _lineitem(t):
     return fixture(*t._at, "lineitem")
 
 
+def _guarded(t):
+    """What an open refresh does with a source that answers, and with one whose filter answers nothing while rows are held open here."""
+    held, out = t.order_base.selectExpr("k", "st = 'O' as open"), []
+    for name, flag in (("answers", "if(k % 33 = 0, st <> 'O', st = 'O')"), ("silent", "false")):
+        rows, missing = s.open_refresh(held, t.order_base.where("k % 50 <> 7").selectExpr("k", f"{flag} as open"), "k")
+        both = rows.select("why").unionByName(missing.select(F.lit("missing").alias("why")))
+        out.append(both.agg(F.lit(name).alias("source"), F.count_if(F.col("why") == "open").alias("open_there"), F.count_if(F.col("why") == "reread").alias("reread"), F.count_if(F.col("why") == "missing").alias("missing")))
+    return out[0].unionByName(out[1])
+
+
 QUERIES = {
     "ing_windows": _step(lambda t: s.window_frame(t.invoice_header.groupBy("location_code").agg(F.min("posting_date").alias("lo"), F.max("posting_date").alias("hi")).select("lo", "hi").distinct())),
     "ing_range": _step(lambda t: t.invoice_header.where(s.in_range("posting_date", FLOOR, MARK)).select(*SLIM)),
@@ -86,6 +96,7 @@ QUERIES = {
     "ing_gap_sweep": _step(lambda t: s.missing_children(t.invoice_header, "no", t.invoice_line, "document_no", "posting_date", date(1996, 1, 1))),
     "ing_open_refresh": _step(lambda t: s.open_refresh(t.order_base.selectExpr("k", "st = 'O' as open"), t.order_base.where("k % 50 <> 7").selectExpr("k", "if(k % 33 = 0, st <> 'O', st = 'O') as open"), "k")[0]),
     "ing_open_missing": _step(lambda t: s.open_refresh(t.order_base.selectExpr("k", "st = 'O' as open"), t.order_base.where("k % 50 <> 7").selectExpr("k", "if(k % 33 = 0, st <> 'O', st = 'O') as open"), "k")[1]),
+    "ing_open_guard": _step(_guarded),
     "ing_future": _step(lambda t: s.flag_future(t.invoice_header.select(*SLIM), "posting_date", date(2001, 1, 1))),
     "ing_corrupt_text": _step(lambda t: s.corrupt_text(t.invoice_header, ["external_no", "ship_to_name"]).select("no", "external_no")),
     "ing_fit_type": _step(lambda t: s.fit_integers(t.invoice_line.select("document_no", "line_no", "line_amount"), ["line_amount"])[0]),
@@ -124,6 +135,8 @@ _ASK = {
         where h.high is null or l.document_no > h.high""",
     "ing_gap_sweep": "select no from invoice_header where posting_date >= date '1996-01-01' and no not in (select document_no from invoice_line) order by no desc limit 200",
     "ing_open_refresh": f"select k, open, if(open, 'open', 'reread') as why from ({_HELD}) where there and (open or held)",
+    "ing_open_guard": f"""select 'answers' as source, count(*) filter (there and open) as open_there, count(*) filter (there and not open and held) as reread, count(*) filter (held and not there) as missing from ({_HELD})
+        union all select 'silent', 0, 0, 0""",
     "ing_open_missing": f"select k from ({_HELD}) where held and not there",
     "ing_future": f"select no, customer_no, posting_date, {money('amount')}, 'date in the future' as reason from invoice_header where posting_date > date '2001-01-01'",
     "ing_corrupt_text": "select no, external_no from invoice_header where contains(external_no || coalesce(ship_to_name, ''), '�')",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Tables, with_tables
 from ..plans import ingest_run as run
+from ..plans.buckets import BucketTable
 from ..plans.stages import shared_folder
 from .common import money, settled
 
@@ -84,13 +85,85 @@ def set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
-QUERIES = {"run_backfill": backfill, "run_incremental": incremental, "run_state": history, "run_summary": summary, "run_set_aside": set_aside}
+BROKEN, MENDED = date(1995, 9, 1), date(1995, 10, 1)
+
+
+def _resumed(t: Tables, spark: SparkSession) -> run.Lake:
+    """A backfill whose source fails in one month, and the run after it. By then the source has other amounts, which tells what was pulled when."""
+    lake, day = _lake(spark), F.col("posting_date")
+    fails = (day >= F.lit(BROKEN)) & (day < F.lit(MENDED))
+    broken = F.when(fails, F.raise_error(F.lit("no answer")).cast("decimal(18,4)")).otherwise(F.col("amount"))
+    run.run(lake, SERVICE, _source(t).withColumn("amount", broken), FIRST)
+    run.run(lake, SERVICE, _source(t).withColumn("amount", (F.col("amount") + 2).cast("decimal(18,4)")), FIRST)
+    return lake
+
+
+def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after a backfill that failed half-way and was resumed: whole windows aren't pulled again."""
+    return settled(_resumed(Tables(spark, sf_dir), spark).read(SERVICE.table).select(*COLUMNS))
+
+
+def resumed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states that these runs leave."""
+    states = _resumed(Tables(spark, sf_dir), spark).side("state", run.STATE).where("status <> 'in_progress'")
+    return states.select("step", "status", "history_through", "records_processed", F.contains("last_error", F.lit("no answer")).alias("told"))
+
+
+SERIES_BACK = 800
+
+
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice lines pulled by the series of their documents, in two runs; the second asks again for recent documents that have no line."""
+    t, lake = Tables(spark, sf_dir), _lake(spark)
+    heads = run.Service("Heads", "t_heads", ("no",), ("posting_date",), strategy="full_refresh")
+    lines = run.Service("Lines", "t_lines", ("document_no", "line_no"), ("document_no",), strategy="series", series_field="document_no", parent="t_heads", parent_field="no", parent_date="posting_date", lookback_days=SERIES_BACK)
+    run.run(lake, heads, t.invoice_header.select("no", "posting_date"), FIRST)
+    early = t.invoice_header.where((F.col("k") % 10 != 3) & (F.col("posting_date") < F.lit(date(1996, 1, 1)))).select(F.col("no").alias("document_no"))
+    source = t.invoice_line.select("document_no", "line_no", "quantity")
+    run.run(lake, lines, source.join(early, "document_no", "left_semi"), FIRST)
+    run.run(lake, lines, source, SECOND)
+    return settled(lake.read("t_lines").select("document_no", "line_no", "quantity"))
+
+
+def open_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders after a later run that reads again what is open, there or here, besides what is new."""
+    t, lake = Tables(spark, sf_dir), _lake(spark)
+    service = run.Service("Orders", "t_orders", ("k",), ("d",), history_field="d", start=BEGIN, lookback_days=LOOKBACK, open_field="open")
+    first = t.order_base.select("k", "d", (F.col("st") == "O").alias("open"), "total")
+    flipped = F.when(F.col("k") % 33 == 0, F.col("st") != "O").otherwise(F.col("st") == "O")
+    second = t.order_base.where("k % 50 <> 7").select("k", "d", flipped.alias("open"), (F.col("total") + 1).cast("decimal(18,4)").alias("total"))
+    run.run(lake, service, first, FIRST)
+    run.run(lake, service, second, SECOND)
+    return settled(lake.read("t_orders").select("k", "open", "total"))
+
+
+def partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bucketed table after a merge of its latest documents, which rewrites the buckets that these touch, and a repeated commit of it."""
+    t = Tables(spark, sf_dir)
+    table = BucketTable(spark, f"{shared_folder(spark)}/bucketed-{uuid.uuid4().hex}", ["no"], 64)
+    table.merge(_source(t), F.lit(FIRST))
+    late = _later(t).where("posting_date >= date'2001-07-25'")
+    for _ in range(2):
+        table.merge(late, F.lit(SECOND), tag="late")
+    return settled(table.read().select(*COLUMNS, "eway_no", "_synced_at"))
+
+
+QUERIES = {"run_backfill": backfill, "run_incremental": incremental, "run_state": history, "run_summary": summary, "run_set_aside": set_aside, "run_resume": resumed, "run_resume_state": resumed_state, "run_series": series, "run_open": open_entries, "mrg_partial": partial}
 
 _OLD, _NEW = "posting_date < date '1997-01-01'", f"posting_date >= date '1996-12-31' - {LOOKBACK}"
 _ASK = {
     "run_backfill": f"select no, customer_no, posting_date, {money('amount')} from invoice_header where posting_date >= date '1992-01-01' and {_OLD}",
     "run_incremental": f"""select no, customer_no, posting_date, round(cast(if({_NEW} and k % 10 = 0, amount + 1, amount) as double), 4) as amount, if({_NEW}, eway_no, null) as eway_no
         from invoice_header where posting_date >= date '1992-01-01' and ({_OLD} or {_NEW})""",
+    "run_resume": f"select no, customer_no, posting_date, round(cast(if(posting_date >= date '{BROKEN}', amount + 2, amount) as double), 4) as amount from invoice_header where posting_date >= date '1992-01-01' and {_OLD}",
+    "run_resume_state": f"""select s.step, s.status, s.through as history_through, (select count(*) from invoice_header where posting_date >= s.lo and posting_date < s.through) as records_processed, s.told from (values
+        (2, 'failed', date '{BROKEN}', date '1992-01-01', true), (4, 'success', date '1997-01-01', date '{BROKEN}', cast(null as boolean))) s(step, status, through, lo, told)""",
+    "run_series": f"""select document_no, line_no, {money('quantity')} from invoice_line where document_no in (select document_no from early_lines) or document_no in (select document_no from past_lines) or document_no in (select no from gap_heads)""",
+    "run_open": f"""select cast(k as varchar) as k, if(again, now_open, was_open) as open, round(cast(if(again, total + 1, total) as double), 4) as total from (
+        select k, d, total, st = 'O' as was_open, if(k % 33 = 0, st <> 'O', st = 'O') as now_open, d < date '1997-01-01' as held,
+               k % 50 <> 7 and (d >= date '1996-12-31' - {LOOKBACK} or now_open or held and was_open) as again from order_base) where held or again""",
+    "mrg_partial": f"""select no, customer_no, posting_date, round(cast(if(late and k % 10 = 0, amount + 1, amount) as double), 4) as amount, if(late, eway_no, null) as eway_no,
+        if(late and (k % 10 = 0 or eway_no is not null), timestamp '1997-06-30 06:00:00', timestamp '1996-12-31 06:00:00') as _synced_at from (select *, posting_date >= date '2001-07-25' as late from invoice_header)""",
     "run_state": f"""select s.step, s.status, s.last_sync_at, s.history_through, (select count(*) from invoice_header where posting_date >= s.lo and posting_date < s.hi) as records_processed, 0 as records_failed from (values
         (2, 'in_progress', cast(null as timestamp), date '1994-01-01', date '1992-01-01', date '1994-01-01'), (4, 'success', timestamp '1996-12-31 06:00:00', date '1997-01-01', date '1994-01-01', date '1997-01-01'),
         (6, 'success', timestamp '1997-06-30 06:00:00', date '1997-01-01', date '1996-12-31' - {LOOKBACK}, date '9999-01-01')) s(step, status, last_sync_at, history_through, lo, hi)""",
@@ -102,6 +175,13 @@ _ASK = {
         union all select 'quarantine', 'date in the future, stored', no from late where posting_date > date '1997-01-01' and not (external_no is null or trim(external_no) = '')
         union all select 'failed', 'a value doesn''t fit its column', no from late where no like '%7' and not (external_no is null or trim(external_no) = '')""",
 }
-ORACLE_SQL = {name: with_tables(sql) for name, sql in _ASK.items()}
+_STEPS = {
+    "early_lines": "select l.document_no, split_part(l.document_no, '-', 1) as series from invoice_line l join invoice_header h on h.no = l.document_no where h.k % 10 <> 3 and h.posting_date < date '1996-01-01'",
+    "highs": "select series, max(document_no) as high from early_lines group by series",
+    "past_lines": "select l.document_no from invoice_line l left join highs on series = split_part(l.document_no, '-', 1) where high is null or l.document_no > high",
+    "gap_heads": f"""select no from invoice_header where posting_date >= date '1997-06-30' - {SERIES_BACK} and no not in (select document_no from early_lines) and no not in (select document_no from past_lines)
+        order by no desc limit {run.GAPS}""",
+}
+ORACLE_SQL = {name: with_tables(sql, _STEPS) for name, sql in _ASK.items()}
 ORACLE_SQL["run_summary"] = with_tables("select 1 from invoice_header").rsplit("\n", 1)[0] + ",\n" + _ASK["run_summary"].removeprefix("with ")
 ORACLE_SQL["run_set_aside"] = with_tables("select 1 from memo_header").rsplit("\n", 1)[0] + ",\n" + _ASK["run_set_aside"].removeprefix("with ")

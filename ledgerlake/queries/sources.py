@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from ..functions import normalize as n
 from ..operators import merge as m
 from ..plans import o2c
 from ..plans.stages import shared_folder
+from ..sources import chain as ch
 from ..sources import pages as p
+from ..sources import pushdown as z
 from .common import money, settled
 
 PAGE = 4000  # order numbers a page
@@ -41,6 +44,62 @@ def dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.dangling_links(spark, _landed(Tables(spark, sf_dir), spark))
 
 
+def _zoned(t: Tables, spark: SparkSession) -> str:
+    """Invoices as pages of their month, with a zone map of numbers and dates."""
+    folder = f"{_folder(spark)}/zoned"
+    rows = t.invoice_header.select("no", "customer_no", "posting_date", "amount", "k")
+    z.land_zoned(rows, F.trunc("posting_date", "MM"), F.floor(F.col("k") / PAGE), folder, ["no", "posting_date"])
+    return folder
+
+
+def pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices of a range of days, by a source that opens the pages of that range only; the last condition is left to Spark."""
+    rows = z.read_zoned(spark, _zoned(Tables(spark, sf_dir), spark), RECORD[7:-1].replace(":", " "))
+    day = F.col("posting_date")
+    found = rows.where((day >= F.lit(date(1996, 3, 10))) & (day < F.lit(date(1996, 7, 5))) & ~F.col("customer_no").isin("C00001", "C00004") & ((F.col("k") % 3 == 0) | (F.col("amount") > 200000)))
+    return settled(found.select("no", "customer_no", "posting_date", "amount"))
+
+
+def zone_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each month the files, those that a pull by day and number opens, and the rows in them."""
+    met = z.files_met(spark, _zoned(Tables(spark, sf_dir), spark), "greatest_posting_date >= date'1996-03-10' and least_posting_date < date'1996-07-05' and greatest_no >= '27HYD'")
+    return met.groupBy("part").agg(F.count("*").alias("files"), F.count_if("met").alias("opened"), F.sum(F.when(F.col("met"), F.col("n")).otherwise(0)).alias("n_rows"))
+
+
+CHAINED = 50  # order numbers of a page in the chains
+
+
+def _chained(t: Tables, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """(links of landed pages, their records). Names don't follow the order; there are chains that no request began, cycles, and pages named twice."""
+    folder, g = f"{_folder(spark)}/chain", F.floor(F.col("k") / CHAINED)
+    c, at = F.floor(g / 16), g % 16
+    name = lambda n: F.lpad((n * 7919 % 1000003).cast("string"), 7, "0")
+    link = F.when((at == 15) & (c % 11 == 10), c * 16 + 3).when((at == 15) & (c % 7 == 6), c * 16).when((at == 15) | ((at == 14) & (c % 11 == 10)), F.lit(None)).otherwise(g + 1)
+    p.land_pages(t.invoice_header.select("no", "customer_no", "posting_date", "amount", "k"), name(g), folder, name(link))
+    landed = spark.read.schema("page string, `@odata.nextLink` string").option("multiLine", True).json(folder)
+    asked = t.invoice_header.where((at == 0) & (c % 5 != 4)).select(name(g).alias("page"), F.lit(True).alias("first")).distinct()
+    links = landed.select("page", F.col("`@odata.nextLink`").alias("next_link")).join(asked, "page", "left")
+    records = p.read_pages(spark, folder, None, RECORD).withColumn("page", F.regexp_extract("_page", "page=([^/]+)/", 1))
+    return links, records
+
+
+def chain_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each landed page along the links."""
+    return ch.rank_pages(_chained(Tables(spark, sf_dir), spark)[0])
+
+
+def chain_forks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that several pages name as the next."""
+    return ch.forks(_chained(Tables(spark, sf_dir), spark)[0])
+
+
+def later_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of each customer that came last, by the place of its page in its chain."""
+    links, records = _chained(Tables(spark, sf_dir), spark)
+    placed = records.join(ch.rank_pages(links).where("status = 'linked'"), "page")
+    return m.last_wins(placed, ["customer_no"], ["chain", "place", "no"]).select("customer_no", "no", "chain", "place")
+
+
 def xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses as XML rows; those without a registration number are no whole key."""
     folder = f"{_folder(spark)}/xml"
@@ -167,7 +226,19 @@ def _feed_sql(feed: str) -> str:
     return f"select '{feed}' as feed, id, {', '.join(shown)}, source_file from receipt where {where}"
 
 
-QUERIES = {"src_pages": paged, "src_dangling_links": dangling, "src_xml": xml, "src_registry": chosen, "src_keyed": keyed, "src_side": side, "src_states": states, "o2c_feeds": feeds}
+_RANGE = "posting_date >= date '1996-03-10' and posting_date < date '1996-07-05'"
+_LINKS = {
+    "chained": f"""select distinct g, cast(floor(g / 16) as bigint) as c, g % 16 as p, lpad(cast(g * 7919 % 1000003 as varchar), 7, '0') as page from (select cast(floor(k / {CHAINED}) as bigint) as g from invoice_header)""",
+    "linked": """select page, c, p = 0 and c % 5 <> 4 as first, lpad(cast(n * 7919 % 1000003 as varchar), 7, '0') as next_link
+        from (select *, case when p = 15 and c % 11 = 10 then c * 16 + 3 when p = 15 and c % 7 = 6 then c * 16 when p = 15 or p = 14 and c % 11 = 10 then null else g + 1 end as n from chained)""",
+    "follows": "select min(a.page) as before, b.page from linked a join linked b on a.next_link = b.page group by b.page",
+    "walk": """select * from (with recursive w as (
+            select page, page as chain, 0 as place, first from linked where page not in (select page from follows)
+            union all select f.page, w.chain, w.place + 1, w.first from w join follows f on f.before = w.page) select * from w)""",
+    "ranked": """select page, chain, place, if(first, 'linked', 'orphan') as status from walk
+        union all select page, min(page) over (partition by c), null, 'cycle' from linked where page not in (select page from walk)""",
+}
+QUERIES = {"src_pages": paged, "src_dangling_links": dangling, "src_xml": xml, "src_registry": chosen, "src_keyed": keyed, "src_side": side, "src_states": states, "o2c_feeds": feeds, "src_pushdown": pushdown, "ing_zone_pull": zone_pull, "src_chain_order": chain_order, "src_chain_forks": chain_forks, "mrg_later_page": later_page}
 _ASK = {
     "src_pages": f"select no, customer_no, posting_date, {money('amount')} from invoice_header where k % 3 = 0 or amount > 200000",
     "src_dangling_links": f"select cast(b + 1 as varchar) as next_link from (select distinct cast(floor(k / {PAGE}) as bigint) as b from invoice_header) where b + 1 not in (select cast(floor(k / {PAGE}) as bigint) from invoice_header)",
@@ -176,6 +247,14 @@ _ASK = {
     "src_keyed": "select no, name, posting_group from customer_card",
     "src_side": """select 'memos' as table_name, if(coalesce(trim(external_no), '') = '', 'missing or blank key', 'failed') as reason, no from memo_header where coalesce(trim(external_no), '') = '' or k % 7 = 0""",
     "src_states": "select state_code, state_no, if(state_no > '20', upper(state_name), state_name) as state_name, state_no || '-' || if(state_no > '20', upper(state_name), state_name) as label from gst_state",
+    "src_pushdown": f"select no, customer_no, posting_date, {money('amount')} from invoice_header where {_RANGE} and customer_no not in ('C00001', 'C00004') and (k % 3 = 0 or amount > 200000)",
+    "ing_zone_pull": f"""select part, count(*) as files, count(*) filter (met) as opened, cast(sum(if(met, n, 0)) as bigint) as n_rows from (
+        select strftime(date_trunc('month', posting_date), '%Y-%m-%d') as part, count(*) as n, max(posting_date) >= date '1996-03-10' and min(posting_date) < date '1996-07-05' and max(no) >= '27HYD' as met
+        from invoice_header group by date_trunc('month', posting_date), floor(k / {PAGE})) group by part""",
+    "src_chain_order": "select page, chain, place, status from ranked",
+    "src_chain_forks": "select b.page, a.page as before, a.page = min(a.page) over (partition by b.page) as kept from linked a join linked b on a.next_link = b.page qualify count(*) over (partition by b.page) > 1",
+    "mrg_later_page": f"""select customer_no, arg_max(no, (chain, place, no)) as no, max(chain) as chain, arg_max(place, (chain, place, no)) as place
+        from invoice_header join chained on g = cast(floor(k / {CHAINED}) as bigint) join ranked using (page) where status = 'linked' group by customer_no""",
     "o2c_feeds": " union all ".join(_feed_sql(f) for f in _RAW),
 }
-ORACLE_SQL = {name: with_tables(sql) for name, sql in _ASK.items()}
+ORACLE_SQL = {name: with_tables(sql, _LINKS) for name, sql in _ASK.items()}

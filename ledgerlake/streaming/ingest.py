@@ -1,4 +1,4 @@
-"""Structured Streaming ingest: landed files upserted into a keyed table, one version a micro-batch."""
+"""Structured Streaming ingest: landed files upserted into a keyed table, one commit a micro-batch."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import SYNCED, last_wins, merge
+from ..operators.merge import last_wins
+from ..plans.buckets import BucketTable
 from ..plans.ingest_run import Lake
-from ..plans.stages import children
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -18,53 +18,29 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, max_files
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
-def newest_version(spark: SparkSession, table: str) -> int:
-    """The largest number of the versions v0, v1, ... that are whole; -1 without one."""
-    whole = [v for v in children(spark, table) if v.startswith("v") and "_SUCCESS" in children(spark, f"{table}/{v}")]
-    return max((int(v[1:]) for v in whole), default=-1)
+def upsert_available(stream: DataFrame, table: BucketTable, checkpoint: str, order: list[str], keep: int = 3) -> int:
+    """Merge everything that has landed into table and stop; returns the newest version's number, -1 without any.
 
-
-def _first_version(spark: SparkSession, table: str, checkpoint: str) -> int:
-    """The version that batch 0 of a checkpoint writes: the one after those that stood when the checkpoint began, kept beside it."""
-    note = f"{checkpoint}-first-version"
-    if not children(spark, note):
-        spark.createDataFrame([(newest_version(spark, table) + 1,)], "version int").coalesce(1).write.mode("overwrite").parquet(note)
-    return spark.read.parquet(note).first()["version"]
-
-
-def upsert_available(stream: DataFrame, table: str, checkpoint: str, key: list[str], order: list[str]) -> int:
-    """Merge everything that has landed into table (a folder of versions v0, v1, ...) and stop; returns the newest version's number, -1 without any.
-
-    Batches are idempotent: a batch writes its own version from the one before, so a repeated batch writes the same version again, and a new checkpoint
-    goes on after the versions that it finds. Late rows merge like any other; of rows with one key the last by `order` stands, also against the stored
-    row. Columns that come new are added."""
-    spark = stream.sparkSession
-    first = _first_version(spark, table, checkpoint)
+    A batch rewrites the buckets that it touches and commits under its own number and checkpoint, so a repeated batch commits once. Late rows merge
+    like any other; of rows with one key the last by `order` stands, also against the stored row. Columns that come new are added. The `keep` newest
+    versions stay readable."""
 
     def write(batch: DataFrame, number: int) -> None:
-        at = first + number
-        rows = last_wins(batch, key, order).withColumns({k: F.col(k).cast("string") for k in key})
-        if at == 0:
-            version = rows.withColumn(SYNCED, F.current_timestamp())
-        else:
-            stored = spark.read.parquet(f"{table}/v{at - 1}")
-            mine = stored.select(*key, F.struct(*order).alias("_held"))
-            fresh = rows.join(mine, key, "left").where(F.col("_held").isNull() | (F.struct(*order) >= F.col("_held"))).drop("_held")
-            version = merge(stored, fresh, key, F.current_timestamp()).drop("_action")
-        version.write.mode("overwrite").parquet(f"{table}/v{at}")
+        table.merge(last_wins(batch, table.key, order), F.current_timestamp(), tag=f"{checkpoint}#{number}", newer=order)
+        table.retain(keep)
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return newest_version(spark, table)
+    return max(table.versions(), default=-1)
 
 
-def upsert_with_state(lake: Lake, feed: str, stream: DataFrame, table: str, checkpoint: str, key: list[str], order: list[str], now: datetime) -> str:
+def upsert_with_state(lake: Lake, feed: str, stream: DataFrame, table: BucketTable, checkpoint: str, order: list[str], now: datetime) -> str:
     """upsert_available with the feed's progress in the lake's state: rows of the newest version after success, the error after a failure (what the
     batches before it have merged stays, and the next call goes on from the checkpoint). Returns the status."""
     state = lake.save_state(lake.state(feed), now, status="in_progress", records_processed=None, records_failed=None, last_error=None)
     try:
-        version = upsert_available(stream, table, checkpoint, key, order)
-        rows = stream.sparkSession.read.parquet(f"{table}/v{version}").count() if version >= 0 else 0
+        version = upsert_available(stream, table, checkpoint, order)
+        rows = table.read().count() if version >= 0 else 0
         lake.save_state(state, now, status="success", last_sync_at=now, records_processed=rows, records_failed=0)
         return "success"
     except Exception as e:  # the boundary of a run: the state keeps what went wrong

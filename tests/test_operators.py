@@ -11,6 +11,7 @@ from ledgerlake.operators import merge as m
 from ledgerlake.operators import strategies as s
 from ledgerlake.plans import ingest_run as run
 from ledgerlake.plans import o2c
+from ledgerlake.plans.buckets import BucketTable
 from ledgerlake.plans.stages import discard_kept, shared_folder, stage_once
 from ledgerlake.sources import pages
 from ledgerlake.streaming.ingest import read_landing, upsert_available, upsert_with_state
@@ -162,16 +163,17 @@ def test_stream_goes_on_after_a_restart(spark):
     import uuid
 
     folder = f"{shared_folder(spark)}/restart-{uuid.uuid4().hex}"
+    table = BucketTable(spark, f"{folder}/table", ["k"])
     land = lambda data, kind: spark.createDataFrame(data, kind).coalesce(1).write.mode("append").parquet(f"{folder}/landing")
-    pull = lambda checkpoint, schema: upsert_available(read_landing(spark, f"{folder}/landing", spark.createDataFrame([], schema).schema), f"{folder}/table", f"{folder}/{checkpoint}", ["k"], ["at"])
+    pull = lambda checkpoint, schema: upsert_available(read_landing(spark, f"{folder}/landing", spark.createDataFrame([], schema).schema), table, f"{folder}/{checkpoint}", ["at"])
     land([("a", 1), ("b", 1)], "k string, at int")
-    assert pull("one", "k string, at int") == 0 and "_synced_at" in spark.read.parquet(f"{folder}/table/v0").columns
+    assert pull("one", "k string, at int") == 0 and "_synced_at" in table.read(0).columns
     assert pull("one", "k string, at int") == 0  # nothing new: the newest version stays the newest
     land([("a", 2)], "k string, at int")
     assert pull("one", "k string, at int") == 1
     land([("c", 3, "x")], "k string, at int, extra string")
     assert pull("two", "k string, at int, extra string") == 2  # a new checkpoint reads all again and goes on after the versions that stand
-    assert rows(spark.read.parquet(f"{folder}/table/v2"), "k", "at") == [("a", 2), ("b", 1), ("c", 3)] and "extra" in spark.read.parquet(f"{folder}/table/v2").columns
+    assert rows(table.read(2), "k", "at") == [("a", 2), ("b", 1), ("c", 3)] and "extra" in table.read(2).columns
 
 
 def test_registry_choice_and_families(spark):
@@ -214,6 +216,6 @@ def test_streams_keep_their_state(spark):
     lake = _lake(spark, "stream")
     spark.createDataFrame([("a", 1), ("b", 1)], "k string, at int").write.parquet(f"{lake.root}/landing")
     kind = spark.createDataFrame([], "k string, at int").schema
-    pull = lambda key: upsert_with_state(lake, "feed", read_landing(spark, f"{lake.root}/landing", kind), f"{lake.root}/table", f"{lake.root}/checkpoint-{key}", [key], ["at"], NOW)
+    pull = lambda key: upsert_with_state(lake, "feed", read_landing(spark, f"{lake.root}/landing", kind), BucketTable(spark, f"{lake.root}/table-{key}", [key]), f"{lake.root}/checkpoint-{key}", ["at"], NOW)
     assert pull("k") == "success" and lake.state("feed")["records_processed"] == 2 and lake.state("feed")["last_sync_at"] == NOW
     assert pull("nothing") == "failed" and lake.state("feed")["last_error"] and lake.state("feed")["last_sync_at"] == NOW
