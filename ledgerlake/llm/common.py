@@ -6,10 +6,12 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -122,6 +124,29 @@ def in_table(table: tuple[np.ndarray, int], key: np.ndarray) -> np.ndarray:
     return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def may_have(spark: SparkSession, keys: DataFrame):
+    """A test whether a long may be among `key` of keys, by a broadcast table of bits; what it passes by chance an exact join must drop."""
+    table = spark.sparkContext.broadcast(bit_table(keys))
+
+    @F.pandas_udf("boolean")
+    def test(key: pd.Series) -> pd.Series:
+        return pd.Series(in_table(table.value, key.to_numpy().view(np.uint64)))
+
+    return test
+
+
+@contextmanager
+def batch_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Arrow batches of `most` bytes for the jobs run inside, so that long values don't come by the thousand."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def text_digest(text: str) -> Column:
     """The first 16 bytes of a text's SHA-256: equal texts share it."""
     return F.substring(F.unhex(F.sha2(F.col(text).cast("binary"), 256)), 1, 16)

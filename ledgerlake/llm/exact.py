@@ -15,9 +15,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import bit_table, discard, in_table, materialise, prepare, spread_join
+from .common import discard, materialise, may_have, prepare, spread_join
 
 BITS = 48  # of a fingerprint; more of them only make fewer false suspects
 SENDER_ROWS = 1 << 20  # rows whose fingerprints are sorted at once
@@ -122,16 +121,6 @@ def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, sha, *row, pa.array(fp[at].view(np.int64)), pa.array(twice[at])], names=["id", "sha", "row_a", "row_b", "key", "suspect"])
 
 
-def _may_be(spark, keys: DataFrame):
-    table = spark.sparkContext.broadcast(bit_table(keys))
-
-    @F.pandas_udf(T.BooleanType())
-    def may_be(fp: pd.Series) -> pd.Series:
-        return pd.Series(in_table(table.value, fp.to_numpy().view(np.uint64)))
-
-    return may_be
-
-
 def find_copies(docs: DataFrame, *, bits: int = BITS, owner_rows: int = OWNER_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs.
 
@@ -151,7 +140,7 @@ def find_copies(docs: DataFrame, *, bits: int = BITS, owner_rows: int = OWNER_RO
     discard(prints)
     discard(sent)
     suspects = told.where("suspect")
-    may_be = _may_be(spark, suspects.select("key").distinct())
+    may_be = may_have(spark, suspects.select("key").distinct())
     texts = docs.select(text.alias("text"), mark.alias("fp")).where(may_be("fp"))
     same = texts.groupBy("text").agg(F.count("*").alias("n")).select(F.unhex(F.sha2("text", 256)).alias("sha"), "n")
     groups = same.groupBy("sha").agg(F.sum("n").alias("group_size"), F.count("*").alias("texts"))

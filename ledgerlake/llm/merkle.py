@@ -84,7 +84,7 @@ def paths(tree: Tree, above: DataFrame, arity: int = ARITY) -> DataFrame:
         joined = joined.withColumn("path", F.concat(F.array(F.struct("before", "after")), F.col("path"))).drop("_run", "before", "after")
         alone = tops.where(F.col("level") == k)
         if k:
-            up = joined.select("tree", "idx", "path", "top").unionByName(alone.select("tree", F.lit(0).cast("long").alias("idx"), "path", "top"))
+            up = materialise(joined.select("tree", "idx", "path", "top").unionByName(alone.select("tree", F.lit(0).cast("long").alias("idx"), "path", "top")), "merkle-paths")
         else:
             up = joined.unionByName(tree.leaves.where("n = 1").join(alone.drop("level"), "tree"))
     return up if tree.levels else tree.leaves.join(tops.drop("level"), "tree")
@@ -110,8 +110,8 @@ def manifest(docs: DataFrame, *, fields: tuple[str, ...] = FIELDS, arity: int =
     rows = docs.select(F.col(id_col).alias("doc_id"), grouped.alias("tree"), leaf(fields).alias("hash"), (leaf(fields, **check) if check else F.lit(None).cast("binary")).alias("presented"))
     leaves = numbered(rows, ["tree"], ["doc_id", "hash"], "merkle-leaves").withColumnsRenamed({"at": "idx", "size": "n"})
     below = grow(leaves, arity)
-    tops = numbered(below.tops.select(F.col("tree").alias("below"), "hash"), [], ["below"], "merkle-groups").withColumnsRenamed({"at": "idx", "size": "n"})
-    over = grow(tops.withColumn("tree", F.lit("")), arity)
+    tops = numbered(below.tops.select(F.lit("").alias("tree"), F.col("tree").alias("below"), "hash"), [], ["below"], "merkle-groups").withColumnsRenamed({"at": "idx", "size": "n"})
+    over = grow(tops, arity)
     root = over.tops.first()
     above = paths(over, over.tops.select("tree", F.lit([]).cast(PATH).alias("path")), arity).select(F.col("below").alias("tree"), "path")
     out = paths(below, above, arity)

@@ -2,16 +2,19 @@
 
 Candidates come from the SimHash operator (fingerprints of the shingles within three bits, by deletion-variant signatures) and, since most pairs at 0.8
 differ in more bits than that, from bands of MinHash values: a pair at 0.8 shares a band with a chance of 0.9996, a more similar pair with a higher one.
-Each candidate link is verified on the whole sets of shingles. Rows follow the texts, not their pairs: texts with equal sets stand for one another, and
-inside a band's bucket only the maximum spanning forest by estimated similarity is emitted first. What verification refuses could have joined two
-groups by another pair, so further rounds take, of each group that is still apart in a bucket, the next best pairs with the groups nearest to it. A link
-is missed only where all these pairs, in all the bands that two texts share, are refused.
+Each candidate is verified on the whole sets of shingles; texts with equal sets stand for one another.
+
+A bucket of a band is searched in rounds. The members of its largest group so far need no search among themselves; of the rest some are drawn as
+queries, four times as many in each round, and meet all members in blocks, so no task holds a bucket. A member asks for its best pairs with other groups
+by the share of equal MinHash values, one in the first round and four times as many in each later one. What is verified joins groups, so a large group
+of copies is one group after a round or two. A bucket is done once all of its rest have been queries and no pair between two groups is left that could
+reach the similarity: nothing is given up.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,15 +23,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, fresh, materialise, prepare, spread_join
+from .common import batch_bytes, discard, fresh, materialise, may_have, prepare, spread_join
 from .decontam import grams, hash_words
 from .simhash import components, links, majority
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 20, 5
 SLACK = 0.13  # over three standard deviations of an estimate by 100 values
-BLOCK = 4096  # rows of a bucket compared at once
-NEAREST, ROUNDS = 3, 3  # groups that a group is tried with in a bucket and a round
+QUERIES, MEMBERS = 256, 1024  # that meet in a task
+SMALL = 1 << 12  # pairs compared in one step
+DRAWN, GROWTH = 64, 4  # queries of a bucket in the first round, and how much more of them and of pairs a member there are in the next
+EDGES = 500  # pairs of one text verified in a task
+BATCH_BYTES = 32 << 20  # of texts that a Python worker gets at once
 STEP = 1 << 11  # shingles hashed at once
 _LOWER = bytes(32 if c in b" \t\n\r\x0b\x0c" else c for c in range(256))
 _RNG = np.random.default_rng(42)
@@ -86,100 +92,135 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(rows, BANDS)), pa.array([x for x in short for _ in range(BANDS)], pa.binary())], names=["key", "row", "sketch"])
 
 
-def forest(rows: np.ndarray, sketch: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """The edges of a maximum spanning tree by the share of equal values (Prim), but for those below least."""
-    order = np.argsort(rows)
-    rows, sketch = rows[order], sketch[order]
-    best, parent, left = np.full(len(rows), -1, np.int64), np.zeros(len(rows), np.int64), np.arange(1, len(rows))
-    out, at = [], 0
-    while len(left):
-        same = (sketch[left] == sketch[at]).sum(axis=1)
-        nearer = same > best[left]
-        best[left[nearer]], parent[left[nearer]] = same[nearer], at
-        k = int(best[left].argmax())
-        at = int(left[k])
-        if best[at] >= least * sketch.shape[1]:
-            out.append((int(rows[parent[at]]), int(rows[at])))
-        left = np.delete(left, k)
-    return out
-
-
-def apart(rows: np.ndarray, sketch: np.ndarray, group: np.ndarray, least: float, rank: int) -> list[tuple[int, int]]:
-    """Of each group but the largest a pair with each of its NEAREST nearest other groups, the one at place `rank` by the share of equal values."""
-    order = np.argsort(group, kind="stable")
-    rows, sketch, group = rows[order], sketch[order], group[order]
-    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    ends = np.append(starts[1:], len(rows))
-    out, largest = [], int((ends - starts).argmax())
-    for g, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
-        if g == largest:
-            continue
-        same = np.stack([(sketch == row).sum(axis=1) for row in sketch[a:b]])
-        best = np.maximum.reduceat(same.max(axis=0), starts)
-        best[g] = -1
-        for other in np.argsort(-best, kind="stable")[:NEAREST].tolist():
-            if best[other] < least * sketch.shape[1]:
-                break
-            pairs = same[:, starts[other] : ends[other]]
-            if rank < pairs.size:
-                k = int(np.argsort(-pairs, axis=None, kind="stable")[rank])
-                x, y = divmod(k, pairs.shape[1])
-                if pairs[x, y] >= least * sketch.shape[1]:
-                    i, j = int(rows[a + x]), int(rows[starts[other] + y])
-                    out.append((min(i, j), max(i, j)))
-    return out
-
-
-def _in_buckets(pairs: Callable[[np.ndarray, np.ndarray, np.ndarray], list[tuple[int, int]]]):
-    """(key, row, sketch, label), sorted by key -> the pairs of each bucket."""
-
-    def flush(held: list[pa.RecordBatch]) -> list[tuple[int, int]]:
-        rows, labels = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in (1, 3))
-        if len(rows) < 2 or (labels == labels[0]).all():
-            return []
-        sketch = np.frombuffer(b"".join([x for b in held for x in b.column(2).to_pylist()]), np.uint8).reshape(len(rows), -1)
-        if len(rows) <= BLOCK:
-            return pairs(rows, sketch, labels)
-        order, found = np.lexsort(sketch.T), []  # alike rows lie together; blocks share a row
-        for at in range(0, len(rows) - 1, BLOCK - 1):
-            part = order[at : at + BLOCK]
-            found += pairs(rows[part], sketch[part], labels[part])
-        return found
+def best_pairs(queries: np.ndarray, members: np.ndarray, most: int, least: float) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places of (query, member) pairs of different groups that may reach the similarity, and whether there are more of them.
+
+    Rows are (row, label, sketch). Each member's `most` best queries count, and of two groups the `most` best pairs."""
+    if len(queries) * len(members) <= SMALL:
+        same = (queries["sketch"][:, None] == members["sketch"]).sum(axis=2)
+    else:  # value by value, which bounds what stands in memory
+        same = np.zeros((len(queries), len(members)), np.int16)
+        for k in range(queries["sketch"].shape[1]):
+            same += queries["sketch"][:, k, None] == members["sketch"][None, :, k]
+    q, m = np.nonzero((same >= least * queries["sketch"].shape[1]) & (queries["label"][:, None] != members["label"][None, :]))
+    value = same[q, m]
+    order = np.lexsort((queries["row"][q], -value, m))
+    q, m, value = q[order], m[order], value[order]
+    first = _rank(m) < most
+    q, m, value = q[first], m[first], value[first]
+    a, b = queries["label"][q], members["label"][m]
+    order = np.lexsort((members["row"][m], -value, b, a))
+    q, m, a, b = q[order], m[order], a[order], b[order]
+    pair = np.concatenate([[0], np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]))]) if len(a) else np.zeros(0, np.int64)
+    second = _rank(pair) < most
+    return q[second], m[second], not (first.all() and second.all())
+
+
+def _rank(group: np.ndarray) -> np.ndarray:
+    """Place of each element in its run."""
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    return np.arange(len(group)) - np.repeat(starts, np.diff(np.append(starts, len(group))))
+
+
+def _meet(most: int, least: float):
+    """(key, i, j, query, row, label, sketch), sorted -> candidate pairs a, b, and the keys of which pairs are left."""
+    kind = np.dtype([("row", np.int64), ("label", np.int64), ("sketch", np.uint8, BANDS * BAND_ROWS)])
+
+    def flush(held: list[pa.RecordBatch], out: list[list]) -> None:
+        rows = np.zeros(sum(b.num_rows for b in held), kind)
+        for name in ("row", "label"):
+            rows[name] = np.concatenate([b.column(name).to_numpy() for b in held])
+        rows["sketch"] = np.frombuffer(b"".join([x for b in held for x in b.column("sketch").to_pylist()]), np.uint8).reshape(len(rows), -1)
+        asks = np.concatenate([b.column("query").to_numpy(zero_copy_only=False) for b in held])
+        queries, members = rows[asks], rows[~asks]
+        q, m, more = best_pairs(queries, members, most, least)
+        for values, found in zip(out, (queries["row"][q].tolist(), members["row"][m].tolist(), [held[0].column("key")[0].as_py()] * (len(q) + more)), strict=True):
+            values.extend(found + [None] * (len(q) + more - len(found)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        at, held, out = None, [], [[], [], []]
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            if not len(keys):
+            if not batch.num_rows:
                 continue
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            found: list[tuple[int, int]] = []
+            group = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
+            cuts = [0, *(np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if keys[a] != key and held:
-                    found += flush(held)
+                here = tuple(group[:, a].tolist())
+                if held and here != at:
+                    flush(held, out)
                     held = []
-                key = keys[a]
+                at = here
                 held.append(batch.slice(a, b - a))
-            yield _edges(found)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b", "key"])
+            out = [[], [], []]
         if held:
-            yield _edges(flush(held))
+            flush(held, out)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b", "key"])
 
     return run
 
 
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+def _alike(shingle: int, least: float):
+    """(a, part, b, text), sorted, a's own text first (b null) -> the pairs a, b that are similar enough. One set is held, another at hand."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(0, np.uint64)
+        for batch in batches:
+            found = []
+            for a, b, text in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("text"), strict=True):
+                values = shingles(text.as_py(), shingle)
+                if b is None:
+                    own = values
+                elif similarity(own, values) >= least:
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-def _verified(edges: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The edges whose texts (row, text) are similar enough."""
+    return run
 
-    @F.pandas_udf(T.BooleanType())
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([similarity(shingles(x, shingle), shingles(y, shingle)) >= least for x, y in zip(a, b, strict=True)], dtype=bool)
 
-    first, second = (texts.select(F.col("row").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    return edges.join(first, "a").join(second, "b").where(alike("text_a", "text_b")).select("a", "b")
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose texts (row, text) are similar enough. Only texts that a pair names are shuffled, a's once for each EDGES of its pairs."""
+    spark = pairs.sparkSession
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct().select(F.xxhash64("row").alias("key"))
+    named = texts.where(may_have(spark, needed)(F.xxhash64("row")))
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / EDGES).alias("parts"))
+    dealt = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b")
+    own = parts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).join(named.withColumnRenamed("row", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "text")
+    other = dealt.join(named.withColumnRenamed("row", "b"), "b").select("a", "part", "b", "text")
+    rows = own.unionByName(other).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    with batch_bytes(spark, BATCH_BYTES):
+        return materialise(rows.mapInArrow(_alike(shingle, least), "a bigint, b bigint"), "alike")
+
+
+def joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """labels (node, label; a node that isn't there is its own group) after edges a, b joined their groups."""
+    if labels is None:
+        return components(edges)
+    known = edges
+    for c in "ab":
+        known = known.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}")), c, "left").withColumn(f"_{c}", F.coalesce(f"_{c}", c))
+    up = components(known.select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct())
+    moved = labels.join(up.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return materialise(moved.unionByName(up.join(labels, "node", "left_anti").select("node", "label")), "groups")
+
+
+def _searched(met: DataFrame, labels: DataFrame | None, drawn: int, most: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """One round over buckets (key, row, sketch): candidate pairs a, b, and the keys that need another round."""
+    labelled = met.withColumn("label", F.col("row")) if labels is None else met.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
+    groups = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
+    buckets = groups.groupBy("key").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("home"), F.max("n").alias("most")).withColumn("rest", F.col("n") - F.col("most")).where("rest > 0")
+    buckets = materialise(buckets.select("key", "n", "home", "rest"), "buckets")
+    rows = labelled.join(buckets, "key")
+    chance = F.pmod(F.xxhash64("row", "key"), F.lit(1 << 20)) < F.lit(float(drawn << 20)) / F.col("rest")
+    i, j = F.ceil(F.least(F.col("rest"), F.lit(2 * drawn)) / QUERIES), F.ceil(F.col("n") / MEMBERS)
+    spread = F.xxhash64(F.col("row"), F.lit("block"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    asks = rows.where((F.col("label") != F.col("home")) & chance).select("key", F.pmod(spread, i).alias("i"), each(j).alias("j"), F.lit(True).alias("query"), "row", "label", "sketch")
+    answers = rows.select("key", each(i).alias("i"), F.pmod(spread, j).alias("j"), F.lit(False).alias("query"), "row", "label", "sketch")
+    blocks = asks.unionByName(answers).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    found = materialise(blocks.mapInArrow(_meet(most, least), "a bigint, b bigint, key bigint"), "found")
+    again = found.where("a is null").select("key").union(buckets.where(F.col("rest") > drawn).select("key")).distinct()
+    return found.where("a is not null").groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.min("a").alias("a")).select("a", (F.col("lo") + F.col("hi") - F.col("a")).alias("b")), again
 
 
 def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,28 +235,28 @@ def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, least: float = SIMILARI
     prints = materialise(sets.groupBy("fp").agg(F.min("row").alias("first")), "set-prints")
     alike = spread_join(sets.select("row", "fp"), prints, "fp", "row").where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"))
     near = links(prints).join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
-    by_print = alike.unionByName(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    # a link leads from a member to the first of its group, which may have many: that is a
+    by_print = alike.unionByName(near.select(F.col("y").alias("a"), F.col("x").alias("b")))
+    texts = tagged.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
+    tested = materialise(by_print, "tested")
+    labels = joined(None, verified(tested, texts, shingle, least))
     banded = sets.select("row", "sketch").mapInArrow(_bands, "key bigint, row bigint, sketch binary")
     live = banded.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo <> hi").select("key")
-    met = materialise(banded.join(live, "key"), "met")
-    texts = tagged.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
-    share = least - SLACK
-
-    def linked(labelled: DataFrame, pairs, more: DataFrame | None = None) -> DataFrame:
-        found = labelled.repartition("key").sortWithinPartitions("key").mapInArrow(_in_buckets(pairs), "a bigint, b bigint")
-        return materialise(_verified((found if more is None else found.unionByName(more)).distinct(), texts, shingle, least), "alike")
-
-    edges = linked(met.select("key", "row", "sketch", F.col("row").alias("label")), lambda r, s, g: forest(r, s, share), by_print)
-    label = components(edges)
-    labelled = met.join(label.withColumnRenamed("node", "row"), "row", "left").select("key", "row", "sketch", F.coalesce("label", "row").alias("label"))
-    for rank in range(ROUNDS):
-        more = linked(labelled, lambda r, s, g, rank=rank: apart(r, s, g, share, rank))
-        if more.limit(1).count():
-            edges = edges.unionByName(more)
-            label = components(edges)
-            labelled = met.join(label.withColumnRenamed("node", "row"), "row", "left").select("key", "row", "sketch", F.coalesce("label", "row").alias("label"))
+    met, drawn, most = materialise(banded.join(live, "key"), "met"), DRAWN, 1
+    while True:
+        pairs, again = _searched(met, labels, drawn, most, least - SLACK)
+        seen = tested.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+        new = materialise(pairs.withColumns({"lo": F.least("a", "b"), "hi": F.greatest("a", "b")}).join(seen, ["lo", "hi"], "left_anti").select("a", "b"), "tested")
+        edges = verified(new, texts, shingle, least)
+        if edges.limit(1).count():
+            labels = joined(labels, edges)
+        rest = materialise(met.join(again, "key", "left_semi"), "met")
+        discard(met)
+        met, tested, drawn, most = rest, tested.unionByName(new), drawn * GROWTH, most * GROWTH
+        if not met.limit(1).count():
+            break
     discard(met)
-    group = sets.join(label.withColumnRenamed("node", "row"), "row", "left").select("digest", F.coalesce("label", "row").alias("label"))
+    group = sets.join(labels.withColumnRenamed("node", "row"), "row", "left").select("digest", F.coalesce("label", "row").alias("label"))
     by_row = tagged.select(F.col(id_col).cast("long").alias("doc_id"), F.col(row).alias("row"), F.col(made)["digest"].alias("digest"))
     by_row = spread_join(by_row, group, "digest", "row")
     first = by_row.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("first")).select(F.col("first.row").alias(row))

@@ -517,13 +517,37 @@ def test_pipeline_keeps_one_of_similar_texts(spark):
     assert minhash.keep_one(docs(spark, [])).count() == 0
 
 
-def test_refused_links_do_not_part_a_group():
-    """A tree edge that verification may refuse: each group that is apart is tried with those nearest to it, by other pairs in each round."""
-    rows, sketch = np.arange(4), np.zeros((4, 100), np.uint8)
-    sketch[1, :10], sketch[2, :30], sketch[3, :60] = 1, 2, 3
-    assert len(minhash.forest(rows, sketch, 0.55)) == 2
-    group = np.array([0, 0, 2, 3])
-    assert [minhash.apart(rows, sketch, group, 0.55, rank) for rank in range(3)] == [[(0, 2)], [(1, 2)], []]
+def test_pairs_that_a_round_leaves_come_in_a_later_one():
+    """Of each member the best query, of two groups the best pair; what is left is told, and all of it comes as more are asked for."""
+    rows = np.zeros(6, np.dtype([("row", np.int64), ("label", np.int64), ("sketch", np.uint8, 100)]))
+    rows["row"], rows["label"] = np.arange(6), [0, 0, 2, 3, 4, 4]
+    for k, n in enumerate((0, 5, 10, 20, 30, 60)):
+        rows["sketch"][k, :n] = k
+    want = {(q, m) for q in range(6) for m in range(6) if rows["label"][q] != rows["label"][m] and (rows["sketch"][q] == rows["sketch"][m]).sum() >= 55}
+    sizes = []
+    for most in (1, 4, 16):
+        q, m, more = minhash.best_pairs(rows, rows, most, 0.55)
+        assert set(zip(q.tolist(), m.tolist(), strict=True)) <= want and more == (len(q) < len(want))
+        sizes.append(len(q))
+    assert sizes[0] < sizes[2] == len(want)
+
+
+def test_large_buckets_in_blocks_and_rounds(spark, monkeypatch):
+    """A chain in which each text is like its neighbours only, all in common buckets: one group, also with few queries a round and small blocks."""
+    rng = random.Random(11)
+    text = words(rng, 300).split()
+    chain = []
+    for k in range(30):
+        chain.append((k, " ".join(text)))
+        for _ in range(5):
+            text[rng.randrange(300)] = f"new{k}"
+    apart = [(100 + k, words(rng, 300)) for k in range(5)]
+    for drawn, queries, members in ((64, 256, 1024), (2, 2, 3)):
+        monkeypatch.setattr(minhash, "DRAWN", drawn)
+        monkeypatch.setattr(minhash, "QUERIES", queries)
+        monkeypatch.setattr(minhash, "MEMBERS", members)
+        kept = minhash.keep_one(docs(spark, chain + apart))
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 100, 101, 102, 103, 104]
 
 
 def test_aws_keys_without_digits(spark):
