@@ -53,7 +53,7 @@ TABLES = {
     "memo_header": f"""
         select {MEMO_NO} as no, k, 'C' || lpad(cast(c as string), 5, '0') as customer_no, 'Customer ' || cast(c as string) as customer_name, d + cast(k % 5 as int) as posting_date,
                case when k % 16 = 5 then cast(null as date) else d + cast(k % 45 as int) end as document_date, k % 20 = 9 as corrective, k % 20 = 13 as correction,
-               case cast(floor(k / 4) as int) % 6 when 0 then 'SHGRN' when 1 then 'EXP' when 2 then 'DMG' when 3 then 'INC' when 4 then 'FR' else 'RECO-CN' end as reason,
+               case cast(floor(k / 4) as int) % 6 when 0 then 'SHGRN' when 1 then 'EXP' when 2 then 'DMG' when 3 then 'INC' when 4 then 'FR' else (case when k % 5 = 0 then 'CAPPING RT' else 'RECO-CN' end) end as reason,
                case when k % 8 = 1 then {INVOICE_NO} else '' end as applies_to_no, case when k % 8 = 1 then 'Invoice' else ' ' end as applies_to_type,
                case when k % 3 = 0 then {INVOICE_NO} || '/R' when k % 3 = 1 then {PO} else '' end as external_no, case when k % 7 = 0 then 'PRN-' || cast(k as string) when k % 7 = 1 then {INVOICE_NO} end as prn_no,
                {BRANCH} as location_code, 'Taxable' as invoice_type, 'S' || lpad(cast(c % 25 as string), 2, '0') as bill_state, 'S' || lpad(cast((c + 1) % 25 as string), 2, '0') as ship_state,
