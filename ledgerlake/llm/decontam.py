@@ -90,38 +90,53 @@ def tile(item: np.ndarray, text: np.ndarray, least: int = SEED_WORDS) -> list[tu
         total = np.concatenate([[0], np.cumsum(free)])
         return np.flatnonzero(total[size:] - total[:-size] == size) if len(free) >= size else np.zeros(0, np.int64)
 
+    def matches(p: int, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the places t those that match from p on and can't begin earlier, with their lengths; all at once, word by word."""
+        if p and free_i[p - 1]:
+            before = np.maximum(t - 1, 0)
+            t = t[(t == 0) | (text[before] != item[p - 1]) | ~free_t[before]]
+        for j in range(size):
+            t = t[text[t + j] == item[p + j]]
+        length, live = np.full(len(t), size, np.int64), np.arange(len(t))
+        for k in range(size, len(item) - p):
+            at = t[live] + k
+            inside = at < len(text)
+            live, at = live[inside], at[inside]
+            live = live[(text[at] == item[p + k]) & free_t[at]] if free_i[p + k] else live[:0]
+            if not len(live):
+                break
+            length[live] += 1
+        return t, length
+
     while True:
         longest, found = 0, []
-        table: dict[int, list[int]] = {}
-        hashes = grams(text, size)
-        wanted = grams(item, size)
-        places = runs(free_t)
-        for t in places[np.isin(hashes[places], wanted)].tolist() if len(places) else []:
-            table.setdefault(int(hashes[t]), []).append(t)
+        hashes, wanted, places = grams(text, size), grams(item, size), runs(free_t)
+        places = places[np.isin(hashes[places], wanted)] if len(places) else places
+        places = places[np.argsort(hashes[places], kind="stable")] if len(places) else places
+        keys = hashes[places] if len(places) else hashes[:0]
         for p in runs(free_i).tolist():
-            for t in table.get(int(wanted[p]), ()):
-                k = size
-                while p + k < len(item) and t + k < len(text) and item[p + k] == text[t + k] and free_i[p + k] and free_t[t + k]:
-                    k += 1
-                if (item[p : p + size] == text[t : t + size]).all():
-                    found.append((k, p, t))
-                    longest = max(longest, k)
+            t, length = matches(p, places[np.searchsorted(keys, wanted[p]) : np.searchsorted(keys, wanted[p], "right")])
+            if len(t):
+                found.append((np.full(len(t), p), t, length))
+                longest = max(longest, int(length.max()))
             if longest > 2 * size:
                 break
         if longest > 2 * size:
             size = longest
             continue
-        heap = [(-k, p, t) for k, p, t in found]
+        heap = [(-k, p, t) for x in found for p, t, k in zip(*(y.tolist() for y in x), strict=True)]
         heapq.heapify(heap)
-        while heap:  # a match cut by a tile comes again with what is left of it; its later parts are matches of their own
+        while heap:  # a match cut by a tile comes again with each part that is left of it
             k, p, t = heapq.heappop(heap)
             both = free_i[p : p - k] & free_t[t : t - k]
-            left = -k if both.all() else int(both.argmin())
-            if left == -k:
-                tiles.append((p, t, left))
-                free_i[p : p + left] = free_t[t : t + left] = False
-            elif left >= size:
-                heapq.heappush(heap, (-left, p, t))
+            if both.all():
+                tiles.append((p, t, -k))
+                free_i[p : p - k] = free_t[t : t - k] = False
+            elif both.any():
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], both, [False]]).astype(np.int8)))
+                for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+                    if b - a >= size:
+                        heapq.heappush(heap, (a - b, p + a, t + a))
         if size == least:
             return tiles
         size = max(least, size // 2)

@@ -23,7 +23,7 @@ SHINGLE, SEED, MAX_BITS = 3, 42, 3
 SEGMENT = 32
 BLOCK = 4096  # fingerprints of a bucket linked in one task
 COMPARED = 1024  # of them compared at once
-LEVELS = 3  # times that a large bucket is dealt out; then the rest of its bits allows few different members
+LEVELS = 4  # a bucket is dealt out after each level but the last; there members share 48 bits or more, so it has 65,536 of them at most
 TASK_ROWS = 50_000  # fingerprints expanded in a task
 
 

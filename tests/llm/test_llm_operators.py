@@ -67,6 +67,16 @@ def test_tiles_and_contamination(spark):
     assert decontam.find_contaminated(docs(spark, ODD), bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_repeated_words_are_tiled_in_bulk():
+    """A text of one word over and over has a match at each of its places; tiles of periodic texts stay whole."""
+    item, text = np.full(400, 7, np.uint64), np.full(100_000, 7, np.uint64)
+    assert decontam.tile(item, text) == [(0, 0, 400)]
+    week = np.arange(3, 10, dtype=np.uint64)
+    assert sum(k for *_, k in decontam.tile(np.tile(week, 60), np.concatenate([np.tile(week, 20), [1], np.tile(week, 5000)]).astype(np.uint64))) == 420
+    cut = decontam.tile(np.arange(30, dtype=np.uint64), np.concatenate([np.arange(12, 30), [99], np.arange(18)]).astype(np.uint64))
+    assert sorted(cut) == [(0, 19, 12), (12, 0, 18)]  # the second match gives way where the first lies, and keeps the rest
+
+
 def test_warc_round_trip_and_revisits(spark):
     big = "<p>é</p>" * 400
     rows = [(1, "http://a/\r\nX: 1", big), (2, None, big), (5, "", big), (5, "", big), (None, "u", big), (6, "u", None), (7, "u", ""), (8, "u", "small"), (9, "u", "small")]
