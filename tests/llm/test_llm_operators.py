@@ -74,7 +74,7 @@ def test_repeated_words_are_tiled_in_bulk():
     week = np.arange(3, 10, dtype=np.uint64)
     assert sum(k for *_, k in decontam.tile(np.tile(week, 60), np.concatenate([np.tile(week, 20), [1], np.tile(week, 5000)]).astype(np.uint64))) == 420
     cut = decontam.tile(np.arange(30, dtype=np.uint64), np.concatenate([np.arange(12, 30), [99], np.arange(18)]).astype(np.uint64))
-    assert sorted(cut) == [(0, 19, 12), (12, 0, 18)]  # the second match gives way where the first lies, and keeps the rest
+    assert sorted(cut) == [(0, 19, 18), (18, 6, 12)]  # the second match gives way where the first lies, and keeps the rest
 
 
 def test_warc_round_trip_and_revisits(spark):
