@@ -54,6 +54,18 @@ def _tags(t):
     return r.apply_tags(t.customer_ref.select("customer_no", "platform", "channel", "match_rule", "reviewed"), rules)
 
 
+def _rings(t):
+    """A tree over the customers, with rings of six of them in each hundred, two-way links and links to oneself."""
+    k = fixture(*t._at, "customer").select(F.col("c_custkey").alias("k"))
+    at = F.col("k") % 100
+    up = k.where("k > 1").select("k", F.floor(F.col("k") / 2).alias("to"))
+    ring = k.where(at <= 5).select("k", F.when(at == 5, F.col("k") - 5).otherwise(F.col("k") + 1).alias("to"))
+    both = k.where(at == 50).select("k", (F.col("k") + 1).alias("to")).union(k.where(at == 51).select("k", (F.col("k") - 1).alias("to")))
+    alone = k.where(F.col("k") % 97 == 0).select("k", F.col("k").alias("to"))
+    links = up.union(ring).union(both).union(alone)
+    return links.select(F.concat(F.lit("v"), F.col("k").cast("string")).alias("parent"), F.concat(F.lit("v"), F.col("to").cast("string")).alias("child"))
+
+
 QUERIES = {
     "ref_channel_sync": _step(lambda t: r.sync_channel(t.customer_ref, t.customer_card).select("customer_no", "channel", F.col("_changed").alias("changed"))),
     "ref_platform_follow": _step(lambda t: r.follow_platform(t.customer_ref, t.channel_map, F.lit(TODAY).cast("date")).select("customer_no", "platform", "grn_feed", "match_rule", "note", "updated_at", F.col("_changed").alias("changed"))),
@@ -68,6 +80,7 @@ QUERIES = {
     "quota_autobudget": _step(lambda t: q.auto_budget(q.usage(_inventory(t), _policy(t)), _policy(t), 3.7)),
     "quota_alert": _step(lambda t: q.alerts(_levels(t), _alert_state(t), F.lit("2024-05-01 00:00:00").cast("timestamp"), 24).select("owner", "level", "send", "last_sent_at")),
     "quota_message": _step(lambda t: q.alert_message(q.alerts(_levels(t), _alert_state(t), F.lit("2024-05-01 00:00:00").cast("timestamp"), 24))),
+    "lin_cycles": _step(lambda t: lin.cycles(_rings(t))),
     "lin_dependents": _step(lambda t: lin.dependents(_edges(t), "v0")),
     "aud_missing_objects": _step(lambda t: lin.missing_objects(t.invoice_header.select(F.col("no").alias("object_name")), t.invoice_line.select(F.col("document_no").alias("object_name")).distinct())),
     "aud_missing_columns": _step(lambda t: lin.missing_columns(t.invoice_line.select(F.col("document_no").alias("object_name"), F.col("line_no").alias("column_name")), t.tax_entry.select(F.col("document_no").alias("object_name"), F.col("line_no").cast("string").alias("column_name")).distinct())),
@@ -116,3 +129,10 @@ _ASK = {
 _ASK["ref_changes"] = " union all ".join(f"select '{k}' as step, count(*) as n_rows, count(*) filter (changed) as n_changed from ({_ASK[v]})" for k, v in (("channel", "ref_channel_sync"), ("platform", "ref_platform_follow"), ("tags", "ref_tags")))
 ORACLE_SQL = {name: with_tables(sql, STEPS) for name, sql in _ASK.items() if name != "lin_dependents"}
 ORACLE_SQL["lin_dependents"] = f"with recursive edge as ({STEPS['edge']}), walk as (select child as node, 1 as depth from edge where parent = 'v0' union select e.child, w.depth + 1 from walk w join edge e on e.parent = w.node) {_ASK['lin_dependents']}"
+ORACLE_SQL["lin_cycles"] = """with recursive link as (
+        select 'v' || c_custkey as a, 'v' || (c_custkey // 2) as b from customer where c_custkey > 1
+        union select 'v' || c_custkey, 'v' || if(c_custkey % 100 = 5, c_custkey - 5, c_custkey + 1) from customer where c_custkey % 100 <= 5
+        union select 'v' || c_custkey, 'v' || (c_custkey + 1) from customer where c_custkey % 100 = 50 union select 'v' || c_custkey, 'v' || (c_custkey - 1) from customer where c_custkey % 100 = 51
+        union select 'v' || c_custkey, 'v' || c_custkey from customer where c_custkey % 97 = 0),
+    reach as (select a, b from link union select r.a, l.b from reach r join link l on l.a = r.b)
+    select x.a as node, min(x.b) as cycle from reach x join reach y on y.a = x.b and y.b = x.a group by x.a"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import Tables, with_tables
+from ..plans import ledger_store as store
 from ..plans import register as r
 from .common import money, settled
 
@@ -110,7 +111,17 @@ GROUPS = {
     "reg_amounts": ["amount_lcy", "gst_base_amount", "igst", "cgst", "sgst", "amount_to_customer", "cogs"],
 }
 
+def _bucketed(t):
+    """Posted lines with their tax and cost, all three stored in buckets of document and line."""
+    line = F.col("line_no").cast("int").alias("line_no")
+    lines = store.store_bucketed(t.invoice_line.select("document_no", line, "line_amount"), "lines")
+    taxes = store.store_bucketed(t.tax_entry.where("transaction_type = 'Sales' and document_type = 'Invoice' and not coalesce(reversed, false)").select("document_no", line, "amount"), "taxes")
+    costs = store.store_bucketed(t.value_entry.select("document_no", line, "cost"), "costs")
+    return store.line_totals(lines, taxes, costs)
+
+
 QUERIES = {
+    "reg_bucketed": lambda spark, sf_dir: settled(_bucketed(Tables(spark, sf_dir))),
     "reg_full": lambda spark, sf_dir: settled(r.register(Tables(spark, sf_dir))),
     "reg_tax_component": _step(lambda t: r.tax_component(t.tax_entry)),
     "reg_tax_line": _step(lambda t: r.tax_line(t.tax_entry)),
@@ -145,3 +156,9 @@ ORACLE_SQL["reg_reconcile"] = with_tables(
        count(*) filter (line_no <> 30000 and line_amount > 1000) as differ_line_amount, count(*) filter (line_no <> 30000 and uom is null) as differ_uom from documents""",
     STEPS,
 )
+ORACLE_SQL["reg_bucketed"] = with_tables(
+    f"""select l.document_no, cast(l.line_no as integer) as line_no, {money('line_amount')}, round(cast(t.tax as double), 4) as tax, coalesce(t.n, 0) as tax_entries, round(cast(c.cost as double), 4) as cost
+    from invoice_line l left join (select document_no, line_no, sum(amount) as tax, count(*) as n from tax_live where document_type = 'Invoice' group by all) t on t.document_no = l.document_no and t.line_no = cast(l.line_no as bigint)
+    left join (select document_no, line_no, sum(cost) as cost from value_entry group by all) c on c.document_no = l.document_no and c.line_no = cast(l.line_no as bigint)""",
+    STEPS,
+)

@@ -7,8 +7,10 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import lineage
 from ledgerlake.operators import strategies as s
 from ledgerlake.plans import ingest_run as run
+from ledgerlake.plans import ledger_store
 from ledgerlake.plans.buckets import BucketTable, bucket_of
 from ledgerlake.plans.stages import children, create_file, remove, shared_folder, stage_once
 from ledgerlake.sources import chain, pushdown
@@ -180,3 +182,30 @@ def test_kept_stages_follow_their_inputs(spark):
     assert ask() == 3 and ask() == 3 and len(built) == 1
     spark.range(6).write.mode("append").parquet(folder)
     assert ask() == 9 and len(built) == 2
+
+
+def test_cycles_are_named(spark):
+    rng = random.Random(6)
+    for n_nodes, n_edges in ((12, 16), (30, 40), (8, 40), (10, 6)):
+        edges = {(rng.randrange(n_nodes), rng.randrange(n_nodes)) for _ in range(n_edges)}
+        reach = set(edges)
+        while (new := reach | {(a, d) for a, b in reach for c, d in edges if b == c}) != reach:
+            reach = new
+        want = {(str(a), min(str(b) for b in range(n_nodes) if (a, b) in reach and (b, a) in reach)) for a in range(n_nodes) if (a, a) in reach}
+        got = lineage.cycles(spark.createDataFrame([(str(a), str(b)) for a, b in edges], "parent string, child string"))
+        assert set(rows(got, "node", "cycle")) == want and got.count() == len(want)
+    assert lineage.cycles(spark.createDataFrame([("a", "b"), (None, "a")], "parent string, child string")).count() == 0
+
+
+def test_bucketed_ledgers_join_without_an_exchange(spark):
+    lines = ledger_store.store_bucketed(spark.range(500).selectExpr("cast(id % 90 as string) as document_no", "cast(id div 90 as int) as line_no", "id as line_amount"), "lines")
+    taxes = ledger_store.store_bucketed(lines.where("line_amount % 3 = 0").selectExpr("document_no", "line_no", "1 as amount"), "taxes")
+    costs = ledger_store.store_bucketed(lines.selectExpr("document_no", "line_no", "line_amount as cost"), "costs")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = ledger_store.line_totals(lines, taxes, costs)
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 500 and out.where("cost = line_amount and (tax = 1) <=> (line_amount % 3 = 0 or null) and tax_entries = int(line_amount % 3 = 0)").count() == 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
