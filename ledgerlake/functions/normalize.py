@@ -42,6 +42,12 @@ def table_name(feed: str, prefix: str = "t_") -> str:
     return prefix + re.sub(r"_excel$", "", re.sub(r"_+", "_", re.sub(r"[^0-9a-z]+", "_", feed.lower())).strip("_"))
 
 
+def safe_table(feed: Column, prefix: str = "t_") -> Column:
+    """table_name for names that are data."""
+    bare = F.btrim(F.regexp_replace(F.lower(F.coalesce(feed, F.lit(""))), "[^0-9a-z]+", "_"), F.lit("_"))
+    return F.concat(F.lit(prefix), F.btrim(F.regexp_replace(bare, "_excel$", ""), F.lit("_")))
+
+
 def _leaves(schema: T.StructType, at: tuple[str, ...] = ()):
     for f in schema.fields:
         if f.name.startswith("@odata"):  # metadata, at every depth

@@ -88,9 +88,14 @@ def cycles(edges: DataFrame) -> DataFrame:
     return found.join(many, "cycle", "left_semi").select("node", "cycle").unionByName(single.select("node", "cycle")).unionByName(alone)
 
 
+def blocking(found: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The dependents that are materialised: replacing what they read would break them."""
+    return found.join(kinds.where("kind = 'materialised'").select("node").distinct(), "node", "left_semi")
+
+
 def refuse_if_blocked(found: DataFrame, kinds: DataFrame) -> None:
-    """Raise when a dependent is materialised: replacing what it reads would break it."""
-    blocked = [r["node"] for r in found.join(kinds.where("kind = 'materialised'"), "node").orderBy("node").limit(20).collect()]
+    """Raise when a dependent is materialised; the message names the first twenty."""
+    blocked = [r["node"] for r in blocking(found, kinds).orderBy("node").limit(20).collect()]
     if blocked:
         raise ValueError(f"materialised dependents: {', '.join(blocked)}")
 

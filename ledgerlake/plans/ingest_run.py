@@ -24,7 +24,7 @@ from ..operators import strategies as s
 from .buckets import BucketTable
 from .stages import children, create_file, discard, remove, stage
 
-STATE = "service_name string, step bigint, status string, last_sync_at timestamp, history_through date, records_processed bigint, records_failed bigint, last_error string, at timestamp, open_read_at timestamp"
+STATE = "service_name string, step bigint, status string, last_sync_at timestamp, history_through date, records_processed bigint, records_failed bigint, last_error string, at timestamp, open_read_at timestamp, resume_from date"
 SUMMARY = "service_name string, step bigint, phase string, fetched bigint, inserted bigint, failed bigint, skipped bigint, status string"
 KEYS = "table_name string, key_columns string"
 SAMPLE_ROWS = 50  # of a source, for a table that is made before its first run
@@ -61,6 +61,8 @@ class Service:
     parent_date: str | None = None
     open_field: str | None = None
     open_hours: int = 24
+    keep_raw: bool = False  # the record as it came, as JSON in a column of its own
+    json_fields: tuple[str, ...] = ()  # texts of JSON, of which a blank one is none
 
 
 class Lake:
@@ -100,7 +102,7 @@ class Lake:
 
     def save_state(self, state: dict, now: datetime, **changes) -> dict:
         """Append the next state row; what isn't changed stays."""
-        new = state | changes | {"step": state["step"] + 1, "at": now}
+        new = state | {"resume_from": None} | changes | {"step": state["step"] + 1, "at": now}
         names = [f.split(" ")[0] for f in STATE.split(", ")]
         self.append("state", self.spark.createDataFrame([tuple(new.get(k) for k in names)], STATE))
         return new
@@ -138,7 +140,9 @@ def store(lake: Lake, service: Service, pulled: DataFrame, now: datetime, date_f
     Rows without a whole key go to quarantine and count as failed, or are dropped and count as skipped where the service says so. Rows dated in the
     future are stored and flagged. A value that its column's stored type can't hold sends its row to the failed rows."""
     key = list(service.key)
-    seen, flat = Observation(), n.flatten(pulled)
+    seen, flat = Observation(), n.flatten(n.raw_copy(pulled, "whole_record") if service.keep_raw else pulled)
+    flat = flat.withColumnRenamed("whole_record", "_raw_json") if service.keep_raw else flat
+    flat = flat.withColumns({c: n.blank_to_null(F.col(f"`{c}`")) for c in service.json_fields})
     rows = stage(flat.observe(seen, F.count("*").alias("fetched"), F.count_if(m.keyless(key, service.allow_empty)).alias("invalid")), "pulled")
     counted = seen.get  # taken while the rows were written
     try:
@@ -274,7 +278,7 @@ def run(lake: Lake, service: Service, source: DataFrame, now: datetime, full: bo
     except Exception as e:  # the boundary of a run: the state keeps what went wrong, and the windows that were merged before it
         status = "failed"
         kept = through if e is broken else state["history_through"]
-        lake.save_state(state, now, status=status, history_through=kept, records_processed=counts["inserted"], records_failed=counts["failed"], last_error=f"{type(e).__name__}: {e}"[:2000])
+        lake.save_state(state, now, status=status, history_through=kept, resume_from=kept if phase == "backfill" else None, records_processed=counts["inserted"], records_failed=counts["failed"], last_error=f"{type(e).__name__}: {e}"[:2000])
     summary = (service.name, state["step"], phase, counts["fetched"], counts["inserted"], counts["failed"], counts["skipped"], status)
     lake.append("summary", lake.spark.createDataFrame([summary], SUMMARY))
     return status

@@ -75,6 +75,20 @@ def _lineitem(t):
     return fixture(*t._at, "lineitem")
 
 
+def _widened(t):
+    """Stored numbers and codes of digits, and a batch with amounts and text in their place and a new column, under the schema that holds both."""
+    stored = t.invoice_header.where("k % 3 <> 0").selectExpr("no", "k as n", "cast(k % 100 as int) as code")
+    batch = t.invoice_header.where("k % 3 = 0").selectExpr("no", "amount as n", "external_no as code", "eway_no")
+    both = n.widen(stored.schema, batch.schema, ("no",))
+    return n.conform(stored, both).unionByName(n.conform(batch, both))
+
+
+def _preserved(t):
+    """A merge that leaves the customer of stored rows alone, whatever the batch says."""
+    batch = t.invoice_header.where("k % 2 = 0 or k % 4 = 1").select("no", F.lit("C99999").alias("customer_no"), "posting_date", "amount")
+    return m.merge(_stored(t).drop("own_note"), batch, ["no"], F.lit(MARK).cast("timestamp"), preserve=("customer_no",)).select("no", "customer_no", "posting_date", "amount", F.col("_action").alias("action"))
+
+
 def _guarded(t):
     """What an open refresh does with a source that answers, and with one whose filter answers nothing while rows are held open here."""
     held, out = t.order_base.selectExpr("k", "st = 'O' as open"), []
@@ -97,6 +111,9 @@ QUERIES = {
     "ing_open_refresh": _step(lambda t: s.open_refresh(t.order_base.selectExpr("k", "st = 'O' as open"), t.order_base.where("k % 50 <> 7").selectExpr("k", "if(k % 33 = 0, st <> 'O', st = 'O') as open"), "k")[0]),
     "ing_open_missing": _step(lambda t: s.open_refresh(t.order_base.selectExpr("k", "st = 'O' as open"), t.order_base.where("k % 50 <> 7").selectExpr("k", "if(k % 33 = 0, st <> 'O', st = 'O') as open"), "k")[1]),
     "ing_open_guard": _step(_guarded),
+    "ing_widen": _step(_widened),
+    "mrg_preserve": _step(_preserved),
+    "ing_table_names": lambda spark, sf_dir: fixture(spark, sf_dir, "part").select("p_partkey", n.safe_table(F.concat(F.lit(" "), F.col("p_name"), F.when(F.col("p_partkey") % 2 == 0, "__Excel").otherwise(" (V2)!"))).alias("table_name")),
     "ing_future": _step(lambda t: s.flag_future(t.invoice_header.select(*SLIM), "posting_date", date(2001, 1, 1))),
     "ing_corrupt_text": _step(lambda t: s.corrupt_text(t.invoice_header, ["external_no", "ship_to_name"]).select("no", "external_no")),
     "ing_fit_type": _step(lambda t: s.fit_integers(t.invoice_line.select("document_no", "line_no", "line_amount"), ["line_amount"])[0]),
@@ -137,6 +154,11 @@ _ASK = {
     "ing_open_refresh": f"select k, open, if(open, 'open', 'reread') as why from ({_HELD}) where there and (open or held)",
     "ing_open_guard": f"""select 'answers' as source, count(*) filter (there and open) as open_there, count(*) filter (there and not open and held) as reread, count(*) filter (held and not there) as missing from ({_HELD})
         union all select 'silent', 0, 0, 0""",
+    "ing_widen": "select no, if(k % 3 = 0, round(cast(amount as double), 4), cast(k as double)) as n, if(k % 3 = 0, external_no, cast(k % 100 as varchar)) as code, if(k % 3 = 0, eway_no, null) as eway_no from invoice_header",
+    "mrg_preserve": """select coalesce(o.no, h.no) as no, coalesce(o.customer_no, 'C99999') as customer_no, coalesce(o.posting_date, h.posting_date) as posting_date, round(cast(if(h.no is null, o.amount, h.amount) as double), 4) as amount,
+        case when o.no is null then 'insert' when h.no is not null and o.amount <> h.amount then 'update' else 'keep' end as action
+        from old_rows o full join (select * from invoice_header where k % 2 = 0 or k % 4 = 1) h on h.no = o.no""",
+    "ing_table_names": "select p_partkey, 't_' || trim(regexp_replace(lower(' ' || p_name || if(p_partkey % 2 = 0, '', ' (V2)!')), '[^0-9a-z]+', '_', 'g'), '_') as table_name from part",
     "ing_open_missing": f"select k from ({_HELD}) where held and not there",
     "ing_future": f"select no, customer_no, posting_date, {money('amount')}, 'date in the future' as reason from invoice_header where posting_date > date '2001-01-01'",
     "ing_corrupt_text": "select no, external_no from invoice_header where contains(external_no || coalesce(ship_to_name, ''), '�')",
@@ -161,7 +183,7 @@ _ASK = {
 }
 ORACLE_SQL = {}
 for _name, _sql in _ASK.items():
-    if _name == "ing_names":
+    if _name in ("ing_names", "ing_table_names"):
         ORACLE_SQL[_name] = _sql
     elif _name == "ing_windows":
         _full = with_tables("select 1 from invoice_header").rsplit("\n", 1)[0]

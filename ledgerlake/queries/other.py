@@ -80,6 +80,7 @@ QUERIES = {
     "quota_autobudget": _step(lambda t: q.auto_budget(q.usage(_inventory(t), _policy(t)), _policy(t), 3.7)),
     "quota_alert": _step(lambda t: q.alerts(_levels(t), _alert_state(t), F.lit("2024-05-01 00:00:00").cast("timestamp"), 24).select("owner", "level", "send", "last_sent_at")),
     "quota_message": _step(lambda t: q.alert_message(q.alerts(_levels(t), _alert_state(t), F.lit("2024-05-01 00:00:00").cast("timestamp"), 24))),
+    "lin_blocking": _step(lambda t: lin.blocking(lin.dependents(_edges(t), "v0"), _edges(t).select(F.col("child").alias("node")).withColumn("kind", F.when(F.col("node").endswith("7"), "materialised").otherwise("view")))),
     "lin_cycles": _step(lambda t: lin.cycles(_rings(t))),
     "lin_dependents": _step(lambda t: lin.dependents(_edges(t), "v0")),
     "aud_missing_objects": _step(lambda t: lin.missing_objects(t.invoice_header.select(F.col("no").alias("object_name")), t.invoice_line.select(F.col("document_no").alias("object_name")).distinct())),
@@ -136,3 +137,4 @@ ORACLE_SQL["lin_cycles"] = """with recursive link as (
         union select 'v' || c_custkey, 'v' || c_custkey from customer where c_custkey % 97 = 0),
     reach as (select a, b from link union select r.a, l.b from reach r join link l on l.a = r.b)
     select x.a as node, min(x.b) as cycle from reach x join reach y on y.a = x.b and y.b = x.a group by x.a"""
+ORACLE_SQL["lin_blocking"] = ORACLE_SQL["lin_dependents"].replace(_ASK["lin_dependents"], "select node, cast(max(depth) as integer) as depth from walk where node like '%7' group by 1")

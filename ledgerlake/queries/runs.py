@@ -106,7 +106,7 @@ def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resumed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The states that these runs leave."""
     states = _resumed(Tables(spark, sf_dir), spark).side("state", run.STATE).where("status <> 'in_progress'")
-    return states.select("step", "status", "history_through", "records_processed", F.contains("last_error", F.lit("no answer")).alias("told"))
+    return states.select("step", "status", "history_through", "records_processed", F.contains("last_error", F.lit("no answer")).alias("told"), "resume_from")
 
 
 SERIES_BACK = 800
@@ -137,6 +137,16 @@ def open_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled(lake.read("t_orders").select("k", "open", "total"))
 
 
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A service that keeps each record as it came, with blank JSON as null."""
+    t, lake = Tables(spark, sf_dir), _lake(spark)
+    service = run.Service("Raw", "t_raw", ("no",), ("no",), strategy="full_refresh", keep_raw=True, json_fields=("extra",))
+    extra = F.when(F.col("k") % 3 == 0, F.lit("")).when(F.col("k") % 3 == 1, F.lit("  ")).otherwise(F.concat(F.lit('{"k":'), F.col("k").cast("string"), F.lit("}")))
+    run.run(lake, service, t.invoice_header.select("no", "customer_no", extra.alias("extra"), F.struct("location_code").alias("place")), FIRST)
+    kept = [F.get_json_object("_raw_json", path).alias(name) for path, name in (("$.customer_no", "raw_customer"), ("$.place.location_code", "raw_place"), ("$.extra", "raw_extra"))]
+    return lake.read("t_raw").select("no", "customer_no", "extra", "place_location_code", *kept)
+
+
 def partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bucketed table after a merge of its latest documents, which rewrites the buckets that these touch, and a repeated commit of it."""
     t = Tables(spark, sf_dir)
@@ -148,7 +158,7 @@ def partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled(table.read().select(*COLUMNS, "eway_no", "_synced_at"))
 
 
-QUERIES = {"run_backfill": backfill, "run_incremental": incremental, "run_state": history, "run_summary": summary, "run_set_aside": set_aside, "run_resume": resumed, "run_resume_state": resumed_state, "run_series": series, "run_open": open_entries, "mrg_partial": partial}
+QUERIES = {"run_backfill": backfill, "run_incremental": incremental, "run_state": history, "run_summary": summary, "run_set_aside": set_aside, "run_resume": resumed, "run_resume_state": resumed_state, "run_series": series, "run_open": open_entries, "mrg_partial": partial, "run_raw": raw}
 
 _OLD, _NEW = "posting_date < date '1997-01-01'", f"posting_date >= date '1996-12-31' - {LOOKBACK}"
 _ASK = {
@@ -156,12 +166,14 @@ _ASK = {
     "run_incremental": f"""select no, customer_no, posting_date, round(cast(if({_NEW} and k % 10 = 0, amount + 1, amount) as double), 4) as amount, if({_NEW}, eway_no, null) as eway_no
         from invoice_header where posting_date >= date '1992-01-01' and ({_OLD} or {_NEW})""",
     "run_resume": f"select no, customer_no, posting_date, round(cast(if(posting_date >= date '{BROKEN}', amount + 2, amount) as double), 4) as amount from invoice_header where posting_date >= date '1992-01-01' and {_OLD}",
-    "run_resume_state": f"""select s.step, s.status, s.through as history_through, (select count(*) from invoice_header where posting_date >= s.lo and posting_date < s.through) as records_processed, s.told from (values
-        (2, 'failed', date '{BROKEN}', date '1992-01-01', true), (4, 'success', date '1997-01-01', date '{BROKEN}', cast(null as boolean))) s(step, status, through, lo, told)""",
+    "run_resume_state": f"""select s.step, s.status, s.through as history_through, (select count(*) from invoice_header where posting_date >= s.lo and posting_date < s.through) as records_processed, s.told, s.resume_from from (values
+        (2, 'failed', date '{BROKEN}', date '1992-01-01', true, date '{BROKEN}'), (4, 'success', date '1997-01-01', date '{BROKEN}', cast(null as boolean), null)) s(step, status, through, lo, told, resume_from)""",
     "run_series": f"""select document_no, line_no, {money('quantity')} from invoice_line where document_no in (select document_no from early_lines) or document_no in (select document_no from past_lines) or document_no in (select no from gap_heads)""",
     "run_open": f"""select cast(k as varchar) as k, if(again, now_open, was_open) as open, round(cast(if(again, total + 1, total) as double), 4) as total from (
         select k, d, total, st = 'O' as was_open, if(k % 33 = 0, st <> 'O', st = 'O') as now_open, d < date '1997-01-01' as held,
                k % 50 <> 7 and (d >= date '1996-12-31' - {LOOKBACK} or now_open or held and was_open) as again from order_base) where held or again""",
+    "run_raw": """select no, customer_no, if(k % 3 = 2, '{"k":' || k || '}', null) as extra, location_code as place_location_code, customer_no as raw_customer, location_code as raw_place,
+        case k % 3 when 0 then '' when 1 then '  ' else '{"k":' || k || '}' end as raw_extra from invoice_header""",
     "mrg_partial": f"""select no, customer_no, posting_date, round(cast(if(late and k % 10 = 0, amount + 1, amount) as double), 4) as amount, if(late, eway_no, null) as eway_no,
         if(late and (k % 10 = 0 or eway_no is not null), timestamp '1997-06-30 06:00:00', timestamp '1996-12-31 06:00:00') as _synced_at from (select *, posting_date >= date '2001-07-25' as late from invoice_header)""",
     "run_state": f"""select s.step, s.status, s.last_sync_at, s.history_through, (select count(*) from invoice_header where posting_date >= s.lo and posting_date < s.hi) as records_processed, 0 as records_failed from (values
