@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,9 @@ SMALL = 1 << 12  # pairs compared in one step
 DRAWN, GROWTH = 64, 4  # queries of a bucket in the first round, and how much more of them and of pairs a member there are in the next
 EDGES = 500  # pairs of one text verified in a task
 BATCH_BYTES = 32 << 20  # of texts that a Python worker gets at once
+SHORT_ROUNDS = 2  # before what is left gets long sketches
+LONG = 4096  # bits of these
+LONG_SLACK = 4  # standard deviations of their differing bits
 STEP = 1 << 11  # shingles hashed at once
 _LOWER = bytes(32 if c in b" \t\n\r\x0b\x0c" else c for c in range(256))
 _RNG = np.random.default_rng(42)
@@ -57,6 +61,27 @@ def signature(values: np.ndarray) -> np.ndarray:
     return low
 
 
+@lru_cache(maxsize=1)
+def _long_hashes() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(43)
+    return rng.integers(0, 1 << 63, LONG, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, LONG, np.uint64)
+
+
+def long_sketch(values: np.ndarray) -> bytes:
+    """One bit of the smallest value of the set under each of LONG hash functions."""
+    mul, add = _long_hashes()
+    low = np.full(LONG, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(values), 256):
+        np.minimum(low, (values[at : at + 256, None] * mul + add).min(axis=0), out=low)
+    return np.packbits((low >> np.uint64(20) & np.uint64(1)).astype(np.uint8)).tobytes()
+
+
+def most_differing(least: float) -> float:
+    """Bits in which the long sketches of two sets of similarity `least` differ at most: half of the values that aren't common, and LONG_SLACK deviations."""
+    share = (1 - least) / 2
+    return LONG * share + LONG_SLACK * (LONG * share * (1 - share)) ** 0.5
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity of two sorted sets; two empty ones are alike."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -92,17 +117,22 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(rows, BANDS)), pa.array([x for x in short for _ in range(BANDS)], pa.binary())], names=["key", "row", "sketch"])
 
 
+def alike_values(queries: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """Of each pair of sketches the number of equal bytes, or of equal bits where they are words of 64."""
+    if queries.dtype == np.uint8 and len(queries) * len(members) <= SMALL:
+        return (queries[:, None] == members).sum(axis=2)
+    same = np.zeros((len(queries), len(members)), np.int16)  # value by value, which bounds what stands in memory
+    for k in range(queries.shape[1]):
+        same += queries[:, k, None] == members[None, :, k] if queries.dtype == np.uint8 else 64 - np.bitwise_count(queries[:, k, None] ^ members[None, :, k]).astype(np.int16)
+    return same
+
+
 def best_pairs(queries: np.ndarray, members: np.ndarray, most: int, least: float) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Places of (query, member) pairs of different groups that may reach the similarity, and whether there are more of them.
+    """Places of (query, member) pairs of different groups whose sketches share `least` values, and whether there are more of them.
 
     Rows are (row, label, sketch). Each member's `most` best queries count, and of two groups the `most` best pairs."""
-    if len(queries) * len(members) <= SMALL:
-        same = (queries["sketch"][:, None] == members["sketch"]).sum(axis=2)
-    else:  # value by value, which bounds what stands in memory
-        same = np.zeros((len(queries), len(members)), np.int16)
-        for k in range(queries["sketch"].shape[1]):
-            same += queries["sketch"][:, k, None] == members["sketch"][None, :, k]
-    q, m = np.nonzero((same >= least * queries["sketch"].shape[1]) & (queries["label"][:, None] != members["label"][None, :]))
+    same = alike_values(queries["sketch"], members["sketch"])
+    q, m = np.nonzero((same >= least) & (queries["label"][:, None] != members["label"][None, :]))
     value = same[q, m]
     order = np.lexsort((queries["row"][q], -value, m))
     q, m, value = q[order], m[order], value[order]
@@ -122,15 +152,17 @@ def _rank(group: np.ndarray) -> np.ndarray:
     return np.arange(len(group)) - np.repeat(starts, np.diff(np.append(starts, len(group))))
 
 
-def _meet(most: int, least: float):
+def _meet(most: int, similar: float, long: bool):
     """(key, i, j, query, row, label, sketch), sorted -> candidate pairs a, b, and the keys of which pairs are left."""
-    kind = np.dtype([("row", np.int64), ("label", np.int64), ("sketch", np.uint8, BANDS * BAND_ROWS)])
+    width = LONG // 64 if long else BANDS * BAND_ROWS
+    kind = np.dtype([("row", np.int64), ("label", np.int64), ("sketch", np.uint64 if long else np.uint8, width)])
+    least = LONG - most_differing(similar) if long else (similar - SLACK) * width
 
     def flush(held: list[pa.RecordBatch], out: list[list]) -> None:
         rows = np.zeros(sum(b.num_rows for b in held), kind)
         for name in ("row", "label"):
             rows[name] = np.concatenate([b.column(name).to_numpy() for b in held])
-        rows["sketch"] = np.frombuffer(b"".join([x for b in held for x in b.column("sketch").to_pylist()]), np.uint8).reshape(len(rows), -1)
+        rows["sketch"] = np.frombuffer(b"".join([x for b in held for x in b.column("sketch").to_pylist()]), kind["sketch"].base).reshape(len(rows), -1)
         asks = np.concatenate([b.column("query").to_numpy(zero_copy_only=False) for b in held])
         queries, members = rows[asks], rows[~asks]
         q, m, more = best_pairs(queries, members, most, least)
@@ -181,7 +213,7 @@ def _alike(shingle: int, least: float):
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose texts (row, text) are similar enough. Only texts that a pair names are shuffled, a's once for each EDGES of its pairs."""
     spark = pairs.sparkSession
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct().select(F.xxhash64("row").alias("key"))
+    needed = pairs.select(F.col("a").alias("row")).distinct().union(pairs.select("b").distinct()).select(F.xxhash64("row").alias("key"))
     named = texts.where(may_have(spark, needed)(F.xxhash64("row")))
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / EDGES).alias("parts"))
     dealt = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b")
@@ -204,7 +236,21 @@ def joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return materialise(moved.unionByName(up.join(labels, "node", "left_anti").select("node", "label")), "groups")
 
 
-def _searched(met: DataFrame, labels: DataFrame | None, drawn: int, most: int, least: float) -> tuple[DataFrame, DataFrame]:
+def _lengthened(met: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """met with long sketches, made from the texts of its rows alone."""
+
+    @F.pandas_udf(T.BinaryType())
+    def sketch(values: pd.Series) -> pd.Series:
+        return pd.Series([long_sketch(shingles(x, shingle)) for x in values], dtype=object)
+
+    spark, rows = met.sparkSession, met.select("row").distinct()
+    named = texts.where(may_have(spark, rows.select(F.xxhash64("row").alias("key")))(F.xxhash64("row"))).join(rows, "row")
+    with batch_bytes(spark, BATCH_BYTES):
+        made = materialise(named.repartition("row").select("row", sketch("text").alias("sketch")), "long-sketches")
+    return materialise(met.select("key", "row").join(made, "row"), "met")
+
+
+def _searched(met: DataFrame, labels: DataFrame | None, drawn: int, most: int, similar: float, long: bool) -> tuple[DataFrame, DataFrame]:
     """One round over buckets (key, row, sketch): candidate pairs a, b, and the keys that need another round."""
     labelled = met.withColumn("label", F.col("row")) if labels is None else met.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     groups = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
@@ -218,7 +264,7 @@ def _searched(met: DataFrame, labels: DataFrame | None, drawn: int, most: int, l
     asks = rows.where((F.col("label") != F.col("home")) & chance).select("key", F.pmod(spread, i).alias("i"), each(j).alias("j"), F.lit(True).alias("query"), "row", "label", "sketch")
     answers = rows.select("key", each(i).alias("i"), F.pmod(spread, j).alias("j"), F.lit(False).alias("query"), "row", "label", "sketch")
     blocks = asks.unionByName(answers).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = materialise(blocks.mapInArrow(_meet(most, least), "a bigint, b bigint, key bigint"), "found")
+    found = materialise(blocks.mapInArrow(_meet(most, similar, long), "a bigint, b bigint, key bigint"), "found")
     again = found.where("a is null").select("key").union(buckets.where(F.col("rest") > drawn).select("key")).distinct()
     return found.where("a is not null").groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.min("a").alias("a")).select("a", (F.col("lo") + F.col("hi") - F.col("a")).alias("b")), again
 
@@ -242,9 +288,9 @@ def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, least: float = SIMILARI
     labels = joined(None, verified(tested, texts, shingle, least))
     banded = sets.select("row", "sketch").mapInArrow(_bands, "key bigint, row bigint, sketch binary")
     live = banded.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo <> hi").select("key")
-    met, drawn, most = materialise(banded.join(live, "key"), "met"), DRAWN, 1
+    met, drawn, most, turn = materialise(banded.join(live, "key"), "met"), DRAWN, 1, 0
     while True:
-        pairs, again = _searched(met, labels, drawn, most, least - SLACK)
+        pairs, again = _searched(met, labels, drawn, most, least, turn >= SHORT_ROUNDS)
         seen = tested.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
         new = materialise(pairs.withColumns({"lo": F.least("a", "b"), "hi": F.greatest("a", "b")}).join(seen, ["lo", "hi"], "left_anti").select("a", "b"), "tested")
         edges = verified(new, texts, shingle, least)
@@ -252,9 +298,13 @@ def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, least: float = SIMILARI
             labels = joined(labels, edges)
         rest = materialise(met.join(again, "key", "left_semi"), "met")
         discard(met)
-        met, tested, drawn, most = rest, tested.unionByName(new), drawn * GROWTH, most * GROWTH
+        met, tested, drawn, most, turn = rest, tested.unionByName(new), drawn * GROWTH, most * GROWTH, turn + 1
         if not met.limit(1).count():
             break
+        if turn == SHORT_ROUNDS:
+            rest = _lengthened(met, texts, shingle)
+            discard(met)
+            met = rest
     discard(met)
     group = sets.join(labels.withColumnRenamed("node", "row"), "row", "left").select("digest", F.coalesce("label", "row").alias("label"))
     by_row = tagged.select(F.col(id_col).cast("long").alias("doc_id"), F.col(row).alias("row"), F.col(made)["digest"].alias("digest"))

@@ -536,12 +536,24 @@ def test_pairs_that_a_round_leaves_come_in_a_later_one():
     want = {(q, m) for q in range(6) for m in range(6) if rows["label"][q] != rows["label"][m] and (rows["sketch"][q] == rows["sketch"][m]).sum() >= 55}
     sizes = []
     for most in (1, 4, 16):
-        q, m, more = minhash.best_pairs(rows, rows, most, 0.55)
+        q, m, more = minhash.best_pairs(rows, rows, most, 55)
         assert set(zip(q.tolist(), m.tolist(), strict=True)) <= want and more == (len(q) < len(want))
         sizes.append(len(q))
     assert sizes[0] < sizes[2] == len(want)
 
 
+def test_long_sketches_tell_similarities_apart():
+    rng = np.random.default_rng(3)
+    for size in (50, 700):
+        base = rng.integers(0, 1 << 63, size, np.uint64)
+        for gone in (0, size // 20, size // 5):
+            other = np.concatenate([base[gone:], rng.integers(0, 1 << 63, gone, np.uint64)])
+            a, b = (np.frombuffer(minhash.long_sketch(x), np.uint64)[None] for x in (base, other))
+            bits, true = int(minhash.alike_values(a, b)[0, 0]), (size - gone) / (size + gone)
+            assert abs(2 * bits / minhash.LONG - 1 - true) < 0.06
+    assert minhash.most_differing(0.8) < minhash.LONG * (1 - 0.75) / 2
+
+
 def test_large_buckets_in_blocks_and_rounds(spark, monkeypatch):
     """A chain in which each text is like its neighbours only, all in common buckets: one group, also with few queries a round and small blocks."""
     rng = random.Random(11)
@@ -556,6 +568,7 @@ def test_large_buckets_in_blocks_and_rounds(spark, monkeypatch):
         monkeypatch.setattr(minhash, "DRAWN", drawn)
         monkeypatch.setattr(minhash, "QUERIES", queries)
         monkeypatch.setattr(minhash, "MEMBERS", members)
+        monkeypatch.setattr(minhash, "SHORT_ROUNDS", 2 if members > 3 else 1)
         kept = minhash.keep_one(docs(spark, chain + apart))
         assert sorted(r["doc_id"] for r in kept.collect()) == [0, 100, 101, 102, 103, 104]
 
