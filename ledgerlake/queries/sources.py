@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixtures import Tables, with_tables
+from ..fixtures import Tables, fixture, with_tables
 from ..functions import normalize as n
 from ..operators import merge as m
 from ..plans import o2c
@@ -108,6 +108,29 @@ def xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.read_xml(spark, folder, "ShipTo", {"Customer_No": "customer_no", "Code": "code", "GST_No": "registration_no"}, ["customer_no", "registration_no"])
 
 
+ADDRESSES = 100  # a page
+
+
+def xml_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the pull of address pages goes on after each page."""
+    folder = f"{_folder(spark)}/xml-pages"
+    rows = fixture(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / ADDRESSES).alias("page"), F.concat(F.lit("36;"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("Key"), F.col("c_name").alias("Name"))
+    rows.repartition("page").write.format("xml").option("rowTag", "ShipTo").option("rootTag", "List").partitionBy("page").save(folder)
+    return p.xml_progress(spark, folder, "ShipTo", "Key", ADDRESSES)
+
+
+def families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same invoices as both endpoint families send them, each with the key of its family."""
+    t, out = Tables(spark, sf_dir), []
+    bare = t.invoice_header.select(F.col("no").alias("No"), F.col("customer_no").alias("Customer_No"), "k")
+    camel = t.invoice_header.select(F.concat(F.lit("id-"), F.col("k").cast("string")).alias("id"), F.col("no").alias("number"), "k")
+    for family, rows, schema in (("odata", bare, "struct<No:string,Customer_No:string>"), ("v2.0", camel, "struct<id:string,number:string>")):
+        folder = f"{_folder(spark)}/family"
+        p.land_pages(rows, F.floor(F.col("k") / PAGE), folder)
+        out.append(p.read_family(spark, folder, family, ["Customer_No", "No"], schema).select(F.lit(family).alias("family"), F.col("_key").alias("key")))
+    return out[0].unionByName(out[1])
+
+
 def _services(t: Tables) -> DataFrame:
     """A registry with a service for each state; some switched off, some without a word on it."""
     state = t.gst_state
@@ -238,7 +261,7 @@ _LINKS = {
     "ranked": """select page, chain, place, if(first, 'linked', 'orphan') as status from walk
         union all select page, min(page) over (partition by c), null, 'cycle' from linked where page not in (select page from walk)""",
 }
-QUERIES = {"src_pages": paged, "src_dangling_links": dangling, "src_xml": xml, "src_registry": chosen, "src_keyed": keyed, "src_side": side, "src_states": states, "o2c_feeds": feeds, "src_pushdown": pushdown, "ing_zone_pull": zone_pull, "src_chain_order": chain_order, "src_chain_forks": chain_forks, "mrg_later_page": later_page}
+QUERIES = {"src_pages": paged, "src_dangling_links": dangling, "src_xml": xml, "src_registry": chosen, "src_keyed": keyed, "src_side": side, "src_states": states, "o2c_feeds": feeds, "src_pushdown": pushdown, "ing_zone_pull": zone_pull, "src_chain_order": chain_order, "src_chain_forks": chain_forks, "mrg_later_page": later_page, "src_xml_resume": xml_resume, "src_families": families}
 _ASK = {
     "src_pages": f"select no, customer_no, posting_date, {money('amount')} from invoice_header where k % 3 = 0 or amount > 200000",
     "src_dangling_links": f"select cast(b + 1 as varchar) as next_link from (select distinct cast(floor(k / {PAGE}) as bigint) as b from invoice_header) where b + 1 not in (select cast(floor(k / {PAGE}) as bigint) from invoice_header)",
@@ -251,6 +274,8 @@ _ASK = {
     "ing_zone_pull": f"""select part, count(*) as files, count(*) filter (met) as opened, cast(sum(if(met, n, 0)) as bigint) as n_rows from (
         select strftime(date_trunc('month', posting_date), '%Y-%m-%d') as part, count(*) as n, max(posting_date) >= date '1996-03-10' and min(posting_date) < date '1996-07-05' and max(no) >= '27HYD' as met
         from invoice_header group by date_trunc('month', posting_date), floor(k / {PAGE})) group by part""",
+    "src_xml_resume": f"select c_custkey // {ADDRESSES} as page, count(*) as n_rows, '36;' || lpad(max(c_custkey)::varchar, 9, '0') as last_key, count(*) >= {ADDRESSES} as more from customer group by 1",
+    "src_families": "select 'odata' as family, customer_no || chr(10) || no as key from invoice_header union all select 'v2.0', 'id-' || k from invoice_header",
     "src_chain_order": "select page, chain, place, status from ranked",
     "src_chain_forks": "select b.page, a.page as before, a.page = min(a.page) over (partition by b.page) as kept from linked a join linked b on a.next_link = b.page qualify count(*) over (partition by b.page) > 1",
     "mrg_later_page": f"""select customer_no, arg_max(no, (chain, place, no)) as no, max(chain) as chain, arg_max(place, (chain, place, no)) as place

@@ -34,6 +34,14 @@ def service_key(family: str, business_key: list[str]) -> list[str]:
     return [own] if own else business_key
 
 
+def read_family(spark: SparkSession, path: str, family: str, business_key: list[str], schema: str, static_filter: str | None = None) -> DataFrame:
+    """Records of a service's landed pages with `_key`, the key that its endpoint family has: text, its parts joined by a line end; null where a part is."""
+    rows = read_pages(spark, path, static_filter, schema)
+    parts = [F.col(f"`{k}`").cast("string") for k in service_key(family, business_key)]
+    whole = F.concat(parts[0], *[x for p in parts[1:] for x in (F.lit("\n"), p)])
+    return rows.drop("_page").withColumn("_key", whole)
+
+
 def land_pages(rows: DataFrame, page_of, path: str, next_of=None) -> None:
     """Write rows as pages of records, one JSON document a file, in a folder for each page. page_of: a column with the page's number, which bounds what a
     page holds."""
@@ -52,6 +60,14 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, wanted: dict[str, str
     return out
 
 
+def xml_progress(spark: SparkSession, path: str, row_tag: str, key_tag: str, page_size: int) -> DataFrame:
+    """page, n_rows, last_key, more of each landed page of rows (a folder `page=...` each): the key behind which a pull goes on, and whether it must,
+    which a page with fewer rows than page_size says."""
+    rows = spark.read.format("xml").option("rowTag", row_tag).schema(f"`{key_tag}` string, page bigint").load(path)
+    pages = rows.groupBy("page").agg(F.count("*").alias("n_rows"), F.max(key_tag).alias("last_key"))
+    return pages.withColumn("more", F.col("n_rows") >= page_size)
+
+
 def registry(services: DataFrame) -> DataFrame:
     """Enabled services (enabled unless said otherwise); none is an error."""
     out = services.where(F.coalesce("enabled", F.lit(True)))
