@@ -85,7 +85,9 @@ RECEIPT = ("feed", "id", "platform", "customer_nos", "po", "inv", "grn_no", "grn
 def receipt_lines(raw: DataFrame, item_map: DataFrame, renames: DataFrame) -> DataFrame:
     """One row per receipt row and invoice reference in it, with candidate keys, item, and the place among equal rows.
 
-    raw has the columns RECEIPT. References split at commas, semicolons, ampersands and the word and; rows without one stay."""
+    raw has the columns RECEIPT, or customer_list in place of customer_nos. References split at commas, semicolons, ampersands and the word and; rows
+    without one stay."""
+    customers = "customer_list" if "customer_list" in raw.columns else "customer_nos"
     split = raw.withColumns({"po_number": F.upper(clean_po(c("po"))), "_refs": F.split(text(c("inv")), r"\s*[,;&]\s*|\s+and\s+")}).select("*", F.posexplode_outer("_refs").alias("part", "_ref")).withColumn("invoice_ref", F.trim("_ref"))
     upper = F.upper(F.regexp_replace("invoice_ref", r"(?s)/.*$", ""))
     found = lambda x, p, g=1: F.nullif(F.regexp_extract(x, p, g), F.lit(""))
@@ -95,7 +97,7 @@ def receipt_lines(raw: DataFrame, item_map: DataFrame, renames: DataFrame) -> Da
     items = keyed.withColumn("_sku", F.lower("feed_item_code")).join(sku, ["map_platform", "_sku"], "left").join(renames, c("mapped") == c("old_no"), "left")
     again = Window.partitionBy("feed", "po_number", "inv", "grn_no", "feed_item_code", "grn_date", "received_qty").orderBy("id", "part")
     return items.select(
-        "feed", c("id").alias("row_id"), "part", "platform", "customer_nos", "po_number", c("inv").alias("invoice_ref_raw"), "invoice_ref", "cand_norm", "cand_branch", "cand_num5", "grn_no", "grn_date", "feed_item_code",
+        "feed", c("id").alias("row_id"), "part", "platform", customers, "po_number", c("inv").alias("invoice_ref_raw"), "invoice_ref", "cand_norm", "cand_branch", "cand_num5", "grn_no", "grn_date", "feed_item_code",
         F.coalesce("new_no", "mapped").alias("item_no"), "received_qty", "ordered_qty", "rejected_qty", "reject_reason", "source_file", F.row_number().over(again).alias("dup_seq"),
     )
 
@@ -121,6 +123,7 @@ FEEDS = {
     "amazon_grn": dict(platform="Amazon", customers="map", po="po_number", inv="nullif(invoice_number, '')", grn_date="invoice_date", feed_item_code="asin", received_qty="if(invoice_status = 'Closed' or received_quantity > 0, received_quantity, null)", ordered_qty="invoice_quantity", rejected_qty="shortage_quantity"),
     "flipkart_quick_grn": dict(platform="Flipkart Quick", customers="map", po="po_id", feed_item_code="product_id", received_qty="coalesce(received_quantity, 0)", ordered_qty="ordered_quantity", rejected_qty="nullif(rejected_quantity, 0)"),
 }
+METRO = "C00356"  # fixed value: the customer of a receipt whose address is one of that chain
 # States of an order line that is not received yet.
 PENDING = ("PENDING_ACKNOWLEDGEMENT", "ASN_CREATED", "PENDING_GRN")
 
@@ -135,7 +138,7 @@ def _special(feed: str, df: DataFrame, feeds: dict[str, DataFrame], start: str)
         lack = F.nullif(above_zero(F.expr(FEEDS[feed]["ordered_qty"]) - F.expr(FEEDS[feed]["received_qty"])), F.lit(0))
         rows = df.where((c("grn_date") >= F.lit(start).cast("date")) & ~text(c("vendor_invoice_number")).startswith("26"))
         both = F.expr(FEEDS[feed]["ordered_qty"]).isNotNull() & F.expr(FEEDS[feed]["received_qty"]).isNotNull()
-        return rows, {"platform": F.when(metro, "Metro").otherwise("Reliance"), "customer_nos": F.when(metro, F.array(F.lit("C00356"))).otherwise(F.array(F.lit("C00035"))), "rejected_qty": F.when(both, lack)}
+        return rows, {"platform": F.when(metro, "Metro").otherwise("Reliance"), "customer_list": F.when(metro, METRO).otherwise("C00035"), "rejected_qty": F.when(both, lack)}
     if feed == "zepto_grn":
         pending = c("status").isin(*PENDING)
         return df, {"reject_reason": F.when(pending & (c("grn_quantity") > 0), F.concat(F.lit("grn booked, portal status "), "status")).when(pending, F.concat(F.lit("grn pending ("), "status", F.lit(")"))).when(c("status").isin("EXPIRED", "CANCELLED"), F.lower("status"))}
@@ -148,8 +151,8 @@ def _special(feed: str, df: DataFrame, feeds: dict[str, DataFrame], start: str)
     return df, {}
 
 
-def receipt_feeds(feeds: dict[str, DataFrame], channel_map: DataFrame, start: str = START) -> DataFrame:
-    """The feeds at hand in one shape (the columns RECEIPT)."""
+def feed_rows(feeds: dict[str, DataFrame], start: str = START) -> DataFrame:
+    """The feeds at hand in one shape: the columns RECEIPT, with the name of a list of customers (`customer_lists`) in place of the customers."""
     kinds = {"id": "bigint", "grn_date": "date", **dict.fromkeys(("received_qty", "ordered_qty", "rejected_qty"), "decimal(18,4)")}
     arms = []
     for feed, spec in FEEDS.items():
@@ -157,42 +160,60 @@ def receipt_feeds(feeds: dict[str, DataFrame], channel_map: DataFrame, start: st
             continue
         rows, own = _special(feed, feeds[feed], feeds, start)
         expr = {"feed": F.lit(feed), "id": c("id"), "platform": F.lit(spec["platform"]), "map_platform": F.lit(spec.get("map_platform", spec["platform"])), "source_file": c("source_file")}
+        expr["customer_list"] = F.lit(spec["platform"] if spec["customers"] == "map" else ",".join(spec["customers"]))
         expr |= {k: F.expr(v) for k, v in spec.items() if k not in ("platform", "customers", "map_platform")} | own
-        if spec["customers"] == "map":  # one row: the customers of a platform
-            listed = channel_map.where(c("platform") == spec["platform"]).agg(F.sort_array(F.collect_set("customer_no")).alias("customer_nos"))
-            rows, expr["customer_nos"] = rows.crossJoin(F.broadcast(listed)), c("customer_nos")
-        else:
-            expr.setdefault("customer_nos", F.array(*map(F.lit, spec["customers"])))
-        arms.append(rows.select(*[expr.get(x, F.lit(None)).cast(kinds.get(x, "array<string>" if x == "customer_nos" else "string")).alias(x) for x in RECEIPT]))
+        arms.append(rows.select(*[expr.get(x, F.lit(None)).cast(kinds.get(x, "string")).alias(x) for x in ("customer_list" if x == "customer_nos" else x for x in RECEIPT)]))
     return reduce(DataFrame.unionByName, arms)
 
 
+def customer_lists(channel_map: DataFrame) -> DataFrame:
+    """(customer_list, customer_no): the customers of each platform of the channel map, and those that a feed itself names."""
+    named = {",".join(spec["customers"]) for spec in FEEDS.values() if spec["customers"] != "map"} | {METRO}
+    own = channel_map.sparkSession.createDataFrame([(x, no) for x in sorted(named) for no in x.split(",")], "customer_list string, customer_no string")
+    return channel_map.select(c("platform").alias("customer_list"), "customer_no").dropna().unionByName(own).distinct()
+
+
+def receipt_feeds(feeds: dict[str, DataFrame], channel_map: DataFrame, start: str = START) -> DataFrame:
+    """The feeds at hand in one shape (the columns RECEIPT). Each row holds its customers; where lists are long, match feed_rows with customer_lists."""
+    lists = customer_lists(channel_map).groupBy("customer_list").agg(F.sort_array(F.collect_set("customer_no")).alias("customer_nos"))
+    rows = feed_rows(feeds, start).join(F.broadcast(lists), "customer_list", "left")  # a row a platform
+    return rows.withColumn("customer_nos", F.coalesce("customer_nos", F.array().cast("array<string>"))).select(*RECEIPT)
+
+
 METHODS = ("invoice_exact", "invoice_core+po", "invoice_core", "po_unique", "po+item+qty", "po+item+date", "po_ambiguous")
 
 
-def match_receipts(receipts: DataFrame, headers: DataFrame, lines: DataFrame) -> DataFrame:
-    """receipts with invoice_no and match_method: the first of seven methods that finds an invoice, then the latest invoice, then the smallest number."""
+def match_receipts(receipts: DataFrame, headers: DataFrame, lines: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """receipts with invoice_no and match_method: the first of seven methods that finds an invoice, then the latest invoice, then the smallest number.
+
+    Receipts name their customers (customer_nos), or a list of them (customer_list) whose members `lists` holds. With lists each header is told once which
+    of them hold its customer, and the list is part of the join key: no receipt is multiplied by its customers."""
     rid = ["feed", "row_id", "part"]
-    g = receipts.select(*rid, "customer_nos", "po_number", "cand_norm", "cand_branch", "cand_num5", "grn_date", "item_no", "received_qty")
+    g = receipts.select(*rid, "customer_nos" if lists is None else "customer_list", "po_number", "cand_norm", "cand_branch", "cand_num5", "grn_date", "item_no", "received_qty")
     h = headers.select("invoice_no", "customer_no", "po_number_u", "inv_norm", "branch", "num5", "invoice_date", "cancelled")
-    ours = F.array_contains("customer_nos", c("customer_no"))
     in_time = c("grn_date").isNull() | (c("grn_date") >= F.date_sub("invoice_date", FULL_MATCH_DAYS))
     has_po = c("po_number") != ""
     found = lambda df, k: df.select(*rid, "invoice_no", "invoice_date", F.lit(k + 1).alias("pri"), F.lit(METHODS[k]).alias("match_method"))
 
-    exact = g.where("cand_norm <> ''").join(h, c("inv_norm") == c("cand_norm")).where(ours | (has_po & (c("po_number_u") == c("po_number"))))
-    # A five-digit number or an order number alone is shared by many customers' invoices: the customer is part of the join key.
-    own = g.select("*", F.explode(F.array_distinct("customer_nos")).alias("own_customer"))
-    core = own.where("cand_num5 is not null").join(h, (c("num5") == c("cand_num5")) & (c("customer_no") == c("own_customer")))
+    same_no, same_po = c("inv_norm") == c("cand_norm"), c("po_number_u") == c("po_number")
+    numbered = g.where("cand_norm <> ''")
+    # A five-digit number or an order number alone is shared by many customers' invoices: the customer, or the list that holds it, is part of the join key.
+    if lists is None:
+        own, theirs = g.select("*", F.explode(F.array_distinct("customer_nos")).alias("own_customer")), h.withColumn("holder", c("customer_no"))
+        exact = [numbered.join(h, same_no).where(F.array_contains("customer_nos", c("customer_no")) | (has_po & same_po))]
+    else:
+        own, theirs = g.withColumn("own_customer", c("customer_list")), h.join(lists.select("customer_no", c("customer_list").alias("holder")).distinct(), "customer_no")
+        exact = [numbered.withColumn("own_customer", c("customer_list")).join(theirs, same_no & (c("holder") == c("own_customer"))), numbered.where(has_po).join(h, same_no & same_po)]
+    core = own.where("cand_num5 is not null").join(theirs, (c("num5") == c("cand_num5")) & (c("holder") == c("own_customer")))
     core_po = core.where((c("cand_branch").isNull() | (c("branch") == c("cand_branch"))) & has_po & (c("po_number_u") == c("po_number")) & in_time)
-    on_po = own.where(has_po).join(h.where(~c("cancelled")), (c("po_number_u") == c("po_number")) & (c("customer_no") == c("own_customer")))
+    on_po = own.where(has_po).join(theirs.where(~c("cancelled")), same_po & (c("holder") == c("own_customer")))
     live = on_po.groupBy(*rid).agg(F.count("*").alias("n_live"))
     only = core.where(c("branch") == c("cand_branch")).withColumn("n_core", F.count("*").over(Window.partitionBy(*rid))).where((c("n_core") == 1) & in_time)
     core_one = only.join(live, rid, "left").where(~has_po | (c("po_number_u") == c("po_number")) | c("n_live").isNull())
     unique = on_po.join(live.where("n_live = 1"), rid)
     items = on_po.where("item_no is not null").join(lines.select("invoice_no", "item_no", "invoiced_qty"), ["invoice_no", "item_no"])
-    branches = [exact, core_po, core_one, unique, items.where("invoiced_qty = received_qty"), items.where("invoice_date <= coalesce(grn_date, invoice_date)"), on_po]
-    best = reduce(DataFrame.unionByName, [found(b, k) for k, b in enumerate(branches)]).groupBy(*rid).agg(
+    branches = [core_po, core_one, unique, items.where("invoiced_qty = received_qty"), items.where("invoice_date <= coalesce(grn_date, invoice_date)"), on_po]
+    best = reduce(DataFrame.unionByName, [*(found(x, 0) for x in exact), *(found(b, k) for k, b in enumerate(branches, 1))]).groupBy(*rid).agg(
         F.min_by(F.struct("invoice_no", "match_method"), F.struct("pri", (-F.unix_date("invoice_date")).alias("late"), "invoice_no")).alias("hit")
     )
     return receipts.join(best, rid, "left").select(*receipts.columns, "hit.invoice_no", "hit.match_method")

@@ -200,11 +200,15 @@ def _share(feed: str) -> str:
     return f"id % {len(_RAW)} = {list(_RAW).index(feed)}"
 
 
+def raw_feeds(t: Tables) -> dict[str, DataFrame]:
+    """The seventeen receipt feeds in columns of their own."""
+    return {name: t.receipt.where(_share(name)).selectExpr("id", *[f"{v} as {k}" for k, v in columns.items()], "source_file") for name, columns in _RAW.items()}
+
+
 def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All seventeen receipt feeds in one shape."""
     t = Tables(spark, sf_dir)
-    raw = {name: t.receipt.where(_share(name)).selectExpr("id", *[f"{v} as {k}" for k, v in columns.items()], "source_file") for name, columns in _RAW.items()}
-    return settled(o2c.receipt_feeds(raw, t.channel_map).withColumn("customer_nos", F.array_join("customer_nos", ",")))
+    return settled(o2c.receipt_feeds(raw_feeds(t), t.channel_map).withColumn("customer_nos", F.array_join("customer_nos", ",")))
 
 
 def _feed_sql(feed: str) -> str:
@@ -249,6 +253,8 @@ def _feed_sql(feed: str) -> str:
     return f"select '{feed}' as feed, id, {', '.join(shown)}, source_file from receipt where {where}"
 
 
+FEEDS_SQL = " union all ".join(_feed_sql(f) for f in _RAW)
+
 _RANGE = "posting_date >= date '1996-03-10' and posting_date < date '1996-07-05'"
 _LINKS = {
     "chained": f"""select distinct g, cast(floor(g / 16) as bigint) as c, g % 16 as p, lpad(cast(g * 7919 % 1000003 as varchar), 7, '0') as page from (select cast(floor(k / {CHAINED}) as bigint) as g from invoice_header)""",
@@ -280,6 +286,6 @@ _ASK = {
     "src_chain_forks": "select b.page, a.page as before, a.page = min(a.page) over (partition by b.page) as kept from linked a join linked b on a.next_link = b.page qualify count(*) over (partition by b.page) > 1",
     "mrg_later_page": f"""select customer_no, arg_max(no, (chain, place, no)) as no, max(chain) as chain, arg_max(place, (chain, place, no)) as place
         from invoice_header join chained on g = cast(floor(k / {CHAINED}) as bigint) join ranked using (page) where status = 'linked' group by customer_no""",
-    "o2c_feeds": " union all ".join(_feed_sql(f) for f in _RAW),
+    "o2c_feeds": FEEDS_SQL,
 }
 ORACLE_SQL = {name: with_tables(sql, _LINKS) for name, sql in _ASK.items()}

@@ -200,6 +200,23 @@ def test_receipts_of_several_customers_meet_each_one(spark):
     headers = spark.createDataFrame([("I1", "C2", "P", "I1", "AHD", "00001", date(2024, 1, 1), False), ("I9", "C9", "P", "I9", "AHD", "00001", date(2024, 1, 2), False)], "invoice_no string, customer_no string, po_number_u string, inv_norm string, branch string, num5 string, invoice_date date, cancelled boolean")
     lines = spark.createDataFrame([], "invoice_no string, item_no string, invoiced_qty int")
     assert rows(o2c.match_receipts(receipts, headers, lines), "row_id", "invoice_no", "match_method") == [(1, "I1", "invoice_core+po"), (2, None, None)]
+    # the same by lists that are named once; a list without members, an unknown one and none at all match by the order number alone
+    listed = receipts.withColumn("customer_list", F.element_at("customer_nos", 1)).drop("customer_nos")
+    more = spark.createDataFrame([("f", 3, 0, "P", "I1", None, None, None, None, 1, None), ("f", 4, 0, "", "I1", None, None, None, None, 1, "none"), ("f", 5, 0, "", "I1", None, None, None, None, 1, "C1")], listed.schema)
+    lists = spark.createDataFrame([("C1", "C1"), ("C1", "C2"), ("C1", "C2"), ("C3", "C3")], "customer_list string, customer_no string")
+    found = o2c.match_receipts(listed.unionByName(more), headers, lines, lists)
+    assert rows(found, "row_id", "invoice_no", "match_method") == [(1, "I1", "invoice_core+po"), (2, None, None), (3, "I1", "invoice_exact"), (4, None, None), (5, "I1", "invoice_exact")]
+
+
+def test_customer_lists_name_each_feed_s_customers_once(spark):
+    channel = spark.createDataFrame([("C7", "Zepto"), ("C8", "Zepto"), ("C8", "Zepto"), (None, "Zepto"), ("C9", None)], "customer_no string, platform string")
+    lists = rows(o2c.customer_lists(channel), "customer_list", "customer_no")
+    assert len(lists) == len(set(lists)) and [x for x in lists if x[0] == "Zepto"] == [("Zepto", "C7"), ("Zepto", "C8")]
+    assert {no for name, no in lists if name.startswith("C00152,")} == {"C00152", "C00153", "C00154", "C00156", "C00157"} and (o2c.METRO, o2c.METRO) in lists
+    zepto = spark.createDataFrame([(1, "P", "s", 1, 2, "COMPLETED", "f")], "id int, po_no string, sku string, grn_quantity int, qty int, status string, source_file string")
+    assert o2c.feed_rows({"zepto_grn": zepto}).first().customer_list == "Zepto"
+    empty = spark.createDataFrame([], channel.schema)
+    assert o2c.receipt_feeds({"zepto_grn": zepto}, empty).first().customer_nos == []
 
 
 def test_landed_pages_are_read_whole(spark):

@@ -10,7 +10,7 @@ import pytest
 from ledgerlake import queries
 
 SF = "/root/testdata/sf0.001"
-QUICK = ["reg_full", "reg_monthly_totals", "reg_reconcile", "o2c_hdr", "o2c_match", "o2c_invoices", "ing_windows", "ing_infer", "ing_temporal", "ing_names", "run_backfill", "run_state", "run_set_aside", "src_pages", "src_xml", "o2c_feeds", "mrg_upsert", "quota_check", "ref_platform_follow", "lin_dependents", "str_available_now_upsert", "src_pushdown", "src_chain_order", "mrg_later_page", "run_resume_state", "run_series", "run_open", "mrg_partial", "ing_open_guard", "str_series_high", "str_gaps", "lin_cycles", "reg_bucketed", "run_raw", "ing_widen", "mrg_preserve", "ing_table_names"]
+QUICK = ["reg_full", "reg_monthly_totals", "reg_reconcile", "o2c_hdr", "o2c_match", "o2c_feed_match", "o2c_invoices", "ing_windows", "ing_infer", "ing_temporal", "ing_names", "run_backfill", "run_state", "run_set_aside", "src_pages", "src_xml", "o2c_feeds", "mrg_upsert", "quota_check", "ref_platform_follow", "lin_dependents", "str_available_now_upsert", "src_pushdown", "src_chain_order", "mrg_later_page", "run_resume_state", "run_series", "run_open", "mrg_partial", "ing_open_guard", "str_series_high", "str_gaps", "lin_cycles", "reg_bucketed", "run_raw", "ing_widen", "mrg_preserve", "ing_table_names"]
 
 
 def plain(v):
