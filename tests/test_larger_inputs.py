@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ledgerlake import fixtures
+from ledgerlake.queries import o2c as o2c_queries
 
 
 def test_no_two_keys_share_a_code(spark, tmp_path):
@@ -13,3 +14,14 @@ def test_no_two_keys_share_a_code(spark, tmp_path):
     assert {r["no"] for r in t.customer_card.collect()} == {"C00007", "C12345", "C123456", "C123457"}
     assert {r["no"] for r in t.item_card.collect()} == {"FG/000007", "FG/123456", "FG/1234567", "FG/1234568"}
     assert t.ship_address.select("customer_no").distinct().count() == 4
+
+
+def test_feeds_meet_the_item_map_as_it_is(spark, monkeypatch):
+    """The map isn't repeated for each platform, which Spark broadcasts by the size of the map alone."""
+    f, seen = o2c_queries.Flow(spark, "/root/testdata/sf0.001"), {}
+    monkeypatch.setattr(f, "_once", lambda name, build: build())
+    monkeypatch.setattr(o2c_queries.p, "receipt_lines", lambda rows, item_map, renames: seen.setdefault("map", item_map))
+    monkeypatch.setattr(o2c_queries.p, "match_receipts", lambda *a: a[0])
+    f.__dict__ |= {"hdr": None, "lines": None}
+    _ = f.feed_matched
+    assert seen["map"].count() == f.t.item_map.count()
