@@ -16,8 +16,8 @@ VOLUME = (0.05, 95.0, 20.0)
 _PATTERN_ROWS = ", ".join(f"('{o}', [{', '.join(repr(p) for p in ps)}], {b}, {s}, {w})" for o, ps, b, s, w, _ in POLICY)
 
 
-def _step(build):
-    return lambda spark, sf_dir: settled(build(Tables(spark, sf_dir)))
+def _step(build, written=True):
+    return lambda spark, sf_dir: settled(build(Tables(spark, sf_dir, written)))
 
 
 def _inventory(t):
@@ -83,7 +83,7 @@ QUERIES = {
     "lin_blocking": _step(lambda t: lin.blocking(lin.dependents(_edges(t), "v0"), _edges(t).select(F.col("child").alias("node")).withColumn("kind", F.when(F.col("node").endswith("7"), "materialised").otherwise("view")))),
     "lin_cycles": _step(lambda t: lin.cycles(_rings(t))),
     "lin_dependents": _step(lambda t: lin.dependents(_edges(t), "v0")),
-    "aud_missing_objects": _step(lambda t: lin.missing_objects(t.invoice_header.select(F.col("no").alias("object_name")), t.invoice_line.select(F.col("document_no").alias("object_name")).distinct())),
+    "aud_missing_objects": _step(lambda t: lin.missing_objects(t.invoice_header.select(F.col("no").alias("object_name")), t.invoice_line.select(F.col("document_no").alias("object_name")).distinct()), written=False),
     "aud_missing_columns": _step(lambda t: lin.missing_columns(t.invoice_line.select(F.col("document_no").alias("object_name"), F.col("line_no").alias("column_name")), t.tax_entry.select(F.col("document_no").alias("object_name"), F.col("line_no").cast("string").alias("column_name")).distinct())),
 }
 

@@ -63,7 +63,7 @@ TURN = "1998-01-01"
 
 def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without a line past the lookback, from two streams that land in two halves."""
-    folder, t = _folder(spark), Tables(spark, sf_dir)
+    folder, t = _folder(spark), Tables(spark, sf_dir, written=False)
     heads = t.invoice_header.select("no", F.col("posting_date").cast("timestamp").alias("at"), "k")
     lines = t.invoice_line.join(heads.where("k % 10 <> 3").select(F.col("no").alias("document_no"), "at"), "document_no").select("document_no", F.col("at").alias("line_at"))
     for before in (True, False):

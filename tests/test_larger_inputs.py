@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ledgerlake import fixtures
+from ledgerlake import fixtures, queries
+from ledgerlake.plans import stages
 from ledgerlake.queries import o2c as o2c_queries
 from ledgerlake.sources import pages
 
@@ -35,3 +36,11 @@ def test_many_pages_stand_in_few_files(spark, tmp_path):
     got = pages.read_pages(spark, f"{tmp_path}/pages", None, "struct<id:bigint,v:string>")
     assert sorted((r["_page"], r["id"]) for r in got.collect()) == sorted((str(k // 2), k) for k in range(2000))
     assert [r["next_link"] for r in pages.dangling_links(spark, f"{tmp_path}/pages").collect()] == ["1000"]
+
+
+def test_a_narrow_read_writes_no_tables(spark):
+    """A query that reads a few columns of derived lines once leaves nothing staged."""
+    stages.discard_kept(spark)
+    for name in ("ing_fit_count", "aud_missing_objects", "reg_doc_fallback", "reg_doc_union"):
+        assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert not [k for k in stages._kept if k[0] == spark.sparkContext.applicationId]
