@@ -1,8 +1,8 @@
 """Landed pages behind a zone map, read through a data source that takes filters.
 
-Landing writes pages (one JSON document a file, records under `value`) and, beside them, a zone map: of each file its part (a window or a series), its
-rows and the least and greatest value of the columns that pulls go by. The source answers a filter like the service would: files whose zones can't meet it
-are not opened, rows that don't meet it are not sent, and what it can't evaluate is handed back to Spark. One input partition is one part.
+Landing writes pages (JSON documents, records under `value`; a file each, or lines of a file that several share) and, beside them, a zone map: of each page
+its file and place there, its part (a window or a series), its rows and the least and greatest value of the columns that pulls go by. The source answers a
+filter like the service would: pages whose zones can't meet it are not read, rows that don't meet it are not sent, and what it can't evaluate is handed back to Spark. One input partition is one part.
 """
 
 from __future__ import annotations
@@ -16,28 +16,41 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringStartsWith
 
+from ..plans.stages import discard, stage
+
 ZONES, PART = "_zones", "_part"
 
 
-def land_zoned(rows: DataFrame, part: Column, page: Column, path: str, zoned: list[str]) -> None:
-    """Write rows as pages of records and their zone map. part: the window or series; page: bounds what a file holds."""
+def land_zoned(rows: DataFrame, part: Column, page: Column, path: str, zoned: list[str], bundle: Column | None = None) -> None:
+    """Write rows as pages of records and their zone map. part: the window or series; page: bounds what a page holds; bundle: the pages of a part that share
+    a file, one a line (without it each page is a file), so that the number of files need not follow that of pages."""
     spark = rows.sparkSession
-    named = rows.select(part.cast("string").alias("part"), page.cast("string").alias("page"), F.struct("*").alias("r"))
-    named.groupBy("part", "page").agg(F.collect_list("r").alias("value")).repartition("part", "page").write.partitionBy("part", "page").json(path)
-    landed = spark.read.schema(f"value array<{rows.schema.simpleString()}>, part string, page string").option("multiLine", True).json(path)
-    records = landed.select(F.input_file_name().alias("file"), "part", F.explode("value").alias("r"))
-    ends = [f(F.col(f"r.{c}").cast("string" if rows.schema[c].dataType.typeName() == "string" else rows.schema[c].dataType)).alias(f"{name}_{c}") for c in zoned for f, name in ((F.min, "least"), (F.max, "greatest"))]
-    records.groupBy("file", "part").agg(F.count("*").alias("n"), *ends).write.parquet(f"{path}/{ZONES}")
+    ends = [f(F.col(c)).alias(f"{name}_{c}") for c in zoned for f, name in ((F.min, "least"), (F.max, "greatest"))]
+    named = rows.select(part.cast("string").alias("part"), (page if bundle is None else bundle).cast("string").alias("bundle"), page.cast("string").alias("page"), F.struct("*").alias("r"), *[F.col(c) for c in zoned])
+    pages = stage(named.groupBy("part", "bundle", "page").agg(F.to_json(F.struct(F.collect_list("r").alias("value"))).alias("value"), F.count("*").alias("n"), *ends), "zoned-pages")
+    # lines lie in the order of their pages, so a page begins behind the bytes of those before it, each with its line end
+    pages.repartition("part", "bundle").sortWithinPartitions("part", "bundle", "page").select("value", "part", "bundle").write.partitionBy("part", "bundle").text(path)
+    files = spark.read.schema("value string, part string, bundle string").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("part").alias("_p"), F.col("bundle").alias("_b")).distinct()
+    before = Window.partitionBy("part", "bundle").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.octet_length("value").cast("bigint")
+    placed = pages.withColumns({"size": size, "at": F.coalesce(F.sum(size + 1).over(before), F.lit(0))}).drop("value")
+    placed.join(files, F.col("part").eqNullSafe(F.col("_p")) & F.col("bundle").eqNullSafe(F.col("_b"))).select("file", "at", "size", "part", "n", *[f"{name}_{c}" for c in zoned for name in ("least", "greatest")]).write.parquet(f"{path}/{ZONES}")
+    discard(pages)
+
+
+RUN = 4 << 20  # bytes that are read at once: neighbouring pages, or one page that is larger
 
 
 class Part(InputPartition):
-    def __init__(self, name: str, files: list[str]) -> None:
+    """A part's pages as runs of neighbours: file, first byte, bytes."""
+
+    def __init__(self, name: str, runs: list[tuple[str, int, int]]) -> None:
         super().__init__(name)
-        self.files = files
+        self.runs = runs
 
 
 def _compare(kind: type, values: pa.Array, to) -> pa.Array | None:
@@ -58,7 +71,7 @@ def _meets(f: Filter, rows: pa.Table) -> pa.Array:
 
 
 def _may_meet(f: Filter, least, greatest) -> bool:
-    """Whether a file whose values lie in [least, greatest] can hold a row that meets f; a file of nulls alone can't."""
+    """Whether a page whose values lie in [least, greatest] can hold a row that meets f; a page of nulls alone can't."""
     if least is None:
         return False
     if isinstance(f, (GreaterThan, GreaterThanOrEqual)):
@@ -95,25 +108,41 @@ class ZonedReader(DataSourceReader):
 
     def partitions(self) -> list[Part]:
         where, path = fs.FileSystem.from_uri(f"{self.path}/{ZONES}")
-        zones = pq.read_table(path, filesystem=where).to_pylist()
-        parts: dict[str, list[str]] = {}
-        for z in zones:
-            if all(_may_meet(f, z[f"least_{c}"], z[f"greatest_{c}"]) for f in self.filters if f"least_{(c := f.attribute[0])}" in z):
-                parts.setdefault(z["part"], []).append(z["file"])
-        return [Part(name, sorted(files)) for name, files in sorted(parts.items())]
+        files = sorted(x.path for x in where.get_file_info(fs.FileSelector(path)) if x.path.endswith(".parquet"))
+        runs: dict[tuple[str, str], list[list[int]]] = {}
+        for batch in (b for file in files for b in pq.ParquetFile(file, filesystem=where).iter_batches(10_000)):
+            for z in batch.to_pylist():
+                if all(_may_meet(f, z[f"least_{c}"], z[f"greatest_{c}"]) for f in self.filters if f"least_{(c := f.attribute[0])}" in z):
+                    runs.setdefault((z["part"], z["file"]), []).append([z["at"], z["size"]])
+        parts: dict[str, list[tuple[str, int, int]]] = {}
+        for (name, file), pages in sorted(runs.items()):
+            at, size = 0, -1
+            for first, n in sorted(pages):
+                if size >= 0 and first == at + size + 1 and size + 1 + n <= RUN:
+                    size += 1 + n
+                    continue
+                if size >= 0:
+                    parts.setdefault(name, []).append((file, at, size))
+                at, size = first, n
+            parts.setdefault(name, []).append((file, at, size))
+        return [Part(name, at) for name, at in parts.items()]
 
     def read(self, partition: Part | None) -> Iterator[pa.RecordBatch]:
-        tables = (self._page(file, partition.value) for file in partition.files) if partition else ()
+        tables = (page for run in partition.runs for page in self._pages(*run, partition.value)) if partition else ()
         if self.order:  # a part in order of its key, as pulls by series need it
             tables = list(tables)
             tables = [pa.concat_tables(tables).sort_by(self.order)] if tables else []
         for rows in tables:
             yield from rows.to_batches(max_chunksize=10_000)
 
-    def _page(self, file: str, part: str) -> pa.Table:
+    def _pages(self, file: str, at: int, size: int, part: str) -> Iterator[pa.Table]:
         where, path = fs.FileSystem.from_uri(file)
-        with where.open_input_stream(path) as f:
-            records = json.loads(f.read(), parse_float=Decimal)["value"]
+        with where.open_input_file(path) as f:
+            text = f.read_at(size, at)
+        for line in text.split(b"\n"):
+            yield self._page(json.loads(line, parse_float=Decimal)["value"], part)
+
+    def _page(self, records: list[dict], part: str) -> pa.Table:
         rows = pa.Table.from_arrays([self._values([part if c.name == PART else r.get(c.name) for r in records], c.type) for c in self.schema], schema=self.schema)
         for f in self.filters:
             rows = rows.filter(_meets(f, rows))
@@ -155,5 +184,5 @@ def read_zoned(spark: SparkSession, path: str, schema: str, order: str | None =
 
 
 def files_met(spark: SparkSession, path: str, condition: str) -> DataFrame:
-    """The zone map's files with `met`, whether a pull by condition (over least_ and greatest_ columns) opens them."""
+    """The zone map's pages with `met`, whether a pull by condition (over least_ and greatest_ columns) opens them."""
     return spark.read.parquet(f"{path}/{ZONES}").withColumn("met", F.coalesce(F.expr(condition), F.lit(False)))

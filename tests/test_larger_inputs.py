@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ledgerlake import fixtures, queries
 from ledgerlake.plans import stages
 from ledgerlake.queries import o2c as o2c_queries
-from ledgerlake.sources import pages
+from ledgerlake.sources import pages, pushdown
 
 
 def test_no_two_keys_share_a_code(spark, tmp_path):
@@ -44,3 +44,15 @@ def test_a_narrow_read_writes_no_tables(spark):
     for name in ("ing_fit_count", "aud_missing_objects", "reg_doc_fallback", "reg_doc_union"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
     assert not [k for k in stages._kept if k[0] == spark.sparkContext.applicationId]
+
+
+def test_pages_of_a_month_share_files(spark, tmp_path):
+    """The number of files follows the bundles, not the pages, and a page is read from its place in its file."""
+    rows = spark.range(4000).select(F.col("id").alias("k"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("é"), F.lpad(F.col("id").cast("string"), 5, "0"))).alias("no"))
+    folder = f"{tmp_path}/zoned"
+    pushdown.land_zoned(rows, F.col("k") % 2, F.floor(F.col("k") / 20), folder, ["k"], F.floor(F.col("k") / 2000))
+    assert len(list((tmp_path / "zoned").rglob("bundle=*/*.txt"))) == 4
+    assert spark.read.parquet(f"{folder}/_zones").count() == 400
+    source = pushdown.read_zoned(spark, folder, "k bigint, no string")
+    for got, want in ((source, rows), (source.where("k >= 1990 and k < 2031"), rows.where("k >= 1990 and k < 2031")), (source.where("k in (5, 399, 3998)"), rows.where("k in (5, 399, 3998)"))):
+        assert sorted((r["k"], r["no"] or "") for r in got.collect()) == sorted((r["k"], r["no"] or "") for r in want.collect())
