@@ -1,12 +1,15 @@
 """Codes, landed pages and derived tables on inputs that are larger than the test tables."""
 
+import duckdb
 from pyspark.sql import functions as F
 
 from ledgerlake import fixtures, queries
-from ledgerlake.plans import stages
+from ledgerlake.plans import register, stages
 from ledgerlake.queries import o2c as o2c_queries
 from ledgerlake.sources import pages, pushdown
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_no_two_keys_share_a_code(spark, tmp_path):
     """Customers from 100,000 and parts from 1,000,000 on keep all their digits."""
@@ -56,3 +59,29 @@ def test_pages_of_a_month_share_files(spark, tmp_path):
     source = pushdown.read_zoned(spark, folder, "k bigint, no string")
     for got, want in ((source, rows), (source.where("k >= 1990 and k < 2031"), rows.where("k >= 1990 and k < 2031")), (source.where("k in (5, 399, 3998)"), rows.where("k in (5, 399, 3998)"))):
         assert sorted((r["k"], r["no"] or "") for r in got.collect()) == sorted((r["k"], r["no"] or "") for r in want.collect())
+
+
+def test_a_narrow_register_leaves_out_what_it_does_not_read(spark):
+    """Its columns are those of the whole register, and steps that they don't read are neither joined nor written."""
+    t = fixtures.Tables(spark, SF, written=False)
+    for columns in (["document_no", "line_no", "mrp", "gmv"], ["document_no", "line_no", "gst_hsn_sac", "gst_jurisdiction_type"], ["document_no", "line_no", "gstn", "company_gstin"], ["document_no", "line_no", "igst", "cogs"]):
+        assert register.register(t, columns).select(columns).exceptAll(register.register(t).select(columns)).count() == 0
+    assert register.steps_of(None) == {"g", "gd", "c", "lr", "cr"} and register.steps_of(["mrp"]) == {"c"}
+    stages.discard_kept(spark)
+    assert queries.QUERIES["reg_mrp_gmv"](spark, SF).count() > 0
+    assert {k[1] for k in stages._kept if k[0] == spark.sparkContext.applicationId} == {"line_base", "invoice_line"}
+
+
+def test_the_least_line_number_is_one_of_texts(spark, tmp_path):
+    """A part on the lines 20000 and 100000 of one order: the query, like its SQL, takes the least text."""
+    con = duckdb.connect()
+    for name in ("customer", "part", "orders", "lineitem"):
+        con.execute(f"create table {name} as select * from '{SF}/{name}.parquet'")
+    k = con.execute("select max(o_orderkey) from orders where o_orderdate >= date '1998-06-01'").fetchone()[0]
+    con.execute(f"delete from lineitem where l_orderkey = {k}")
+    con.execute(f"insert into lineitem select {k}, case when n = 10 then 2 else n end, 1, n, 1.0, 1.0, 0.0, 0.0, 'N', 'O', timestamp '1998-07-01' from range(1, 12) r(n)")
+    for name in ("customer", "part", "orders", "lineitem"):
+        con.execute(f"copy {name} to '{tmp_path}/{name}.parquet' (format parquet)")
+    ours = [r["line_no"] for r in queries.QUERIES["o2c_lines"](spark, str(tmp_path)).collect()]
+    theirs = [r[0] for r in con.execute(f"select line_no from ({queries.ORACLE_SQL['o2c_lines']})").fetchall()]
+    assert "100000" in ours and sorted(ours) == sorted(theirs)
