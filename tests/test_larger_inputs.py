@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import fixtures, queries
 from ledgerlake.plans import register, stages
+from ledgerlake.plans.o2c import match_receipts
 from ledgerlake.queries import o2c as o2c_queries
 from ledgerlake.sources import pages, pushdown
 
@@ -85,3 +86,21 @@ def test_the_least_line_number_is_one_of_texts(spark, tmp_path):
     ours = [r["line_no"] for r in queries.QUERIES["o2c_lines"](spark, str(tmp_path)).collect()]
     theirs = [r[0] for r in con.execute(f"select line_no from ({queries.ORACLE_SQL['o2c_lines']})").fetchall()]
     assert "100000" in ours and sorted(ours) == sorted(theirs)
+
+
+def test_each_match_join_is_made_once(spark):
+    """All seven methods and their conditions on single candidates, from one join per key."""
+    h = [("27AHD-00001", "A", "P1", "AHD", "00001", False), ("27BLR-00002", "A", "P2", "BLR", "00002", False), ("27BLR-00003", "A", "P2", "BLR", "00003", False), ("27AHD-00004", "A", "P4", "AHD", "00004", False), ("28AHD-00004", "A", "P5", "AHD", "00004", True)]
+    headers = spark.createDataFrame([(n, c, po, n.replace("-", ""), b, five, gone) for n, c, po, b, five, gone in h], "invoice_no string, customer_no string, po_number_u string, inv_norm string, branch string, num5 string, cancelled boolean").withColumn("invoice_date", F.lit("2001-02-01").cast("date"))
+    lines = spark.createDataFrame([("27BLR-00002", "i", 5), ("27BLR-00003", "j", 6)], "invoice_no string, item_no string, invoiced_qty int")
+    g = [  # order number, candidates of the reference, item and quantity; what is found
+        ("", "27AHD00001", None, None, None, 0, "27AHD-00001", "invoice_exact"), ("P1", "", "AHD", "00001", None, 0, "27AHD-00001", "invoice_core+po"), ("", "", "BLR", "00003", None, 0, "27BLR-00003", "invoice_core"),
+        ("P9", "", "BLR", "00003", None, 0, "27BLR-00003", "invoice_core"), ("P4", "", "BLR", "00003", None, 0, "27AHD-00004", "po_unique"), ("", "", "AHD", "00004", None, 0, None, None), ("P1", "", None, None, None, 0, "27AHD-00001", "po_unique"),
+        ("P2", "", None, None, "i", 5, "27BLR-00002", "po+item+qty"), ("P2", "", None, None, "j", 1, "27BLR-00003", "po+item+date"), ("P2", "", None, None, "x", 1, "27BLR-00002", "po_ambiguous"), ("P5", "", None, None, None, 0, None, None),
+    ]
+    schema = "feed string, row_id long, part int, po_number string, cand_norm string, cand_branch string, cand_num5 string, item_no string, received_qty int"
+    for own, lists in ((F.array(F.lit("A"), F.lit("B")).alias("customer_nos"), None), (F.lit("L").alias("customer_list"), spark.createDataFrame([("L", "A"), ("L", "B")], "customer_list string, customer_no string"))):
+        receipts = spark.createDataFrame([("f", n, 0, *x[:6]) for n, x in enumerate(g)], schema).select("*", own, F.lit(None).cast("date").alias("grn_date"))
+        out = match_receipts(receipts, headers, lines, lists)
+        assert [(r["invoice_no"], r["match_method"]) for r in out.orderBy("row_id").collect()] == [x[6:] for x in g]
+        assert out._jdf.queryExecution().analyzed().toString().count("Join ") <= (5 if lists is None else 9)
