@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from ledgerlake import fixtures, queries
-from ledgerlake.plans import register, stages
+from ledgerlake.plans import ledger_store, register, stages
 from ledgerlake.plans.o2c import match_receipts
 from ledgerlake.queries import o2c as o2c_queries
 from ledgerlake.sources import pages, pushdown
@@ -112,3 +112,13 @@ def test_replacement_keys_are_cleaned_in_one_pass(spark):
     fresh = o2c_queries.p.replacements(f.hdr, f.lines, f.memos, f.t.channel_site)
     assert fresh.exceptAll(f.replaced).count() == 0 and {r[0] for r in f.replaced.select("status").distinct().collect()} == {"REINVOICED", "NOT_REINVOICED"}
     assert "Union" not in fresh._jdf.queryExecution().analyzed().toString()
+
+
+def test_buckets_follow_the_ledger(spark, monkeypatch):
+    """A larger ledger has more buckets, not larger ones, and the same rows."""
+    assert [ledger_store.buckets_of(n) for n in (0, 600_000, 36_000_000)] == [16, 16, 72]
+    before = queries.QUERIES["reg_bucketed"](spark, SF)
+    monkeypatch.setattr(ledger_store, "ROWS", 200)
+    after = queries.QUERIES["reg_bucketed"](spark, SF)
+    assert after.exceptAll(before).count() == 0 and after.count() == before.count()
+    assert len(after.inputFiles()) > 1.5 * len(before.inputFiles())
