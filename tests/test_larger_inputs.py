@@ -122,3 +122,10 @@ def test_buckets_follow_the_ledger(spark, monkeypatch):
     after = queries.QUERIES["reg_bucketed"](spark, SF)
     assert after.exceptAll(before).count() == 0 and after.count() == before.count()
     assert len(after.inputFiles()) > 1.5 * len(before.inputFiles())
+
+
+def test_feeds_join_their_customers_once_a_list(spark):
+    """The text of a platform's customers is made below the join with the feeds' rows, not again for each of them."""
+    plan = queries.QUERIES["o2c_feeds"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("array_join" in x for x in plan)
+    assert not any("array_join" in x for x in plan[: next(n for n, x in enumerate(plan) if "Join LeftOuter" in x)])
