@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from ledgerlake import fixtures, queries
-from ledgerlake.plans import register, stages
+from ledgerlake.plans import o2c, register, stages
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,3 +40,27 @@ def test_the_register_writes_few_tables(spark):
     t = fixtures.Tables(spark, SF, written=False)
     assert got.count() == register.documents(t.invoice_header, t.invoice_line, t.memo_header, t.memo_line).count()
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_match_keeps_narrow_tables(spark):
+    """The whole receipts are written for the match alone; what stays is what later steps read, and a narrow query writes no whole bridge as adjusted."""
+    stages.discard_kept(spark)
+    assert queries.QUERIES["o2c_live"](spark, SF).count() > 0
+    found = kept(spark)
+    assert {"o2c-matched", "o2c-bridge", "o2c-moved", "o2c-live"} <= found and not found & {"o2c-receipts", "o2c-rows", "o2c-hits", "o2c-have", "o2c-adjusted"}
+    left = {x.rsplit("-", 1)[0] for x in stages.children(spark, stages.shared_folder(spark)) if x.startswith("o2c-")}
+    assert not left & {"o2c-rows", "o2c-hits", "o2c-have"}
+    assert [df for at, (_, df) in stages._kept.items() if at[1] == "o2c-matched" and at[0] == spark.sparkContext.applicationId][0].columns == [*o2c.MATCHED, "invoice_no", "match_method"]
+
+
+def test_receipts_without_a_code_keep_their_places(spark):
+    """Items come before the places among equal rows; renamed, unmapped and blank codes, and references of several parts."""
+    raw = spark.createDataFrame([("f", k, "P", "C", "po1 .", inv, "G", code, "Any", 1.0) for k, inv, code in ((1, "A, B", "S1"), (2, "A, B", "S1"), (3, None, None), (4, None, None), (5, "A", "S9"))], "feed string, id long, platform string, customer_list string, po string, inv string, grn_no string, feed_item_code string, map_platform string, received_qty double")
+    raw = raw.withColumns({"grn_date": F.lit(None).cast("date"), "ordered_qty": F.lit(1), "rejected_qty": F.lit(0), "reject_reason": F.lit(None).cast("string"), "source_file": F.lit("x")})
+    item_map = spark.createDataFrame([("Any", "s1", "FG/1"), ("Any", "s2", None)], "platform string, sku string, item_no string")
+    renames = spark.createDataFrame([("FG/1", "TG/1")], "old_no string, new_no string")
+    seen = []
+    out = o2c.receipt_lines(raw, item_map, renames, lambda df: seen.append(df.columns) or df)
+    got = sorted((r["row_id"], r["part"], r["invoice_ref"], r["po_number"], r["item_no"], r["dup_seq"]) for r in out.collect())
+    assert got == [(1, 0, "A", "PO1", "TG/1", 1), (1, 1, "B", "PO1", "TG/1", 2), (2, 0, "A", "PO1", "TG/1", 3), (2, 1, "B", "PO1", "TG/1", 4), (3, 0, "", "PO1", None, 1), (4, 0, "", "PO1", None, 2), (5, 0, "A", "PO1", None, 1)]
+    assert len(seen) == 1 and "item_no" in seen[0] and "cand_norm" not in seen[0]
