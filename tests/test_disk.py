@@ -64,3 +64,17 @@ def test_receipts_without_a_code_keep_their_places(spark):
     got = sorted((r["row_id"], r["part"], r["invoice_ref"], r["po_number"], r["item_no"], r["dup_seq"]) for r in out.collect())
     assert got == [(1, 0, "A", "PO1", "TG/1", 1), (1, 1, "B", "PO1", "TG/1", 2), (2, 0, "A", "PO1", "TG/1", 3), (2, 1, "B", "PO1", "TG/1", 4), (3, 0, "", "PO1", None, 1), (4, 0, "", "PO1", None, 2), (5, 0, "A", "PO1", None, 1)]
     assert len(seen) == 1 and "item_no" in seen[0] and "cand_norm" not in seen[0]
+
+
+def test_a_list_of_customers_is_written_once_a_file(spark, tmp_path):
+    """Lists of more than a megabyte, which Parquet would write again in each row."""
+    for name in ("region", "nation", "part", "supplier", "events"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.range(900_000).selectExpr("id as c_custkey", "concat('n', id) as c_name", "0 as c_nationkey", "1.0d as c_acctbal", "'AUTO' as c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.read.parquet(f"{SF}/orders.parquet").where("o_orderkey < 100").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.read.parquet(f"{SF}/lineitem.parquet").where("l_orderkey < 100").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = queries.QUERIES["o2c_feeds"](spark, str(tmp_path))
+    df.coalesce(1).write.parquet(f"{tmp_path}/out")
+    chars, longest = spark.read.parquet(f"{tmp_path}/out").agg(F.sum(F.length("customer_nos")), F.max(F.length("customer_nos"))).first()
+    written = sum(x.stat().st_size for x in (tmp_path / "out").glob("*.parquet"))
+    assert longest > 1 << 20 and chars > 20 * longest and written < 4 * longest
