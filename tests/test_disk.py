@@ -78,3 +78,11 @@ def test_a_list_of_customers_is_written_once_a_file(spark, tmp_path):
     chars, longest = spark.read.parquet(f"{tmp_path}/out").agg(F.sum(F.length("customer_nos")), F.max(F.length("customer_nos"))).first()
     written = sum(x.stat().st_size for x in (tmp_path / "out").glob("*.parquet"))
     assert longest > 1 << 20 and chars > 20 * longest and written < 4 * longest
+
+
+def test_narrow_registers_end_their_shuffles(spark):
+    """Where several grouped steps meet, what is returned reads a written table."""
+    stages.discard_kept(spark)
+    for name in ("reg_gstn", "reg_hsn"):
+        assert "Exchange" not in queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert queries.QUERIES["reg_monthly_totals"](spark, SF)._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
